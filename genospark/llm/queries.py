@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .packing import packed_documents
 from .tables import shared_dir, table
 from .token_counts import token_counts
 
@@ -25,7 +26,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}", bpe_path())
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"), bpe_path())
+
+
 QUERIES: dict[str, Query] = {
+    "op5_packing": op5_packing,
     "op7_token_counts": op7_token_counts,
 }
 ORACLES: dict[str, str] = oracle.SQL
