@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .language_id import language_profiles, predicted_languages
 from .packing import packed_documents
-from .tables import shared_dir, table
+from .tables import bucket_of, shared_dir, table
 from .token_counts import token_counts
+from .toxicity import toxicity_model, toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +28,27 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}", bpe_path())
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language_profiles(docs.where(bucket_of("doc_id", 4) != 2))
+    out = predicted_languages(docs.select("doc_id", (bucket_of("doc_id", 4) == 2).alias("held_out"), "text"), profiles)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), bpe_path())
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (bucket_of("doc_id", 4) == 2).alias("held_out"), "text")
+    model = toxicity_model(docs.where("not held_out"), table(spark, sf_dir, "labels"))
+    return toxicity_scores(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op5_packing": op5_packing,
     "op7_token_counts": op7_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = oracle.SQL
