@@ -16,6 +16,8 @@ R = np.uint64(0x9E3779B97F4A7C15 | 1)
 R_INVERSE = np.uint64(pow(int(R), -1, 2**64))
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 SLICE_BYTES = 1 << 20
@@ -67,6 +69,14 @@ class Words:
             out.append(h)
         return out
 
+    def bare(self, most: int = 8) -> "Words":
+        """The words without ASCII punctuation at either end (up to `most` characters); words of nothing else stay as they are."""
+        start, end = self.start.copy(), self.end.copy()
+        for _ in range(most):
+            end -= (end - start > 1) & PUNCTUATION[self.data[end - 1]]
+            start += (end - start > 1) & PUNCTUATION[self.data[start]]
+        return Words(self.data, self.bounds, start, end, self.first)
+
     def texts(self) -> np.ndarray:
         """The number of the text that each word is in."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))

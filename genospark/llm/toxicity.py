@@ -1,6 +1,6 @@
 """Toxicity scores from a counterfactual-regularised linear classifier.
 
-Features are the hashed words of a text, and the hashed first 4 and 5 bytes of its words, each counted once. Fitting is
+Features are the hashed words of a text, and the hashed first 4 to 7 bytes of longer words, each counted once. Fitting is
 logistic regression on labelled documents, with a penalty on how far the score moves when the identity terms of a
 sentence are exchanged for others of their kind, so that naming a group carries no weight by itself.
 """
@@ -38,7 +38,7 @@ IDENTITY_TERMS = (
     ("frauen", "männer"),
     ("mujeres", "hombres"),
 )
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
 
 
 @dataclass
@@ -53,7 +53,7 @@ class Model:
 def buckets(w: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of each different feature of each text, in order of the text."""
     at = w.texts()
-    found = w.hashes(PREFIXES)
+    found = w.bare().hashes(PREFIXES)
     text = np.concatenate([at[h != 0] for h in found])
     bucket = np.concatenate([((h[h != 0] ^ np.uint64(k * 0x9E3779B9)) >> np.uint64(64 - bits)).astype(np.int64) for k, h in enumerate(found)])
     pairs = np.unique((text << bits) | bucket)
@@ -101,9 +101,10 @@ def features_of_sample(docs: DataFrame, labels: DataFrame, bits: int, fit_rows:
     return chosen.join(F.broadcast(picked), "doc_id").select("label", "text").mapInPandas(run, "label int, features binary, twin binary")
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray | None]], bits: int, steps: int = 300, l2: float = 2e-4, counterfactual: float = 1.0) -> Model:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray | None]], bits: int, steps: int = 300, l2: float = 4e-4, counterfactual: float = 1.0, screen: float = 4.0) -> Model:
     """Logistic regression by Adam on all rows at once; the loss of a row with identity terms also has
-    counterfactual * (score - score of its twin) ** 2, scores before the sigmoid."""
+    counterfactual * (score - score of its twin) ** 2, scores before the sigmoid. Only features whose shares of the two
+    labels differ by `screen` standard errors get a weight: most words are rare, and say nothing of other texts."""
     size = 1 << bits
     if not rows or len({y for y, _, _ in rows}) < 2:
         share = float(np.mean([y for y, _, _ in rows])) if rows else 0.0
@@ -112,9 +113,11 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray | None]], bits: int, steps:
     y = np.array([r[0] for r in rows], np.float64)
     column = np.concatenate([r[1] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    # a feature of one row says nothing of others
-    spread = np.bincount(column, minlength=size)
-    used = np.flatnonzero(spread >= 2)
+    toxic = int(y.sum())
+    spread, hits = np.bincount(column, minlength=size), np.bincount(column, y[row], size)
+    share = spread / len(rows)
+    error = np.sqrt((share * (1 - share) + 1 / len(rows)) * (1 / toxic + 1 / (len(rows) - toxic)))
+    used = np.flatnonzero((spread >= 3) & (np.abs(hits / toxic - (spread - hits) / (len(rows) - toxic)) >= screen * error))
     number = np.full(size, -1)
     number[used] = np.arange(len(used))
     keep = number[column] >= 0
@@ -133,11 +136,10 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray | None]], bits: int, steps:
     w, n = np.zeros(len(used)), len(rows)
     share = y.mean()
     bias = np.log(share / (1 - share))
-    balance = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
         z = np.bincount(row, w[column], n) + bias
-        g = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
         grad = np.bincount(column, g[row], len(w)) + l2 * w
         if len(twins):
             gap = np.bincount(dr, dv * w[dc], len(twins))
