@@ -1,3 +1,38 @@
 """SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+# Two conversations of one opening: see preferences.pairs_of_conversations and formatted_preferences.
+OP2_PREFERENCES = """
+with turns as (
+    select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} order by turn, coalesce(role, ''), coalesce(text, '')) as turns
+    from conversations where conv_id is not null group by conv_id
+), answered as (
+    select *, list_filter(turns, lambda t: t.role = 'assistant') as answers,
+           len(turns) - coalesce(list_position(list_reverse(list_transform(turns, lambda t: t.role)), 'assistant'), 0) + 1 as final
+    from turns
+), pairs as (
+    select a.conv_id as pair_id, a.turns as chosen,
+           case when len(a.answers) = 0 then a.turns
+                else list_concat(a.turns[1:a.final - 1], case when len(b.answers) > 0 then b.answers[-1:] else [] end) end as rejected
+    from answered a left join answered b on a.conv_id = xor(b.conv_id, 1)
+), counted as (
+    select *, coalesce(list_position(list_transform(range(greatest(len(chosen), len(rejected))), lambda i: chosen[i + 1] is not distinct from rejected[i + 1]), false) - 1, len(chosen)) as n
+    from pairs
+), split as (
+    select pair_id, n, chosen[1:n] as shared, chosen[n + 1:] as c, rejected[n + 1:] as r from counted
+), rendered as (
+    select pair_id, n, c, r,
+           list_transform(shared, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) as ps,
+           list_transform(c, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) as cs,
+           list_transform(r, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)) as rs
+    from split
+)
+select pair_id, cast(n as int) as n_prompt_turns,
+       coalesce(array_to_string(ps, ''), '') as prompt, coalesce(array_to_string(cs, ''), '') as chosen, coalesce(array_to_string(rs, ''), '') as rejected,
+       coalesce(array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'),
+           lambda i: cast(length(array_to_string(cs[1:i - 1], '')) + 13 + length(c[i].role) as varchar) || '-' || cast(length(array_to_string(cs[1:i], '')) - 1 as varchar)), ','), '') as chosen_spans,
+       coalesce(array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'),
+           lambda i: cast(length(array_to_string(rs[1:i - 1], '')) + 13 + length(r[i].role) as varchar) || '-' || cast(length(array_to_string(rs[1:i], '')) - 1 as varchar)), ','), '') as rejected_spans
+from rendered
+"""
+
+SQL: dict[str, str] = {"op2_preferences": OP2_PREFERENCES}

@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle
+from .html_text import extracted_pages
 from .language_id import language_profiles, predicted_languages
 from .packing import packed_documents
+from .preferences import formatted_preferences, pairs_of_conversations
 from .tables import bucket_of, shared_dir, table
 from .token_counts import token_counts
 from .toxicity import toxicity_model, toxicity_scores
@@ -28,6 +31,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}", bpe_path())
 
 
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = formatted_preferences(pairs_of_conversations(table(spark, sf_dir, "conversations")))
+    for side in ("chosen_spans", "rejected_spans"):
+        out = out.withColumn(side, F.array_join(F.transform(side, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ","))
+    return out
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = language_profiles(docs.where(bucket_of("doc_id", 4) != 2))
@@ -35,6 +45,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), bpe_path())
 
@@ -46,7 +60,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_preferences": op2_preferences,
     "op3_language_id": op3_language_id,
+    "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op7_token_counts": op7_token_counts,
     "op10_toxicity": op10_toxicity,
