@@ -137,8 +137,8 @@ def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
         out[np.repeat(bounds[long], k) + inner] = full[np.repeat(w.first[long], k) + inner]
     for d in np.flatnonzero((count > 0) & (count < size)):
-        x = np.uint64(count[d])
+        x = np.full(1, count[d], np.uint64)
         for k in range(count[d]):
             x = mix(x * R + h[w.first[d] + k])
-        out[bounds[d]] = x
+        out[bounds[d]] = x[0]
     return mix(out), bounds

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .html_text import extracted_pages
+from .jaccard_join import jaccard_components
 from .language_id import language_profiles, predicted_languages
 from .packing import packed_documents
 from .preferences import formatted_preferences, pairs_of_conversations
@@ -53,6 +54,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), bpe_path())
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (bucket_of("doc_id", 4) == 2).alias("held_out"), "text")
     model = toxicity_model(docs.where("not held_out"), table(spark, sf_dir, "labels"))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = oracle.SQL
