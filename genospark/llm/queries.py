@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .decontamination import contamination
 from .html_text import extracted_pages
 from .jaccard_join import jaccard_components
 from .language_id import language_profiles, predicted_languages
@@ -58,6 +59,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (bucket_of("doc_id", 4) == 2).alias("held_out"), "text")
     model = toxicity_model(docs.where("not held_out"), table(spark, sf_dir, "labels"))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = oracle.SQL
