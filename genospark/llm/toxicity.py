@@ -87,8 +87,8 @@ def features_of_sample(docs: DataFrame, labels: DataFrame, bits: int, fit_rows:
     the row's label is 1.
     """
     y = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    chosen = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(y, "doc_id")
-    picked = chosen.select("doc_id", "label", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(fit_rows).select("doc_id").distinct()
+    # texts meet only the rows that were picked, whose number is bounded
+    picked = docs.select("doc_id").distinct().join(y, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -98,7 +98,8 @@ def features_of_sample(docs: DataFrame, labels: DataFrame, bits: int, fit_rows:
                 rows.append((label, one(text.encode(), bits).astype("<i4").tobytes(), None if twin is None else one(twin, bits).astype("<i4").tobytes()))
             yield pd.DataFrame(rows, columns=["label", "features", "twin"])
 
-    return chosen.join(F.broadcast(picked), "doc_id").select("label", "text").mapInPandas(run, "label int, features binary, twin binary")
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(picked), "doc_id").select("label", "text").mapInPandas(run, "label int, features binary, twin binary")
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray | None]], bits: int, steps: int = 300, l2: float = 4e-4, counterfactual: float = 1.0, screen: float = 4.0) -> Model:
