@@ -18,6 +18,7 @@ from .preferences import formatted_preferences, pairs_of_conversations
 from .tables import bucket_of, shared_dir, table
 from .token_counts import token_counts
 from .toxicity import toxicity_model, toxicity_scores
+from .vector_search import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}", bpe_path())
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = formatted_preferences(pairs_of_conversations(table(spark, sf_dir, "conversations")))
     for side in ("chosen_spans", "rejected_spans"):
@@ -70,6 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_vector_search": op1_vector_search,
     "op2_preferences": op2_preferences,
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
