@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .decontamination import contamination
+from .hidden_markov import text_scores
 from .html_text import extracted_pages
 from .jaccard_join import jaccard_components
 from .language_id import language_profiles, predicted_languages
@@ -29,6 +30,10 @@ def bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(table(spark, sf_dir, "documents").select("doc_id", "text", (bucket_of("doc_id", 7) == 2).alias("held_out")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache is a new one for each call, so that every call counts all distinct texts."""
     return token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}", bpe_path())
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
+    "op6_hidden_markov": op6_hidden_markov,
     "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
