@@ -1,7 +1,8 @@
 """Exact Jaccard join on word n-grams with token-combination prefixes.
 
-Tokens are the hashed shingles of a document, in the order of their hashes. With a threshold of 0.9 two linked sets lack
-at most a tenth of each other's tokens, so the first n // 10 + 1 tokens of both share one: the prefix. Three cases:
+Tokens are the hashed shingles of a document, in the order of their hashes. With a threshold of p per cent, a set of n
+tokens lacks at most (100 - p) n / 100 of a linked set's tokens, so the first tokens of both, one more than that, share
+one: the prefix. Three cases:
 
 - Tokens that more than `frequent` documents have near their beginning are the frequent class. They come last in the
   order; prefixes are extended past them to further rare tokens, each indexed alone.
@@ -30,7 +31,6 @@ from .components import connected_components
 from .tables import saved
 
 SMALL = 1_000_000  # ids that are broadcast (8 MB); more are joined by a shuffle
-LEVEL = -np.log(0.899)  # sizes of linked documents are at most one level apart
 SKETCH = 256
 BLOCK = 1024
 
@@ -54,14 +54,27 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(tokens & (SKETCH - 1), minlength=SKETCH), 255).astype(np.uint8)
 
 
-def cells(tokens: np.ndarray) -> list[int]:
+def level_width(percent: int) -> float:
+    """Of size levels, in logarithms: sizes of linked documents are at most one level apart."""
+    return float(-np.log(percent / 100 - 0.001))
+
+
+def least_size(percent: int) -> int:
+    """Smaller sets are linked with their equals only."""
+    return -(-percent // (100 - percent))
+
+
+def cells(tokens: np.ndarray, percent: int) -> list[int]:
     """Keys of the token combinations, for the size levels that the document may be linked in."""
     out: list[int] = []
-    level = int(np.log(len(tokens)) / LEVEL)
+    if not len(tokens):
+        return out
+    width = level_width(percent)
+    level = int(np.log(len(tokens)) / width)
     u = tokens.view(np.uint64)
     for tag in (level, level + 1):
-        largest = int(np.exp(LEVEL * (tag + 1))) + 1
-        g = 2 * largest // 19 + 1
+        largest = int(np.exp(width * (tag + 1))) + 1
+        g = (100 - percent) * 2 * largest // (100 + percent) + 1
         cell = (mix(u ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(g)).astype(np.int64)
         total = np.zeros(g, np.uint64)
         np.add.at(total, cell, mix(u + np.uint64(tag)))
@@ -69,10 +82,11 @@ def cells(tokens: np.ndarray) -> list[int]:
     return out
 
 
-def shingled(docs: DataFrame, shingle: int) -> DataFrame:
+def shingled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, n, d1, d2, window, sketch): size, digest and first tokens of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = least_size(percent)
         for b in batches:
             n, d1, d2, window, sketches = [], [], [], [], []
             for tokens in token_sets(b.column("text"), shingle):
@@ -80,7 +94,7 @@ def shingled(docs: DataFrame, shingle: int) -> DataFrame:
                 u = tokens.view(np.uint64)
                 d1.append(int(u.sum(dtype=np.uint64).view(np.int64)))
                 d2.append(int(mix(u).sum(dtype=np.uint64).view(np.int64)))
-                window.append(tokens[: (len(tokens) // 10 + 1) * 3 // 2 + 4] if len(tokens) >= 9 else tokens[:0])
+                window.append(tokens[: ((100 - percent) * len(tokens) // 100 + 1) * 3 // 2 + 4] if len(tokens) >= small else tokens[:0])
                 sketches.append(sketch(tokens).tobytes())
             size = np.cumsum([0, *map(len, window)], dtype=np.int32)
             flat = np.concatenate(window) if window else np.zeros(0, np.int64)
@@ -92,40 +106,40 @@ def shingled(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n int, d1 long, d2 long, window array<long>, sketch binary")
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, combine: bool) -> DataFrame:
-    """(rep, n, tokens, cells) of the documents with these ids; cells empty unless asked for."""
+def whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, combine: int = 0) -> DataFrame:
+    """(rep, n, tokens, cells) of the documents with these ids; cells, for a threshold of `combine` per cent, empty without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(token_sets(b.column("text"), shingle))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t) if combine else [] for t in sets], pa.list_(pa.int64()))],
+                [b.column("doc_id"), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t, combine) if combine else [] for t in sets], pa.list_(pa.int64()))],
                 ["rep", "n", "tokens", "cells"],
             )
 
     return docs.join(sized(ids.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(run, "rep long, n int, tokens array<long>, cells array<long>")
 
 
-def allowance(n: Column) -> Column:
+def allowance(n: Column, percent: int) -> Column:
     """How many tokens of a set of this size a linked set may lack."""
-    return F.floor(n / 10).cast("int")
+    return F.floor(n * (100 - percent) / 100).cast("int")
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a and b whose sketches don't rule a link out."""
     found = []
     for at in range(0, len(a), 32):
         x = a[at : at + 32].astype(np.int16)
         gap = np.abs(x[:, None, :] - b.astype(np.int16)[None, :, :]).sum(2, dtype=np.int32)
-        i, j = np.nonzero(19 * gap <= na[at : at + 32, None] + nb[None, :])
+        i, j = np.nonzero((100 + percent) * gap <= (100 - percent) * (na[at : at + 32, None] + nb[None, :]))
         found.append((i + at, j))
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
-def hot_pairs(hot: DataFrame, sketches: DataFrame) -> DataFrame:
+def hot_pairs(hot: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) of the long lists hot(sig, rep, n)."""
     own = hot.groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
-    level = F.floor(F.log("n") / float(LEVEL)).cast("int")
+    level = F.floor(F.log("n") / level_width(percent)).cast("int")
     rows = hot.distinct().withColumn("level", level)
     size = rows.groupBy("sig", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(sized(size), ["sig", "level"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -149,7 +163,7 @@ def hot_pairs(hot: DataFrame, sketches: DataFrame) -> DataFrame:
         s = np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, SKETCH)
         n, rep, sigs = x["n"].to_numpy(np.int64), x["rep"].to_numpy(), x["sigs"].tolist()
         li, ri = np.flatnonzero(left), np.flatnonzero(right)
-        p, q = close_pairs(s[li], s[ri], n[li], n[ri])
+        p, q = close_pairs(s[li], s[ri], n[li], n[ri], percent)
         p, q = li[p], ri[q]
         keep = rep[p] != rep[q]
         if (l1, i) == (l2, j):
@@ -161,17 +175,17 @@ def hot_pairs(hot: DataFrame, sketches: DataFrame) -> DataFrame:
     return full.groupBy("sig", "l1", "i", "l2", "j").applyInPandas(run, "a long, b long")
 
 
-def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, frequent: int, long: int) -> DataFrame:
+def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
     """(a, b), a < b: all pairs that may be linked. reps(rep, n, window, sketch)."""
     seen = reps.select("rep", F.explode("window").alias("sig"))
     often = saved(seen.groupBy("sig").count().where(F.col("count") > frequent).select("sig"))
     often_small = sized(often)
     hits = seen.join(often_small, "sig").groupBy("rep").agg(F.collect_set("sig").alias("hits"))
     none = F.array().cast("array<long>")
-    need = allowance(F.col("n")) + 1
+    need = allowance(F.col("n"), percent) + 1
     rare = F.array_except("window", F.coalesce("hits", none))
     marked = saved(reps.join(hits, "rep", "left").select("rep", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy")))
-    hard = saved(whole_sets(docs, marked.where("not easy").select("rep"), shingle, True))
+    hard = saved(whole_sets(docs, marked.where("not easy").select("rep"), shingle, percent))
     tokens = hard.select("rep", "n", F.explode("tokens").alias("sig"))
     kept = tokens.join(often_small, "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
     hard_marked = hard.dropDuplicates(["rep"]).join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", none)).withColumn("very", F.size("rare") < need)
@@ -189,8 +203,8 @@ def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, frequent: in
     hot = saved(entries.join(hot_small, "sig", "left_semi").select("sig", "rep", "n"))
     cool = entries.join(hot_small, "sig", "left_anti")
     x, y = cool.alias("x"), cool.alias("y")
-    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep")) & (10 * F.least("x.n", "y.n") >= 9 * F.greatest("x.n", "y.n"))
-    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * 9 / 19).cast("int")
+    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent)).cast("int")
     # of the set whose prefix ends first, tokens of the prefix that aren't shared are missing in the other
     least = F.when(F.col("x.last") <= F.col("y.last"), F.col("x.p") - F.col("x.n")).otherwise(F.col("y.p") - F.col("y.n")) + overlap
     least = F.when((F.col("x.p") == 0) & (F.col("y.p") == 0), F.lit(0)).otherwise(least)
@@ -198,18 +212,18 @@ def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, frequent: in
     n_hot = hot.groupBy("rep").count()
     shared = shared.join(sized(n_hot.select(F.col("rep").alias("a"), F.col("count").alias("ha"))), "a", "left").join(sized(n_hot.select(F.col("rep").alias("b"), F.col("count").alias("hb"))), "b", "left")
     cool_pairs = shared.where(F.col("count") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= F.col("least")).select("a", "b")
-    return cool_pairs.union(hot_pairs(hot, reps.select("rep", "sketch"))).distinct()
+    return cool_pairs.union(hot_pairs(hot, reps.select("rep", "sketch"), percent)).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose whole sets have a Jaccard similarity of 0.9 at least."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets have a Jaccard similarity of the threshold at least."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             ok = []
             for s, t in zip(x["sa"], x["sb"]):
                 both = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(100 * both >= 90 * (len(s) + len(t) - both))
+                ok.append(100 * both >= percent * (len(s) + len(t) - both))
             yield x.loc[ok, ["a", "b"]]
 
     sets = sets.select("rep", "tokens").dropDuplicates(["rep"])
@@ -217,7 +231,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return full.mapInPandas(run, "a long, b long")
 
 
-def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, component) over all links among the candidates.
 
     Only links that join two components matter. Each round verifies, for every document, some candidates of other
@@ -225,7 +239,7 @@ def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFr
     it ends when no candidate is left, so that none between two components goes unverified.
     """
     left = saved(pairs)
-    sets = saved(whole_sets(docs, left.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), shingle, False))
+    sets = saved(whole_sets(docs, left.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), shingle))
     edges, take = None, 1
     nodes = connected_components(left.limit(0).toDF("u", "v"))
     while left.limit(1).count():
@@ -234,7 +248,7 @@ def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFr
         else:
             some = left.withColumn("k", F.expr("row_number() over (partition by b order by a)")).where(F.col("k") <= take).select("a", "b")
         some = saved(some)
-        links = verified(some, sets).toDF("u", "v")
+        links = verified(some, sets, percent).toDF("u", "v")
         edges = saved(links if edges is None else edges.union(links))
         nodes = saved(connected_components(edges))
         rest = left.join(some, ["a", "b"], "left_anti")
@@ -245,23 +259,23 @@ def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFr
     return nodes
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, frequent: int = 24, long: int = 64) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, frequent: int = 24, long: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs(doc_id, text).
 
-    Documents are linked where the Jaccard similarity of their distinct word shingles is 0.9 at least; component_id is
+    Documents are linked where the Jaccard similarity of their distinct word shingles is `percent` / 100 at least; component_id is
     the smallest doc_id that links lead to, the document's own included. Equal sets are linked as one class, not pair by
     pair. Null or wordless texts have no shingles and no links; with fewer words than a shingle has, the whole sequence
     is the one shingle. Rows with the same doc_id count as one document. Rows without a doc_id are in the component of
     their equals, if any, else in none (null). Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    every = saved(shingled(docs, shingle))
+    every = saved(shingled(docs, shingle, percent))
     key = ["n", "d1", "d2"]
     classes = saved(every.where("doc_id is not null and n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
-    chosen = classes.where("n >= 9").select(F.col("rep").alias("doc_id"), *[F.col(k).alias(f"c{k}") for k in key])
+    chosen = classes.where(F.col("n") >= least_size(percent)).select(F.col("rep").alias("doc_id"), *[F.col(k).alias(f"c{k}") for k in key])
     reps = every.join(sized(chosen), "doc_id").where("n = cn and d1 = cd1 and d2 = cd2").select(F.col("doc_id").alias("rep"), "n", "window", "sketch")
-    pairs = candidate_pairs(docs, reps, shingle, frequent, long)
-    nodes = linked_components(docs, pairs, shingle)
+    pairs = candidate_pairs(docs, reps, shingle, percent, frequent, long)
+    nodes = linked_components(docs, pairs, shingle, percent)
     named = saved(classes.join(nodes.select(F.col("node").alias("rep"), "component"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id")))
     same = [F.col(f"e.{k}") == F.col(f"k.{k}") for k in key]
     return every.alias("e").join(named.alias("k"), same, "left").select(
