@@ -8,11 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from .sampleqc import dispersions, normalised
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)))
 
