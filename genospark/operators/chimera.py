@@ -108,12 +108,13 @@ def annotate_junctions(junctions: DataFrame, exons: DataFrame, genes: DataFrame,
         }
     )
     full = full.withColumn("strand_match", X.strand_match(F.col("transcript_strand"), F.col("gene_strand")))
-    return full.withColumns({c: F.coalesce(F.col(c), F.lit(".")) for c in ("gene_id", "te_id")}).select(*EVENT_COLUMNS)
+    return full.withColumns({c: F.coalesce(F.col(c), F.lit(".")) for c in ("gene_id", "te_id")}).withColumnsRenamed(OUTPUT_NAMES).select(*EVENT_COLUMNS)
 
 
+OUTPUT_NAMES = {"donor_bp": "donor_breakpoint", "acceptor_bp": "acceptor_breakpoint", "antisense": "antisense_flag", "library_strandedness": "library_strand", "strand_match": "gene_strand_match"}
 EVENT_COLUMNS = [
-    "event_id", "sample", *COORDS, "junction_type", "canonical", "repeat_flag", "reads", "donor_hits", "acceptor_hits", "direction", "gene_id", "gene_strand", "te_id", "te_family", "te_class",
-    "chimera_type", "antisense", "library_strandedness", "transcript_strand", "strand_match",
+    "event_id", "sample", *[OUTPUT_NAMES.get(c, c) for c in COORDS], "junction_type", "canonical", "repeat_flag", "reads", "donor_hits", "acceptor_hits", "direction", "gene_id", "gene_strand", "te_id", "te_family", "te_class",
+    "chimera_type", "antisense_flag", "library_strand", "transcript_strand", "gene_strand_match",
 ]
 
 
@@ -123,7 +124,7 @@ def te_chimeras(events: DataFrame) -> DataFrame:
 
 def igv_bed(events: DataFrame) -> DataFrame:
     """(sample, chrom, start0, end0, name, score, strand): a browser track of the gene-TE events."""
-    d, a = F.col("donor_bp") - 1, F.col("acceptor_bp")
-    return te_chimeras(events).where("donor_bp is not null and acceptor_bp is not null").select(
+    d, a = F.col("donor_breakpoint") - 1, F.col("acceptor_breakpoint")
+    return te_chimeras(events).where("donor_breakpoint is not null and acceptor_breakpoint is not null").select(
         "sample", F.col("donor_chrom").alias("chrom"), F.least(d, a).alias("start0"), F.greatest(d, a).alias("end0"), F.col("event_id").alias("name"), F.col("reads").alias("score"), F.col("donor_strand").alias("strand")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from .chimera import EVENT_COLUMNS, te_chimeras
 
-ANNOTATION = [c for c in EVENT_COLUMNS if c not in ("sample", "reads", "event_id", "library_strandedness")]
+ANNOTATION = [c for c in EVENT_COLUMNS if c not in ("sample", "reads", "event_id", "donor_hits", "acceptor_hits")]
 
 
 def event_catalog(events: DataFrame) -> DataFrame:
@@ -40,16 +40,17 @@ def dense_grid(long: DataFrame) -> DataFrame:
 
 
 def junction_qc(events: DataFrame) -> DataFrame:
-    """(sample, metric, value): 22 counts of events per sample, zeros included, as one aggregation and an unpivot."""
+    """(sample, metric, value): 21 counts of events per sample, zeros included, as one aggregation and an unpivot."""
     te = X.is_gene_te(F.col("direction"))
     metrics = {"events_total": F.lit(True), "events_gene_te": te}
     metrics |= {f"direction_{d}": F.col("direction") == d for d in X.DIRECTIONS}
-    metrics |= {f"chimera_type_{'none' if k == '.' else k}": te & (F.col("chimera_type") == k) for k in X.CHIMERA_TYPES}
+    metrics |= {f"chimera_type_{k}": te & (F.col("chimera_type") == k) for k in X.CHIMERA_TYPES}
     metrics |= {f"canonical_{k}": F.col("canonical") == k for k in ("yes", "no")}
-    metrics |= {"antisense_yes": F.col("antisense") == "yes"}
-    metrics |= {f"strand_match_{k}": te & (F.col("strand_match") == k) for k in ("yes", "no", "NA")}
-    wide = events.groupBy("sample").agg(*[F.count_if(test).alias(name) for name, test in metrics.items()])
-    return wide.unpivot("sample", list(metrics), "metric", "value")
+    metrics |= {"antisense_yes": F.col("antisense_flag") == "yes"}
+    metrics |= {f"strand_match_{k}": te & (F.col("gene_strand_match") == k) for k in ("yes", "no", "NA")}
+    wide = events.groupBy("sample").agg(*[F.count_if(test).alias(name.replace(".", "none")) for name, test in metrics.items()])
+    long = wide.unpivot("sample", [m.replace(".", "none") for m in metrics], "metric", "value")
+    return long.withColumn("metric", F.replace("metric", F.lit("_none"), F.lit("_.")))
 
 
 def direction_composition(events: DataFrame) -> DataFrame:

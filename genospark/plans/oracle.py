@@ -8,6 +8,8 @@ DIRECTIONS = ("gene_to_te", "te_to_gene", "gene_to_gene", "te_to_te", "gene_to_o
 SAMPLES = [f"S{i}" for i in range(6)]
 XY = "donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand"
 
+NAMED = "donor_chrom, donor_bp as donor_breakpoint, donor_strand, acceptor_chrom, acceptor_bp as acceptor_breakpoint, acceptor_strand"
+
 GENES = """genes as (select gene_id, min(chrom) as chrom, min(start0) as start0, max(end0) as end0, min(strand) as strand from fx_exons group by gene_id)"""
 
 EVENTS = f"""ev as (select sample, {XY}, arg_min(junction_type, line_no) as junction_type, arg_min(repeat_flag, line_no) as repeat_flag, count(*) as reads from fx_junctions group by sample, {XY}),
@@ -38,7 +40,7 @@ def annotated(tol: int = 0, cis: bool = False, canonical: bool = False) -> str:
     keep = " where try_cast(junction_type as bigint) between 1 and 6" if canonical else ""
     return (
         "with " + ctes("fx_exons", "fx_te", "fx_junctions") + ",\n" + GENES + ",\n" + EVENTS + ",\n" + hits(tol) + ",\n" + META + f""",
-an as (select concat_ws(':', donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand, direction) as event_id, sample, {XY}, junction_type,
+an as (select concat_ws(':', donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand, direction) as event_id, sample, {NAMED}, junction_type,
   case when try_cast(junction_type as bigint) between 1 and 6 then 'yes' else 'no' end as canonical, repeat_flag, reads,
   'gene:' || case when len(dg) > 0 then array_to_string(dg, ',') else '.' end || '|te:' || case when len(dt) > 0 then array_to_string(dt, ',') else '.' end as donor_hits,
   'gene:' || case when len(ag) > 0 then array_to_string(ag, ',') else '.' end || '|te:' || case when len(at_) > 0 then array_to_string(at_, ',') else '.' end as acceptor_hits,
@@ -47,10 +49,10 @@ an as (select concat_ws(':', donor_chrom, donor_bp, donor_strand, acceptor_chrom
     when gene_strand = '+' then case when te_end < gene_start then 'te_initiated' when te_start > gene_end then 'te_terminated' else 'te_exonized' end
     when gene_strand = '-' then case when te_start > gene_end then 'te_initiated' when te_end < gene_start then 'te_terminated' else 'te_exonized' end else '.' end as chimera_type,
   case when direction in ('gene_to_te', 'te_to_gene') and exists (select 1 from genes x where x.chrom = case when direction = 'gene_to_te' then acceptor_chrom else donor_chrom end
-    and x.start0 < em.te_end and x.end0 > em.te_start and x.gene_id <> em.gene_id and x.strand = case em.gene_strand when '+' then '-' when '-' then '+' else '.' end) then 'yes' else '.' end as antisense,
-  case sample when 'S0' then 'forward' when 'S4' then 'forward' when 'S1' then 'reverse' when 'S5' then 'reverse' else 'no' end as library_strandedness,
+    and x.start0 < em.te_end and x.end0 > em.te_start and x.gene_id <> em.gene_id and x.strand = case em.gene_strand when '+' then '-' when '-' then '+' else '.' end) then 'yes' else '.' end as antisense_flag,
+  case sample when 'S0' then 'forward' when 'S4' then 'forward' when 'S1' then 'reverse' when 'S5' then 'reverse' else 'no' end as library_strand,
   case when sample in ('S0', 'S4') then side_strand when sample in ('S1', 'S5') then case side_strand when '+' then '-' when '-' then '+' else '.' end else 'NA' end as transcript_strand from em{keep}),
-af as (select *, case when transcript_strand = 'NA' or gene_strand = '.' then 'NA' when transcript_strand = gene_strand then 'yes' else 'no' end as strand_match from an)
+af as (select *, case when transcript_strand = 'NA' or gene_strand = '.' then 'NA' when transcript_strand = gene_strand then 'yes' else 'no' end as gene_strand_match from an)
 """
     )
 
@@ -122,10 +124,10 @@ je as (select *, case when cpu_alloc_cores > 0 then round(cpu_used_mean_cores /
 TE_RECORDS = "with " + ctes("fx_te", "fx_gtf_lines")
 QC = {"events_total": "true", "events_gene_te": "direction in ('gene_to_te', 'te_to_gene')"}
 QC |= {f"direction_{d}": f"direction = '{d}'" for d in DIRECTIONS}
-QC |= {f"chimera_type_{'none' if k == '.' else k}": f"direction in ('gene_to_te', 'te_to_gene') and chimera_type = '{k}'" for k in ("te_initiated", "te_terminated", "te_exonized", "trans", ".")}
-QC |= {"canonical_yes": "canonical = 'yes'", "canonical_no": "canonical = 'no'", "antisense_yes": "antisense = 'yes'"}
-QC |= {f"strand_match_{k}": f"direction in ('gene_to_te', 'te_to_gene') and strand_match = '{k}'" for k in ("yes", "no", "NA")}
-ANNOTATION = [c.strip() for c in (XY + ", junction_type, canonical, repeat_flag, donor_hits, acceptor_hits, direction, gene_id, gene_strand, te_id, te_family, te_class, chimera_type, antisense, transcript_strand, strand_match").split(",")]
+QC |= {f"chimera_type_{k}": f"direction in ('gene_to_te', 'te_to_gene') and chimera_type = '{k}'" for k in ("te_initiated", "te_terminated", "te_exonized", "trans", ".")}
+QC |= {"canonical_yes": "canonical = 'yes'", "canonical_no": "canonical = 'no'", "antisense_yes": "antisense_flag = 'yes'"}
+QC |= {f"strand_match_{k}": f"direction in ('gene_to_te', 'te_to_gene') and gene_strand_match = '{k}'" for k in ("yes", "no", "NA")}
+ANNOTATION = [c.strip() for c in ("donor_chrom, donor_breakpoint, donor_strand, acceptor_chrom, acceptor_breakpoint, acceptor_strand, junction_type, canonical, repeat_flag, direction, gene_id, gene_strand, te_id, te_family, te_class, chimera_type, antisense_flag, library_strand, transcript_strand, gene_strand_match").split(",")]
 CATALOG = f"select event_id, min(sample) as first_sample, {', '.join(f'arg_min({c}, sample) as {c}' for c in ANNOTATION)}, count(distinct sample) as n_samples, cast(sum(reads) as bigint) as total_reads from af group by event_id"
 EM0 = assigned() + """, rf as (select sample, read_id, list_sort(list(distinct feature)) as c from (select sample, read_id, unnest(features) as feature from hits) where feature <> '__ambiguous' group by all),
 cl as (select sample, c, count(*) as m from rf group by all), x as (select sample, array_to_string(c, chr(31)) as class, len(c) as k, m, unnest(c) as feature from cl),
@@ -143,7 +145,7 @@ SQL: dict[str, str] = {
     "p5_canonical_flag": "with " + ctes("fx_junctions") + " select sample, case when try_cast(junction_type as bigint) between 1 and 6 then 'yes' else 'no' end as canonical, count(*) as n from fx_junctions group by all",
     "p6_require_canonical": annotated(canonical=True) + "select sample, direction, count(*) as n, cast(sum(reads) as bigint) as reads from af group by all",
     "p7_chimera_type": AF + "select direction, gene_strand, chimera_type, count(*) as n from af group by all",
-    "p8_strand_evidence": AF + "select sample, library_strandedness, transcript_strand, gene_strand, strand_match, count(*) as n from af group by all",
+    "p8_strand_evidence": AF + "select sample, library_strand, transcript_strand, gene_strand, gene_strand_match, count(*) as n from af group by all",
     "p9_event_id": AF + "select sample, event_id from af",
     "p10_hits_render": AF + "select sample, event_id, donor_hits, acceptor_hits from af",
     "p11_te_chimera_filter": AF + "select sample, event_id, reads, te_family, te_class from af where direction in ('gene_to_te', 'te_to_gene')",
@@ -159,7 +161,7 @@ SQL: dict[str, str] = {
     "j2_interval_join_spans": "with " + ctes("fx_exons", "fx_te") + ", " + GENES + " select t.te_id, g.gene_id from fx_te t join genes g on t.chrom = g.chrom and g.start0 < t.end0 and g.end0 > t.start0",
     "j3_left_join_hits": CLASSIFIED + f"select sample, {XY}, array_to_string(dg, ',') as donor_genes, array_to_string(dt, ',') as donor_tes, array_to_string(ag, ',') as acceptor_genes, array_to_string(at_, ',') as acceptor_tes from eh",
     "j4_meta_lookup": WITH_META + f"select sample, {XY}, gene_start, gene_end, gene_strand, te_start, te_end, te_family, te_class from em",
-    "j5_antisense_flag": AF + "select direction, antisense, count(*) as n from af group by all",
+    "j5_antisense_flag": AF + "select direction, antisense_flag, count(*) as n from af group by all",
     "j6_feature_class_filter": "with " + ctes("fx_cnt", "fx_exons") + " select sample, feature, n from fx_cnt where feature in (select gene_id from fx_exons)",
     "j7_condition_lookup": "with " + ctes("fx_junctions", "fx_sheet") + " select s.sample, case when s.sample in ('S4', 'S5') then 'all' else coalesce(f.condition, 'all') end as condition from (select distinct sample from fx_junctions) s left join fx_sheet f using (sample)",
     "j8_contrast_pairs": "with " + ctes("fx_sheet") + ", " + CONTRAST + " select contrast, sample, role from ct",
@@ -224,7 +226,7 @@ SQL: dict[str, str] = {
     "s3_gtf_attrs_quoted": GTF + " select line_no, gene_id, transcript_id from r",
     "s10_infer_report": INFER + ", c as (select sample, round(forward, 4) as forward, round(reverse, 4) as reverse from inf) select sample, forward, reverse, case when forward >= 0.6 then 'forward' when reverse >= 0.6 then 'reverse' else 'no' end as call from c",
     "s15_te_chimeras": AF + "select * from af where direction in ('gene_to_te', 'te_to_gene')",
-    "s16_igv_bed": AF + "select sample, donor_chrom as chrom, least(donor_bp - 1, acceptor_bp) as start0, greatest(donor_bp - 1, acceptor_bp) as end0, event_id as name, reads as score, donor_strand as strand from af where direction in ('gene_to_te', 'te_to_gene')",
+    "s16_igv_bed": AF + "select sample, donor_chrom as chrom, least(donor_breakpoint - 1, acceptor_breakpoint) as start0, greatest(donor_breakpoint - 1, acceptor_breakpoint) as end0, event_id as name, reads as score, donor_strand as strand from af where direction in ('gene_to_te', 'te_to_gene')",
     "e2_annotate_junctions": annotated(tol=2) + "select * from af",
     "e2_annotate_cis_only": annotated(cis=True) + "select sample, chimera_type, count(*) as n from af group by all",
 }

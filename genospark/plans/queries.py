@@ -115,7 +115,7 @@ def p7_chimera_type(spark, sf):
 
 @query
 def p8_strand_evidence(spark, sf):
-    return Views(spark, sf).annotated().groupBy("sample", "library_strandedness", "transcript_strand", "gene_strand", "strand_match").agg(F.count("*").alias("n"))
+    return Views(spark, sf).annotated().groupBy("sample", "library_strand", "transcript_strand", "gene_strand", "gene_strand_match").agg(F.count("*").alias("n"))
 
 
 @query
@@ -207,7 +207,7 @@ def j4_meta_lookup(spark, sf):
 
 @query
 def j5_antisense_flag(spark, sf):
-    return Views(spark, sf).annotated().groupBy("direction", "antisense").agg(F.count("*").alias("n"))
+    return Views(spark, sf).annotated().groupBy("direction", "antisense_flag").agg(F.count("*").alias("n"))
 
 
 @query
