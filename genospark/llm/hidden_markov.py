@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .tables import saved
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 22
 TAIL = 64  # classes of words outside the head
 WINDOW = 256  # tokens of a text that the E-step takes together
 
@@ -42,57 +42,57 @@ def tail_class(word: bytes, head: int) -> int:
     return head + 1 + zlib.crc32(word[-3:]) % TAIL
 
 
+def packed_ids(ids: np.ndarray) -> bytes:
+    """int32 numbers as compressed bytes, the low bytes first: most numbers are small."""
+    planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_ids(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
 def tokenised(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds, by block: documents (doc_id, held_out, ids) and words (word, id, k), k the count in training texts.
+    """A row per block of docs(doc_id, text, held_out): the documents and their numbers of words, the words' local ids one
+    behind the other, and the distinct words with k, their count in the block's training texts.
 
-    docs(doc_id, text, held_out); ids are int32 bytes. A block ends with BLOCK_TOKENS tokens or with its partition.
+    A block ends with BLOCK_TOKENS words or with its partition.
     """
+    schema = pa.schema(
+        [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("size", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.list_(pa.binary())), ("k", pa.list_(pa.int64()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block = TaskContext.get().partitionId(), 0
+        part, block, total = TaskContext.get().partitionId(), 0, 0
         number: dict[bytes, int] = {}
         rows: list[tuple] = []
-        size = 0
-        schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("words", pa.list_(pa.binary())), ("k", pa.list_(pa.int64()))])
 
         def flush() -> pa.RecordBatch:
-            key = part * (1 << 32) + block
-            n = len(rows)
-            k = np.zeros(len(number), np.int64)
-            for _, held, ids in rows:
-                if not held:
-                    k += np.bincount(ids, minlength=len(number))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key] * (n + 1), pa.int64()),
-                    pa.array([r[0] for r in rows] + [None], pa.int64()),
-                    pa.array([r[1] for r in rows] + [None], pa.bool_()),
-                    pa.array([r[2].tobytes() for r in rows] + [None], pa.binary()),
-                    pa.array([None] * n + [list(number)], pa.list_(pa.binary())),
-                    pa.array([None] * n + [k], pa.list_(pa.int64())),
-                ],
-                schema=schema,
-            )
+            ids = np.concatenate([r[2] for r in rows])
+            learn = np.repeat([not r[1] for r in rows], [len(r[2]) for r in rows])
+            k = np.bincount(ids[learn], minlength=len(number))
+            columns = ([part * (1 << 32) + block], [[r[0] for r in rows]], [[r[1] for r in rows]], [[len(r[2]) for r in rows]], [packed_ids(ids)], [list(number)], [k])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for b in batches:
             for doc, held, text in zip(b.column("doc_id").to_pylist(), b.column("held_out").to_pylist(), b.column("text")):
                 words = (text.as_py() or "").encode().lower().split()
                 get = number.setdefault
-                ids = np.fromiter((get(w, len(number)) for w in words), np.int32, len(words))
-                rows.append((doc, held, ids))
-                size += len(words) + 1
-                if size >= BLOCK_TOKENS:
+                rows.append((doc, held, np.fromiter((get(w, len(number)) for w in words), np.int32, len(words))))
+                total += len(words)
+                if total >= BLOCK_TOKENS:
                     yield flush()
-                    number, rows, size, block = {}, [], 0, block + 1
+                    number, rows, total, block = {}, [], 0, block + 1
         if rows:
             yield flush()
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "block long, doc_id long, held_out boolean, ids binary, words array<binary>, k array<long>")
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "block long, doc_ids array<long>, held array<boolean>, size array<int>, ids binary, words array<binary>, k array<long>")
 
 
 def counted(blocks: DataFrame) -> DataFrame:
     """(block, id, word, c, first): every distinct word of every block with its count in all training texts; first: once for each word."""
-    words = blocks.where("words is not null").select("block", F.posexplode(F.arrays_zip("words", "k")).alias("id", "w")).select("block", "id", F.col("w.words").alias("word"), F.col("w.k").alias("k"))
+    words = blocks.select("block", F.posexplode(F.arrays_zip("words", "k")).alias("id", "w")).select("block", "id", F.col("w.words").alias("word"), F.col("w.k").alias("k"))
     w = Window.partitionBy("word")
     return words.select("block", "id", "word", F.sum("k").over(w).alias("c"), (F.row_number().over(w.orderBy("block")) == 1).alias("first"))
 
@@ -113,31 +113,29 @@ def sequences(blocks: DataFrame, counts: DataFrame, head: list[bytes]) -> DataFr
         names = words["word"].to_numpy()[order]
         cls = np.array([rank[w] if w in rank else tail_class(w, n) for w in map(bytes, names)], np.int16)
         log = np.log10(c + 1)
-        known, tail_log, head_log, length, out = [], [], [], [], []
-        for ids in docs["ids"]:
-            i = np.frombuffer(ids, np.int32)
-            k = cls[i] if len(i) else np.zeros(0, np.int16)
-            known.append(int((c[i] > 0).sum()) if len(i) else 0)
-            inside = k < n
-            tail_log.append(float(log[i][~inside].sum()) if len(i) else 0.0)
-            head_log.append(float(log[i][inside].sum()) if len(i) else 0.0)
-            out.append(np.append(k, np.int16(n)).astype(np.int16))
-            length.append(len(i) + 1)
+        inside = cls < n
+        size = np.asarray(docs["size"].iloc[0], np.int64)
+        ids = unpacked_ids(docs["ids"].iloc[0], int(size.sum()))
+        text = np.repeat(np.arange(len(size)), size)
+        sums = lambda x: np.bincount(text, x[ids] if len(ids) else None, len(size))
+        # each document's classes, and behind them that of the end token
+        classes = np.full(len(ids) + len(size), n, np.int16)
+        classes[np.arange(len(ids)) + text] = cls[ids] if len(ids) else 0
         return pd.DataFrame(
             {
                 "block": [key[0]],
-                "doc_ids": [docs["doc_id"].tolist()],
-                "held": [docs["held_out"].tolist()],
-                "length": [length],
-                "known": [known],
-                "tail_log": [tail_log],
-                "head_log": [head_log],
-                "classes": [np.concatenate(out).tobytes()],
+                "doc_ids": [docs["doc_ids"].iloc[0]],
+                "held": [docs["held"].iloc[0]],
+                "length": [(size + 1).astype(np.int32)],
+                "known": [sums((c > 0).astype(float)).astype(np.int32)],
+                "tail_log": [sums(np.where(inside, 0, log))],
+                "head_log": [sums(np.where(inside, log, 0))],
+                "classes": [classes.tobytes()],
             }
         )
 
     schema = "block long, doc_ids array<long>, held array<boolean>, length array<int>, known array<int>, tail_log array<double>, head_log array<double>, classes binary"
-    return blocks.where("ids is not null").select("block", "doc_id", "held_out", "ids").groupBy("block").cogroup(counts.select("block", "id", "word", "c").groupBy("block")).applyInPandas(run, schema)
+    return blocks.select("block", "doc_ids", "held", "size", "ids").groupBy("block").cogroup(counts.select("block", "id", "word", "c").groupBy("block")).applyInPandas(run, schema)
 
 
 def initial(states: int, weights: np.ndarray, seed: int = 7) -> Model:
@@ -269,7 +267,7 @@ def text_scores(docs: DataFrame, states: int = 6, rounds: int = 7, head_words: i
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce("held_out", F.lit(False)).alias("held_out"))
     blocks = saved(tokenised(docs))
     counts = saved(counted(blocks))
-    n_learn = blocks.where("ids is not null and not held_out").count()
+    n_learn = blocks.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
     total, distinct = counts.where("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     end_kinds = 1 if n_learn else 0
     n_all, v_all = total + n_learn, distinct + end_kinds

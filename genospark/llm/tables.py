@@ -26,7 +26,7 @@ def saved(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
