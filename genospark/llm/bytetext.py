@@ -20,7 +20,8 @@ PUNCTUATION = np.zeros(256, dtype=bool)
 PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+SLICE_ROWS = 512
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -119,6 +120,13 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         at = stop
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of a few rows, so that what a task holds of them at once stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): hashes of the word shingles of each text; a text with fewer words has its whole sequence as one."""
     h = w.hashes()[0]

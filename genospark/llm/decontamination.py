@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import Words, mix, slices, words
+from .bytetext import Words, mix, parts, slices, words
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -223,7 +223,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, t
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pd.DataFrame]:
             index, wide = held.value
-            for b in batches:
+            for b in parts(batches):
                 rows, doc_ids = [], b.column("doc_id")
                 for a, _, data, bounds in slices(b.column("text")):
                     w = words(data, bounds).bare()

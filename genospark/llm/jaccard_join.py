@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import mix, shingle_hashes, slices, words
+from .bytetext import mix, parts, shingle_hashes, slices, words
 from .components import connected_components
 from .tables import saved
 
@@ -87,7 +87,7 @@ def shingled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = least_size(percent)
-        for b in batches:
+        for b in parts(batches):
             n, d1, d2, window, sketches = [], [], [], [], []
             for tokens in token_sets(b.column("text"), shingle):
                 n.append(len(tokens))
@@ -110,7 +110,7 @@ def whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, combine: int = 0)
     """(rep, n, tokens, cells) of the documents with these ids; cells, for a threshold of `combine` per cent, empty without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             sets = list(token_sets(b.column("text"), shingle))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t, combine) if combine else [] for t in sets], pa.list_(pa.int64()))],
@@ -218,17 +218,18 @@ def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, percent: int
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of the threshold at least."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in parts(batches):
             ok = []
-            for s, t in zip(x["sa"], x["sb"]):
+            for s, t in zip(x.column("sa"), x.column("sb")):
+                s, t = s.values.to_numpy(), t.values.to_numpy()
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 ok.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield x.loc[ok, ["a", "b"]]
+            yield x.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     sets = sets.select("rep", "tokens").dropDuplicates(["rep"])
     full = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return full.mapInPandas(run, "a long, b long")
+    return full.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:

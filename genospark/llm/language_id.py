@@ -13,11 +13,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytetext import parts
+
 N = 3
 SLICE_CHARS = 1 << 18
 
@@ -59,6 +60,14 @@ class Space:
         return out
 
 
+def profiles_of(counts: np.ndarray, grams: np.ndarray, space: Space, most: int = 2048) -> np.ndarray:
+    """counts (texts x grams) times the grams' vectors, which are made a few at a time."""
+    out = np.zeros((len(counts), space.dimensions), np.float32)
+    for at in range(0, len(grams), most):
+        out += counts[:, at : at + most] @ space.grams(grams[at : at + most])
+    return out
+
+
 def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(counts, grams, letters): texts x grams counts, the grams' code points, and the number of letters of each text.
 
@@ -124,21 +133,21 @@ def language_profiles(docs: DataFrame, dimensions: int = 1024) -> Profiles:
     of languages, not of documents. Null texts add nothing. No labelled rows: no languages.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, total = Space(dimensions), {}
-        for b in batches:
-            texts, langs = list(b["text"]), b["lang"].to_numpy()
+        for b in parts(batches):
+            texts, langs = b.column("text").to_pylist(), np.array(b.column("lang").to_pylist())
             for a, z in runs(texts):
                 counts, grams, _ = gram_counts(texts[a:z])
-                names, which = np.unique(langs[a:z].astype(str), return_inverse=True)
+                names, which = np.unique(langs[a:z], return_inverse=True)
                 by = np.zeros((len(names), counts.shape[1]), np.float32)
                 np.add.at(by, which, counts)
-                for name, v in zip(names, (by @ space.grams(grams)).astype(np.float64) if len(grams) else np.zeros((len(names), dimensions))):
+                for name, v in zip(names, profiles_of(by, grams, space).astype(np.float64)):
                     total[name] = total.get(name, 0) + v
         for name, v in total.items():
-            yield pd.DataFrame({"lang": name, "d": np.arange(dimensions), "v": v})
+            yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(v)], ["lang", "d", "v"])
 
-    sums = docs.select("text", "lang").where("text is not null and lang is not null").mapInPandas(run, "lang string, d int, v double")
+    sums = docs.select("text", "lang").where("text is not null and lang is not null").mapInArrow(run, "lang string, d int, v double")
     found: dict[str, np.ndarray] = {}
     for r in sums.groupBy("lang", "d").agg(F.sum("v").alias("v")).collect():
         found.setdefault(r["lang"], np.zeros(dimensions))[r["d"]] = r["v"]
@@ -163,14 +172,14 @@ def predicted_languages(docs: DataFrame, profiles: Profiles) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, names = held.value
         space = Space(dimensions)
-        for b in batches:
+        for b in parts(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
             for a, z in runs(texts) if len(unit) else ():
                 counts, grams, n = gram_counts(texts[a:z])
                 if not len(grams):
                     continue
-                vectors = counts @ space.grams(grams)
+                vectors = profiles_of(counts, grams, space)
                 length = np.linalg.norm(vectors, axis=1)
                 cosine = vectors @ unit.T / np.where(length == 0, 1, length)[:, None]
                 some = n > 0

@@ -11,10 +11,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bytetext import parts
 from .tables import saved
 from .tokenizer import encoder
 
@@ -32,18 +33,19 @@ def cut(ids: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
 def encoded_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """PIECES of every document: its ids and then end_id, cut where they exceed the capacity. Null text is empty."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         end = np.array([end_id], "<u4")
-        for b in batches:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        for b in parts(batches):
             rows = [
-                (doc, k, start, len(ids), zlib.crc32(ids.tobytes()))
-                for doc, text in zip(b["doc_id"], b["text"])
-                for k, (start, ids) in enumerate(cut(np.concatenate([encode(text).astype("<u4"), end]), capacity))
+                (doc.as_py(), k, start, len(ids), zlib.crc32(ids.tobytes()))
+                for doc, text in zip(b.column("doc_id"), b.column("text"))
+                for k, (start, ids) in enumerate(cut(np.concatenate([encode(text.as_py()).astype("<u4"), end]), capacity))
             ]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")).mapInPandas(run, PIECES)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")).mapInArrow(run, PIECES)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:

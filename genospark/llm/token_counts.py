@@ -6,10 +6,11 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bytetext import parts
 from .tokenizer import encoder
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -44,12 +45,13 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str, normalis
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).select("content", "n_tokens")
     misses = keyed.select("content", "text").join(known.select("content"), "content", "left_anti").dropDuplicates(["content"])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        for b in batches:
-            yield pd.DataFrame({"content": b["content"], "tokenizer": version, "n_tokens": [len(encode(t)) for t in b["text"]]})
+        for b in parts(batches):
+            counts = pa.array([len(encode(t.as_py())) for t in b.column("text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array([version] * b.num_rows), counts], ["content", "tokenizer", "n_tokens"])
 
-    misses.mapInPandas(count, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    misses.mapInArrow(count, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     counted = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version)
     return (
         keyed.select("doc_id", "content", "n_bytes")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import Words, slices, words
+from .bytetext import Words, parts, slices, words
 
 # Identity terms; terms in one line may stand for each other.
 IDENTITY_TERMS = (
@@ -179,7 +179,7 @@ def toxicity_scores(docs: DataFrame, model: Model, threshold: float = 0.3) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for b in batches:
+        for b in parts(batches):
             score = np.zeros(b.num_rows)
             for a, z, data, bounds in slices(b.column("text")):
                 text, bucket = buckets(words(data, bounds), m.bits)
