@@ -42,8 +42,8 @@ class Index:
     rare_item: np.ndarray
     rare_impact: np.ndarray
     rest: np.ndarray
-    question: list[np.ndarray]
-    answer: list[np.ndarray]
+    question: list[tuple[int, np.ndarray]]
+    answer: list[tuple[int, np.ndarray]]
 
     def blocks(self, term: int) -> list[tuple[int, int, int, float]]:
         """(first item, last item, start of postings, bound) of the term's blocks."""
@@ -51,11 +51,16 @@ class Index:
         return [(int(self.item[k]), int(self.item[min(k + BLOCK, z) - 1]), k, float(self.impact[k : min(k + BLOCK, z)].max())) for k in range(a, z, BLOCK)]
 
 
-def grams(hashes: np.ndarray, size: int) -> np.ndarray:
-    """The distinct n-grams of a sequence of word hashes; of fewer words, the whole sequence."""
-    if not len(hashes):
-        return hashes
+def part(hashes: np.ndarray, size: int) -> tuple[int, np.ndarray]:
+    """(words in an n-gram, n-grams) of a part of an item: of fewer words than size, the whole part."""
     size = min(size, len(hashes))
+    return size, grams(hashes, size)
+
+
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The distinct n-grams of a sequence of word hashes."""
+    if not size or len(hashes) < size:
+        return hashes[:0]
     x = np.full(len(hashes) - size + 1, size, np.uint64)
     for k in range(size):
         x = mix(x * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - size + 1 + k])
@@ -84,20 +89,20 @@ def build_index(ids: list[int], texts: list[str], size: int, threshold: float) -
     term, item = pair // max(len(sequences), 1), pair % max(len(sequences), 1)
     df = np.bincount(term, minlength=len(terms))
     idf = np.log(1 + (len(sequences) - df + 0.5) / (df + 0.5))
-    part = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[item] / average))
-    part = part / np.bincount(item, part, len(sequences))[item]
+    weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[item] / average))
+    weight = weight / np.bincount(item, weight, len(sequences))[item]
     at = np.searchsorted(term, np.arange(len(terms) + 1))
     top = np.zeros(len(terms))
-    np.maximum.at(top, term, part)
+    np.maximum.at(top, term, weight)
     by = np.lexsort((term, df[term], item))
-    spent = np.cumsum(part[by])
+    spent = np.cumsum(weight[by])
     before = np.concatenate([[0.0], spent])[np.searchsorted(item[by], item[by], "left")]
-    rare = np.zeros(len(part), bool)
-    rare[by] = spent - before - part[by] < 1 - threshold / 2
-    rest = np.bincount(item[~rare], part[~rare], len(sequences))
+    rare = np.zeros(len(weight), bool)
+    rare[by] = spent - before - weight[by] < 1 - threshold / 2
+    rest = np.bincount(item[~rare], weight[~rare], len(sequences))
     rare_at = np.concatenate([[0], np.cumsum(rare)])[at]
     cut = [max(len(s) - max(len(s) // 5, min(len(s), size)), 0) for s in sequences]
-    return Index(np.array(ids), terms, at, item, part, top, rare_at, item[rare], part[rare], rest, [grams(s[:c], size) for s, c in zip(sequences, cut)], [grams(s[c:], size) for s, c in zip(sequences, cut)])
+    return Index(np.array(ids), terms, at, item, weight, top, rare_at, item[rare], weight[rare], rest, [part(s[:c], size) for s, c in zip(sequences, cut)], [part(s[c:], size) for s, c in zip(sequences, cut)])
 
 
 def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -237,15 +242,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, t
                             continue
                         for item, score in wand(index, known, threshold):
                             best[text, item] = max(score, best.get((text, item), 0.0))
-                    whole: dict[int, np.ndarray] = {}
+                    whole: dict[tuple[int, int], np.ndarray] = {}
                     for (text, item), score in best.items():
                         own = h[w.first[text] : w.first[text + 1]]
                         shares = []
-                        for part in (index.question[item], index.answer[item]):
-                            shorter = min(shingle, max(len(own), 1))
-                            if len(part) and text not in whole:
-                                whole[text] = grams(own, shorter)
-                            shares.append(float(np.isin(part, whole[text]).mean()) if len(part) else 1.0)
+                        for size, wanted in (index.question[item], index.answer[item]):
+                            if (text, size) not in whole:
+                                whole[text, size] = grams(own, size)
+                            shares.append(float(np.isin(wanted, whole[text, size]).mean()) if size else 1.0)
                         if min(shares) >= overlap:
                             rows.append((doc_ids[a + text].as_py(), index.ids[item].item(), score, *shares))
                 x = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])

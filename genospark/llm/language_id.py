@@ -74,13 +74,12 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     Runs of anything but letters count as one space, code point 0; each text has a space at either end.
     """
     lowered = [t.lower() for t in texts]
-    joined = "\0" + "\0".join(lowered) + "\0"
+    joined = "".join(f"\0{t}\0" for t in lowered)
     points = letters()[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
     # by length, for a text may itself hold \0
-    ends = np.cumsum([len(t) + 1 for t in lowered])
+    ends = np.cumsum([len(t) + 2 for t in lowered])
     starts = np.concatenate([[0], ends[:-1]])
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.concatenate([starts, [ends[-1]]])))
-    owner = np.append(owner, len(texts) - 1)[: len(points)]
+    owner = np.repeat(np.arange(len(texts)), ends - starts)
     solid = points != 0
     n_letters = np.bincount(owner[solid], minlength=len(texts))
     keep = solid.copy()
