@@ -4,8 +4,9 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-DATA = "/root/testdata"
+sys.path[:0] = [os.path.dirname(os.path.abspath(__file__)), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
+from compare import DATA  # noqa: E402
+
 
 
 @pytest.fixture(scope="session")
