@@ -192,7 +192,7 @@ def passages(index: Index, w: Words, hashes: np.ndarray, width: int, threshold:
 
 
 def item_shards(items: DataFrame) -> list[tuple[list[int], list[str]]]:
-    """The items in shards of at most SHARD_BYTES of text, one after the other: what the driver and an index hold is bounded by a shard."""
+    """The items in shards of at most SHARD_BYTES of text, which bounds what a task holds of an index. Test sets are small: all their items pass through the driver."""
     out, size = [([], [])], 0
     for r in items.where("item_id is not null and text is not null and text <> ''").select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
         if size + len(r["text"]) > SHARD_BYTES and out[-1][0]:

@@ -44,6 +44,8 @@ class Space:
     def letter(self, codes: np.ndarray) -> np.ndarray:
         """The row of each code's vector."""
         new = [int(c) for c in codes if int(c) not in self.number]
+        if len(self.rows) + len(new) > 8192:  # scripts with very many letters: begin anew, so that memory stays bounded
+            self.number, self.rows, new = {}, self.rows[:0], [int(c) for c in codes]
         if new:
             made = [np.random.default_rng([7, c]).integers(0, 2, self.dimensions).astype(np.float32) * 2 - 1 for c in new]
             self.number |= {c: len(self.rows) + i for i, c in enumerate(new)}
@@ -56,7 +58,7 @@ class Space:
         row = self.letter(unique)[place.reshape(codes.shape)]
         out = self.rows[row[:, 0]].copy()
         for i in range(1, codes.shape[1]):
-            out *= np.roll(self.rows, i, axis=1)[row[:, i]]
+            out *= np.roll(self.rows[row[:, i]], i, axis=1)
         return out
 
 

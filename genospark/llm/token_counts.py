@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import parts
+from .tables import saved
 from .tokenizer import encoder
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -53,8 +54,10 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str, normalis
 
     misses.mapInArrow(count, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     counted = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version)
+    # jobs that append at the same time may add a digest twice
+    counted = saved(counted.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     return (
         keyed.select("doc_id", "content", "n_bytes")
-        .join(counted.select("content", "n_tokens"), "content")
+        .join(counted, "content")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )
