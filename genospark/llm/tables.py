@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="genospark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset, as in local tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="genospark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    """The folder named in spark.checkpoint.dir; a temporary one of this process only where that is unset, as in local tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 def saved(df: DataFrame) -> DataFrame:
