@@ -12,7 +12,7 @@ from genospark.llm.jaccard_join import jaccard_components
 from genospark.llm.language_id import language_profiles, predicted_languages
 from genospark.llm.packing import packed_documents
 from genospark.llm.queries import bpe_path
-from genospark.llm.tables import bucket_of, saved, table
+from genospark.llm.tables import bucket_of, in_small_batches, saved, table
 from genospark.llm.toxicity import toxicity_model, toxicity_scores
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,6 +21,7 @@ LEAST_SCORE, LONG_ENOUGH = 0.1, 200
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: those without letters, and those of 200 characters or more that are like no language (cosine below 0.1)."""
+    in_small_batches(spark)
     profiles = language_profiles(docs.where(bucket_of("doc_id", 4) != 2))
     told = predicted_languages(docs, profiles)
     keep = (F.col("lang_pred") != "und") & ((F.col("score") >= LEAST_SCORE) | (F.length("text") < LONG_ENOUGH))
@@ -29,23 +30,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be toxic go."""
+    in_small_batches(spark)
     model = toxicity_model(docs.where(bucket_of("doc_id", 4) != 2), table(spark, sf_dir, "labels"))
     return toxicity_scores(docs, model).where("predicted = 0").select(*docs.columns)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 of their five-word shingles, the one with the smallest doc_id stays."""
+    in_small_batches(spark)
     copies = saved(jaccard_components(docs, shingle=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct())
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that give a benchmark item away go."""
+    in_small_batches(spark)
     leaks = saved(contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    in_small_batches(spark)
     return packed_documents(docs, bpe_path())
 
 

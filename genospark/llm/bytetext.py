@@ -6,6 +6,8 @@ Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -121,10 +123,17 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 def parts(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in runs of a few rows, so that what a task holds of them at once stays small."""
+    """The batches in runs of a few rows, so that what a task holds of them at once stays small.
+
+    Workers outlive their tasks: at the end freed memory goes back to the system.
+    """
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    b = None
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -241,8 +241,8 @@ def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int, percent:
     """
     left = saved(pairs)
     sets = saved(whole_sets(docs, left.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), shingle))
-    edges, take = None, 1
-    nodes = connected_components(left.limit(0).toDF("u", "v"))
+    take = 1
+    nodes = docs.sparkSession.createDataFrame([], "node long, component long")
     while left.limit(1).count():
         if take == 1:
             some = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -250,8 +250,7 @@ def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int, percent:
             some = left.withColumn("k", F.expr("row_number() over (partition by b order by a)")).where(F.col("k") <= take).select("a", "b")
         some = saved(some)
         links = verified(some, sets, percent).toDF("u", "v")
-        edges = saved(links if edges is None else edges.union(links))
-        nodes = saved(connected_components(edges))
+        nodes = saved(connected_components(nodes.toDF("u", "v").union(links)))
         rest = left.join(some, ["a", "b"], "left_anti")
         of = lambda c: nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         named = rest.join(of("a"), "a", "left").join(of("b"), "b", "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from .jaccard_join import jaccard_components
 from .language_id import language_profiles, predicted_languages
 from .packing import packed_documents
 from .preferences import formatted_preferences, pairs_of_conversations
-from .tables import bucket_of, shared_dir, table
+from .tables import bucket_of, in_small_batches, shared_dir, table
 from .token_counts import token_counts
 from .toxicity import toxicity_model, toxicity_scores
 from .vector_search import nearest
@@ -80,6 +81,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def small(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        in_small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "op1_vector_search": op1_vector_search,
     "op2_preferences": op2_preferences,
@@ -92,4 +102,5 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
+QUERIES = {name: small(query) for name, query in QUERIES.items()}
 ORACLES: dict[str, str] = oracle.SQL

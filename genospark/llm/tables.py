@@ -35,3 +35,10 @@ def saved(df: DataFrame) -> DataFrame:
 def bucket_of(column, modulus: int):
     """crc32 of the id as text, modulo: the split into training and held-out rows."""
     return F.crc32(F.col(column).cast("string")) % modulus
+
+
+def in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of this subpackage are whole texts: Arrow batches of Spark's default 10,000 rows would hold tens of MB each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
