@@ -142,9 +142,10 @@ def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.diff(w.first)
     n = len(h)
     seeds = mix(np.arange(1, size + 1, dtype=np.uint64))
-    full = np.zeros(max(n - size + 1, 0), np.uint64)
+    m = max(n - size + 1, 0)
+    full = np.zeros(m, np.uint64)
     for k in range(size):
-        full += mix(h[k : n - size + 1 + k] ^ seeds[k]) * (seeds[k] | np.uint64(1))
+        full += mix(h[k : k + m] ^ seeds[k]) * (seeds[k] | np.uint64(1))
     made = np.maximum(count - size + 1, (count > 0).astype(np.int64))
     bounds = np.concatenate([[0], np.cumsum(made)])
     out = np.zeros(bounds[-1], np.uint64)

@@ -62,6 +62,14 @@ def test_jaccard_empty(spark, docs):
     assert jaccard_components(spark.createDataFrame([(None, "a b c"), (7, "a b c"), (None, None)], "doc_id long, text string")).where("component_id = 7").count() == 2
 
 
+def test_jaccard_few_words_alone(spark):
+    """Slices that hold fewer words in all than a shingle has: one text to a partition."""
+    texts = ["a", "a b", "a b c", "a b c d", "a b c d e", "A b C", ""]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), len(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs, 5, 80).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4), 5: (1, 2), 6: (0, 6)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(50, 60), (60, 60), (61, 50)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
