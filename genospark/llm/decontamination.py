@@ -3,7 +3,8 @@
 Passages are all windows of a document's words. The index holds, for each term, its items in blocks with the largest
 impact of each block. What a passage has of an item's rarest terms bounds what the item can score there; where no bound
 reaches the threshold the passage is done, else lists are merged and blocks skipped by their own bounds. Every item above the threshold is then verified on the whole
-document: its question (the text but for its last fifth) and its answer (the rest) must both be there as word n-grams.
+document: its question (the text but for its last fifth) and its answer (the rest) must both be there, as word n-grams
+or, but for a few edits, as words in order.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ class Index:
     rare_item: np.ndarray
     rare_impact: np.ndarray
     rest: np.ndarray
-    question: list[tuple[int, np.ndarray]]
-    answer: list[tuple[int, np.ndarray]]
+    question: list[tuple[np.ndarray, int, np.ndarray]]
+    answer: list[tuple[np.ndarray, int, np.ndarray]]
 
     def blocks(self, term: int) -> list[tuple[int, int, int, float]]:
         """(first item, last item, start of postings, bound) of the term's blocks."""
@@ -51,10 +52,10 @@ class Index:
         return [(int(self.item[k]), int(self.item[min(k + BLOCK, z) - 1]), k, float(self.impact[k : min(k + BLOCK, z)].max())) for k in range(a, z, BLOCK)]
 
 
-def part(hashes: np.ndarray, size: int) -> tuple[int, np.ndarray]:
-    """(words in an n-gram, n-grams) of a part of an item: of fewer words than size, the whole part."""
+def part(hashes: np.ndarray, size: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """(words, words in an n-gram, n-grams) of a part of an item: of fewer words than size, the whole part."""
     size = min(size, len(hashes))
-    return size, grams(hashes, size)
+    return hashes, size, grams(hashes, size)
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -67,6 +68,25 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(x)
 
 
+def in_order(wanted: np.ndarray, own: np.ndarray) -> float:
+    """The share of a part's words left by the fewest edits (words put in, left out or changed) that turn it into some run of a document's words."""
+    if not len(wanted):
+        return 1.0
+    step = np.arange(len(own) + 1, dtype=np.int32)
+    edits = np.zeros(len(own) + 1, np.int32)
+    for word in wanted:
+        least = edits + np.int32(1)
+        least[1:] = np.minimum(least[1:], edits[:-1] + (own != word))
+        edits = np.minimum.accumulate(least - step) + step
+    return 1 - int(edits.min()) / len(wanted)
+
+
+def given_away(shares: list[float], lengths: list[int], overlap: float) -> bool:
+    """Whether an item is there: `overlap` of its words, and of each part all but the rest of them, or but one word of a short part."""
+    enough = all((1 - s) * n <= max(1.0, (1 - overlap) * n) + 1e-9 for s, n in zip(shares, lengths))
+    return enough and sum(s * n for s, n in zip(shares, lengths)) >= overlap * sum(lengths) - 1e-9
+
+
 def item_words(texts: list[str]) -> list[np.ndarray]:
     """The hashes of each text's words, without punctuation at their ends."""
     out = []
@@ -209,8 +229,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, t
 
     docs(doc_id, text) against items(item_id, text). score: the item's best BM25 score in a passage of `width` words,
     over the score of the item's own text, so that 1 is the whole item. Retrieved are all items with a score of
-    `threshold`; reported are those of which at least `overlap` of the question's and of the answer's `shingle`-word
-    n-grams are in the document. By default passages are as wide as the longest item; of items longer than a given `width`
+    `threshold`; reported are those of which at least `overlap` of the question and of the answer are in the document: of
+    its `shingle`-word n-grams, or of its words in order, whichever is more. A part of fewer than five words may lack one,
+    if `overlap` of the whole item is there. By default passages are as wide as the longest item; of items longer than a given `width`
     a passage holds a part, with a lower score.
 
     Null or empty documents give nothing; null or empty items are in nothing. A document row is reported for itself, so
@@ -245,12 +266,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, t
                     whole: dict[tuple[int, int], np.ndarray] = {}
                     for (text, item), score in best.items():
                         own = h[w.first[text] : w.first[text + 1]]
-                        shares = []
-                        for size, wanted in (index.question[item], index.answer[item]):
+                        shares, lengths = [], []
+                        for sequence, size, wanted in (index.question[item], index.answer[item]):
                             if (text, size) not in whole:
                                 whole[text, size] = grams(own, size)
-                            shares.append(float(np.isin(wanted, whole[text, size]).mean()) if size else 1.0)
-                        if min(shares) >= overlap:
+                            share = float(np.isin(wanted, whole[text, size]).mean()) if size else 1.0
+                            shares.append(share if share == 1 else max(share, in_order(sequence, own)))
+                            lengths.append(len(sequence))
+                        if given_away(shares, lengths, overlap):
                             rows.append((doc_ids[a + text].as_py(), index.ids[item].item(), score, *shares))
                 x = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
                 yield pa.RecordBatch.from_arrays([pa.array(x[c].tolist(), t) for c, t in zip(x.columns, (b.schema.field("doc_id").type, pa.int64(), pa.float64(), pa.float64(), pa.float64()))], list(x.columns))

@@ -89,6 +89,23 @@ def test_contamination(spark):
     assert D.contamination(docs, items.limit(0)).count() == 0 and D.contamination(docs.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 6, 8, 15, 41])
+def test_contamination_of_edited_copies(spark, n):
+    """One word changed, left out or put in, at every place of an item, is still the item; a part of it, or its words in disorder, isn't."""
+    item = [f"w{i}" for i in range(n)]
+    other = [" ".join(f"o{k}x{i}" for i in range(n)) for k in range(9)]
+    near = [item[:i] + x + item[i + y :] for i in range(n) for x, y in ((["edit"], 1), ([], 1), (["edit"], 0))]
+    mixed = item[:]
+    random.Random(n).shuffle(mixed)
+    question = item[: n - max(n // 5, 5)]
+    far = [item[::-1], mixed, question, item[n - max(n // 5, 5) :] if len(question) > 1 else item[:3], [x for w in item for x in (w, "pad")], item[: n * 7 // 10]]
+    pad = [f"pad{i}" for i in range(200)]
+    docs = spark.createDataFrame([(i, " ".join(pad + x + pad)) for i, x in enumerate(near + far)], "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate([" ".join(item), *other])), "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in D.contamination(docs, items).collect())
+    assert got == [(i, 0) for i in range(len(near))]
+
+
 def test_wand_against_all_scores():
     r = random.Random(5)
     vocabulary = [f"t{i}" for i in range(60)]
