@@ -26,15 +26,19 @@ BOILERPLATE = frozenset("head script style noscript template iframe nav header f
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("body table ul ol dl div article section main td th blockquote".split())
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|nav|navbar|menu|breadcrumbs?|sidebar|side|footer|header|masthead|comments?|respond|disqus|share|social|related|newsletter|subscribe|login|pagination|pager)(?=$|[\s_-]|\d)", re.I)
+ROLES = frozenset("banner navigation contentinfo complementary search menu menubar toolbar dialog alertdialog".split())
+# Class names that tell of a page's layout, not of the element's own part: has-sidebar, content-sidebar-wrap, side-by-side.
+LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|with|without|by)[_-]|(?:^|[_-])content[_-].*(?:wrap|wrapper|container|layout)$", re.I)
+NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|comments?|respond|disqus|share|social|related|newsletter|subscribe|login|pagination|pager)(?=$|[\s_-]|\d)", re.I)
 CONTENT = frozenset("article main body html".split())
-LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+LABEL = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 @dataclass
 class Node:
     tag: str
     skip: bool = False
+    named: bool = False  # as boilerplate, by class or id
     parts: list = field(default_factory=list)  # text and child nodes, in order
     chars: int = 0
     tags: int = 0
@@ -44,6 +48,39 @@ class Node:
     total: float = 0.0
 
 
+def labels(attributes: str) -> tuple[bool, bool]:
+    """(whether the role is one of boilerplate, whether a class or id says so)."""
+    role = named = False
+    for kind, a, b, c in LABEL.findall(attributes):
+        tokens = (a or b or c).split()
+        if kind.lower() == "role":
+            role |= any(x.lower() in ROLES for x in tokens)
+        else:
+            named |= any(NAMED.search(x) and not LAYOUT.search(x) for x in tokens)
+    return role, named
+
+
+def skip_named(root: Node) -> None:
+    """Skips the elements named as boilerplate, but for those that hold the content.
+
+    These hold an article or main not named so itself, or half of the page's unlinked text and over four times that of
+    such articles elsewhere; density decides on them.
+    """
+    found = nodes(root)
+    if not any(x.named for x in found):
+        return
+    chars, told = {}, {}
+    for node in reversed(found):
+        inner = [x for x in node.parts if isinstance(x, Node) and not x.skip]
+        own = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str))
+        n = chars[id(node)] = 0 if node.tag == "a" else own + sum(chars[id(x)] for x in inner)
+        told[id(node)] = n if node.tag in ("article", "main") and not node.named else sum(told[id(x)] for x in inner)
+    half, most = chars[id(root)] / 2, 4 * told[id(root)]
+    for node in found:
+        if node.named and node.tag not in CONTENT and not told[id(node)]:
+            node.skip = chars[id(node)] < max(half, 1) or chars[id(node)] <= most
+
+
 def parse(page: str) -> Node:
     """The tree of a page; tolerant of elements that aren't closed, or are closed twice."""
     root = Node("html")
@@ -80,11 +117,11 @@ def parse(page: str) -> Node:
                 break
             if stack[i].tag in SCOPES:
                 break
-        label = " ".join(a or b or c for a, b, c in LABEL.findall(m[3])) if m[3] else ""
-        skip = tag in BOILERPLATE or bool(label) and tag not in CONTENT and bool(NAMED.search(label))
+        role, named = labels(m[3]) if m[3] else (False, False)
+        skip = tag in BOILERPLATE or role and tag not in CONTENT
         if tag == "header" and any(x.tag in ("article", "main") for x in stack):
-            skip = bool(label and NAMED.search(label))
-        node = Node(tag, skip)
+            skip = role
+        node = Node(tag, skip, named)
         stack[-1].parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
@@ -92,6 +129,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not (m[3] or "").endswith("/"):
             stack.append(node)
     text(page[at:])
+    skip_named(root)
     return root
 
 

@@ -186,6 +186,26 @@ def test_main_text():
     assert main_text("<div>" * 3000 + "deep") == "deep"
 
 
+STORY = "<h1>Title</h1><p>A first paragraph of the story with a good number of words in it.</p><p>A second one, which goes on for about as long as the first.</p>"
+TOLD = "Title\nA first paragraph of the story with a good number of words in it.\nA second one, which goes on for about as long as the first."
+
+
+@pytest.mark.parametrize("label", ["class=content-sidebar-wrap", "class='site-content has-sidebar'", "class=no-sidebar", "class=fixed-header", "id=side-by-side", "class=with_menu", "data-role=menu"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_main_text_in_named_wrapper(label, inner):
+    page = f"<body><nav><a href=a>Home</a></nav><div {label}><{inner}>{STORY}</{inner}><div class=sidebar>Something else</div></div><div class=footer>Site</div></body>"
+    assert main_text(page) == TOLD
+
+
+@pytest.mark.parametrize("label", ["role=navigation", "role=contentinfo", "role='complementary'", "class=navigation", "class=site-navigation", "class='x sidebar'", "id=footer", "class=comments-area"])
+def test_main_text_without_named(label):
+    """Comments are articles in some pages."""
+    page = f"<body><div><article>{STORY}</article></div><section {label}><p>A reader says something long enough to matter here.</p><article class=comment>And another one answers them at length, too.</article></section></body>"
+    if label.startswith("role") or "navigation" in label:
+        page = page.replace("<article class=comment>", "<p>").replace("too.</article>", "too.</p>")
+    assert main_text(page) == TOLD
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "", "<p>x" + "y" * 300_000, "")]
     got = extracted_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
