@@ -36,10 +36,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 of their five-word shingles, the one with the smallest doc_id stays."""
+    """Of rows linked by a Jaccard similarity of 0.8 of their five-word shingles, the one with the smallest doc_id stays: of several such the first by row key, and rows without a doc_id only where no other row has one."""
     in_small_batches(spark)
-    copies = saved(jaccard_components(docs, shingle=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    keyed = saved(docs.withColumn("row_key", F.monotonically_increasing_id()))
+    linked = jaccard_components(keyed.select(F.col("row_key").alias("doc_id"), "text"), shingle=5, percent=80)
+    linked = saved(linked.select(F.col("doc_id").alias("row_key"), "component_id"))
+    groups = linked.where("component_id <> row_key").select("component_id").distinct()
+    rows = saved(linked.join(groups, "component_id", "left_semi").join(keyed.select("row_key", "doc_id"), "row_key"))
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))["row_key"].alias("first"))
+    copies = saved(rows.join(first, "component_id").where("row_key <> first").select("row_key"))
+    return keyed.join(copies, "row_key", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,3 +228,13 @@ def test_pipeline(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert all(i == c for i, (_, c) in brute_components(rows, 5, 80).items())
     assert {r["doc_id"] for r in C.run(spark, sf).collect()} == {i for i, _ in rows}
+
+
+def test_near_duplicates_by_row(spark):
+    """Repeated rows with one doc_id, rows without one, and a doc_id with two texts."""
+    import corpus_pipeline as C
+
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(1, a), (1, a), (2, a + " x"), (2, b), (None, c), (None, c), (None, a), (None, d), (5, e), (4, e), (6, ""), (None, None), (7, "")]
+    got = C.jaccard_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in got)) == sorted([(1, a), (2, b), (0, c), (0, d), (4, e), (6, ""), (0, ""), (7, "")])
