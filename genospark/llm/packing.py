@@ -109,13 +109,13 @@ def sequence_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return rows
 
 
-def packed(pieces: DataFrame, capacity: int = 1024, buckets: int = 256) -> DataFrame:
+def packed(pieces: DataFrame, capacity: int = 1024, per_bucket: int = 1 << 16) -> DataFrame:
     """pieces(doc_id, piece, length, ...) with sequence_id and offset.
 
-    Ranks within a length are dealt over `buckets` hash buckets of the pieces' ids, so that a length that a third of the
-    pieces have isn't sorted in one task; the buckets' offsets come from at most capacity x buckets counts. The plan goes
-    to the driver as at most `capacity` counts and back as the rows of PLAN; each greedy step halves a count at least,
-    so there are at most capacity x log2(pieces) sequences of different make.
+    Ranks within a length are dealt over hash buckets of the pieces' ids, about `per_bucket` pieces in each, so that no
+    window grows with the input, also where a third of the pieces have one length. The plan goes to the driver as at most
+    `capacity` counts and back as the rows of PLAN; each greedy step halves a count at least, so there are at most
+    capacity x log2(pieces) sequences of different make.
 
     Lengths must lie between 1 and the capacity. Ties in length go by id and piece; (doc_id, piece) should be unique, for
     repeated rows get places of their own in either order. No pieces: no rows.
@@ -123,11 +123,12 @@ def packed(pieces: DataFrame, capacity: int = 1024, buckets: int = 256) -> DataF
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = spark.createDataFrame(sequence_plan(counts, capacity), PLAN)
-    keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    buckets = spark.createDataFrame([(k, -(-n // per_bucket)) for k, n in counts.items()], "length long, buckets int")
+    keyed = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.col("buckets")).cast("int")).drop("buckets")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy("length", "bucket").count().select("length", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     inner = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece"))
-    ranked = keyed.withColumn("inner", inner).join(F.broadcast(offsets), ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("inner") - 1)
+    ranked = keyed.withColumn("inner", inner).join(offsets, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("inner") - 1)
     p = F.broadcast(plan).alias("p")
     place = F.col("rank") - F.col("low")
     return (

@@ -6,6 +6,7 @@ import numpy as np
 from genospark.llm.packing import best_two_fit, cut, packed, packed_documents, sequence_plan
 from genospark.llm.queries import bpe_path
 from genospark.llm.token_counts import CACHE_SCHEMA, token_counts
+from genospark.llm import tokenizer as T
 from genospark.llm.tokenizer import encoder
 
 
@@ -23,6 +24,38 @@ def test_encoder_is_the_library():
         assert encode(s).tolist() == t.encode(s, add_special_tokens=False).ids
 
 
+def test_encoder_over_code_points():
+    """Letters, numbers and white space are the same classes to both: each character of two planes in several places."""
+    t, encode = library(), encoder(bpe_path())
+    assert encode.__qualname__.startswith("encoder.") and encode.__name__ == "encode"
+    for a in range(0, 0x20000, 64):
+        s = "".join(f"x{c}y 1{c}2  {c} {c}'ll." for c in map(chr, range(a, a + 64)) if not 0xD800 <= ord(c) < 0xE000)
+        assert encode(s).tolist() == t.encode(s, add_special_tokens=False).ids
+
+
+LONG = [" " * 1_000_000, "\n" * 1_000_000, "a" * 1_000_000, " \t" * 400_000 + "x", "ab漢字 é" * 100_000]
+
+
+def test_very_long_runs(spark, tmp_path):
+    """Texts that the fast path refuses, in both queries."""
+    t = library()
+    docs = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    want = {i: len(t.encode(s, add_special_tokens=False).ids) for i, s in enumerate(LONG)}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts(docs, str(tmp_path / "c"), bpe_path()).collect()} == want
+    pieces = {r["doc_id"]: r["n"] for r in packed_documents(docs, bpe_path()).groupBy("doc_id").sum("length").toDF("doc_id", "n").collect()}
+    assert pieces == {i: n + 1 for i, n in want.items()}
+
+
+def test_files_of_another_make():
+    spec = {"model": {"type": "BPE", "vocab": {}, "merges": []}, "pre_tokenizer": {"type": "ByteLevel"}, "added_tokens": []}
+    letters = {c: i for i, c in enumerate(T.byte_characters())}
+    spec["model"] |= {"vocab": letters | {"ab": 256, "abc": 257}, "merges": ["a b", "ab c"]}
+    assert T.plain_byte_level(spec)
+    for change in ({"merges": ["ab c", "a b"]}, {"merges": ["a b", "ab c", "a bc"]}, {"ignore_merges": True}, {"type": "Unigram"}, {"merges": ["a b"]}):
+        assert not T.plain_byte_level(spec | {"model": spec["model"] | change})
+    assert not T.plain_byte_level(spec | {"added_tokens": [{"content": "<x>", "id": 258, "lstrip": True}]})
+
+
 def test_counts_and_cache(spark, docs, tmp_path):
     t, path = library(), str(tmp_path / "cache")
     want = sorted((r["doc_id"], len((r["text"] or "").encode()), len(t.encode(r["text"] or "", add_special_tokens=False).ids)) for r in docs.collect())
@@ -106,5 +139,5 @@ def test_cut():
 def test_one_length_for_all(spark):
     """A hot length: every piece gets a place of its own."""
     pieces = spark.range(1000).selectExpr("id as doc_id", "0 as piece", "cast(3 as long) as length")
-    got = packed(pieces, 10).collect()
+    got = packed(pieces, 10, 64).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == 1000 and len({r["sequence_id"] for r in got}) == 334
