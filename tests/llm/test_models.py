@@ -58,22 +58,60 @@ def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(4, 1, "t"), (9, 0, "t"), (9, None, "t")], "doc_id long, toxic int, text string")
     out = T.toxicity_scores(docs, T.toxicity_model(docs, labels)).collect()
     assert len(out) == docs.count() and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in out)
-    assert T.toxicity_scores(docs, T.toxicity_model(docs, labels.limit(0))).where("score is null").count() == 0
-
-
-def test_identity_terms_carry_no_weight_of_their_own():
+    none = T.toxicity_model(docs, labels.limit(0))
+    assert T.toxicity_scores(docs, none).where("score is null").count() == 0 and T.toxicity_scores(docs.limit(0), none).count() == 0
+
+
+def test_toxicity_of_held_out_texts(spark):
+    """Toxic documents that the model has not seen are found, and others are left alone."""
+    sf = f"{DATA}/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    got = [r for r in QUERIES["op10_toxicity"](spark, sf).join(labels.where("toxic is not null"), "doc_id").collect() if r["held_out"]]
+    toxic = [r["predicted"] for r in got if r["toxic"]]
+    clean = [r["predicted"] for r in got if not r["toxic"]]
+    assert sum(toxic) >= 0.9 * len(toxic) > 20 and sum(clean) <= 0.02 * len(clean)
+
+
+def test_toxicity_sample_is_bounded(spark):
+    """One id in many rows is one document, that with the first text."""
+    docs = spark.createDataFrame([(1, "b")] * 500 + [(1, "a bad one"), (2, "a kind one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, toxic int")
+    rows = T.sample_features(docs, labels, 10, 5).collect()
+    assert sorted((r["label"], r["features"]) for r in rows) == sorted([(1, T.one("a bad one", 10).tolist()), (0, T.one("a kind one", 10).tolist())])
+    assert T.sample_features(docs, labels, 10, 1).count() == 1
+
+
+def test_toxicity_by_definition(spark, docs):
+    """Scores against words and beginnings looked up one by one; the gradient against differences of the loss."""
+    r = np.random.default_rng(2)
+    m = T.Model(r.normal(size=1 << 12).astype(np.float32), 0.3, 12)
+    for row in T.toxicity_scores(docs.select("doc_id", "text"), m).collect():
+        text = row["text"] or ""
+        found = {int(b) for w in text.split() for b in T.one(w, 12)} if text.isascii() else set(T.one(text, 12).tolist())
+        z = m.bias + sum(float(m.weights[b]) for b in found)
+        assert math.isclose(row["score"], 1 / (1 + math.exp(-max(min(z, 30), -30))), abs_tol=1e-5)
+    own = [r.choice(9, 4, replace=False).astype(np.int32) for _ in range(12)]
+    x, gap = T.sparse([(own, 1.0)]), T.sparse([([o[:1] for o in own], 1.0), ([o[1:2] for o in own], -1.0)])
+    y, w = r.integers(0, 2, 12).astype(float), r.normal(size=9)
+    _, grad, gb = T.loss_and_gradient(w, 0.2, x, gap, y, 0.1, 0.7)
+    loss = lambda w, b: T.loss_and_gradient(w, b, x, gap, y, 0.1, 0.7)[0]
+    step = 1e-6 * np.eye(9)
+    assert np.allclose(grad, [(loss(w + s, 0.2) - loss(w - s, 0.2)) / 2e-6 for s in step], atol=1e-6)
+    assert math.isclose(gb, (loss(w, 0.2 + 1e-6) - loss(w, 0.2 - 1e-6)) / 2e-6, abs_tol=1e-6)
+
+
+def test_identity_terms_carry_no_weight_of_their_own(spark):
     """Toxic rows name one group more often; the penalty takes the weight off the name."""
     rows = []
     for i in range(400):
         toxic = i % 2
-        text = f"some {'muslim' if i % 8 < (6 if toxic else 2) else 'christian'} person is {'awful' if toxic else 'kind'} today w{i % 7}".encode()
-        twin = T.swapped(text.decode())
-        rows.append((toxic, T.one(text, 14), T.one(twin, 14)))
+        rows.append((i, f"some {'muslim' if i % 8 < (6 if toxic else 2) else 'christian'} person is {'awful' if toxic else 'kind'} today w{i % 7}", toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    plain, fair = (T.toxicity_model(docs.select("doc_id", "text"), docs, 14, screen=1.0, counterfactual=c) for c in (0.0, 20.0))
     weight = lambda m, w: m.weights[T.one(w, 14)].sum()
-    plain, fair = T.fit(rows, 14, counterfactual=0.0, screen=1.0), T.fit(rows, 14, counterfactual=20.0, screen=1.0)
-    gap = lambda m: abs(weight(m, b"muslim") - weight(m, b"christian"))
-    assert gap(fair) < 0.5 * gap(plain) and weight(fair, b"awful") > 1
-    assert T.swapped("nothing here") is None and T.swapped("Women, men") == b"men, women"
+    gap = lambda m: abs(weight(m, "muslim") - weight(m, "christian"))
+    assert gap(fair) < 0.5 * gap(plain) and weight(fair, "awful") > 1
+    assert T.swapped("nothing here") is None and T.swapped("Women, MÄNNER") == "men, frauen"
 
 
 def brute_likelihood(m, x):
