@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .intervals import overlaps, point_hits
+from .intervals import overlaps, probes
 
 COORDS = ["donor_chrom", "donor_bp", "donor_strand", "acceptor_chrom", "acceptor_bp", "acceptor_strand"]
 
@@ -20,15 +20,21 @@ def collapse_events(junctions: DataFrame) -> DataFrame:
     return junctions.groupBy("sample", *COORDS).agg(F.count("*").alias("reads"), first).select("sample", *COORDS, "first.junction_type", "first.repeat_flag", "reads")
 
 
-def breakpoints(events: DataFrame) -> DataFrame:
-    ends = [events.select(F.col(f"{side}_chrom").alias("chrom"), F.col(f"{side}_bp").alias("bp")) for side in ("donor", "acceptor")]
-    return ends[0].union(ends[1]).distinct()
+def breakpoints(rows: DataFrame) -> DataFrame:
+    """The distinct (chrom, bp) of both ends of events or junctions, in one pass over them."""
+    ends = F.array(*[F.struct(F.col(f"{side}_chrom").alias("chrom"), F.col(f"{side}_bp").alias("bp")) for side in ("donor", "acceptor")])
+    return rows.select(F.explode(ends).alias("e")).select("e.*").distinct()
 
 
-def with_hits(events: DataFrame, exons: DataFrame, tes: DataFrame, tolerance: int = 0) -> DataFrame:
-    """events with donor_genes, donor_tes, acceptor_genes and acceptor_tes: sorted distinct ids, empty where nothing is hit."""
-    points = breakpoints(events)
-    hits = point_hits(points, exons, "gene_id", tolerance, "genes").join(point_hits(points, tes, "te_id", tolerance, "tes"), ["chrom", "bp"], "full")
+def with_hits(events: DataFrame, exons: DataFrame, tes: DataFrame, tolerance: int = 0, points: DataFrame | None = None) -> DataFrame:
+    """events with donor_genes, donor_tes, acceptor_genes and acceptor_tes: sorted distinct ids, empty where nothing is hit.
+
+    points: the breakpoints of the events, where they can be had more cheaply than from the events themselves.
+    """
+    named = lambda t, key, kind: t.select("chrom", "start0", "end0", F.col(key).alias("id"), F.lit(kind).alias("kind"))
+    found = overlaps(probes(points if points is not None else breakpoints(events), tolerance), named(exons, "gene_id", "gene").union(named(tes, "te_id", "te")))
+    of = lambda kind: F.array_sort(F.collect_set(F.when(F.col("f_kind") == kind, F.col("f_id"))))
+    hits = found.groupBy("chrom", "bp").agg(of("gene").alias("genes"), of("te").alias("tes"))
     out = events
     none = F.array().cast("array<string>")
     for side in ("donor", "acceptor"):
@@ -53,30 +59,38 @@ def classified(events: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(track: DataFrame, key: str) -> DataFrame:
+    """The first row of each id, by place."""
+    rest = [c for c in track.columns if c not in ("chrom", "start0", "end0", key)]
+    return track.groupBy(key).agg(F.min(F.struct("chrom", "start0", "end0", *rest)).alias("m")).select(key, "m.*")
+
+
 def with_meta(events: DataFrame, genes: DataFrame, tes: DataFrame) -> DataFrame:
     """classified events with the spans of their gene and TE, gene_strand, te_family and te_class ('.' where there is none)."""
-    first = lambda df, key: df.groupBy(key).agg(F.min(F.struct("chrom", "start0", "end0", *[c for c in df.columns if c not in ("chrom", "start0", "end0", key)])).alias("m")).select(key, "m.*")
-    g = first(genes, "gene_id").select("gene_id", F.col("start0").alias("gene_start"), F.col("end0").alias("gene_end"), F.col("strand").alias("gene_strand"))
-    t = first(tes, "te_id").select("te_id", F.col("start0").alias("te_start"), F.col("end0").alias("te_end"), "te_family", "te_class")
+    g = first_rows(genes, "gene_id").select("gene_id", F.col("start0").alias("gene_start"), F.col("end0").alias("gene_end"), F.col("strand").alias("gene_strand"))
+    t = first_rows(tes, "te_id").select("te_id", F.col("start0").alias("te_start"), F.col("end0").alias("te_end"), "te_family", "te_class")
     return events.join(g, "gene_id", "left").join(t, "te_id", "left").withColumns({c: F.coalesce(F.col(c), F.lit(".")) for c in ("gene_strand", "te_family", "te_class")})
 
 
-def antisense_pairs(events: DataFrame, genes: DataFrame) -> DataFrame:
-    """The distinct (chrom, start0, end0, gene_id, gene_strand) of gene-TE events whose TE overlaps another gene on the opposite strand."""
-    chrom = F.when(F.col("direction") == "gene_to_te", F.col("acceptor_chrom")).otherwise(F.col("donor_chrom"))
-    known = X.is_gene_te(F.col("direction")) & F.col("gene_start").isNotNull() & F.col("te_start").isNotNull()
-    spans = events.where(known).select(chrom.alias("chrom"), F.col("te_start").alias("start0"), F.col("te_end").alias("end0"), "gene_id", "gene_strand").distinct()
-    found = overlaps(spans, genes.select("chrom", "start0", "end0", "gene_id", "strand"))
-    return found.where((F.col("f_gene_id") != F.col("gene_id")) & (F.col("f_strand") == X.opposite(F.col("gene_strand")))).select(*spans.columns).distinct()
+def antisense_genes(tes: DataFrame, genes: DataFrame) -> DataFrame:
+    """(te_id, te_chrom, against): by strand, the first and last id of the genes that a TE's span overlaps; TEs without any are left out.
+
+    Whether another gene than a given one is among them follows from these two alone.
+    """
+    span = first_rows(tes, "te_id").select("te_id", "start0", "end0")
+    spans = tes.select("te_id", "chrom").distinct().join(span, "te_id")
+    by = overlaps(spans, genes.select("chrom", "start0", "end0", "gene_id", "strand")).groupBy("te_id", "chrom", "f_strand").agg(F.struct(F.min("f_gene_id").alias("lo"), F.max("f_gene_id").alias("hi")).alias("ids"))
+    return by.groupBy("te_id", F.col("chrom").alias("te_chrom")).agg(F.map_from_entries(F.collect_list(F.struct("f_strand", "ids"))).alias("against"))
 
 
-def with_antisense(events: DataFrame, genes: DataFrame) -> DataFrame:
-    """events with antisense: yes, or '.'."""
+def with_antisense(events: DataFrame, genes: DataFrame, tes: DataFrame) -> DataFrame:
+    """events with antisense: yes where the TE of a gene-TE event overlaps another gene, on the strand opposite to the event's; else '.'."""
     te_chrom = F.when(F.col("direction") == "gene_to_te", F.col("acceptor_chrom")).otherwise(F.col("donor_chrom"))
-    pairs = antisense_pairs(events, genes).select(F.col("chrom").alias("te_chrom"), F.col("start0").alias("te_start"), F.col("end0").alias("te_end"), "gene_id", F.col("gene_strand").alias("pair_strand"), F.lit("yes").alias("found"))
-    named = events.withColumn("te_chrom", F.when(X.is_gene_te(F.col("direction")), te_chrom))
-    out = named.join(pairs.drop("pair_strand"), ["te_chrom", "te_start", "te_end", "gene_id"], "left")
-    return out.withColumn("antisense", F.coalesce("found", F.lit("."))).drop("found", "te_chrom")
+    named = events.withColumn("te_chrom", F.when(X.is_gene_te(F.col("direction")) & F.col("gene_start").isNotNull() & F.col("te_start").isNotNull(), te_chrom))
+    out = named.join(antisense_genes(tes, genes), ["te_id", "te_chrom"], "left")
+    ids = F.try_element_at("against", X.opposite(F.col("gene_strand")))
+    other = (ids["lo"] != F.col("gene_id")) | (ids["hi"] != F.col("gene_id"))
+    return out.withColumn("antisense", F.when(other, "yes").otherwise(".")).drop("te_chrom", "against")
 
 
 def annotate_junctions(junctions: DataFrame, exons: DataFrame, genes: DataFrame, tes: DataFrame, strandedness: DataFrame | str = "no", tol: int = 0, require_canonical: bool = False, cis_only: bool = False) -> DataFrame:
@@ -88,7 +102,7 @@ def annotate_junctions(junctions: DataFrame, exons: DataFrame, genes: DataFrame,
     events = collapse_events(junctions)
     if require_canonical:
         events = events.where(X.canonical(F.col("junction_type")) == "yes")
-    full = with_antisense(with_meta(classified(with_hits(events, exons, tes, tol)), genes, tes), genes)
+    full = with_antisense(with_meta(classified(with_hits(events, exons, tes, tol, breakpoints(junctions))), genes, tes), genes, tes)
     if isinstance(strandedness, str):
         full = full.withColumn("library_strandedness", F.lit("no" if strandedness == "auto" else strandedness))
     else:

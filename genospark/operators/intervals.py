@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import window_end, window_start
+
 #: Bin widths. An interval belongs to the first level that is as wide as it is long, so that it lies in two bins at most.
 WIDTHS = tuple(1 << k for k in (9, 13, 17, 21, 25, 29))
 
@@ -16,32 +18,51 @@ def level(start: Column, end: Column) -> Column:
     return out
 
 
-def _bins(df: DataFrame, prefix: str, from_level: Column, to_level: Column) -> DataFrame:
-    """df with a row for each level in the range and bin there: lv, bin, and first, the interval's first bin."""
+def _dealt(df: DataFrame, prefix: str, from_level: Column, to_level: Column) -> DataFrame:
+    """df with a row for each level of the range and each of its bins there: lv, bin, and first, its first bin."""
     width = F.element_at(F.array(*[F.lit(w) for w in WIDTHS]), F.col("lv") + 1)
     start, end = F.col(f"{prefix}start0"), F.greatest(F.col(f"{prefix}end0"), F.col(f"{prefix}start0") + 1)
+    none = F.array().cast("array<int>")
     return (
-        df.withColumn("lv", F.explode(F.sequence(from_level, to_level)))
+        df.withColumn("lv", F.explode(F.when(from_level <= to_level, F.sequence(from_level, to_level)).otherwise(none)))
         .withColumn("first", F.floor(start / width).cast("long"))
         .withColumn("bin", F.explode(F.sequence(F.col("first"), F.floor((end - 1) / width).cast("long"))))
     )
 
 
+def candidates(probes: DataFrame, features: DataFrame) -> DataFrame:
+    """The pairs of probes p and features f that share a bin of the wider one's own level, in the later of both first bins.
+
+    Two equi-joins on chromosome, level and bin: features at their own level meet the probes that are no wider, probes at
+    their own level meet the features that are narrower. So a row meets those of another width only where such rows are:
+    a level that no row belongs to makes no pair.
+    """
+    f = features.select(*[F.col(c).alias(f"f_{c}") for c in features.columns]).withColumn("own", level(F.col("f_start0"), F.col("f_end0")))
+    p = probes.withColumn("own", level(F.col("start0"), F.col("end0")))
+    top = F.lit(len(WIDTHS) - 1)
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        same = (F.col("a.chrom") == F.col("b.f_chrom")) & (F.col("a.lv") == F.col("b.lv")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.bin") == F.greatest("a.first", "b.first"))
+        return a.alias("a").join(b.alias("b"), same).select(*[f"a.{c}" for c in probes.columns], *[f"b.f_{c}" for c in features.columns])
+
+    own = F.col("own")
+    wide_features = met(_dealt(p, "", own, top), _dealt(f, "f_", own, own))
+    wide_probes = met(_dealt(p, "", own, own), _dealt(f, "f_", own + 1, top))
+    return wide_features.union(wide_probes)
+
+
 def overlaps(probes: DataFrame, features: DataFrame) -> DataFrame:
     """Every pair of a probe and a feature of one chromosome that overlap, once: probe columns as they are, feature columns with f_ before.
 
-    Both have chrom, start0 and end0. A pair meets at the wider of both levels, in the later of both first bins, so that
-    no pair is made twice and nothing has to be made distinct. Each row is dealt to two bins a level at most, however long
-    it is; a crowded bin is a skewed key that Spark may split.
+    Both have chrom, start0 and end0. No pair is made twice, so that nothing has to be made distinct. Each row is dealt to
+    two bins a level at most, however long it is; a crowded bin is a skewed key that Spark may split.
     """
-    top = F.lit(len(WIDTHS) - 1)
-    f = features.select(*[F.col(c).alias(f"f_{c}") for c in features.columns])
-    f = _bins(f.withColumn("f_lv", level(F.col("f_start0"), F.col("f_end0"))), "f_", F.col("f_lv"), top).withColumnRenamed("first", "f_first")
-    p = _bins(probes.withColumn("p_lv", level(F.col("start0"), F.col("end0"))), "", F.col("p_lv"), top)
-    meets = (F.col("p.chrom") == F.col("f.f_chrom")) & (F.col("p.lv") == F.col("f.lv")) & (F.col("p.bin") == F.col("f.bin"))
-    once = (F.col("p.lv") == F.greatest("p.p_lv", "f.f_lv")) & (F.col("p.bin") == F.greatest("p.first", "f.f_first"))
-    hit = (F.col("f.f_start0") < F.col("p.end0")) & (F.col("f.f_end0") > F.col("p.start0"))
-    return p.alias("p").join(f.alias("f"), meets & once & hit).select(*[f"p.{c}" for c in probes.columns], *[f"f.f_{c}" for c in features.columns])
+    return candidates(probes, features).where((F.col("f_start0") < F.col("end0")) & (F.col("f_end0") > F.col("start0")))
+
+
+def probes(points: DataFrame, tolerance: int = 0) -> DataFrame:
+    """points(chrom, bp) with the span that is looked up for each."""
+    return points.select("chrom", "bp", window_start(F.col("bp"), tolerance).alias("start0"), window_end(F.col("bp"), tolerance).alias("end0"))
 
 
 def point_hits(points: DataFrame, features: DataFrame, id_column: str, tolerance: int = 0, name: str = "hits") -> DataFrame:
@@ -49,8 +70,5 @@ def point_hits(points: DataFrame, features: DataFrame, id_column: str, tolerance
 
     Features are found by overlap alone, also long ones that lie behind shorter ones.
     """
-    from ..functions.expressions import window_end, window_start
-
-    probes = points.select("chrom", "bp").distinct().withColumn("start0", window_start(F.col("bp"), tolerance)).withColumn("end0", window_end(F.col("bp"), tolerance))
-    found = overlaps(probes, features.select("chrom", "start0", "end0", F.col(id_column).alias("id")))
+    found = overlaps(probes(points.select("chrom", "bp").distinct(), tolerance), features.select("chrom", "start0", "end0", F.col(id_column).alias("id")))
     return found.groupBy("chrom", "bp").agg(F.array_sort(F.collect_set("f_id")).alias(name))

@@ -9,6 +9,12 @@ from ..functions.expressions import opposite, strandedness_call
 from .intervals import overlaps
 
 KEY = ["sample", "read_id", "aln"]
+PLACE = ["chrom", "start0", "end0", "strand"]
+
+
+def places(alignments: DataFrame) -> DataFrame:
+    """The distinct (chrom, start0, end0, strand) of alignments: overlaps are looked up once for each."""
+    return alignments.select(*PLACE).distinct()
 
 
 def numbered(alignments: DataFrame) -> DataFrame:
@@ -19,27 +25,33 @@ def numbered(alignments: DataFrame) -> DataFrame:
 
 def infer_strandedness(alignments: DataFrame, genes: DataFrame, least: float = 0.6) -> DataFrame:
     """(sample, n_reads, forward, reverse, undetermined, call): fractions of alignments on, or opposite to, the strand of the one strand of genes they overlap."""
-    aln = numbered(alignments)
-    hit = overlaps(aln, genes.select("chrom", "start0", "end0", "strand")).groupBy(*KEY).agg(F.min("strand").alias("s"), F.min("f_strand").alias("lo"), F.max("f_strand").alias("hi"))
-    side = F.when(F.col("lo") == F.col("hi"), F.when(F.col("s") == F.col("lo"), "f").when(F.col("s") == opposite(F.col("lo")), "r"))
-    by = hit.groupBy("sample").agg(F.count_if(side == "f").alias("f"), F.count_if(side == "r").alias("r"))
-    total = alignments.groupBy("sample").agg(F.count("*").alias("n_reads"))
-    out = total.join(by, "sample", "left").fillna(0, ["f", "r"])
+    hit = overlaps(places(alignments), genes.select(*PLACE)).groupBy(*PLACE).agg(F.min("f_strand").alias("lo"), F.max("f_strand").alias("hi"))
+    side = F.when(F.col("lo") == F.col("hi"), F.when(F.col("strand") == F.col("lo"), "f").when(F.col("strand") == opposite(F.col("lo")), "r"))
+    # alignments of one place are alike: counted by sample before they meet the hits
+    counted = alignments.groupBy("sample", *PLACE).agg(F.count("*").alias("n"))
+    of = lambda k: F.coalesce(F.sum(F.when(side == k, F.col("n"))), F.lit(0))
+    out = counted.join(hit, PLACE, "left").groupBy("sample").agg(F.sum("n").alias("n_reads"), of("f").alias("f"), of("r").alias("r"))
     out = out.select("sample", "n_reads", (F.col("f") / F.col("n_reads")).alias("forward"), (F.col("r") / F.col("n_reads")).alias("reverse"))
     return out.withColumn("undetermined", 1 - F.col("forward") - F.col("reverse")).withColumn("call", strandedness_call(F.col("forward"), F.col("reverse"), least))
 
 
-def assigned(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", call: str = "no") -> DataFrame:
-    """(sample, read_id, aln, n, features): for each alignment its candidates: the gene, or '__ambiguous' where there are several, else its TEs; n is the read's number of alignments.
+def candidate_features(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", call: str = "no") -> DataFrame:
+    """(chrom, start0, end0, strand, features) of the places with candidates: the gene, or '__ambiguous' where there are several, else the TEs.
 
-    forward and reverse calls take only features on, or opposite to, the alignment's strand.
+    forward and reverse calls take only features on, or opposite to, the place's strand.
     """
-    aln = numbered(alignments).withColumn("n", F.count("*").over(Window.partitionBy("sample", "read_id")))
+    at = places(alignments)
     fits = {"forward": F.col("f_strand") == F.col("strand"), "reverse": F.col("f_strand") == opposite(F.col("strand"))}.get(call, F.lit(True))
-    ids = lambda t, key: overlaps(aln, t.select("chrom", "start0", "end0", "strand", F.col(key).alias("id"))).where(fits).groupBy(*KEY).agg(F.array_sort(F.collect_set("f_id")).alias("ids"))
-    g, t = ids(exons, "gene_id").withColumnRenamed("ids", "g"), ids(tes, te_key).withColumnRenamed("ids", "t")
-    found = F.when(F.size("g") == 1, F.col("g")).when(F.size("g") > 1, F.array(F.lit("__ambiguous"))).otherwise(F.col("t"))
-    return aln.select(*KEY, "n").join(g, KEY, "left").join(t, KEY, "left").select(*KEY, "n", found.alias("features")).where("features is not null")
+    found = lambda t, key, name: overlaps(at, t.select(*PLACE, F.col(key).alias("id"))).where(fits).groupBy(*PLACE).agg(F.array_sort(F.collect_set("f_id")).alias(name))
+    both = found(exons, "gene_id", "g").join(found(tes, te_key, "t"), PLACE, "full")
+    features = F.when(F.size("g") == 1, F.col("g")).when(F.size("g") > 1, F.array(F.lit("__ambiguous"))).otherwise(F.col("t"))
+    return both.select(*PLACE, features.alias("features"))
+
+
+def assigned(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", call: str = "no") -> DataFrame:
+    """(sample, read_id, aln, n, features): each alignment with its candidate features; n is the read's number of alignments. Alignments without any are left out."""
+    aln = numbered(alignments).withColumn("n", F.count("*").over(Window.partitionBy("sample", "read_id")))
+    return aln.join(candidate_features(alignments, exons, tes, te_key, call), PLACE).select(*KEY, "n", "features")
 
 
 def quantify_uniq(hits: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ class Views:
         return chimera.collapse_events(self.junctions)
 
     def classified(self) -> DataFrame:
-        return chimera.classified(chimera.with_hits(self.events(), self.exons, self.te))
+        return chimera.classified(chimera.with_hits(self.events(), self.exons, self.te, points=chimera.breakpoints(self.junctions)))
 
     def meta(self) -> DataFrame:
         return chimera.with_meta(self.classified(), self.genes(), self.te)

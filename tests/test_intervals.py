@@ -1,6 +1,11 @@
 import random
 
-from genospark.operators.intervals import overlaps, point_hits
+from compare import DATA
+from pyspark.sql import functions as F
+
+from genospark.operators import chimera
+from genospark.operators.intervals import candidates, overlaps, point_hits
+from genospark.plans.queries import Views
 
 
 def track(spark, rows):
@@ -39,3 +44,12 @@ def test_empty(spark):
     t = track(spark, [])
     assert overlaps(t, t).count() == 0
     assert point_hits(spark.createDataFrame([("c", 1)], "chrom string, bp long"), t, "id").count() == 0
+
+
+def test_candidates_follow_hits(spark):
+    """The pairs that meet in a bin are a small multiple of those that overlap, and no plan compares levels after the join."""
+    v = Views(spark, f"{DATA}/sf0.1")
+    p = chimera.breakpoints(v.events()).select("chrom", (F.col("bp") - 1).alias("start0"), (F.col("bp") + 1).alias("end0"))
+    pairs = candidates(p, v.exons)
+    met, hit = pairs.agg(F.count("*"), F.count_if((F.col("f_start0") < F.col("end0")) & (F.col("f_end0") > F.col("start0")))).first()
+    assert hit > 10_000 and met <= 20 * hit
