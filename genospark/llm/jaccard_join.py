@@ -1,16 +1,18 @@
 """Exact Jaccard join on word n-grams with token-combination prefixes.
 
-Tokens are the hashed shingles of a document, in the order of their hashes. With a threshold of p per cent, a set of n
-tokens lacks at most (100 - p) n / 100 of a linked set's tokens, so the first tokens of both, one more than that, share
-one: the prefix. Three cases:
-
-- Tokens that more than `frequent` documents have near their beginning are the frequent class. They come last in the
-  order; prefixes are extended past them to further rare tokens, each indexed alone.
-- A document with too few rare tokens anywhere keeps those and is also indexed by combinations: all its tokens are dealt
-  over one cell more than the number of tokens two linked documents can differ by, so that one cell at least holds the
-  same tokens in both. The combination of a cell's tokens (about ten) is the key.
-- Lists that stay long, those of large groups of near copies, are dealt over pairs of blocks and compared by count
-  sketches whose distance bounds the difference from below.
+Tokens are the hashed shingles of a document, in the order of their hashes. Equal sets are one class. With a threshold of p
+per cent, a set of n tokens lacks at most (100 - p) n / 100 of a linked set's tokens, so the first tokens of both, one more
+than that, share one: the prefix. Three cases:
+
+- Tokens that more than `frequent` classes have near their beginning are the frequent class. They come last in the order;
+  prefixes are extended past them to further rare tokens, each indexed alone.
+- A set with too few rare tokens anywhere keeps those and is also indexed by combinations: all its tokens are dealt over
+  one cell more than the number of tokens two linked sets can differ by, so that one cell at least holds the same tokens in
+  both. The combination of a cell's k tokens (k is about ten) is the key. All k-combinations of an extended prefix would be
+  (d + k over k) keys, 5,151 for 1,000 tokens and k = 2; dealt combinations are as many as cells.
+- Lists of more than `long` classes, those of large groups of near copies, make no pairs of their own. Their members are
+  compared with a few pivots of the list, round by round, until all members of each list are in one component or every
+  pair of different components has been compared.
 
 Candidates are then verified on the whole sets. Each filter follows from the threshold; none caps or samples.
 Token hashes have 64 bits: two different shingles of a pair fall together with a chance below 1e-12.
@@ -21,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,13 @@ from .bytetext import mix, parts, shingle_hashes, slices, words
 from .components import connected_components
 from .tables import saved
 
-SMALL = 1_000_000  # ids that are broadcast (8 MB); more are joined by a shuffle
+SMALL = 200_000  # rows of up to four numbers that are broadcast: 10 to 20 MB; more are joined by a shuffle
 SKETCH = 256
-BLOCK = 1024
+SALTS = 16
 
 
 def sized(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """df, marked for broadcast if it has few rows."""
+    """df (a saved table of a few numbers a row), marked for broadcast if it has few rows."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
@@ -83,7 +84,7 @@ def cells(tokens: np.ndarray, percent: int) -> list[int]:
 
 
 def shingled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, n, d1, d2, window, sketch): size, digest and first tokens of each document's set."""
+    """(doc_id, n, d1, d2, window, sketch): size, digest and first tokens of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = least_size(percent)
@@ -91,9 +92,8 @@ def shingled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             n, d1, d2, window, sketches = [], [], [], [], []
             for tokens in token_sets(b.column("text"), shingle):
                 n.append(len(tokens))
-                u = tokens.view(np.uint64)
-                d1.append(int(u.sum(dtype=np.uint64).view(np.int64)))
-                d2.append(int(mix(u).sum(dtype=np.uint64).view(np.int64)))
+                for out, x in zip((d1, d2), digest(tokens)):
+                    out.append(x)
                 window.append(tokens[: ((100 - percent) * len(tokens) // 100 + 1) * 3 // 2 + 4] if len(tokens) >= small else tokens[:0])
                 sketches.append(sketch(tokens).tobytes())
             size = np.cumsum([0, *map(len, window)], dtype=np.int32)
@@ -106,18 +106,29 @@ def shingled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n int, d1 long, d2 long, window array<long>, sketch binary")
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, combine: int = 0) -> DataFrame:
-    """(rep, n, tokens, cells) of the documents with these ids; cells, for a threshold of `combine` per cent, empty without."""
+def digest(tokens: np.ndarray) -> tuple[int, int]:
+    u = tokens.view(np.uint64)
+    return int(u.sum(dtype=np.uint64).view(np.int64)), int(mix(u).sum(dtype=np.uint64).view(np.int64))
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int, combine: int = 0) -> DataFrame:
+    """(rep, n, tokens, cells) of the classes wanted(rep, doc_id, d1); cells, for a threshold of `combine` per cent, empty without.
+
+    A class is read from the rows with its doc_id; of these, the first digest tells its set from other texts with that id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
             sets = list(token_sets(b.column("text"), shingle))
+            own = np.array([digest(t)[0] == d for t, d in zip(sets, b.column("d1").to_pylist())], bool)
+            sets = [t for t, ok in zip(sets, own) if ok]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t, combine) if combine else [] for t in sets], pa.list_(pa.int64()))],
+                [b.column("rep").filter(pa.array(own)), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t, combine) if combine else [] for t in sets], pa.list_(pa.int64()))],
                 ["rep", "n", "tokens", "cells"],
             )
 
-    return docs.join(sized(ids.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(run, "rep long, n int, tokens array<long>, cells array<long>")
+    found = docs.join(sized(wanted.select("rep", "doc_id", "d1")), "doc_id").select("rep", "d1", "text")
+    return found.mapInArrow(run, "rep long, n int, tokens array<long>, cells array<long>")
 
 
 def allowance(n: Column, percent: int) -> Column:
@@ -125,83 +136,30 @@ def allowance(n: Column, percent: int) -> Column:
     return F.floor(n * (100 - percent) / 100).cast("int")
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a and b whose sketches don't rule a link out."""
-    found = []
-    for at in range(0, len(a), 32):
-        x = a[at : at + 32].astype(np.int16)
-        gap = np.abs(x[:, None, :] - b.astype(np.int16)[None, :, :]).sum(2, dtype=np.int32)
-        i, j = np.nonzero((100 + percent) * gap <= (100 - percent) * (na[at : at + 32, None] + nb[None, :]))
-        found.append((i + at, j))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
-
-
-def hot_pairs(hot: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Candidates (a, b) of the long lists hot(sig, rep, n)."""
-    own = hot.groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
-    level = F.floor(F.log("n") / level_width(percent)).cast("int")
-    rows = hot.distinct().withColumn("level", level)
-    size = rows.groupBy("sig", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(sized(size), ["sig", "level"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    up = size.select("sig", (F.col("level") - 1).alias("level"), F.col("blocks").alias("above"))
-    rows = rows.join(sized(up), ["sig", "level"], "left")
-    every = lambda n: F.sequence(F.lit(0), n - 1)
-    task = lambda l1, i, l2, j: F.struct(l1.alias("l1"), i.alias("i"), l2.alias("l2"), j.alias("j"))
-    same = F.transform(every(F.col("blocks")), lambda j: task(F.col("level"), F.least(F.col("block"), j), F.col("level"), F.greatest(F.col("block"), j)))
-    above = F.when(F.col("above") > 0, F.transform(every(F.col("above")), lambda j: task(F.col("level"), F.col("block"), F.col("level") + 1, j)))
-    down = size.select("sig", (F.col("level") + 1).alias("level"), F.col("blocks").alias("below"))
-    rows = rows.join(sized(down), ["sig", "level"], "left")
-    below = F.when(F.col("below") > 0, F.transform(every(F.col("below")), lambda j: task(F.col("level") - 1, j, F.col("level"), F.col("block"))))
-    none = F.array().cast("array<struct<l1:int,i:int,l2:int,j:int>>")
-    dealt = rows.select("sig", "rep", "n", "level", "block", F.explode(F.concat(same, F.coalesce(above, none), F.coalesce(below, none))).alias("t")).select("sig", "rep", "n", "level", "block", "t.*")
-    full = dealt.join(sketches, "rep").join(own, "rep")
-
-    def run(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        sig, l1, i, l2, j = key
-        left = ((x["level"] == l1) & (x["block"] == i)).to_numpy()
-        right = ((x["level"] == l2) & (x["block"] == j)).to_numpy()
-        s = np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, SKETCH)
-        n, rep, sigs = x["n"].to_numpy(np.int64), x["rep"].to_numpy(), x["sigs"].tolist()
-        li, ri = np.flatnonzero(left), np.flatnonzero(right)
-        p, q = close_pairs(s[li], s[ri], n[li], n[ri], percent)
-        p, q = li[p], ri[q]
-        keep = rep[p] != rep[q]
-        if (l1, i) == (l2, j):
-            keep &= rep[p] < rep[q]
-        # a pair of several long lists is made in the first of them only
-        pairs = [(min(rep[a], rep[b]), max(rep[a], rep[b])) for a, b in zip(p[keep], q[keep]) if np.intersect1d(sigs[a], sigs[b], assume_unique=True)[0] == sig]
-        return pd.DataFrame(pairs, columns=["a", "b"])
-
-    return full.groupBy("sig", "l1", "i", "l2", "j").applyInPandas(run, "a long, b long")
-
-
-def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
-    """(a, b), a < b: all pairs that may be linked. reps(rep, n, window, sketch)."""
+def index_entries(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, frequent: int) -> DataFrame:
+    """(sig, rep, n, p, last): the keys of each class of reps(rep, doc_id, d1, n, window): single rare tokens and combinations.
+
+    p: how many tokens the prefix has, and last: the last of them; p is 0 where the prefix is the whole of the rare tokens.
+    """
     seen = reps.select("rep", F.explode("window").alias("sig"))
-    often = saved(seen.groupBy("sig").count().where(F.col("count") > frequent).select("sig"))
-    often_small = sized(often)
-    hits = seen.join(often_small, "sig").groupBy("rep").agg(F.collect_set("sig").alias("hits"))
+    often = sized(saved(seen.groupBy("sig").count().where(F.col("count") > frequent).select("sig")))
+    hits = seen.join(often, "sig").groupBy("rep").agg(F.collect_set("sig").alias("hits"))
     none = F.array().cast("array<long>")
     need = allowance(F.col("n"), percent) + 1
     rare = F.array_except("window", F.coalesce("hits", none))
-    marked = saved(reps.join(hits, "rep", "left").select("rep", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy")))
-    hard = saved(whole_sets(docs, marked.where("not easy").select("rep"), shingle, percent))
-    tokens = hard.select("rep", "n", F.explode("tokens").alias("sig"))
-    kept = tokens.join(often_small, "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
-    hard_marked = hard.dropDuplicates(["rep"]).join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", none)).withColumn("very", F.size("rare") < need)
-    easy_entries = marked.where("easy").select("rep", "n", "prefix", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"))
+    marked = saved(reps.join(hits, "rep", "left").select("rep", "doc_id", "d1", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy")))
+    hard = saved(whole_sets(docs, saved(marked.where("not easy").select("rep", "doc_id", "d1")), shingle, percent).dropDuplicates(["rep"]))
+    kept = hard.select("rep", F.explode("tokens").alias("sig")).join(often, "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
+    hard = hard.select("rep", "n", "cells").join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", none)).withColumn("very", F.size("rare") < need)
     cut = F.when(F.col("very"), F.concat("rare", "cells")).otherwise(F.slice("rare", F.lit(1), need))
-    hard_entries = saved(
-        hard_marked.select("rep", "n", "very", cut.alias("prefix")).select(
-            "rep", "n", "prefix", F.when(F.col("very"), 0).otherwise(F.size("prefix")).alias("p"), F.when(F.col("very"), F.lit(2**63 - 1)).otherwise(F.element_at("prefix", -1)).alias("last")
-        )
-    )
-    lists = lambda x: x.select("rep", "n", "p", "last", F.explode("prefix").alias("sig"))
-    hot_sigs = saved(lists(hard_entries).groupBy("sig").count().where(F.col("count") > long).select("sig"))
-    hot_small = sized(hot_sigs)
-    entries = lists(easy_entries).unionByName(lists(hard_entries))
-    hot = saved(entries.join(hot_small, "sig", "left_semi").select("sig", "rep", "n"))
-    cool = entries.join(hot_small, "sig", "left_anti")
+    hard = hard.select("rep", "n", "very", cut.alias("prefix"))
+    easy = marked.where("easy").select("rep", "n", F.lit(False).alias("very"), "prefix")
+    p, last = F.when(F.col("very"), 0).otherwise(F.size("prefix")), F.when(F.col("very"), F.lit(2**63 - 1)).otherwise(F.element_at("prefix", -1))
+    return easy.union(hard).select("rep", "n", p.alias("p"), last.alias("last"), F.explode("prefix").alias("sig"))
+
+
+def pairs_of_short_lists(cool: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: pairs with a common key in the short lists that share as many keys there as the threshold asks, less those that long lists may hold."""
     x, y = cool.alias("x"), cool.alias("y")
     near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
     overlap = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent)).cast("int")
@@ -209,10 +167,10 @@ def candidate_pairs(docs: DataFrame, reps: DataFrame, shingle: int, percent: int
     least = F.when(F.col("x.last") <= F.col("y.last"), F.col("x.p") - F.col("x.n")).otherwise(F.col("y.p") - F.col("y.n")) + overlap
     least = F.when((F.col("x.p") == 0) & (F.col("y.p") == 0), F.lit(0)).otherwise(least)
     shared = x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), least.alias("least")).groupBy("a", "b", "least").count()
-    n_hot = hot.groupBy("rep").count()
-    shared = shared.join(sized(n_hot.select(F.col("rep").alias("a"), F.col("count").alias("ha"))), "a", "left").join(sized(n_hot.select(F.col("rep").alias("b"), F.col("count").alias("hb"))), "b", "left")
-    cool_pairs = shared.where(F.col("count") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= F.col("least")).select("a", "b")
-    return cool_pairs.union(hot_pairs(hot, reps.select("rep", "sketch"), percent)).distinct()
+    n_hot = saved(hot.groupBy("rep").count())
+    of = lambda c: n_hot.select(F.col("rep").alias(c), F.col("count").alias(f"h{c}"))
+    shared = shared.join(sized(of("a")), "a", "left").join(sized(of("b")), "b", "left")
+    return shared.where(F.col("count") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= F.col("least")).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,56 +185,113 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(s) + len(t) - both))
             yield x.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = sets.select("rep", "tokens").dropDuplicates(["rep"])
+    sets = sets.select("rep", "tokens")
     full = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     return full.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def linked_components(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(node, component) over all links among the candidates.
+def joined(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that aren't in one component of nodes(node, component) yet."""
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    Only links that join two components matter. Each round verifies, for every document, some candidates of other
-    components (four times as many each round), joins what is linked, and drops candidates that fell inside a component;
-    it ends when no candidate is left, so that none between two components goes unverified.
+
+def linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """nodes(node, component) with the links among the candidate pairs taken in.
+
+    Only links that join two components matter. Each round verifies, for every class, some candidates of other components
+    (four times as many each round), joins what is linked, and drops candidates that fell inside a component; it ends when
+    no candidate is left, so that none between two components goes unverified.
     """
-    left = saved(pairs)
-    sets = saved(whole_sets(docs, left.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), shingle))
-    take = 1
-    nodes = docs.sparkSession.createDataFrame([], "node long, component long")
+    left, take = saved(joined(pairs, nodes)), 1
     while left.limit(1).count():
         if take == 1:
             some = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         else:
             some = left.withColumn("k", F.expr("row_number() over (partition by b order by a)")).where(F.col("k") <= take).select("a", "b")
         some = saved(some)
-        links = verified(some, sets, percent).toDF("u", "v")
-        nodes = saved(connected_components(nodes.toDF("u", "v").union(links)))
-        rest = left.join(some, ["a", "b"], "left_anti")
-        of = lambda c: nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-        named = rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        left = saved(named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+        nodes = saved(connected_components(nodes.toDF("u", "v").union(verified(some, sets, percent).toDF("u", "v"))))
+        left = saved(joined(left.join(some, ["a", "b"], "left_anti"), nodes))
         take *= 4
     return nodes
 
 
+def sketch_distance(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """The distances of the sketches of each pair: no more than their sets' difference."""
+    x, y = (np.frombuffer(b"".join(s.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for s in (a, b))
+    return np.abs(x - y).sum(1, dtype=np.int32)
+
+
+def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: members of long lists hot(sig, rep, n) with the pivots(sig, rep, n) of their lists, but for pairs that size or sketches rule out.
+
+    A list that a third of all rows are in has its members dealt over salts, and its few pivots repeated for each.
+    """
+    x = hot.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).alias("x")
+    y = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("y")
+    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.rep") != F.col("y.rep")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    sizes = (F.col("x.n") + F.col("y.n")).alias("both")
+    met = x.join(y, near).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), sizes).distinct()
+    of = lambda c: sketches.select(F.col("rep").alias(c), F.col("sketch").alias(f"s{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches):
+            gap = sketch_distance(b.column("sa"), b.column("sb"))
+            yield b.select(["a", "b"]).filter(pa.array((100 + percent) * gap <= (100 - percent) * b.column("both").to_numpy()))
+
+    return met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "both", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def linked_by_long_lists(hot: DataFrame, nodes: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """nodes with the links among the members of the long lists hot(sig, rep, n) taken in.
+
+    Each round compares the members of every list that has several components with pivots: one of the list at first, four
+    times as many each round, taken by a hash that differs from list to list. A pivot has then met all of its list, and
+    leaves it. Pairs are pivots times members, not the square of a list. It ends when no list has members of two
+    components: then each pair of two components has been compared.
+    """
+    pivots_each = 1
+    while True:
+        named = hot.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
+        split = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+        hot = saved(hot.join(split, "sig", "left_semi"))
+        if not hot.limit(1).count():
+            return nodes
+        draw = F.struct(F.xxhash64("rep", "sig").alias("h"), F.col("rep"), F.col("n"))
+        pivots = saved(hot.groupBy("sig", F.pmod(F.xxhash64("sig", "rep", F.lit(pivots_each)), F.lit(pivots_each)).alias("slot")).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n"))
+        nodes = linked(pairs_with_pivots(hot, pivots, sketches, percent), nodes, sets, percent)
+        hot = hot.join(pivots, ["sig", "rep"], "left_anti")
+        pivots_each *= 4
+
+
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, frequent: int = 24, long: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs(doc_id, text).
 
-    Documents are linked where the Jaccard similarity of their distinct word shingles is `percent` / 100 at least; component_id is
-    the smallest doc_id that links lead to, the document's own included. Equal sets are linked as one class, not pair by
+    Rows are linked where the Jaccard similarity of their distinct word shingles is `percent` / 100 at least; component_id is
+    the smallest doc_id that links lead to, the row's own included. Equal sets are linked as one class, not pair by
     pair. Null or wordless texts have no shingles and no links; with fewer words than a shingle has, the whole sequence
-    is the one shingle. Rows with the same doc_id count as one document. Rows without a doc_id are in the component of
-    their equals, if any, else in none (null). Other columns are ignored.
+    is the one shingle. Rows that share a doc_id are rows of their own, each with the links of its own text. Rows without a
+    doc_id are linked with their equals only: without such, component_id is null. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     every = saved(shingled(docs, shingle, percent))
     key = ["n", "d1", "d2"]
-    classes = saved(every.where("doc_id is not null and n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
-    chosen = classes.where(F.col("n") >= least_size(percent)).select(F.col("rep").alias("doc_id"), *[F.col(k).alias(f"c{k}") for k in key])
-    reps = every.join(sized(chosen), "doc_id").where("n = cn and d1 = cd1 and d2 = cd2").select(F.col("doc_id").alias("rep"), "n", "window", "sketch")
-    pairs = candidate_pairs(docs, reps, shingle, percent, frequent, long)
-    nodes = linked_components(docs, pairs, shingle, percent)
-    named = saved(classes.join(nodes.select(F.col("node").alias("rep"), "component"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id")))
+    classes = saved(every.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()))
+    # of each class, one row of its first doc_id stands for it; sets too small for links with others stay out
+    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), *key, "rep")
+    reps = saved(every.join(wanted, ["doc_id", *key]).select("rep", "doc_id", "d1", "n", "window", "sketch").dropDuplicates(["rep"]))
+    entries = saved(index_entries(docs, reps, shingle, percent, frequent))
+    long_sigs = sized(saved(entries.groupBy("sig").count().where(F.col("count") > long).select("sig")))
+    hot = saved(entries.join(long_sigs, "sig", "left_semi").select("sig", "rep", "n").distinct())
+    pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), hot, percent))
+    met = saved(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(hot.select("rep")).distinct())
+    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle).dropDuplicates(["rep"]))
+    nodes = linked(pairs, docs.sparkSession.createDataFrame([], "node long, component long"), sets, percent)
+    nodes = linked_by_long_lists(hot, nodes, sets, reps.select("rep", "sketch"), percent)
+    named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = saved(named.join(least, "component").select(*key, "component_id"))
     same = [F.col(f"e.{k}") == F.col(f"k.{k}") for k in key]
     return every.alias("e").join(named.alias("k"), same, "left").select(
         "doc_id", F.col("e.n").cast("long").alias("n_shingles"), F.when(F.col("e.n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")

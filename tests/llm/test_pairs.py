@@ -17,29 +17,68 @@ from genospark.llm.queries import QUERIES
 from genospark.llm.vector_search import nearest
 
 
+WORDS = ["".join(random.Random(i).choices("abcdefghij", k=3 + i % 5)) for i in range(600)]
+
+
+def prose(seed, n=60):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
 def brute_components(rows, size, percent):
-    sets = {}
-    for i, t in rows:
+    """[(doc_id, size of the set, component)] of the rows, each a node of its own, named by the smallest doc_id."""
+    sets, of = [], list(range(len(rows)))
+    for _, t in rows:
         w = (t or "").encode().lower().split()
-        sets[i] = frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
-    ids, of = sorted(sets), {i: i for i in sets}
-    for a in ids:
-        for b in ids:
-            if a < b and sets[a] and sets[b]:
+        sets.append(frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else []))
+    for a in range(len(rows)):
+        for b in range(a):
+            if of[a] != of[b] and sets[a] and sets[b]:
                 both = len(sets[a] & sets[b])
-                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both) and of[a] != of[b]:
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     x, y = sorted((of[a], of[b]))
-                    of = {k: x if v == y else v for k, v in of.items()}
-    return {i: (len(sets[i]), of[i]) for i in ids}
+                    of = [x if v == y else v for v in of]
+    least = {}
+    for (i, _), c in zip(rows, of):
+        least[c] = min(i, least.get(c, i))
+    return sorted((i, len(s), least[c]) for (i, _), s, c in zip(rows, sets, of))
+
+
+def components(df):
+    return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect())
 
 
 @pytest.mark.parametrize("size,percent,frequent,long", [(3, 90, 24, 64), (2, 80, 1, 2)])
 def test_jaccard(spark, docs, size, percent, frequent, long):
     """Also with so small classes that combinations and blocks are needed."""
     want = brute_components([(r["doc_id"], r["text"]) for r in docs.collect()], size, percent)
-    got = jaccard_components(docs, size, percent, frequent, long).collect()
-    assert len(got) == docs.count()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert components(jaccard_components(docs, size, percent, frequent, long)) == want
+
+
+@pytest.mark.parametrize("frequent,long", [(24, 64), (1, 2)])
+def test_jaccard_repeated_ids(spark, frequent, long):
+    """Rows of one doc_id with different texts keep the links of each."""
+    x, y = prose(50, 61), prose(51, 61)
+    rows = [(1, x), (1, y), (1, y), (5, y + " z"), (6, x + " q"), (6, prose(52, 61)), (7, y), (7, "a b c")]
+    got = components(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, frequent, long))
+    assert got == brute_components(rows, 3, 90) and (5, 60, 1) in got and (6, 60, 1) in got
+
+
+def test_jaccard_large_group_makes_few_pairs(spark, monkeypatch):
+    """A group of near copies: what is verified grows with the group, not with its square."""
+    from genospark.llm import jaccard_join as J
+
+    verified, seen = J.verified, []
+    monkeypatch.setattr(J, "verified", lambda pairs, *a: (seen.append(pairs.count()), verified(pairs, *a))[1])
+    r, base = random.Random(8), prose(60, 80).split()
+    rows = []
+    for i in range(3000):
+        x = base[:]
+        for _ in range(3):
+            x[r.randrange(80)] = f"e{r.randrange(10**6)}"
+        rows.append((i, " ".join(x)))
+    got = components(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 70))
+    assert {c for _, _, c in got} == {0} and sum(seen) < 20 * len(rows)
 
 
 def test_jaccard_cloud_of_near_copies(spark):
@@ -53,8 +92,7 @@ def test_jaccard_cloud_of_near_copies(spark):
             x[r.randrange(60)] = word()
         rows.append((i, " ".join(x)))
     rows += [(100 + i, " ".join(base[:40] + [word() for _ in range(12)])) for i in range(30)]
-    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, 2, 4).collect()
-    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute_components(rows, 3, 80)
+    assert components(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, 2, 4)) == brute_components(rows, 3, 80)
 
 
 def test_jaccard_empty(spark, docs):
@@ -226,7 +264,7 @@ def test_pipeline(spark):
         sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > sizes[0] // 2
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert all(i == c for i, (_, c) in brute_components(rows, 5, 80).items())
+    assert all(i == c for i, _, c in brute_components(rows, 5, 80))
     assert {r["doc_id"] for r in C.run(spark, sf).collect()} == {i for i, _ in rows}
 
 
