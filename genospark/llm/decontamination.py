@@ -2,15 +2,20 @@
 
 Passages are all windows of a document's words. The index holds, for each term, its items in blocks with the largest
 impact of each block. What a passage has of an item's rarest terms bounds what the item can score there; where no bound
-reaches the threshold the passage is done, else lists are merged and blocks skipped by their own bounds. Every item above the threshold is then verified on the whole
-document: its question (the text but for its last fifth) and its answer (the rest) must both be there, as word n-grams
-or, but for a few edits, as words in order.
+reaches the threshold the passage is done, else lists are merged and blocks skipped by their own bounds. Every item above
+the threshold is then verified on the whole document: its question (the text but for its last fifth) and its answer (the
+rest) must both be there, as word n-grams or, but for a few edits, as words in order.
+
+Document frequencies, the number of items, their mean length and the passage width are those of all items; the index is
+built from them in tasks, a shard each, so that scores don't depend on how many shards there are.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -19,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import Words, mix, parts, slices, words
+from .tables import saved
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-SHARD_BYTES = 32 << 20  # of item text in one index
+SHARD_BYTES = 16 << 20  # of item text in one index, on average
 
 
 @dataclass
@@ -87,29 +93,25 @@ def given_away(shares: list[float], lengths: list[int], overlap: float) -> bool:
     return enough and sum(s * n for s, n in zip(shares, lengths)) >= overlap * sum(lengths) - 1e-9
 
 
-def item_words(texts: list[str]) -> list[np.ndarray]:
-    """The hashes of each text's words, without punctuation at their ends."""
-    out = []
-    for a, z, data, bounds in slices(pa.array(texts, pa.large_string())):
-        w = words(data, bounds).bare()
-        h = w.hashes()[0]
-        out += [h[w.first[d] : w.first[d + 1]] for d in range(z - a)]
-    return out
+@dataclass
+class Statistics:
+    """Of all items: their number, mean length in words, and the length of the longest."""
+
+    n: int
+    mean: float
+    longest: int
 
 
-def build_index(ids: list[int], texts: list[str], size: int, threshold: float) -> Index:
-    """The index of some items. BM25 statistics are those of the items themselves."""
-    sequences = item_words(texts)
+def build_index(ids: np.ndarray, sequences: list[np.ndarray], terms: np.ndarray, df: np.ndarray, of_all: Statistics, size: int, threshold: float) -> Index:
+    """The index of some items, given as hashes of their words. terms: their sorted terms, df: the number of items, of all, that hold each."""
     lengths = np.array([len(s) for s in sequences], np.float64)
-    average = max(lengths.mean(), 1.0) if len(lengths) else 1.0
-    flat = np.concatenate(sequences) if sequences else np.zeros(0, np.uint64)
+    flat = np.concatenate([*sequences, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(sequences)), lengths.astype(int))
-    terms, code = np.unique(flat, return_inverse=True)
+    code = np.searchsorted(terms, flat)
     pair, count = np.unique(code.astype(np.int64) * max(len(sequences), 1) + owner, return_counts=True)
     term, item = pair // max(len(sequences), 1), pair % max(len(sequences), 1)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(sequences) - df + 0.5) / (df + 0.5))
-    weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[item] / average))
+    idf = np.log(1 + (of_all.n - df + 0.5) / (df + 0.5))
+    weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[item] / max(of_all.mean, 1.0)))
     weight = weight / np.bincount(item, weight, len(sequences))[item]
     at = np.searchsorted(term, np.arange(len(terms) + 1))
     top = np.zeros(len(terms))
@@ -122,7 +124,45 @@ def build_index(ids: list[int], texts: list[str], size: int, threshold: float) -
     rest = np.bincount(item[~rare], weight[~rare], len(sequences))
     rare_at = np.concatenate([[0], np.cumsum(rare)])[at]
     cut = [max(len(s) - max(len(s) // 5, min(len(s), size)), 0) for s in sequences]
-    return Index(np.array(ids), terms, at, item, weight, top, rare_at, item[rare], weight[rare], rest, [part(s[:c], size) for s, c in zip(sequences, cut)], [part(s[c:], size) for s, c in zip(sequences, cut)])
+    return Index(ids, terms, at, item, weight, top, rare_at, item[rare], weight[rare], rest, [part(s[:c], size) for s, c in zip(sequences, cut)], [part(s[c:], size) for s, c in zip(sequences, cut)])
+
+
+def item_rows(items: DataFrame) -> DataFrame:
+    """(item_no, item_id, n, words): the items with words, numbered, with the hashes of their words without punctuation at the ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches):
+            found: list[np.ndarray] = []
+            for a, z, data, bounds in slices(b.column("text")):
+                w = words(data, bounds).bare()
+                h = w.hashes()[0].view(np.int64)
+                found += [h[w.first[d] : w.first[d + 1]] for d in range(z - a)]
+            yield pa.RecordBatch.from_arrays([b.column("item_no"), b.column("item_id"), pa.array([len(x) for x in found], pa.int32()), pa.array(found, pa.list_(pa.int64()))], ["item_no", "item_id", "n", "words"])
+
+    kind = dict(items.dtypes)["item_id"]
+    numbered = items.where("item_id is not null and text is not null").select(F.monotonically_increasing_id().alias("item_no"), "item_id", F.lower(F.col("text").cast("string")).alias("text"))
+    return saved(numbered.mapInArrow(run, f"item_no long, item_id {kind}, n int, words array<long>").where("n > 0"))
+
+
+def index_shards(rows: DataFrame, of_all: Statistics, size: int, threshold: float, shard_bytes: int) -> DataFrame:
+    """(shard, index): an index of each shard of item_rows, built in a task and pickled.
+
+    Items are dealt by a hash; a shard has about shard_bytes of text, six bytes a word.
+    """
+    n_shards = max(1, ceil(of_all.n * of_all.mean * 6 / shard_bytes))
+    dealt = rows.select(F.pmod(F.xxhash64("item_no"), F.lit(n_shards)).alias("shard"), "item_no", "words")
+    terms = dealt.select("shard", F.explode(F.array_distinct("words")).alias("term")).groupBy("term", "shard").agg(F.count("*").alias("n"))
+    df = terms.groupBy("term").agg(F.sum("n").alias("df"), F.collect_list("shard").alias("shards")).select(F.explode("shards").alias("shard"), "term", "df")
+
+    def build(key: tuple, items: pd.DataFrame, df: pd.DataFrame) -> pd.DataFrame:
+        items = items.sort_values("item_no")
+        terms = df["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        sequences = [np.asarray(w, np.int64).view(np.uint64) for w in items["words"]]
+        index = build_index(items["item_no"].to_numpy(np.int64), sequences, terms[order], df["df"].to_numpy(np.float64)[order], of_all, size, threshold)
+        return pd.DataFrame({"shard": [key[0]], "index": [pickle.dumps(index)]})
+
+    return saved(dealt.groupBy("shard").cogroup(df.groupBy("shard")).applyInPandas(build, "shard long, index binary"))
 
 
 def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -211,73 +251,67 @@ def passages(index: Index, w: Words, hashes: np.ndarray, width: int, threshold:
     return [tuple(x) for x in np.unique(found, axis=0).tolist()]
 
 
-def item_shards(items: DataFrame) -> list[tuple[list[int], list[str]]]:
-    """The items in shards of at most SHARD_BYTES of text, which bounds what a task holds of an index. Test sets are small: all their items pass through the driver."""
-    out, size = [([], [])], 0
-    for r in items.where("item_id is not null and text is not null and text <> ''").select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        if size + len(r["text"]) > SHARD_BYTES and out[-1][0]:
-            out.append(([], []))
-            size = 0
-        out[-1][0].append(r["item_id"])
-        out[-1][1].append(r["text"])
-        size += len(r["text"])
-    return out
-
-
-def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, threshold: float = 0.6, shingle: int = 5, overlap: float = 0.8) -> DataFrame:
+def in_documents(index: Index, w: Words, width: int, threshold: float, overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
+    """(text, item, score, question_overlap, answer_overlap) of the items that texts give away; item by its place in the index."""
+    h = w.hashes()[0]
+    best: dict[tuple[int, int], float] = {}
+    for text, start, end in passages(index, w, h, width, threshold):
+        unique = np.unique(h[start:end])
+        place = np.minimum(np.searchsorted(index.terms, unique), len(index.terms) - 1)
+        known = place[index.terms[place] == unique]
+        if index.top[known].sum() < threshold - 1e-9:
+            continue
+        for item, score in wand(index, known, threshold):
+            best[text, item] = max(score, best.get((text, item), 0.0))
+    whole: dict[tuple[int, int], np.ndarray] = {}
+    for (text, item), score in best.items():
+        own = h[w.first[text] : w.first[text + 1]]
+        shares, lengths = [], []
+        for sequence, size, wanted in (index.question[item], index.answer[item]):
+            if (text, size) not in whole:
+                whole[text, size] = grams(own, size)
+            share = float(np.isin(wanted, whole[text, size]).mean()) if size else 1.0
+            shares.append(share if share == 1 else max(share, in_order(sequence, own)))
+            lengths.append(len(sequence))
+        if given_away(shares, lengths, overlap):
+            yield text, item, score, shares[0], shares[1]
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int | None = None, threshold: float = 0.6, shingle: int = 5, overlap: float = 0.8, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): every document and item that it gives away.
 
-    docs(doc_id, text) against items(item_id, text). score: the item's best BM25 score in a passage of `width` words,
-    over the score of the item's own text, so that 1 is the whole item. Retrieved are all items with a score of
-    `threshold`; reported are those of which at least `overlap` of the question and of the answer are in the document: of
-    its `shingle`-word n-grams, or of its words in order, whichever is more. A part of fewer than five words may lack one,
-    if `overlap` of the whole item is there. By default passages are as wide as the longest item; of items longer than a given `width`
-    a passage holds a part, with a lower score.
-
-    Null or empty documents give nothing; null or empty items are in nothing. A document row is reported for itself, so
-    that repeated rows repeat; repeated item_ids are items of their own. Other columns are ignored. Each document is read
-    once for every shard of SHARD_BYTES of item text.
+    docs(doc_id, text) against items(item_id, text), ids of any type. score: the item's best BM25 score in a passage, over
+    the score of the item's own text, so that 1 is the whole item. Windows have `width` words, by default as many as the
+    longest item; a passage takes in the windows with the same of an item's rarest terms, which are under twice as many
+    words. Retrieved are all items with a score of `threshold`; reported are those of which at least `overlap` of the
+    question and of the answer are in the document: of its `shingle`-word n-grams, or of its words in order, whichever is
+    more. A part of fewer than five words may lack one, if `overlap` of the whole item is there.
+
+    Null or empty documents give nothing; null or empty items, and items without an id, are in nothing. A document row is
+    reported for itself, so that repeated rows repeat; repeated item_ids are items of their own; a null doc_id is kept.
+    Other columns are ignored; an empty table on either side gives no rows. Documents are read once for every index of
+    `shard_bytes` of item text (all public test sets together are smaller), which bounds what a task and the driver hold.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
-    items = items.select("item_id", F.lower(F.col("text").cast("string")).alias("text"))
-    context = docs.sparkSession.sparkContext
-    kinds = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
-    out = None
-    for ids, texts in item_shards(items):
-        held = context.broadcast((build_index(ids, texts, shingle, threshold), width or max([1, *(len(t.split()) for t in texts)])))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pd.DataFrame]:
-            index, wide = held.value
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = item_rows(items.select("item_id", "text"))
+    n, mean, longest = rows.agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    of_all = Statistics(n, mean, longest)
+    schema = f"doc_id {kind}, item_no long, score double, question_overlap double, answer_overlap double"
+    found = spark.createDataFrame([], schema)
+    shards = index_shards(rows, of_all, shingle, threshold, shard_bytes)
+    for shard in sorted(r["shard"] for r in shards.select("shard").collect()):
+        # one at a time: the driver holds the bytes of one index only
+        held = spark.sparkContext.broadcast(bytes(shards.where(F.col("shard") == shard).first()["index"]))
+
+        def run(batches: Iterator[pa.RecordBatch], held=held, wide=width or max(longest, 1)) -> Iterator[pa.RecordBatch]:
+            index = pickle.loads(held.value)
             for b in parts(batches):
-                rows, doc_ids = [], b.column("doc_id")
-                for a, _, data, bounds in slices(b.column("text")):
-                    w = words(data, bounds).bare()
-                    h = w.hashes()[0]
-                    best: dict[tuple[int, int], float] = {}
-                    for text, start, end in passages(index, w, h, wide, threshold):
-                        unique = np.unique(h[start:end])
-                        place = np.searchsorted(index.terms, unique)
-                        known = place[(place < len(index.terms)) & (index.terms[np.minimum(place, len(index.terms) - 1)] == unique)]
-                        if index.top[known].sum() < threshold:
-                            continue
-                        for item, score in wand(index, known, threshold):
-                            best[text, item] = max(score, best.get((text, item), 0.0))
-                    whole: dict[tuple[int, int], np.ndarray] = {}
-                    for (text, item), score in best.items():
-                        own = h[w.first[text] : w.first[text + 1]]
-                        shares, lengths = [], []
-                        for sequence, size, wanted in (index.question[item], index.answer[item]):
-                            if (text, size) not in whole:
-                                whole[text, size] = grams(own, size)
-                            share = float(np.isin(wanted, whole[text, size]).mean()) if size else 1.0
-                            shares.append(share if share == 1 else max(share, in_order(sequence, own)))
-                            lengths.append(len(sequence))
-                        if given_away(shares, lengths, overlap):
-                            rows.append((doc_ids[a + text].as_py(), index.ids[item].item(), score, *shares))
-                x = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-                yield pa.RecordBatch.from_arrays([pa.array(x[c].tolist(), t) for c, t in zip(x.columns, (b.schema.field("doc_id").type, pa.int64(), pa.float64(), pa.float64(), pa.float64()))], list(x.columns))
-
-        found = docs.mapInArrow(run, schema.replace(f"item_id {kinds[1]}", "item_id long"))
-        out = found if out is None else out.unionByName(found)
-    return out
+                got = [(a + x[0], int(index.ids[x[1]]), *x[2:]) for a, _, data, bounds in slices(b.column("text")) for x in in_documents(index, words(data, bounds).bare(), wide, threshold, overlap)]
+                columns = [list(c) for c in zip(*got)] or [[]] * 5
+                numbers = [pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(columns[0], pa.int64())), *numbers], ["doc_id", "item_no", "score", "question_overlap", "answer_overlap"])
+
+        found = found.unionByName(docs.mapInArrow(run, schema))
+    return found.join(rows.select("item_no", "item_id"), "item_no").select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")

@@ -7,6 +7,7 @@ import pytest
 from compare import rows_of, sql_rows
 from compare import DATA
 
+from genospark.llm import bytetext as B
 from genospark.llm import decontamination as D
 from genospark.llm import oracle
 from genospark.llm.components import connected_components
@@ -144,21 +145,77 @@ def test_contamination_of_edited_copies(spark, n):
     assert got == [(i, 0) for i in range(len(near))]
 
 
+def hashed(texts):
+    data = " ".join(texts).encode()
+    w = B.words(np.frombuffer(data, np.uint8), np.cumsum([0, *(len(t.encode()) + 1 for t in texts[:-1]), len(texts[-1].encode())]))
+    h = w.bare().hashes()[0]
+    return [h[w.first[i] : w.first[i + 1]] for i in range(len(texts))]
+
+
+def index_of(texts, size, threshold):
+    """The index of texts by themselves."""
+    sequences = hashed(texts)
+    terms, df = np.unique(np.concatenate([np.unique(s) for s in sequences]), return_counts=True)
+    of_all = D.Statistics(len(texts), float(np.mean([len(s) for s in sequences])), max(map(len, sequences)))
+    return D.build_index(np.arange(len(texts)), sequences, terms, df.astype(float), of_all, size, threshold)
+
+
+def brute_scores(index, terms, n):
+    score = np.zeros(n)
+    for t in np.unique(terms):
+        a, z = index.at[t], index.at[t + 1]
+        score[index.item[a:z]] += index.impact[a:z]
+    return score
+
+
 def test_wand_against_all_scores():
     r = random.Random(5)
     vocabulary = [f"t{i}" for i in range(60)]
-    index = D.build_index(list(range(300)), [" ".join(r.choices(vocabulary, k=r.randrange(3, 12))) for _ in range(300)], 5, 0.3)
+    index = index_of([" ".join(r.choices(vocabulary, k=r.randrange(3, 12))) for _ in range(300)], 5, 0.3)
     for _ in range(40):
-        terms = np.sort(r.choices(range(len(index.terms)), k=12))
-        terms = np.unique(terms)
-        score = np.zeros(300)
-        for t in terms:
-            a, z = index.at[t], index.at[t + 1]
-            score[index.item[a:z]] += index.impact[a:z]
+        terms = np.unique(r.choices(range(len(index.terms)), k=12))
+        score = brute_scores(index, terms, 300)
         got = dict(D.wand(index, terms, 0.4))
         assert set(got) == set(np.flatnonzero(score >= 0.4 - 1e-12)) and all(abs(got[i] - score[i]) < 1e-9 for i in got)
 
 
+def test_passages_against_all_windows():
+    """Every window of every text in which an item reaches the threshold lies in a passage; long texts, ties and items that share words too."""
+    r = random.Random(6)
+    vocabulary = [f"t{i}" for i in range(40)]
+    items = [" ".join(r.choices(vocabulary, k=r.randrange(3, 9))) for _ in range(40)] + ["t1 t2 t3"] * 2
+    index, width = index_of(items, 5, 0.6), 8
+    texts = [" ".join(r.choices(vocabulary, k=k)) for k in (3, 30, 400)] + [" ".join(["pad"] * 50 + items[0].split() + ["pad"] * 50)]
+    data = "".join(texts).encode()
+    w = B.words(np.frombuffer(data, np.uint8), np.cumsum([0, *(len(t) for t in texts)])).bare()
+    h = w.hashes()[0]
+    made = D.passages(index, w, h, width, 0.6)
+    place = {int(t): i for i, t in enumerate(index.terms)}
+    hits = 0
+    for t in range(len(texts)):
+        for a in range(w.first[t], w.first[t + 1]):
+            z = min(a + width, w.first[t + 1])
+            known = [place[int(x)] for x in h[a:z] if int(x) in place]
+            reached = np.flatnonzero(brute_scores(index, known, len(items)) >= 0.6 + 1e-9) if known else []
+            for i in reached:
+                hits += 1
+                inside = [(x, y) for u, x, y in made if u == t and x <= a + 1e9 and min(y, z) > max(x, a)]
+                assert any(brute_scores(index, [place[int(q)] for q in h[x:y] if int(q) in place], len(items))[i] >= 0.6 - 1e-9 for x, y in inside)
+    assert hits > 50 and all(y - x < 2 * width for _, x, y in made)
+
+
+def test_contamination_does_not_depend_on_shards(spark):
+    """Ids of text, one shard or many: the same rows and scores."""
+    r = random.Random(9)
+    items = [(f"q{i}", prose(200 + i, 20)) for i in range(30)] + [("q0", prose(200, 20)), (None, "x y z"), ("empty", " ")]
+    texts = [prose(400 + i, 50) + " " + items[r.randrange(30)][1] + " " + prose(500 + i, 400) for i in range(40)]
+    docs = spark.createDataFrame([(f"d{i}", t, 1.0) for i, t in enumerate(texts)] + [(None, items[3][1], 0.0)], "doc_id string, text string, score double")
+    table = spark.createDataFrame(items, "item_id string, text string")
+    rows = lambda **o: sorted((x["doc_id"] or "", x["item_id"], round(x["score"], 9)) for x in D.contamination(docs, table, **o).collect())
+    one = rows()
+    assert one == rows(shard_bytes=600) and len({d for d, _, _ in one}) == 41 and ("", "q3", 1.0) in one
+
+
 def brute_nearest(rows, k):
     out = {}
     ok = [(i, np.array(v, float)) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
