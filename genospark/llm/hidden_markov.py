@@ -1,8 +1,12 @@
 """A hidden Markov language model: trained by Baum-Welch, with counts added up over all blocks of documents.
 
-The states emit word classes: each of the most frequent words is a class of its own, other words fall into classes by the
-hash of their last bytes. A class emits its words by their counts in the training texts, one more for words never seen.
-The probability of a text is the sum over all state paths, by the scaled forward recursion.
+The states emit words: each of the most frequent words by itself; other words fall into classes by the hash of their last
+bytes, and a class emits its words by their counts in the training texts, one more for words never seen. The probability of
+a text is the sum over all state paths, by the scaled forward recursion; training takes expectations over whole texts.
+
+Long texts are cut into windows that are worked on together. A window's transfer matrix, the product of its steps, carries
+the forward variables from its first to its last token and the backward ones the other way, so that the windows' ends are
+those of the recursion over the whole text, and no result depends on the cut.
 
 Texts are tokenised once into blocks of local word numbers. A word's count, a sum over all blocks, comes back to each
 block by a shuffle of the blocks' distinct words; no table of words goes to the driver or to all executors, but for the
@@ -24,9 +28,10 @@ from pyspark.sql import functions as F
 
 from .tables import saved
 
-BLOCK_TOKENS = 1 << 22
-TAIL = 64  # classes of words outside the head
-WINDOW = 256  # tokens of a text that the E-step takes together
+BLOCK_TOKENS = 1 << 21
+TAIL = 1024  # classes of words outside the head
+WINDOW = 512  # tokens in a window
+ROWS = 2048  # windows worked on together
 
 
 @dataclass
@@ -146,115 +151,156 @@ def initial(states: int, weights: np.ndarray, seed: int = 7) -> Model:
     return Model(norm(noise(states)), norm(noise(states, states) + 3 * states * np.eye(states)), norm(noise(states, len(weights)) * weights))
 
 
-def windows(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows of WINDOW classes, their lengths, whether each begins a text), the longest rows first."""
-    ends = np.cumsum(lengths)
-    n = -(-lengths // WINDOW)
+@dataclass
+class Windows:
+    """Texts in windows, those of one text one behind the other; by them, `prior`: the states' distribution before the
+    window's first token, `before`: that after the token before it, and `after`: the backward variables at its end."""
+
+    classes: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    inner: np.ndarray
+    text: np.ndarray
+    prior: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
+
+    def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+        """(windows, their classes, the number of them with more than t tokens for each t), the longest first."""
+        yield from _batches(self.classes, self.start, self.size, np.arange(len(self.size)))
+
+
+def _batches(classes: np.ndarray, start: np.ndarray, size: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+    chosen = chosen[np.argsort(-size[chosen], kind="stable")]
+    for a in range(0, len(chosen), ROWS):
+        some = chosen[a : a + ROWS]
+        n = size[some]
+        at = np.minimum(start[some][:, None] + np.arange(int(n[0])), len(classes) - 1)
+        yield some, classes[at], [int(np.searchsorted(-n, -t, "left")) for t in range(int(n[0]))]
+
+
+def windowed(model: Model, classes: np.ndarray, lengths: np.ndarray, window: int) -> Windows:
+    """The windows of some texts, with the forward and backward variables of the whole texts at their ends."""
+    s = len(model.start)
+    n = -(-lengths // window)
     text = np.repeat(np.arange(len(lengths)), n)
     inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    start = (ends - lengths)[text] + inner * WINDOW
-    size = np.minimum(lengths[text] - inner * WINDOW, WINDOW)
-    order = np.argsort(-size, kind="stable")
-    start, size, inner = start[order], size[order], inner[order]
-    at = np.minimum(start[:, None] + np.arange(WINDOW), len(classes) - 1)
-    return classes[at], size, inner == 0
-
-
-def expectations(model: Model, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions over some texts, and their log likelihood (natural), by scaled forward-backward.
-
-    Long texts are taken in windows, each after the first starting from the mean of the states' moves.
-    """
+    start = (np.cumsum(lengths) - lengths)[text] + inner * window
+    size = np.minimum(lengths[text] - inner * window, window)
+    w = Windows(classes, start, size, inner, text, np.tile(model.start, (len(text), 1)), np.zeros((len(text), s)), np.ones((len(text), s)))
+    many = np.flatnonzero(n[text] > 1)
+    if not len(many):
+        return w
+    emit = np.ascontiguousarray(model.emit.T)
+    transfer = np.zeros((len(text), s, s))
+    for some, x, alive in _batches(classes, start, size, many):
+        # from the states of the token before the window (for a text's first, of its first token) to those of its last
+        m = np.where((inner[some] == 0)[:, None, None], np.eye(s), model.move) * emit[x[:, 0]][:, None, :]
+        for t in range(1, x.shape[1]):
+            k = alive[t]
+            m[:k] = (m[:k].reshape(-1, s) @ model.move).reshape(k, s, s) * emit[x[:k, t]][:, None, :]
+            if t % 8 == 0:
+                m[:k] /= m[:k].max((1, 2), keepdims=True)
+        transfer[some] = m / m.max((1, 2), keepdims=True)
+    first, last = np.cumsum(n) - n, np.cumsum(n) - 1
+    for k in range(1, int(n.max())):
+        at = first[n > k] + k
+        a = np.einsum("bi,bij->bj", w.before[at - 1] if k > 1 else np.broadcast_to(model.start, (len(at), s)), transfer[at - 1])
+        w.before[at] = a / a.sum(1, keepdims=True)
+        w.prior[at] = w.before[at] @ model.move
+        at = last[n > k] - k
+        b = np.einsum("bij,bj->bi", transfer[at + 1], w.after[at + 1])
+        w.after[at] = b / b.sum(1, keepdims=True)
+    return w
+
+
+def expectations(model: Model, classes: np.ndarray, lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions over some whole texts, and their log likelihood (natural), by scaled forward-backward."""
     s, k = model.emit.shape
     starts, moves, emits, total = np.zeros(s), np.zeros((s, s)), np.zeros((k, s)), 0.0
-    later = np.full(s, 1 / s)
-    for _ in range(50):
-        later = later @ model.move
     move = model.move.astype(np.float32)
     emit = np.ascontiguousarray(model.emit.T, np.float32)
-    rows, size, begins = windows(classes, lengths)
-    for a in range(0, len(rows), 2048):
-        x, n = rows[a : a + 2048], size[a : a + 2048]
-        t_max = int(n[0])
-        alive = [int(np.searchsorted(-n, -t, "left")) for t in range(t_max)]  # rows with more than t tokens
+    w = windowed(model, classes, lengths, window)
+    for some, x, alive in w.batches():
+        begins = w.inner[some] == 0
         alpha, scale = [], []
-        prior = np.where(begins[a : a + 2048][:, None], model.start, later).astype(np.float32)
-        for t in range(t_max):
-            m = alive[t]
-            f = (prior if t == 0 else alpha[-1][:m] @ move) * emit[x[:m, t]]
+        for t, m in enumerate(alive):
+            f = (w.prior[some].astype(np.float32) if t == 0 else alpha[-1][:m] @ move) * emit[x[:m, t]]
             c = f.sum(1, keepdims=True)
             alpha.append(f / c)
             scale.append(c)
             total += float(np.log(c).sum())
-        beta = np.ones((alive[-1], s), np.float32)
+        ends = w.after[some].astype(np.float32)
+        beta = np.zeros((0, s), np.float32)
         gammas, columns = [], []
-        for t in range(t_max - 1, -1, -1):
-            gamma = alpha[t] * beta
-            gamma /= gamma.sum(1, keepdims=True)
+        for t in range(len(alive) - 1, -1, -1):
+            if len(beta) < alive[t]:  # windows that end here; alpha times beta sums to 1 from here on
+                new = ends[len(beta) : alive[t]]
+                beta = np.concatenate([beta, new / (alpha[t][len(beta) :] * new).sum(1, keepdims=True)])
             column = x[: alive[t], t]
-            gammas.append(gamma)
+            gammas.append(alpha[t] * beta)
             columns.append(column)
+            right = emit[column] * beta / scale[t]
             if t == 0:
-                starts += gamma[begins[a : a + 2048]].sum(0)
+                starts += gammas[-1][begins].sum(0)
+                moves += move * (w.before[some][~begins].astype(np.float32).T @ right[~begins])
                 break
-            right = emit[column] * beta / scale[t]
             moves += move * (alpha[t - 1][: alive[t]].T @ right)
-            back = np.ones((alive[t - 1], s), np.float32)
-            back[: alive[t]] = right @ move.T
-            beta = back
+            beta = right @ move.T
         column = np.concatenate(columns)
+        gamma = np.concatenate(gammas)
         for i in range(s):
-            emits[:, i] += np.bincount(column, np.concatenate([g[:, i] for g in gammas]), k)
+            emits[:, i] += np.bincount(column, gamma[:, i], k)
     return starts, moves, emits, total
 
 
-def likelihoods(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def likelihoods(model: Model, classes: np.ndarray, lengths: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """The exact log10 likelihood of each text's whole class sequence, by the scaled forward recursion."""
-    order = np.argsort(-lengths, kind="stable")
-    n = lengths[order]
-    start = (np.cumsum(lengths) - lengths)[order]
     emit = np.ascontiguousarray(model.emit.T)
-    out = np.zeros(len(n))
-    alpha = np.tile(model.start, (len(n), 1))
-    short = -n
-    for t in range(int(n[0]) if len(n) else 0):
-        m = int(np.searchsorted(short, -t, "left"))
-        f = (alpha[:m] if t == 0 else alpha[:m] @ model.move) * emit[classes[start[:m] + t]]
-        c = f.sum(1)
-        out[:m] += np.log10(c)
-        alpha = f / c[:, None]
-    result = np.zeros(len(n))
-    result[order] = out
-    return result
+    w = windowed(model, classes, lengths, window)
+    out = np.zeros(len(w.size))
+    for some, x, alive in w.batches():
+        alpha, log = w.prior[some], np.zeros(len(some))
+        for t, m in enumerate(alive):
+            f = (alpha if t == 0 else alpha[:m] @ model.move) * emit[x[:m, t]]
+            c = f.sum(1)
+            log[:m] += np.log10(c)
+            alpha = f / c[:, None]
+        out[some] = log
+    return np.bincount(w.text, out, len(lengths))
 
 
 def trained(blocks: DataFrame, n_classes: int, weights: np.ndarray, states: int, rounds: int) -> Model:
     """Baum-Welch: each round a pass over all blocks, whose expected counts are summed by Spark; the driver gets one table of states x classes."""
     model = initial(states, weights)
     context = blocks.sparkSession.sparkContext
+    names = [f"s{i}" for i in range(states)]
+    schema = ", ".join(["j int", *[f"{c} double" for c in names]])
     for _ in range(rounds):
         held = context.broadcast(model)
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             m = held.value
-            total = np.zeros((states, 1 + states + n_classes))
+            total = np.zeros((1 + states + n_classes, states))
             for b in batches:
                 for classes, lengths, out in zip(b["classes"], b["length"], b["held"]):
                     x, n, learn = np.frombuffer(classes, np.int16), np.asarray(lengths, np.int64), ~np.asarray(out, bool)
                     if learn.any():
                         starts, moves, emits, _ = expectations(m, x[np.repeat(learn, n)], n[learn])
-                        total += np.hstack([starts[:, None], moves, emits.T])
-            yield pd.DataFrame({"state": np.repeat(np.arange(states), total.shape[1]), "j": np.tile(np.arange(total.shape[1]), states), "v": total.ravel()})
-
-        table = np.zeros((states, 1 + states + n_classes))
-        for r in blocks.mapInPandas(run, "state int, j int, v double").groupBy("state", "j").agg(F.sum("v").alias("v")).collect():
-            table[r["state"], r["j"]] = r["v"]
-        starts, moves, emits = table[:, 0] + 1e-3, table[:, 1 : 1 + states] + 1e-3, table[:, 1 + states :] + 1e-2 * weights
+                        total += np.vstack([starts, moves.T, emits])
+            some = np.flatnonzero(total.any(1))
+            yield pd.DataFrame({"j": some} | {c: total[some, i] for i, c in enumerate(names)})
+
+        table = np.zeros((1 + states + n_classes, states))
+        for r in blocks.mapInPandas(run, schema).groupBy("j").agg(*[F.sum(c).alias(c) for c in names]).collect():
+            table[r["j"]] = r[1:]
+        held.destroy()
+        starts, moves, emits = table[0] + 1e-3, table[1 : 1 + states].T + 1e-3, table[1 + states :].T + 1e-2 * weights
         model = Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(1, keepdims=True))
     return model
 
 
-def text_scores(docs: DataFrame, states: int = 6, rounds: int = 7, head_words: int = 1000) -> DataFrame:
+def text_scores(docs: DataFrame, states: int = 6, rounds: int = 7, head_words: int = 8192) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of docs(doc_id, text, held_out).
 
     Words are bytes other than white space, A-Z lower-cased; each text ends with one end token. The model learns from the

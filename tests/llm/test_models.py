@@ -125,10 +125,48 @@ def brute_likelihood(m, x):
 
 
 def test_forward_recursion_sums_all_paths():
+    """Whatever the windows: texts of one token, of whole windows, and longer ones."""
     m = H.initial(3, np.ones(5) / 5)
     x, n = np.array([0, 1, 4, 2, 3, 3, 1, 0], np.int16), np.array([4, 1, 3])
     want = [brute_likelihood(m, x[a:b]) for a, b in ((0, 4), (4, 5), (5, 8))]
-    assert np.allclose(H.likelihoods(m, x, n), want)
+    for window in (1, 2, 3, 512):
+        assert np.allclose(H.likelihoods(m, x, n, window), want)
+
+
+def brute_expectations(m, x):
+    """Starts, moves and emissions of every path, by its share of the likelihood."""
+    s, k = m.emit.shape
+    starts, moves, emits, total = np.zeros(s), np.zeros((s, s)), np.zeros((k, s)), 0.0
+    for path in itertools.product(range(s), repeat=len(x)):
+        p = m.start[path[0]] * m.emit[path[0], x[0]] * math.prod(m.move[a, b] * m.emit[b, c] for a, b, c in zip(path, path[1:], x[1:]))
+        total += p
+        starts[path[0]] += p
+        for a, b in zip(path, path[1:]):
+            moves[a, b] += p
+        for a, c in zip(path, x):
+            emits[c, a] += p
+    return starts / total, moves / total, emits / total, math.log(total)
+
+
+def test_expectations_over_all_paths():
+    m = H.initial(2, np.array([0.4, 0.3, 0.2, 0.1]))
+    r = np.random.default_rng(4)
+    lengths = np.array([1, 7, 4, 10, 2])
+    x = r.integers(0, 4, lengths.sum()).astype(np.int16)
+    cuts = np.cumsum([0, *lengths])
+    want = [sum(parts) for parts in zip(*(brute_expectations(m, x[a:b]) for a, b in zip(cuts, cuts[1:])))]
+    for window in (1, 3, 4, 512):
+        for got, w in zip(H.expectations(m, x, lengths, window), want):
+            assert np.allclose(got, w, rtol=1e-4, atol=1e-5)
+
+
+def test_long_texts_do_not_depend_on_windows():
+    r = np.random.default_rng(5)
+    m, lengths = H.initial(6, np.ones(40) / 40), np.array([3000, 700, 512, 513, 20])
+    x = r.integers(0, 40, lengths.sum()).astype(np.int16)
+    one, many = H.expectations(m, x, lengths, 4096), H.expectations(m, x, lengths)
+    assert all(np.allclose(a, b, rtol=2e-3, atol=1e-2) for a, b in zip(one, many))
+    assert np.allclose(H.likelihoods(m, x, lengths, 4096), H.likelihoods(m, x, lengths), rtol=1e-12)
 
 
 def test_each_round_is_likelier():
