@@ -4,50 +4,64 @@ Vectors get one more component that gives all of a shard the same length; inner
 distances do, and the graph can be built by distance. A point's neighbours are proposed by a greedy search of the graph so
 far and pruned: a candidate goes if one kept before is nearer to it, by the factor alpha, than the point itself is. Every
 query is searched in every shard, and the shards' best are merged with scores in double precision.
+
+Graphs are built once, a task each, and saved; searches are dealt by shard and block of queries.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from math import ceil, sqrt
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FIRST = 512  # points whose candidates are all others
+from .tables import saved
+
+SHARDS = 8  # as long as SHARD_BYTES allows it
+SHARD_BYTES = 128 << 20  # of vectors in single precision in one graph
+PIECE_BYTES = 4 << 20  # of a saved graph in one row
 
 
 class Graph:
     """A graph over the rows of x. Batches of points are searched, pruned and linked together, as matrices."""
 
-    def __init__(self, x: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, batch: int = 256):
-        norms = np.sqrt((x.astype(np.float64) ** 2).sum(1))
+    def __init__(self, x: np.ndarray, degree: int = 40, beam: int = 64, alpha: float = 1.1, batch: int = 256):
+        most = float(np.abs(x).max()) if x.size else 1.0
+        unit = (x / most).astype(np.float32)  # no squares overflow
+        norms = np.sqrt((unit.astype(np.float64) ** 2).sum(1))
         top = norms.max() if len(x) else 1.0
         extra = np.sqrt(np.maximum(top**2 - norms**2, 0))
-        self.scale = np.float32(1 / (top or 1.0))
-        self.x = np.hstack([x * self.scale, (extra * self.scale)[:, None]]).astype(np.float32)
+        self.x = (np.hstack([unit, extra[:, None]]) / (top or 1.0)).astype(np.float32)
         self.degree, self.beam, self.alpha = degree, beam, alpha
         n = len(x)
         self.links = np.full((n, degree), -1, np.int32)
         self.count = np.zeros(n, np.int32)
-        first = min(n, FIRST)
-        self.entries = np.arange(min(n, 16))
-        if first:
-            nearest = self.x[:first] @ self.x[:first].T
-            np.fill_diagonal(nearest, -np.inf)
-            k = min(first, 2 * degree)
-            order = np.argsort(-nearest, axis=1)[:, :k]
-            score = np.take_along_axis(nearest, order, 1)
-            self._connect(np.arange(first), np.where(np.isinf(score), -1, order), score)
-        at = first
+        self.entries = np.arange(min(n, 1))
+        at = 1
         while at < n:
             stop = min(n, at + min(batch, at))
-            points = np.arange(at, stop)
-            found, score = self.search(self.x[points], beam)
-            self._connect(points, found, score)
+            self._insert(np.arange(at, stop))
             at = stop
+            self.entries = np.arange(min(at, 16))
+        # the first points were placed when there were few others
+        for at in range(0, min(n, 4 * batch), batch):
+            self._insert(np.arange(at, min(n, at + batch)))
+
+    def _insert(self, points: np.ndarray) -> None:
+        """Links points with what a greedy search finds for them, and with what they are linked with already."""
+        found, score = self.search(self.x[points], self.beam)
+        own = self.links[points]
+        if (own >= 0).any():
+            more = np.where((own >= 0) & ~(own[:, :, None] == found[:, None, :]).any(2), own, -1)
+            s = np.where(more >= 0, np.einsum("bkd,bd->bk", self.x[more], self.x[points]), -np.inf)
+            found, score = np.hstack([found, more]), np.hstack([score, s])
+            by = np.argsort(-score, axis=1, kind="stable")
+            found, score = np.take_along_axis(found, by, 1), np.take_along_axis(score, by, 1)
+        self._connect(points, found, score)
 
     def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of the beam of each query, best first; -1 and -inf where there are fewer."""
@@ -93,6 +107,7 @@ class Graph:
     def _prune(self, points: np.ndarray, candidates: np.ndarray, score: np.ndarray) -> np.ndarray:
         """Up to `degree` of each point's candidates (best first): each farther from those kept before than from the point, by alpha."""
         out = np.full((len(points), self.degree), -1, np.int32)
+        score = np.where(np.isinf(score), -9, score)
         v = self.x[candidates]
         length = 2 * float((self.x[0] ** 2).sum())
         own = np.maximum(length - 2 * score, 0)
@@ -133,23 +148,93 @@ class Graph:
             return
         full, group = np.unique(target, return_inverse=True)
         rank = np.arange(len(target)) - np.searchsorted(target, target)
-        more = np.full((len(full), min(int(rank.max()) + 1, 64)), -1, np.int32)
-        inside = rank < more.shape[1]
-        more[group[inside], rank[inside]] = source[inside]
-        for at in range(0, len(full), 256):
-            p = full[at : at + 256]
-            c = np.concatenate([self.links[p], more[at : at + 256]], 1)
+        more = np.full((len(full), int(rank.max()) + 1), -1, np.int32)  # no wider than a batch
+        more[group, rank] = source
+        step = max(1, (1 << 22) // (self.degree + more.shape[1]) ** 2)
+        for at in range(0, len(full), step):
+            p = full[at : at + step]
+            c = np.concatenate([self.links[p], more[at : at + step]], 1)
             s = np.einsum("bkd,bd->bk", self.x[c], self.x[p])
             s[c < 0] = -np.inf
             by = np.argsort(-s, axis=1, kind="stable")
-            self.links[p] = self._prune(p, np.take_along_axis(c, by, 1), np.where(np.isinf(s), -9, s)[np.arange(len(p))[:, None], by])
+            self.links[p] = self._prune(p, np.take_along_axis(c, by, 1), np.take_along_axis(s, by, 1))
             self.count[p] = (self.links[p] >= 0).sum(1)
 
 
-def shard_count(rows: int, most: int = 200_000) -> int:
-    """Shards grow with the square root of the rows, so that building and searching do not grow with their square, until a
-    shard holds `most` vectors, which bounds a task's memory."""
-    return max(1, ceil(sqrt(rows / 256)), ceil(rows / most))
+def shard_count(vectors: int, numbers: int) -> int:
+    """SHARDS graphs, so that searches are as many for each query whatever the input, until they would exceed SHARD_BYTES."""
+    return max(min(SHARDS, vectors), ceil(4 * numbers / SHARD_BYTES), 1)
+
+
+def runs_of(b: pa.RecordBatch, columns: list[str]) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """The parts of a sorted batch with equal columns, of whole numbers."""
+    if not b.num_rows:
+        return
+    key = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in columns], 1)
+    cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), b.num_rows]
+    for a, z in zip(cuts, cuts[1:]):
+        yield tuple(key[a].tolist()), b.slice(a, z - a)
+
+
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
+
+
+def equal_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """(dim, id, embedding, members): a row for each different vector, with its k + 1 smallest ids, of which id is the first.
+
+    Vectors are equal by a digest of 128 bits. Of a large group of copies each task passes on no more than these ids.
+    """
+    keyed = rows.withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.xxhash64(F.lit(7), "embedding"))
+    rank = F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy("vec_id"))
+    first = keyed.withColumn("k", rank).where(F.col("k") <= k + 1)
+    by = first.groupBy("h1", "h2").agg(F.min_by("embedding", "vec_id").alias("embedding"), F.sort_array(F.collect_set("vec_id")).alias("members"))
+    return by.select(F.size("embedding").alias("dim"), F.element_at("members", 1).alias("id"), "embedding", "members")
+
+
+def graphs(nodes: DataFrame, shards: int) -> DataFrame:
+    """(dim, shard, seq, piece): the graph of each shard of nodes(dim, id, embedding, members), its vectors and ids, pickled in pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+        held: list[np.ndarray] = []
+        members: list[pa.Array] = []
+
+        def built() -> Iterator[pa.RecordBatch]:
+            x = np.concatenate(held)
+            ids = pa.concat_arrays(members)
+            graph = Graph(x)
+            body = pickle.dumps({"x": x, "links": graph.links, "entries": graph.entries, "points": graph.x, "at": np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]), "ids": ids.flatten().to_numpy()})
+            for seq, at in enumerate(range(0, len(body), PIECE_BYTES)):
+                yield pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([seq], pa.int32()), pa.array([body[at : at + PIECE_BYTES]], pa.binary())], ["dim", "shard", "seq", "piece"])
+
+        for b in batches:
+            for key, part in runs_of(b, ["dim", "shard"]):
+                if key != now and held:
+                    yield from built()
+                    held, members = [], []
+                now = key
+                held.append(matrix(part.column("embedding"), key[0]))
+                members.append(part.column("members"))
+        if held:
+            yield from built()
+
+    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartition(2 * shards, "dim", "shard").sortWithinPartitions("dim", "shard", F.xxhash64("id", F.lit(1)))
+    return dealt.select("dim", "shard", "embedding", "members").mapInArrow(run, "dim int, shard int, seq int, piece binary")
+
+
+def searched(graph: Graph, shard: dict, q: np.ndarray, ids: list[int], k: int, beam: int) -> Iterator[tuple[int, int, float]]:
+    """(query_id, vec_id, score): the k best of a shard for each query, of those its beam has found."""
+    for at in range(0, len(q), 256):
+        some = q[at : at + 256].astype(np.float64)
+        unit = some / np.abs(some).max(1, keepdims=True)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        found, _ = graph.search(np.hstack([unit, np.zeros((len(some), 1))]).astype(np.float32), beam)
+        exact = np.where(found >= 0, np.einsum("bkd,bd->bk", shard["x"][found].astype(np.float64), some), -np.inf)
+        for i, row in enumerate(np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]):
+            me = ids[at + i]
+            best = sorted((-exact[i, j], m) for j in row if found[i, j] >= 0 for m in shard["ids"][shard["at"][found[i, j]] : shard["at"][found[i, j] + 1]].tolist() if m != me)
+            yield from ((me, m, -s) for s, m in best[:k])
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96, shards: int | None = None) -> DataFrame:
@@ -159,54 +244,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96,
     vectors in double precision; ties go to the smaller vec_id. Vectors that are null, zero, or hold null or non-finite
     components, and rows without vec_id, take no part; vectors of other lengths aren't compared. Equal vectors are one node
     of a graph, with their k + 1 smallest ids, which is all that a result can show; nothing is lost to large groups of
-    copies. Fewer than k candidates: all of them. Other columns are ignored; an empty table gives no rows.
+    copies. A vec_id with other vectors is a candidate with each. Fewer than k candidates: all of them. Other columns are
+    ignored; an empty table gives no rows.
+
+    A graph and its vectors are what a task holds, bounded by SHARD_BYTES. Each graph goes to one task for every block of
+    queries, of which there are as many as a graph has points, so that searching takes a task about as long as building.
     """
     proper = "vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)"
     rows = vectors.where(proper).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     wanted = queries.where(proper).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    p = shards or shard_count(vectors.count())
-    first = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(16)))
-    for keys in (["embedding", "salt"], ["embedding"]):
-        first = first.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("vec_id"))).where(F.col("k") <= k + 1).drop("k")
-    nodes = first.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
-    spread = [F.size("embedding").alias("dim"), F.pmod(F.xxhash64(F.element_at("members", 1)), F.lit(p)).cast("int").alias("shard")]
-    nodes = nodes.select(*spread, F.lit(0).alias("kind"), F.element_at("members", 1).alias("id"), "embedding", "members")
-    asked = wanted.select(
-        F.size("embedding").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("shard"), F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "embedding", F.array().cast("array<long>").alias("members")
-    )
-    dealt = nodes.union(asked).repartition(4 * p, "dim", "shard").sortWithinPartitions("dim", "shard", "kind", F.xxhash64("id"))
+    n, numbers = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("embedding")), F.lit(0))).first()
+    p = shards or shard_count(n, numbers)
+    built = saved(graphs(equal_vectors(rows, k), p))
+    blocks = max(1, ceil(queries.count() / max(4096, n // p)))
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    kept = built.select("dim", "shard", every(blocks).alias("block"), F.lit(0).alias("kind"), "seq", "piece", F.lit(None).cast("long").alias("id"), F.lit(None).cast(dict(wanted.dtypes)["embedding"]).alias("embedding"))
+    block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block")
+    asked = wanted.select(F.size("embedding").alias("dim"), every(p).alias("shard"), block, F.lit(1).alias("kind"), F.lit(0).alias("seq"), F.lit(None).cast("binary").alias("piece"), F.col("vec_id").alias("id"), "embedding")
+    dealt = kept.union(asked).repartition(2 * p * blocks, "dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", "kind", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, graph, vectors64, members = None, [], None, None, []
+        now, pieces, shard, graph = None, [], None, Graph.__new__(Graph)
         for b in batches:
-            key = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "shard", "kind")], 1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), b.num_rows] if b.num_rows else [0]
-            for a, z in zip(cuts, cuts[1:]):
-                dim, shard, kind = key[a].tolist()
-                part = b.slice(a, z - a)
-                v = part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(z - a, dim)
-                if (dim, shard) != now:
-                    now, held, graph, members = (dim, shard), [], None, []
+            for (dim, number, at, kind), part in runs_of(b, ["dim", "shard", "block", "kind"]):
+                if (dim, number, at) != now:
+                    now, pieces, shard = (dim, number, at), [], None
                 if kind == 0:
-                    held.append(v)
-                    members += part.column("members").to_pylist()
+                    pieces += part.column("piece").to_pylist()
                     continue
-                if not held:
+                if pieces:
+                    shard, pieces = pickle.loads(b"".join(pieces)), []
+                    graph.x, graph.links, graph.entries = shard["points"], shard["links"], shard["entries"]
+                if shard is None:
                     continue
-                if graph is None:
-                    vectors64 = np.concatenate(held).astype(np.float64)
-                    graph, held = Graph(vectors64), [None]
-                ids = part.column("id").to_pylist()
-                out = []
-                for at in range(0, z - a, 256):
-                    q = v[at : at + 256].astype(np.float64)
-                    found, _ = graph.search(np.hstack([q * graph.scale / np.linalg.norm(q * graph.scale, axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32), beam)
-                    exact = np.where(found >= 0, np.einsum("bkd,bd->bk", vectors64[found], q), -np.inf)
-                    for i, row in enumerate(np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]):
-                        me = ids[at + i]
-                        best = sorted((-exact[i, j], m) for j in row if found[i, j] >= 0 for m in members[found[i, j]] if m != me)[:k]
-                        out += [(me, m, -s) for s, m in best]
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], ["query_id", "vec_id", "score"])
+                out = list(searched(graph, shard, matrix(part.column("embedding"), dim), part.column("id").to_pylist(), k, beam))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 
     found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

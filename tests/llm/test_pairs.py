@@ -15,7 +15,7 @@ from genospark.llm.html_text import extracted_pages, main_text
 from genospark.llm.jaccard_join import jaccard_components
 from genospark.llm.preferences import formatted_preferences
 from genospark.llm.queries import QUERIES
-from genospark.llm.vector_search import nearest
+from genospark.llm.vector_search import Graph, nearest
 
 
 WORDS = ["".join(random.Random(i).choices("abcdefghij", k=3 + i % 5)) for i in range(600)]
@@ -249,6 +249,35 @@ def test_recall(spark):
     assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_graph_of_greedy_proposals():
+    """One graph, all of whose edges come from searches of the graph so far: its recall, and that hubs keep to their degree."""
+    x = np.random.default_rng(1).normal(size=(4000, 24)).astype(np.float32)
+    g, q = Graph(x), x[:200].astype(float)
+    found, _ = g.search(np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((200, 1))]).astype(np.float32), 96)
+    s = q @ x.T.astype(float)
+    want = np.argsort(-s, axis=1)[:, :20]
+    got = np.take_along_axis(found, np.argsort(-np.take_along_axis(s, found, 1), axis=1)[:, :20], 1)
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(got, want)]) >= 0.9
+    assert g.links.shape == (4000, 40) and all(len(set(r[r >= 0])) == (r >= 0).sum() for r in g.links)
+
+
+def test_nearest_of_huge_components_and_many_blocks(spark, monkeypatch):
+    """Doubles whose squares overflow; several graphs and blocks of queries; a vec_id with two vectors, and one in many rows."""
+    from genospark.llm import vector_search as V
+
+    monkeypatch.setattr(V, "ceil", lambda v: 3)
+    r = np.random.default_rng(7)
+    rows = [(i, (r.normal(size=6) * 1e150).tolist()) for i in range(120)] + [(40, [1e150] * 6)] + [(3, [2e150] * 6)] * 50
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in nearest(df, df.where("vec_id = 20 or vec_id = 60"), 5, shards=2).orderBy("query_id", "rank").collect():
+        got.setdefault(x["query_id"], []).append(x["vec_id"])
+    for i in (20, 60):
+        q = np.array(rows[i][1]) / 1e150
+        want = sorted({(-float(np.array(v) @ q), m) for m, v in rows if m != i})[:5]
+        assert got[i] == [m for _, m in want]
+
+
 def test_preferences(spark):
     u, a, b = ("user", "hi"), ("assistant", "yes"), ("assistant", "no")
     rows = [(1, [u, a], [u, b], 0), (2, [u, a], [u, a], 0), (3, None, [u], 0), (4, [u, a, u], [u], 0), (5, [(None, None)], [], 0)]
