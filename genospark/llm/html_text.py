@@ -17,12 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# A quote opens only after an equals sign; one that never closes is a letter like others.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
 # Elements by their part in HTML.
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-BOILERPLATE = frozenset("head script style noscript template iframe nav header footer aside form button select input textarea menu dialog svg canvas object embed audio video title".split())
+BOILERPLATE = frozenset("head script style noscript template iframe nav header footer aside button select input textarea menu dialog svg canvas object embed audio video title".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("body table ul ol dl div article section main td th blockquote".split())
@@ -61,7 +62,7 @@ def labels(attributes: str) -> tuple[bool, bool]:
 
 
 def skip_named(root: Node) -> None:
-    """Skips the elements named as boilerplate, but for those that hold the content.
+    """Skips the elements named as boilerplate, and forms, but for those that hold the content.
 
     These hold an article or main not named so itself, or half of the page's unlinked text and over four times that of
     such articles elsewhere; density decides on them.
@@ -121,10 +122,12 @@ def parse(page: str) -> Node:
         skip = tag in BOILERPLATE or role and tag not in CONTENT
         if tag == "header" and any(x.tag in ("article", "main") for x in stack):
             skip = role
-        node = Node(tag, skip, named)
+        node = Node(tag, skip, named or tag == "form")
         stack[-1].parts.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
+            if tag == "xmp":
+                node.parts.append(page[at : end.start()])
             at = end.end()
         elif tag not in VOID and not (m[3] or "").endswith("/"):
             stack.append(node)

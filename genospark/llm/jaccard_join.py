@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .bytetext import mix, parts, shingle_hashes, slices, words
 from .components import connected_components
-from .tables import saved
+from .tables import saved, scratch
 
 SMALL = 200_000  # rows of up to four numbers that are broadcast: 10 to 20 MB; more are joined by a shuffle
 SKETCH = 256
@@ -265,6 +265,21 @@ def linked_by_long_lists(hot: DataFrame, nodes: DataFrame, sets: DataFrame, sket
         pivots_each *= 4
 
 
+def linked_classes(docs: DataFrame, every: DataFrame, classes: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
+    """(node, component) of the classes(rep, n, d1, d2, first_id) that are linked with others."""
+    # of each class, one row of its first doc_id stands for it; sets too small for links with others stay out
+    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), "n", "d1", "d2", "rep")
+    reps = saved(every.join(wanted, ["doc_id", "n", "d1", "d2"]).select("rep", "doc_id", "d1", "n", "window", "sketch").dropDuplicates(["rep"]))
+    entries = saved(index_entries(docs, reps, shingle, percent, frequent))
+    long_sigs = sized(saved(entries.groupBy("sig").count().where(F.col("count") > long).select("sig")))
+    hot = saved(entries.join(long_sigs, "sig", "left_semi").select("sig", "rep", "n").distinct())
+    pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), hot, percent))
+    met = saved(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(hot.select("rep")).distinct())
+    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle).dropDuplicates(["rep"]))
+    nodes = linked(pairs, docs.sparkSession.createDataFrame([], "node long, component long"), sets, percent)
+    return linked_by_long_lists(hot, nodes, sets, reps.select("rep", "sketch"), percent)
+
+
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, frequent: int = 24, long: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs(doc_id, text).
 
@@ -275,23 +290,14 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, fre
     doc_id are linked with their equals only: without such, component_id is null. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    every = saved(shingled(docs, shingle, percent))
     key = ["n", "d1", "d2"]
-    classes = saved(every.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()))
-    # of each class, one row of its first doc_id stands for it; sets too small for links with others stay out
-    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), *key, "rep")
-    reps = saved(every.join(wanted, ["doc_id", *key]).select("rep", "doc_id", "d1", "n", "window", "sketch").dropDuplicates(["rep"]))
-    entries = saved(index_entries(docs, reps, shingle, percent, frequent))
-    long_sigs = sized(saved(entries.groupBy("sig").count().where(F.col("count") > long).select("sig")))
-    hot = saved(entries.join(long_sigs, "sig", "left_semi").select("sig", "rep", "n").distinct())
-    pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), hot, percent))
-    met = saved(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(hot.select("rep")).distinct())
-    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle).dropDuplicates(["rep"]))
-    nodes = linked(pairs, docs.sparkSession.createDataFrame([], "node long, component long"), sets, percent)
-    nodes = linked_by_long_lists(hot, nodes, sets, reps.select("rep", "sketch"), percent)
-    named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = saved(named.join(least, "component").select(*key, "component_id"))
+    with scratch(docs.sparkSession) as keep:
+        every = keep(shingled(docs, shingle, percent))
+        classes = saved(every.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()))
+        nodes = linked_classes(docs, every, classes, shingle, percent, frequent, long)
+        named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        named = keep(named.join(least, "component").select(*key, "component_id"))
     same = [F.col(f"e.{k}") == F.col(f"k.{k}") for k in key]
     return every.alias("e").join(named.alias("k"), same, "left").select(
         "doc_id", F.col("e.n").cast("long").alias("n_shingles"), F.when(F.col("e.n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")

@@ -160,8 +160,8 @@ def predicted_languages(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """docs with lang_pred and score: one row per row of docs(text, ...).
 
     score is the largest cosine, or 0 if that is negative. `und` with score 0 where the text is null or has no letter, or
-    no language was learned. Equal cosines go to the first language by name. Whole texts; other columns stay, but earlier
-    lang_pred and score are replaced.
+    no language was learned. Equal cosines go to the first language by name. Whole texts; other columns stay, a null
+    doc_id too, but earlier lang_pred and score are replaced. An empty table gives no rows.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     norm = np.linalg.norm(profiles.prototypes, axis=1, keepdims=True)

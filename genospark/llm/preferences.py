@@ -72,7 +72,8 @@ def pairs_of_conversations(conversations: DataFrame) -> DataFrame:
     The rejected one goes alike up to the last assistant's turn, and there has the last assistant's answer of the
     neighbouring conversation (conv_id with the last bit flipped). Without an assistant's turn, or a neighbour with one,
     the rejected conversation stops before that answer. Turns go by turn, role and text; rows without a conv_id belong to
-    no conversation and are left out.
+    no conversation and are left out. A null turn comes first, a null role or text is empty, repeated rows are turns of
+    their own. No rows: no pairs. Other columns are ignored.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = conversations.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_made: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,18 +24,42 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one of this process only where that is unset, as in local tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder named in spark.checkpoint.dir. Where that is unset, a temporary one of this process in local mode, as in tests; on a cluster an error, since executors don't share the driver's folders."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (found or _own_dir()).rstrip("/")
 
 
 def saved(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables saved inside are deleted at the end, but for those that went through what it gives: keep(df) -> saved table."""
+    first, kept = len(_made), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = saved(df)
+        kept.add(_made[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        for path in _made[first:]:
+            if path not in kept:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        del _made[first:]
+
+
 def bucket_of(column, modulus: int):
     """crc32 of the id as text, modulo: the split into training and held-out rows."""
     return F.crc32(F.col(column).cast("string")) % modulus

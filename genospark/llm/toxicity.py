@@ -193,8 +193,8 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, bits: int = 18, fit_rows:
 def toxicity_scores(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """docs with score (0 to 1) and predicted (1 if score >= threshold): one row per row of docs(text, ...).
 
-    Null and empty texts score by the bias alone. Whole texts are read, in slices of an Arrow batch. Other columns stay;
-    earlier columns called score or predicted are replaced.
+    Null and empty texts score by the bias alone. Whole texts are read, in slices of an Arrow batch. Other columns stay,
+    a null doc_id too; earlier columns called score or predicted are replaced. An empty table gives no rows.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
     held = docs.sparkSession.sparkContext.broadcast(model)

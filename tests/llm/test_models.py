@@ -37,6 +37,18 @@ def test_language_edges(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
     none = L.predicted_languages(docs, L.language_profiles(train.limit(0), 256)).collect()
     assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
+    assert L.predicted_languages(docs.limit(0), p).count() == 0
+
+
+def test_cosines_by_definition():
+    """The prediction of a text is the language of the largest cosine, worked out gram by gram."""
+    space = L.Space(128)
+    texts, names = ["the cat and the dog", "le chat et le chien", "der hund und die katze"], ["en", "fr", "de"]
+    counts, grams, _ = L.gram_counts(texts + ["the dog and a cat", "ein hund"])
+    profile = L.profiles_of(counts, grams, space).astype(float)
+    for row, want in ((3, "en"), (4, "de")):
+        cosine = [profile[row] @ p / np.linalg.norm(profile[row]) / np.linalg.norm(p) for p in profile[:3]]
+        assert names[int(np.argmax(cosine))] == want
 
 
 def test_language_accuracy(spark):

@@ -1,6 +1,9 @@
 """Jaccard join, decontamination, vector search, preferences, pages, pipeline."""
 
+import html
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,11 +12,12 @@ from compare import DATA
 
 from genospark.llm import bytetext as B
 from genospark.llm import decontamination as D
+from genospark.llm import html_text
 from genospark.llm import oracle
 from genospark.llm.components import connected_components
 from genospark.llm.html_text import extracted_pages, main_text
 from genospark.llm.jaccard_join import jaccard_components
-from genospark.llm.preferences import formatted_preferences
+from genospark.llm.preferences import formatted_preferences, pairs_of_conversations
 from genospark.llm.queries import QUERIES
 from genospark.llm.vector_search import Graph, nearest
 
@@ -293,6 +297,21 @@ def test_preferences(spark):
     assert got[5]["chosen"] == "<|im_start|>\n<|im_end|>\n"
 
 
+def test_pairs_of_conversations(spark):
+    """Null ids and turns, repeated rows, a neighbour that is missing or has no answer, extra columns, no rows."""
+    rows = [
+        (2, 0, "user", "hi"), (2, 1, "assistant", "yes"), (2, 2, "user", "bye"), (3, 0, "user", "hi"), (3, 1, "assistant", "no"), (3, 1, "assistant", "no"),
+        (4, 0, "user", "x"), (4, 1, "assistant", "y"), (6, None, "user", "first"), (6, 0, "assistant", None), (7, 0, None, "z"), (None, 0, "user", "lost"),
+    ]
+    table = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn int, role string, text string, chosen string")
+    got = {r["pair_id"]: ([tuple(t) for t in r["chosen"]], [tuple(t) for t in r["rejected"]]) for r in pairs_of_conversations(table).collect()}
+    u, yes, no, bye = ("user", "hi"), ("assistant", "yes"), ("assistant", "no"), ("user", "bye")
+    assert got[2] == ([u, yes, bye], [u, no]) and got[3] == ([u, no, no], [u, no, yes])
+    assert got[4] == ([("user", "x"), ("assistant", "y")], [("user", "x")])
+    assert got[6] == ([("user", "first"), ("assistant", "")], [("user", "first")]) and got[7] == ([("", "z")], [("", "z")])
+    assert set(got) == {2, 3, 4, 6, 7} and pairs_of_conversations(table.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_matches_sql(spark, duck, name):
     assert rows_of(QUERIES[name](spark, f"{DATA}/sf0.001")) == sql_rows(duck, oracle.SQL[name])
@@ -330,9 +349,75 @@ def test_main_text_without_named(label):
     assert main_text(page) == TOLD
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<div class="page has-sidebar"><p>article</p></div>', "article"),
+        ('<div class="col with-sidebar-right"><p>article</p></div>', "article"),
+        ('<div class="entry related-topic"><p>article</p></div>', "article"),
+        ('<body><form id="aspnetForm"><div><p>article text</p><input><button>Go</button></div></form></body>', "article text"),
+        ("<body><p title=it's>one more.</p><p>two don't go.</p></body>", "one more.\ntwo don't go."),
+        ("<body><p>a</p><xmp>raw <b> &amp;</xmp></body>", "a\nraw <b> &amp;"),
+        ("<a href='x>y'>l</a><p>z</p>", "l\nz"),
+        ('<p a="b>c</p>d', "c\nd"),
+        ("<p>" + "<i>" * 4000 + "deep " * 50_000 + "</i>" * 4000, ("deep " * 50_000).strip()),
+        ("<p " + "a='" * 50_000 + ">x</p>", "x"),
+    ],
+)
+def test_main_text_of_odd_pages(page, text):
+    assert main_text(page) == text
+
+
+def test_form_beside_the_article():
+    page = f"<body><div><article>{STORY}</article></div><form><p>Write to us with all of your questions about this page.</p><label>Mail</label><input></form></body>"
+    assert main_text(page) == TOLD
+
+
+def test_density_by_definition():
+    """Counts and densities against a recursion over random trees."""
+    r = random.Random(12)
+
+    def tree(depth):
+        inner = "".join(tree(depth - 1) if depth and r.random() < 0.7 else "w" * r.randrange(1, 30) + " " for _ in range(r.randrange(1, 4)))
+        tag = r.choice(["div", "p", "a", "section", "span"]) if depth < 4 else "body"
+        return f"<{tag}>{inner}</{tag}>" if tag != "p" else f"<div>{inner}</div>"
+
+    def counted(x):
+        c, t, lc, lt = 0, 0, 0, 0
+        for y in x.parts:
+            if isinstance(y, str):
+                c += len("".join(y.split()))
+            else:
+                a, b, d, e = counted(y)
+                c, t, lc, lt = c + a, t + b + 1, lc + d, lt + e + (y.tag == "a")
+        return c, t, c if x.tag == "a" else lc, lt
+
+    for _ in range(30):
+        root = html_text.parse(tree(4))
+        found = html_text.measure(root)
+        c0, _, lc0, _ = counted(root)
+        for x in found:
+            c, t, lc, lt = counted(x)
+            assert (x.chars, x.tags, x.link_chars, x.link_tags) == (c, t, lc, lt)
+            if c:
+                base = math.log(c / max(c - lc, 1) * lc + lc0 / c0 * c + math.e)
+                want = c / max(t, 1) * max(math.log(c / max(lc, 1) * max(t, 1) / max(lt, 1)), 0) / base
+                assert math.isclose(x.density, want, abs_tol=1e-12)
+            assert math.isclose(x.total, sum(y.density for y in x.parts if not isinstance(y, str)), abs_tol=1e-12)
+
+
+def test_articles_of_given_pages(spark):
+    """Every given page's article, read with plain patterns."""
+    for row in spark.read.parquet(f"{DATA}/sf0.01/pages.parquet").collect():
+        body = re.search(r"<article>(.*?)</article>", row["html"], re.S)[1]
+        body = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|ul|li)>", "\0", re.sub(r"<br>", " ", body)))
+        assert main_text(row["html"]) == "\n".join(y for x in body.split("\0") if (y := " ".join(html.unescape(x).split())))
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "", "<p>x" + "y" * 300_000, "")]
     got = extracted_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert extracted_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert len(got) == 4 and all(r["n_chars"] == len(r["text"]) for r in got) and max(r["n_chars"] for r in got) == 300_001
 
 
