@@ -22,7 +22,7 @@ LEAST_SCORE, LONG_ENOUGH = 0.1, 200
 def apart(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """decide(docs), with columns of docs that are named like an operator's results out of the way, and back after it."""
     own = {c: f"own {c}" for c in docs.columns if c in ("lang_pred", "score", "predicted")}
-    out = decide(docs.withColumnsRenamed(own)).withColumnsRenamed({v: k for k, v in own.items()})
+    out = decide(docs.withColumnsRenamed(own)).drop(*own).withColumnsRenamed({v: k for k, v in own.items()})
     return out.select(*docs.columns)
 
 
