@@ -77,7 +77,7 @@ def test_jaccard_large_group_makes_few_pairs(spark, monkeypatch):
     monkeypatch.setattr(J, "verified", lambda pairs, *a: (seen.append(pairs.count()), verified(pairs, *a))[1])
     r, base = random.Random(8), prose(60, 80).split()
     rows = []
-    for i in range(3000):
+    for i in range(1500):
         x = base[:]
         for _ in range(3):
             x[r.randrange(80)] = f"e{r.randrange(10**6)}"
@@ -439,6 +439,29 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in C.run(spark, sf).collect()} == {i for i, _ in rows}
 
 
+def test_pipeline_edges(spark, tmp_path):
+    """Null columns, repeated rows, one id with two texts, columns named like results, empty tables: each stage's decisions."""
+    import corpus_pipeline as C
+
+    sf, item = str(tmp_path), prose(70, 30)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, predicted int"
+    rows = [(i, prose(i, 60), "en", "s", 1, 0.5, "own", 9) for i in range(6)]
+    rows += [(6, None, None, None, None, None, None, None), (6, "", "en", "s", 0, 0.5, "own", 9), (None, prose(30, 60), None, None, None, 0.5, "own", 9)]
+    rows += [(7, prose(31, 40) + " " + item, "en", "s", 1, 0.5, "own", 9), (7, prose(32, 60), "en", "s", 1, 0.5, "own", 9), (None, item, "en", "s", 1, 0.5, "own", 9), rows[0]]
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(0, 0), (1, 1), (None, 1)], "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(0, item), (1, None)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    ids = lambda df: sorted((r["doc_id"] if r["doc_id"] is not None else -1, (r["text"] or "")[:9]) for r in df.collect())
+    every = ids(docs)
+    made = {name: stage(spark, docs, sf) for name, stage in C.STAGES}
+    assert all(made[n].columns == docs.columns and made[n].where("score <> 0.5 or lang_pred <> 'own' or predicted <> 9").count() == 0 for n in list(made)[:4])
+    assert ids(made["language_id"]) == [x for x in every if x[1]]
+    assert len(ids(made["jaccard_join"])) == len(every) - 1
+    assert ids(made["decontamination"]) == [x for x in every if x not in ((7, rows[9][1][:9]), (-1, item[:9]))]
+    assert made["packing"].select("doc_id", "piece").count() >= len(every)
+    assert {n: stage(spark, docs.limit(0), sf).count() for n, stage in C.STAGES} == dict.fromkeys(made, 0)
+
+
 def test_near_duplicates_by_row(spark):
     """Repeated rows with one doc_id, rows without one, and a doc_id with two texts."""
     import corpus_pipeline as C
