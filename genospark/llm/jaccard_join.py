@@ -118,9 +118,11 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int, combine: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows of a task go on once
         for b in parts(batches):
             sets = list(token_sets(b.column("text"), shingle))
-            own = np.array([digest(t)[0] == d for t, d in zip(sets, b.column("d1").to_pylist())], bool)
+            reps = b.column("rep").to_pylist()
+            own = np.array([digest(t)[0] == d and r not in seen and not seen.add(r) for t, d, r in zip(sets, b.column("d1").to_pylist(), reps)], bool)
             sets = [t for t, ok in zip(sets, own) if ok]
             yield pa.RecordBatch.from_arrays(
                 [b.column("rep").filter(pa.array(own)), pa.array(map(len, sets), pa.int32()), pa.array(sets, pa.list_(pa.int64())), pa.array([cells(t, combine) if combine else [] for t in sets], pa.list_(pa.int64()))],
@@ -148,7 +150,7 @@ def index_entries(docs: DataFrame, reps: DataFrame, shingle: int, percent: int,
     need = allowance(F.col("n"), percent) + 1
     rare = F.array_except("window", F.coalesce("hits", none))
     marked = saved(reps.join(hits, "rep", "left").select("rep", "doc_id", "d1", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy")))
-    hard = saved(whole_sets(docs, saved(marked.where("not easy").select("rep", "doc_id", "d1")), shingle, percent).dropDuplicates(["rep"]))
+    hard = saved(whole_sets(docs, saved(marked.where("not easy").select("rep", "doc_id", "d1")), shingle, percent))
     kept = hard.select("rep", F.explode("tokens").alias("sig")).join(often, "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
     hard = hard.select("rep", "n", "cells").join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", none)).withColumn("very", F.size("rare") < need)
     cut = F.when(F.col("very"), F.concat("rare", "cells")).otherwise(F.slice("rare", F.lit(1), need))
@@ -174,47 +176,32 @@ def pairs_of_short_lists(cool: DataFrame, hot: DataFrame, percent: int) -> DataF
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have a Jaccard similarity of the threshold at least."""
+    """The pairs whose whole sets have a Jaccard similarity of the threshold at least. Only sets that are asked for are moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in parts(batches):
+        for x in parts(batches, 64):
             ok = []
-            for s, t in zip(x.column("sa"), x.column("sb")):
-                s, t = s.values.to_numpy(), t.values.to_numpy()
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(100 * both >= percent * (len(s) + len(t) - both))
+            for a, b, both in zip(x.column("a").to_pylist(), x.column("b").to_pylist(), x.column("both")):
+                reps, tokens = both.values.field("rep").to_pylist(), both.values.field("tokens")
+                s, t = (tokens[reps.index(r)].values.to_numpy() for r in (a, b))
+                shared = len(np.intersect1d(s, t, assume_unique=True))
+                ok.append(100 * shared >= percent * (len(s) + len(t) - shared))
             yield x.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = sets.select("rep", "tokens")
-    full = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return full.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    wanted = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("rep"))
+    full = sets.select("rep", "tokens").join(sized(wanted), "rep").groupBy("a", "b").agg(F.collect_list(F.struct("rep", "tokens")).alias("both"))
+    return full.mapInArrow(run, "a long, b long")
 
 
-def joined(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that aren't in one component of nodes(node, component) yet."""
-    of = lambda c: nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+def with_components(df: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """df with c_<column>: the component of its class in that column, by itself its own."""
+    of = nodes.select(F.col("node").alias(column), F.col("component").alias("found"))
+    return df.join(of, column, "left").withColumn(f"c_{column}", F.coalesce("found", column)).drop("found")
 
 
-def linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """nodes(node, component) with the links among the candidate pairs taken in.
-
-    Only links that join two components matter. Each round verifies, for every class, some candidates of other components
-    (four times as many each round), joins what is linked, and drops candidates that fell inside a component; it ends when
-    no candidate is left, so that none between two components goes unverified.
-    """
-    left, take = saved(joined(pairs, nodes)), 1
-    while left.limit(1).count():
-        if take == 1:
-            some = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        else:
-            some = left.withColumn("k", F.expr("row_number() over (partition by b order by a)")).where(F.col("k") <= take).select("a", "b")
-        some = saved(some)
-        nodes = saved(connected_components(nodes.toDF("u", "v").union(verified(some, sets, percent).toDF("u", "v"))))
-        left = saved(joined(left.join(some, ["a", "b"], "left_anti"), nodes))
-        take *= 4
-    return nodes
+def apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that aren't in one component of nodes(node, component) yet, with their components."""
+    return with_components(with_components(pairs, nodes, "a"), nodes, "b").where("c_a <> c_b")
 
 
 def sketch_distance(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -224,13 +211,13 @@ def sketch_distance(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 
 def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: members of long lists hot(sig, rep, n) with the pivots(sig, rep, n) of their lists, but for pairs that size or sketches rule out.
+    """(a, b), a < b: members of long lists hot(sig, rep, n, c) with the pivots of their lists, of other components c, but for pairs that size or sketches rule out.
 
     A list that a third of all rows are in has its members dealt over salts, and its few pivots repeated for each.
     """
     x = hot.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).alias("x")
     y = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("y")
-    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.rep") != F.col("y.rep")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.c") != F.col("y.c")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
     sizes = (F.col("x.n") + F.col("y.n")).alias("both")
     met = x.join(y, near).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), sizes).distinct()
     of = lambda c: sketches.select(F.col("rep").alias(c), F.col("sketch").alias(f"s{c}"))
@@ -243,41 +230,64 @@ def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, pe
     return met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "both", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def linked_by_long_lists(hot: DataFrame, nodes: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """nodes with the links among the members of the long lists hot(sig, rep, n) taken in.
+def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(node, component) over all links among the candidate pairs(a, b) and the members of the long lists hot(sig, rep, n).
 
-    Each round compares the members of every list that has several components with pivots: one of the list at first, four
-    times as many each round, taken by a hash that differs from list to list. A pivot has then met all of its list, and
-    leaves it. Pairs are pivots times members, not the square of a list. It ends when no list has members of two
-    components: then each pair of two components has been compared.
+    Only links that join two components matter. Each round takes some members of each long list as its pivots (one at first,
+    sixteen times as many each round, by a hash that differs from list to list) and pairs them with the members of other
+    components; it verifies, for every class, some of its candidates (again sixteen times as many each round) and joins what
+    is linked. Candidates inside a component go, and so do lists with one component and pivots, which have met all of their
+    list. So pairs are pivots times members, not the square of a list, and the end is reached when no candidate and no list
+    is left: then each pair of two components has been compared.
     """
-    pivots_each = 1
+    nodes = pairs.sparkSession.createDataFrame([], "node long, component long")
+    left, take = pairs, 1
     while True:
-        named = hot.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
-        split = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-        hot = saved(hot.join(split, "sig", "left_semi"))
-        if not hot.limit(1).count():
+        if hot is not None:
+            named = with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c")
+            split = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+            named = saved(named.join(split, "sig", "left_semi"))
+            if not named.isEmpty():
+                draw = F.struct(F.xxhash64("rep", "sig").alias("h"), *[F.col(c) for c in ("rep", "n", "c")])
+                slot = F.pmod(F.xxhash64("sig", "rep", F.lit(take)), F.lit(take)).alias("slot")
+                pivots = saved(named.groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c"))
+                left = left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct()
+                hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
+            else:
+                hot = None
+        left = saved(left)
+        first = F.expr(f"row_number() over (partition by b order by a) <= {take}")
+        marked = saved(left.withColumn("now", first)) if take > 1 else saved(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.lit(True).alias("now")))
+        some = marked.where("now").select("a", "b")
+        if some.isEmpty() and hot is None:
             return nodes
-        draw = F.struct(F.xxhash64("rep", "sig").alias("h"), F.col("rep"), F.col("n"))
-        pivots = saved(hot.groupBy("sig", F.pmod(F.xxhash64("sig", "rep", F.lit(pivots_each)), F.lit(pivots_each)).alias("slot")).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n"))
-        nodes = linked(pairs_with_pivots(hot, pivots, sketches, percent), nodes, sets, percent)
-        hot = hot.join(pivots, ["sig", "rep"], "left_anti")
-        pivots_each *= 4
+        take *= 16
+        if some.isEmpty():
+            continue
+        links = saved(apart(verified(some, sets, percent), nodes).select(F.col("c_a").alias("u"), F.col("c_b").alias("v")))
+        left = left.join(some, ["a", "b"], "left_anti")
+        if links.isEmpty():
+            continue
+        # components of components: few edges, whatever the number of classes
+        above = connected_components(links)
+        changed = with_components(nodes, above, "component").select("node", F.col("c_component").alias("component"))
+        nodes = saved(changed.union(above.join(nodes, above["node"] == nodes["node"], "left_anti")).distinct())
+        left = apart(left, nodes).select("a", "b")
 
 
 def linked_classes(docs: DataFrame, every: DataFrame, classes: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
-    """(node, component) of the classes(rep, n, d1, d2, first_id) that are linked with others."""
+    """(node, component) of the classes(rep, n, d1, d2, first_id) that are linked with others; node and component are reps."""
     # of each class, one row of its first doc_id stands for it; sets too small for links with others stay out
-    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), "n", "d1", "d2", "rep")
-    reps = saved(every.join(wanted, ["doc_id", "n", "d1", "d2"]).select("rep", "doc_id", "d1", "n", "window", "sketch").dropDuplicates(["rep"]))
+    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select("rep")
+    rows = every.withColumnRenamed("row", "rep").select("rep", "doc_id", "d1", "n", "window", "sketch")
+    reps = saved(rows.join(sized(wanted), "rep", "left_semi"))
     entries = saved(index_entries(docs, reps, shingle, percent, frequent))
     long_sigs = sized(saved(entries.groupBy("sig").count().where(F.col("count") > long).select("sig")))
     hot = saved(entries.join(long_sigs, "sig", "left_semi").select("sig", "rep", "n").distinct())
     pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), hot, percent))
     met = saved(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(hot.select("rep")).distinct())
-    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle).dropDuplicates(["rep"]))
-    nodes = linked(pairs, docs.sparkSession.createDataFrame([], "node long, component long"), sets, percent)
-    return linked_by_long_lists(hot, nodes, sets, reps.select("rep", "sketch"), percent)
+    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle))
+    return linked(pairs, hot, sets, reps.select("rep", "sketch"), percent)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, frequent: int = 24, long: int = 64) -> DataFrame:
@@ -292,8 +302,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, fre
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     key = ["n", "d1", "d2"]
     with scratch(docs.sparkSession) as keep:
-        every = keep(shingled(docs, shingle, percent))
-        classes = saved(every.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()))
+        every = keep(shingled(docs, shingle, percent).withColumn("row", F.monotonically_increasing_id()))
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+        classes = every.where("n > 0").groupBy(*key).agg(first).select(*key, F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("rep"))
+        classes = saved(classes)
         nodes = linked_classes(docs, every, classes, shingle, percent, frequent, long)
         named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
