@@ -11,8 +11,8 @@ than that, share one: the prefix. Three cases:
   both. The combination of a cell's k tokens (k is about ten) is the key. All k-combinations of an extended prefix would be
   (d + k over k) keys, 5,151 for 1,000 tokens and k = 2; dealt combinations are as many as cells.
 - Lists of more than `long` classes, those of large groups of near copies, make no pairs of their own. Their members are
-  compared with a few pivots of the list, round by round, until all members of each list are in one component or every
-  pair of different components has been compared.
+  first compared with one other each; then what is outside a list's largest component meets the whole list, as pivots, round
+  by round, until all members are in one component or every pair of different components has been compared.
 
 Candidates are then verified on the whole sets. Each filter follows from the threshold; none caps or samples.
 Token hashes have 64 bits: two different shingles of a pair fall together with a chance below 1e-12.
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from .tables import saved, scratch
 
 SMALL = 200_000  # rows of up to four numbers that are broadcast: 10 to 20 MB; more are joined by a shuffle
 SKETCH = 256
-SALTS = 16
+BLOCK = 1024
 
 
 def sized(df: DataFrame, most: int = SMALL) -> DataFrame:
@@ -204,75 +205,99 @@ def apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return with_components(with_components(pairs, nodes, "a"), nodes, "b").where("c_a <> c_b")
 
 
-def sketch_distance(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """The distances of the sketches of each pair: no more than their sets' difference."""
-    x, y = (np.frombuffer(b"".join(s.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for s in (a, b))
-    return np.abs(x - y).sum(1, dtype=np.int32)
+def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a and b whose sketches don't rule a link out: the distance of two sketches is no more than their sets' difference."""
+    found = []
+    for at in range(0, len(a), 32):
+        x = a[at : at + 32].astype(np.int16)
+        gap = np.abs(x[:, None, :] - b.astype(np.int16)[None, :, :]).sum(2, dtype=np.int32)
+        i, j = np.nonzero((100 + percent) * gap <= (100 - percent) * (na[at : at + 32, None] + nb[None, :]))
+        found.append((i + at, j))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
 def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: members of long lists hot(sig, rep, n, c) with the pivots of their lists, of other components c, but for pairs that size or sketches rule out.
+    """(a, b), a < b: members of long lists hot(sig, rep, n, c, blocks) with the pivots of their lists, of other components c, but for pairs that sketches rule out.
 
-    A list that a third of all rows are in has its members dealt over salts, and its few pivots repeated for each.
+    A list's members are dealt over blocks of about BLOCK, and its pivots repeated for each, so that a list that a third of
+    all rows are in is worked on by many tasks.
     """
-    x = hot.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).alias("x")
-    y = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("y")
-    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.c") != F.col("y.c")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    sizes = (F.col("x.n") + F.col("y.n")).alias("both")
-    met = x.join(y, near).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), sizes).distinct()
-    of = lambda c: sketches.select(F.col("rep").alias(c), F.col("sketch").alias(f"s{c}"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            gap = sketch_distance(b.column("sa"), b.column("sb"))
-            yield b.select(["a", "b"]).filter(pa.array((100 + percent) * gap <= (100 - percent) * b.column("both").to_numpy()))
-
-    return met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "both", "sa", "sb").mapInArrow(run, "a long, b long")
+    with_sketch = lambda df: df.join(sketches, "rep")
+    x = with_sketch(hot).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    y = with_sketch(pivots).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+
+    def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []})
+        s, t = (np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(-1, SKETCH) for d in (x, y))
+        i, j = close_pairs(s, t, x["n"].to_numpy(np.int64), y["n"].to_numpy(np.int64), percent)
+        other = x["c"].to_numpy()[i] != y["c"].to_numpy()[j]
+        a, b = x["rep"].to_numpy()[i[other]], y["rep"].to_numpy()[j[other]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    # columns of their own on either side, for both come from the same tables
+    x, y = (df.select(*[F.col(c).alias(c) for c in ("sig", "block", "rep", "n", "c", "sketch")]).groupBy("sig", "block") for df in (x, y))
+    return x.cogroup(y).applyInPandas(run, "a long, b long")
+
+
+def contracted(hot: DataFrame, turn: int) -> DataFrame:
+    """(a, b), a < b: each member of long lists with one member of one of its lists, another list and member each turn."""
+    own = hot.groupBy("rep").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("h"), "sig"))["sig"].alias("sig"))
+    middle = hot.groupBy("sig").agg(F.min(F.struct(F.xxhash64("rep", "sig", F.lit(turn)).alias("h"), "rep"))["rep"].alias("other"))
+    met = own.join(middle, "sig").where("rep <> other")
+    return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def joined(nodes: DataFrame, some: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """nodes with the links among some pairs taken in; None where they join no components."""
+    links = saved(apart(verified(some, sets, percent), nodes).select(F.col("c_a").alias("u"), F.col("c_b").alias("v")))
+    if links.isEmpty():
+        return None
+    # components of components: few edges, whatever the number of classes
+    above = connected_components(links)
+    changed = with_components(nodes, above, "component").select("node", F.col("c_component").alias("component"))
+    return saved(changed.union(above.join(nodes, above["node"] == nodes["node"], "left_anti")).distinct())
 
 
 def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(node, component) over all links among the candidate pairs(a, b) and the members of the long lists hot(sig, rep, n).
 
-    Only links that join two components matter. Each round takes some members of each long list as its pivots (one at first,
-    sixteen times as many each round, by a hash that differs from list to list) and pairs them with the members of other
-    components; it verifies, for every class, some of its candidates (again sixteen times as many each round) and joins what
-    is linked. Candidates inside a component go, and so do lists with one component and pivots, which have met all of their
-    list. So pairs are pivots times members, not the square of a list, and the end is reached when no candidate and no list
-    is left: then each pair of two components has been compared.
+    Only links that join two components matter. At first each member of the long lists is compared with one other, thrice:
+    groups of near copies mostly become one component by that. Then each round takes pivots of each long list (one at first,
+    eight times as many each round), of its components but the largest, and pairs them with the members of other components;
+    it verifies, for every class, some of its candidates (again eight times as many each round) and joins what is linked.
+    Candidates inside a component go, and so do lists with one component, and pivots, which have met all of their list. So
+    pairs are what is outside a list's largest component times the list, and the end is reached when no candidate and no
+    list is left: then each pair of two components has been compared.
     """
     nodes = pairs.sparkSession.createDataFrame([], "node long, component long")
-    left, take = pairs, 1
+    if not hot.isEmpty():
+        for turn in range(3):
+            found = joined(nodes, saved(apart(contracted(hot, turn), nodes).select("a", "b")), sets, percent)
+            nodes = nodes if found is None else found
+    left, take, more = saved(apart(pairs, nodes).select("a", "b")), 1, True
     while True:
-        if hot is not None:
-            named = with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c")
-            split = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-            named = saved(named.join(split, "sig", "left_semi"))
-            if not named.isEmpty():
-                draw = F.struct(F.xxhash64("rep", "sig").alias("h"), *[F.col(c) for c in ("rep", "n", "c")])
-                slot = F.pmod(F.xxhash64("sig", "rep", F.lit(take)), F.lit(take)).alias("slot")
-                pivots = saved(named.groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c"))
-                left = left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct()
-                hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
-            else:
-                hot = None
-        left = saved(left)
-        first = F.expr(f"row_number() over (partition by b order by a) <= {take}")
-        marked = saved(left.withColumn("now", first)) if take > 1 else saved(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.lit(True).alias("now")))
-        some = marked.where("now").select("a", "b")
-        if some.isEmpty() and hot is None:
+        if more:
+            named = saved(with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c"))
+            by = named.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(F.max(F.struct("k", "c"))["c"].alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("k"))
+            blocks = F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")
+            named = saved(named.join(by.where("parts > 1").select("sig", "largest", blocks), "sig"))
+            more = not named.isEmpty()
+        if more:
+            draw = F.struct(F.xxhash64("rep", "sig").alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
+            slot = F.pmod(F.xxhash64("sig", "rep", F.lit(take)), F.lit(take)).alias("slot")
+            pivots = saved(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
+            left = saved(left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct())
+            hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
+        if left.isEmpty() and not more:
             return nodes
-        take *= 16
-        if some.isEmpty():
-            continue
-        links = saved(apart(verified(some, sets, percent), nodes).select(F.col("c_a").alias("u"), F.col("c_b").alias("v")))
-        left = left.join(some, ["a", "b"], "left_anti")
-        if links.isEmpty():
-            continue
-        # components of components: few edges, whatever the number of classes
-        above = connected_components(links)
-        changed = with_components(nodes, above, "component").select("node", F.col("c_component").alias("component"))
-        nodes = saved(changed.union(above.join(nodes, above["node"] == nodes["node"], "left_anti")).distinct())
-        left = apart(left, nodes).select("a", "b")
+        rank = F.expr("row_number() over (partition by b order by a)")
+        some = saved(left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        left, take = left.join(some, ["a", "b"], "left_anti"), 8 * take
+        found = joined(nodes, some, sets, percent)
+        if found is not None:
+            nodes, left = found, apart(left, found).select("a", "b")
+        left = saved(left)
 
 
 def linked_classes(docs: DataFrame, every: DataFrame, classes: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
