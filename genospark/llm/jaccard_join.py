@@ -265,7 +265,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
     Only links that join two components matter. At first each member of the long lists is compared with one other, thrice:
     groups of near copies mostly become one component by that. Then each round takes pivots of each long list (one at first,
     eight times as many each round), of its components but the largest, and pairs them with the members of other components;
-    it verifies, for every class, some of its candidates (again eight times as many each round) and joins what is linked.
+    it verifies, for every class, some of its candidates (one, then four times as many each round) and joins what is linked.
     Candidates inside a component go, and so do lists with one component, and pivots, which have met all of their list. So
     pairs are what is outside a list's largest component times the list, and the end is reached when no candidate and no
     list is left: then each pair of two components has been compared.
@@ -275,7 +275,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
         for turn in range(3):
             found = joined(nodes, saved(apart(contracted(hot, turn), nodes).select("a", "b")), sets, percent)
             nodes = nodes if found is None else found
-    left, take, more = saved(apart(pairs, nodes).select("a", "b")), 1, True
+    left, take, drawn, more = saved(apart(pairs, nodes).select("a", "b")), 1, 1, True
     while True:
         if more:
             named = saved(with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c"))
@@ -285,7 +285,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             more = not named.isEmpty()
         if more:
             draw = F.struct(F.xxhash64("rep", "sig").alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
-            slot = F.pmod(F.xxhash64("sig", "rep", F.lit(take)), F.lit(take)).alias("slot")
+            slot = F.pmod(F.xxhash64("sig", "rep", F.lit(drawn)), F.lit(drawn)).alias("slot")
             pivots = saved(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
             left = saved(left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct())
             hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
@@ -293,7 +293,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             return nodes
         rank = F.expr("row_number() over (partition by b order by a)")
         some = saved(left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        left, take = left.join(some, ["a", "b"], "left_anti"), 8 * take
+        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 4 * take, 8 * drawn
         found = joined(nodes, some, sets, percent)
         if found is not None:
             nodes, left = found, apart(left, found).select("a", "b")
