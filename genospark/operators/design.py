@@ -42,6 +42,12 @@ def strandedness_violations(sheet: DataFrame) -> DataFrame:
     return sheet.where(_blank("strandedness").isNotNull() & X.normal_strandedness(F.col("strandedness")).isNull()).select("sample", F.col("strandedness").alias("value"))
 
 
+def require_none(violations: DataFrame, what: str) -> None:
+    """Strict mode: an error that names some of the violations, if there are any."""
+    if found := violations.limit(5).collect():
+        raise ValueError(f"{what}: " + "; ".join(str(r.asDict()) for r in found))
+
+
 def has_condition(sheet: DataFrame) -> DataFrame:
     """(has_condition): whether every sample has a condition; false for an empty sheet."""
     return sheet.groupBy("sample").agg(F.max(_blank("condition")).alias("c")).agg(F.coalesce(F.bool_and(F.col("c").isNotNull()), F.lit(False)).alias("has_condition"))

@@ -32,13 +32,18 @@ def length_distribution(reads: DataFrame) -> DataFrame:
     return reads.groupBy("sample", F.length("seq").cast("long").alias("length")).agg(F.count("*").alias("n"))
 
 
-def max_read_length(reads: DataFrame, peek: int | None = 20, file: str = "lane") -> DataFrame:
-    """(sample, max_length, overhang): the longest of the first `peek` reads of each of a sample's files (of all without), and one less."""
+def max_read_length(reads: DataFrame, peek: int | None = 20, file: str = "lane", order: str = "read_id", overhang: int | None = None) -> DataFrame:
+    """(sample, max_length, overhang): the longest of the first `peek` reads of each of a sample's files (of all without), and one less, or the overhang that is given.
+
+    Reads go by `order`, their place in the file. A sample whose longest read is empty is an error, unless an overhang is given.
+    """
     if peek:
-        order = Window.partitionBy("sample", file).orderBy("read_id")
-        reads = reads.withColumn("k", F.row_number().over(order)).where(F.col("k") <= peek)
-    by = reads.groupBy("sample").agg(F.max(F.length("seq")).cast("long").alias("max_length"))
-    return by.withColumn("overhang", F.col("max_length") - 1)
+        by = Window.partitionBy("sample", file).orderBy(order)
+        reads = reads.withColumn("k", F.row_number().over(by)).where(F.col("k") <= peek)
+    longest = reads.groupBy("sample").agg(F.max(F.length("seq")).cast("long").alias("max_length"))
+    failed = F.raise_error(F.concat(F.lit("no read with a length: "), F.coalesce("sample", F.lit("")))).cast("long")
+    found = F.when(F.col("max_length") > 0, F.col("max_length") - 1).otherwise(failed)
+    return longest.withColumn("overhang", found if overhang is None else F.lit(overhang).cast("long"))
 
 
 def nonempty_reads(files: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions.expressions import DIRECTIONS
 from .fixtures import ctes
 
-DIRECTIONS = ("gene_to_te", "te_to_gene", "gene_to_gene", "te_to_te", "gene_to_other", "other_to_gene", "te_to_other", "other")
 SAMPLES = [f"S{i}" for i in range(6)]
 XY = "donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand"
 

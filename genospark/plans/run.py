@@ -27,6 +27,7 @@ class Options:
     padj: float = 0.05
     foldchange: float = 1.0
     minread: int = 1
+    strict: bool = False  # violations of the sheet and mixed strandedness raise; else they are outputs
 
 
 def run_all(inputs: dict[str, DataFrame], options: Options | None = None) -> dict[str, DataFrame]:
@@ -39,6 +40,10 @@ def run_all(inputs: dict[str, DataFrame], options: Options | None = None) -> dic
     if has("sheet") is not None:
         sheet = inputs["sheet"]
         out |= {"lanes": design.lane_group(sheet), "sheet_violations": design.sheet_violations(sheet), "contrasts": design.contrast_pairs(sheet)}
+        out["strandedness_violations"] = design.strandedness_violations(sheet)
+        if o.strict:
+            design.require_none(out["sheet_violations"], "the sample sheet")
+            design.require_none(out["strandedness_violations"], "unknown strandedness")
         out["contrast_replicates"] = design.contrast_replicates(out["contrasts"])
     if has("gene_records") is not None:
         out |= {"genes": tracks.gene_spans(inputs["gene_records"]), "exons": tracks.exon_track(inputs["gene_records"]), "transcripts": tracks.transcript_blocks(inputs["gene_records"]), "feature_keys": tracks.feature_keys(inputs["gene_records"])}
@@ -49,6 +54,8 @@ def run_all(inputs: dict[str, DataFrame], options: Options | None = None) -> dic
         if "lanes" in out:
             out["strandedness"] = design.strandedness_resolve(inputs["sheet"], out["inferred"])
             out["contrast_strandedness"] = design.contrast_strandedness(out["contrasts"], out["strandedness"])
+            if o.strict:
+                design.require_none(out["contrast_strandedness"], "contrasts of mixed strandedness")
         if "tes" in out:
             hits = quant.assigned(inputs["alignments"], out["exons"], out["tes"])
             out |= {"uniq": quant.quantify_uniq(hits), "multi": quant.quantify_multi(hits)}

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import try_long
 
 Paths = str | list[str]
+# Patterns of the files' formats.
+QUOTED_ATTRIBUTE = r'(\w+)\s+"([^"]*)"'
+REPORT_LINE = r'explained by "([^"]+)":\s*([\d.]+)'
 
 
 def numbered_lines(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -27,15 +33,16 @@ def _content(lines: DataFrame) -> DataFrame:
 
 
 def gtf_attrs(text: Column) -> Column:
-    """The attributes of a GTF line, quotes optional; of a repeated key the last value counts."""
-    pairs = F.filter(F.transform(F.split(text, ";"), lambda p: F.split(F.trim(p), r"\s+", 2)), lambda p: F.size(p) == 2)
-    entry = F.transform(pairs, lambda p: F.struct(p[0].alias("k"), F.trim(F.regexp_replace(F.trim(p[1]), '^"|"$', "")).alias("v")))
+    """The attributes of a GTF line, quotes optional; a key without a value has an empty one, of a repeated key the last value counts."""
+    pairs = F.filter(F.transform(F.split(text, ";"), lambda p: F.split(F.trim(p), r"\s+", 2)), lambda p: p[0] != "")
+    value = lambda p: F.coalesce(F.get(p, F.lit(1)), F.lit(""))
+    entry = F.transform(pairs, lambda p: F.struct(p[0].alias("k"), F.trim(F.regexp_replace(F.trim(value(p)), '^"|"$', "")).alias("v")))
     return _last_wins(entry)
 
 
 def gtf_attrs_quoted(text: Column) -> Column:
     """The attributes with quoted values only."""
-    k, v = (F.regexp_extract_all(text, F.lit(r'(\w+)\s+"([^"]*)"'), F.lit(i)) for i in (1, 2))
+    k, v = (F.regexp_extract_all(text, F.lit(QUOTED_ATTRIBUTE), F.lit(i)) for i in (1, 2))
     return _last_wins(F.zip_with(k, v, lambda a, b: F.struct(a.alias("k"), b.alias("v"))))
 
 
@@ -93,11 +100,13 @@ def read_count_tables(spark: SparkSession, paths: dict[str, str], on_bad: str =
     Numbers are cut to whole ones. on_bad: what becomes of other text: 'zero'; 'strict', which also zeroes decimals; or
     'raise'. Of a feature that a file holds twice the last line counts.
     """
-    out = None
-    for sample, path in paths.items():
-        c = F.split("value", "\t")
-        rows = numbered_lines(spark, path).where((F.col("line_no") > 0) & (F.size(c) >= 2)).select(F.lit(sample).alias("sample"), c[0].alias("feature"), F.trim(c[1]).alias("text"), "line_no")
-        out = rows if out is None else out.union(rows)
+    bare = r"^[^:/]+:(//[^/]*)?"  # scheme and host
+    named = [(re.sub(bare, "", p) if re.match(bare, p) else os.path.abspath(p), sample) for sample, p in paths.items()]
+    lines = numbered_lines(spark, list(paths.values())).withColumn("path", F.regexp_replace("file", bare, ""))
+    c = F.split("value", "\t")
+    # one scan, however many samples: each file's name gives its own
+    rows = lines.join(F.broadcast(spark.createDataFrame(named, "path string, sample string")), "path")
+    out = rows.where((F.col("line_no") > 0) & (F.size(c) >= 2)).select("sample", c[0].alias("feature"), F.trim(c[1]).alias("text"), "line_no")
     n = F.col("text").try_cast("bigint") if on_bad == "strict" else F.col("text").try_cast("double").cast("bigint")
     n = F.when(F.col("text").rlike(r"^[+-]?\d+$"), n) if on_bad == "strict" else n
     n = F.coalesce(n, F.raise_error(F.concat(F.lit("no number: "), "text")).cast("bigint") if on_bad == "raise" else F.lit(0))
@@ -113,7 +122,7 @@ def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 def infer_report(lines: DataFrame) -> DataFrame:
     """(sample, line_no, pattern, fraction) of the lines (sample, line_no, value) of strandedness reports."""
-    pattern = r'explained by "([^"]+)":\s*([\d.]+)'
+    pattern = REPORT_LINE
     rows = lines.where(F.col("value").rlike(pattern))
     return rows.select("sample", "line_no", F.regexp_extract("value", pattern, 1).alias("pattern"), F.regexp_extract("value", pattern, 2).try_cast("double").alias("fraction"))
 

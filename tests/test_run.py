@@ -1,4 +1,6 @@
+import pytest
 from compare import DATA
+from pyspark.sql import functions as F
 
 from genospark.plans.queries import Views
 from genospark.plans.run import Options, run_all
@@ -17,4 +19,11 @@ def test_run_all(spark):
 def test_parts(spark):
     assert run_all({}) == {}
     out = run_all({"sheet": Views(spark, f"{DATA}/sf0.001").rows()})
-    assert set(out) == {"lanes", "sheet_violations", "contrasts", "contrast_replicates"}
+    assert set(out) == {"lanes", "sheet_violations", "strandedness_violations", "contrasts", "contrast_replicates"}
+
+
+def test_strict(spark):
+    bad = Views(spark, f"{DATA}/sf0.001").rows().withColumn("strandedness", F.lit("sideways"))
+    assert run_all({"sheet": bad})["strandedness_violations"].count() > 0
+    with pytest.raises(ValueError, match="sideways"):
+        run_all({"sheet": bad}, Options(strict=True))

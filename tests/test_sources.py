@@ -2,8 +2,11 @@
 
 import gzip
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from genospark.operators import cohort, reads
 from genospark.operators.tracks import exon_track
 from genospark.plans.queries import Views
 from genospark.sources import readers, writers
@@ -89,3 +92,28 @@ def test_events_tracks_and_matrix(spark, tmp_path):
     writers.write_matrix(counts_long(events), str(tmp_path / "m"), ["S0", "S1"])
     m = readers.read_table(spark, str(tmp_path / "m"))
     assert m.columns == ["feature", "S0", "S1"] and m.where("S0 is null").count() == 0
+
+
+def test_attribute_without_a_value(spark):
+    row = spark.range(1).select(readers.gtf_attrs(F.lit('gene_id "G1"; pseudo; family_id ; note a b;')).alias("a")).first()
+    assert row["a"] == {"gene_id": "G1", "pseudo": "", "family_id": "", "note": "a b"}
+
+
+def test_events_and_catalog_are_written_in_order(spark, tmp_path):
+    v = Views(spark, f"{DATA}/sf0.001")
+    events = v.annotated()
+    writers.write_events(events, str(tmp_path / "e"))
+    back = [line.split("\t") for f in sorted((tmp_path / "e/events/sample=S1").glob("part-*")) for line in f.read_text().splitlines()[1:]]
+    keys = [(r[1], int(r[2]), r[3], r[4], int(r[5]), r[6]) for r in back]
+    assert keys == sorted(keys) and len(keys) == events.where("sample = 'S1'").count()
+    catalog = cohort.event_catalog(events)
+    writers.write_catalog(catalog, str(tmp_path / "c"))
+    ids = [line.split("\t")[0] for f in sorted((tmp_path / "c").glob("part-*")) for line in f.read_text().splitlines()[1:]]
+    assert ids == [r["event_id"] for r in catalog.orderBy("first_sample", "event_id").collect()]
+
+
+def test_read_length_override_and_error(spark):
+    reads_ = spark.createDataFrame([("a", "L1", 1, ""), ("a", "L2", 2, "")], "sample string, lane string, read_id long, seq string")
+    assert reads.max_read_length(reads_, overhang=99).first()["overhang"] == 99
+    with pytest.raises(Exception, match="no read with a length"):
+        reads.max_read_length(reads_).collect()
