@@ -31,7 +31,7 @@ def adjusted(p: DataFrame) -> DataFrame:
 
 def contrast_effects(counts: DataFrame, contrasts: DataFrame, minread: int = 1) -> DataFrame:
     """(contrast, feature, base_mean, log2fc, z): negative-binomial Wald statistics of features with minread counts at least in the contrast."""
-    sides = normalised(counts).join(F.broadcast(contrasts), "sample")
+    sides = normalised(counts).join(contrasts, "sample")
     mean = lambda role: F.avg(F.when(F.col("role") == role, F.col("q")))
     size = lambda role: F.count_if(F.col("role") == role)
     by = sides.groupBy("contrast", "feature").agg(F.sum("n").alias("total"), F.avg("q").alias("base_mean"), mean("treatment").alias("t"), mean("control").alias("c"), size("treatment").alias("nt"), size("control").alias("nc"))

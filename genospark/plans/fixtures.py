@@ -93,7 +93,7 @@ select concat('S', cast(o_orderkey as string)) as sample, concat('reads/S', cast
        case when o_orderkey % 2 = 0 then concat('reads/S', cast(o_orderkey as string), '_L1_R2.fastq.gz') end as fastq_2,
        case o_orderkey % 3 when 0 then 'forward' when 1 then 'reverse' else 'unstranded' end as strandedness,
        case when o_orderkey < 3 then 'control' else 'treatment' end as condition
-from orders where o_orderkey < 6
+from orders
 """,
 }
 

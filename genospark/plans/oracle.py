@@ -81,7 +81,7 @@ def long_counts(where: str, column: str, values: tuple[str, ...], n: str = "coun
     return f"s as (select distinct sample from {where}), v(v) as (values {listed}), l as (select s.sample, v.v as {column}, (select coalesce({n}, 0) from {where} x where x.sample = s.sample and x.{column} = v.v) as n from s cross join v)"
 
 
-GRID = CNT + """, c as (select * from fx_cnt where starts_with(feature, 'SF')), g as (select f.feature, s.sample, coalesce(c.n, 0) as n
+GRID = CNT + """, c as (select * from fx_cnt), g as (select f.feature, s.sample, coalesce(c.n, 0) as n
   from (select distinct feature from c) f cross join (select distinct sample from c) s left join c on c.feature = f.feature and c.sample = s.sample),
 lg as (select feature, sample, log2(n + 1.0) as x from g)"""
 FACTORS = GRID + """, r as (select sample, ln(n) - avg(ln(n)) over (partition by feature) as r from (select *, min(n) over (partition by feature) as least from g) where least > 0),
@@ -165,7 +165,7 @@ SQL: dict[str, str] = {
     "j6_feature_class_filter": "with " + ctes("fx_cnt", "fx_exons") + " select sample, feature, n from fx_cnt where feature in (select gene_id from fx_exons)",
     "j7_condition_lookup": "with " + ctes("fx_junctions", "fx_sheet") + " select s.sample, case when s.sample in ('S4', 'S5') then 'all' else coalesce(f.condition, 'all') end as condition from (select distinct sample from fx_junctions) s left join fx_sheet f using (sample)",
     "j8_contrast_pairs": "with " + ctes("fx_sheet") + ", " + CONTRAST + " select contrast, sample, role from ct",
-    "j9_strandedness_resolve": INFER + ", " + ctes("fx_sheet") + """ select s.sample, coalesce(case when substr(s.sample, 2) in ('0', '2', '4') then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call
+    "j9_strandedness_resolve": INFER + ", " + ctes("fx_sheet") + """ select s.sample, coalesce(case when cast(substr(s.sample, 2) as bigint) % 2 = 0 then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call
   from fx_sheet s left join called c on c.sample = s.sample""",
     "j10_allocated_join": JOBS + " select rule, cpu_alloc_cores, ram_alloc_gb, cpu_eff, ram_eff from je",
     "j11_dense_grid": GRID + " select feature, sample, n from g",

@@ -63,7 +63,7 @@ class Views:
         return self.sheet.withColumn("row", F.substring("sample", 2, 9).cast("long"))
 
     def counts(self) -> DataFrame:
-        return self.cnt.where(F.col("feature").startswith("SF"))
+        return self.cnt
 
     def contrasts(self) -> DataFrame:
         return design.contrast_pairs(self.rows())
