@@ -19,14 +19,24 @@ def two_sided_p(z: pd.Series) -> pd.Series:
 
 
 def adjusted(p: DataFrame) -> DataFrame:
-    """p(contrast, feature, pvalue, ...) with padj by Benjamini and Hochberg within the contrast.
+    """p(contrast, feature, pvalue, ...) with padj by Benjamini and Hochberg within the contrast; null p count for nothing and stay null.
 
-    The running minimum from the largest p on takes all of a contrast's features in order; equal p share a rank from the tail.
+    Equal p have equal padj, so that distinct p with their numbers are enough. They are dealt over ranges, 256 for each
+    power of 2; ranks and minima are taken inside a range, and carried on from range to range by one row for each.
     """
-    by = Window.partitionBy("contrast")
-    ranked = p.withColumn("m", F.count("*").over(by)).withColumn("i", F.row_number().over(by.orderBy("pvalue", "feature")))
-    tail = by.orderBy(F.desc("pvalue"), F.desc("feature")).rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn("padj", F.least(F.lit(1.0), F.min(F.col("pvalue") * F.col("m") / F.col("i")).over(tail))).drop("m", "i")
+    place = F.coalesce(F.floor(F.log2("pvalue") * 256), F.lit(-(2**30))).alias("place")
+    per = p.where("pvalue is not null").groupBy("contrast", "pvalue").agg(F.count("*").alias("held")).select("*", place)
+    every, up = Window.partitionBy("contrast"), (Window.unboundedPreceding, -1)
+    ranges = per.groupBy("contrast", "place").agg(F.sum("held").alias("held"))
+    before = F.coalesce(F.sum("held").over(every.orderBy("place").rowsBetween(*up)), F.lit(0))
+    ranges = ranges.select("contrast", "place", F.sum("held").over(every).alias("m"), before.alias("before"))
+    inside = Window.partitionBy("contrast", "place")
+    ranked = per.join(ranges, ["contrast", "place"]).withColumn("i", F.col("before") + F.sum("held").over(inside.orderBy("pvalue")))
+    ranked = ranked.select("contrast", "place", "pvalue", (F.col("pvalue") * F.col("m") / F.col("i")).alias("q"))
+    later = ranked.groupBy("contrast", "place").agg(F.min("q").alias("q")).select("contrast", "place", F.min("q").over(every.orderBy(F.desc("place")).rowsBetween(*up)).alias("later"))
+    padj = F.least(F.lit(1.0), F.min("q").over(inside.orderBy(F.desc("pvalue"))), "later").alias("padj")
+    found = ranked.join(later, ["contrast", "place"]).select("contrast", "pvalue", padj)
+    return p.join(found, ["contrast", "pvalue"], "left").select(*p.columns, "padj")
 
 
 def contrast_effects(counts: DataFrame, contrasts: DataFrame, minread: int = 1) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import log2p1
 from .cohort import dense_grid
 
+FEATURES = 1024
+
 
 def presence_filter(counts: DataFrame, min_samples: int = 2, min_total: int = 5) -> DataFrame:
     """The rows of features that enough samples have, with enough counts in all."""
@@ -35,19 +40,52 @@ def min_events_gate(values: DataFrame, min_events: int = 10) -> DataFrame:
     return values.join(F.broadcast(size), how="cross").drop("ok")
 
 
-def _by_feature(values: DataFrame) -> DataFrame:
-    """(feature, v): a map from sample to value; one row per feature."""
-    return values.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("sample", "x"))).alias("v"))
+def _sums_of_pairs(values: DataFrame, kind: str) -> DataFrame:
+    """(a, b, s): for all ordered pairs of samples, s over the features that both have: of squared differences, or of products.
+
+    One shuffle by feature gives each feature's row. A task adds up its features in blocks, as matrices of FEATURES rows at
+    most, and gives one row for each pair of samples, so that rows don't grow with the features. It holds two numbers for
+    each pair: samples are thousands at most. Null values count as missing.
+    """
+    rows = values.where(F.col("x").isNotNull()).groupBy("feature").agg(F.collect_list(F.struct("sample", "x")).alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[str, int] = {}
+        total = shared = np.zeros((0, 0))
+        for b in batches:
+            for at in range(0, b.num_rows, FEATURES):
+                v = b.column("v").slice(at, FEATURES)
+                flat, row = v.flatten(), np.repeat(np.arange(len(v)), v.value_lengths().to_numpy(zero_copy_only=False))
+                names = flat.field("sample").dictionary_encode()
+                own = np.array([place.setdefault(n, len(place)) for n in names.dictionary.to_pylist()], int)
+                column, x = own[names.indices.to_numpy()], flat.field("x").to_numpy()
+                if len(place) > len(total):
+                    grow = len(place) - len(total)
+                    total, shared = np.pad(total, (0, grow)), np.pad(shared, (0, grow))
+                dense, there = np.zeros((len(v), len(place))), np.zeros((len(v), len(place)))
+                np.add.at(dense, (row, column), x)
+                there[row, column] = 1
+                shared += there.T @ there
+                if kind == "products":
+                    total += dense.T @ dense
+                    continue
+                for k in range(len(place)):
+                    # differences before squares: equal samples are at distance 0 exactly
+                    both = there[:, k] > 0
+                    total[k] += ((dense[both, k, None] - dense[both]) ** 2 * there[both]).sum(0)
+        names = pa.array(place, pa.string())
+        for k, name in enumerate(place):
+            met = pa.array(shared[k] > 0)
+            b = names.filter(met)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(b), pa.string()), b, pa.array(total[k]).filter(met)], ["a", "b", "s"])
+
+    parts = rows.select("v").mapInArrow(run, "a string, b string, s double")
+    return parts.groupBy("a", "b").agg(F.sum("s").alias("s"))
 
 
 def sample_distances(values: DataFrame) -> DataFrame:
-    """(sample_a, sample_b, distance): Euclidean, for all ordered pairs, the diagonal too.
-
-    One shuffle by feature gives each feature's row; pairs of samples, a bounded number, are summed before the second.
-    """
-    pairs = _by_feature(values).select(F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b"))
-    square = pairs.groupBy(F.col("a.sample").alias("sample_a"), F.col("b.sample").alias("sample_b")).agg(F.sum((F.col("a.x") - F.col("b.x")) ** 2).alias("s"))
-    return square.select("sample_a", "sample_b", F.sqrt("s").alias("distance"))
+    """(sample_a, sample_b, distance): Euclidean, for all ordered pairs with a feature in common, the diagonal too."""
+    return _sums_of_pairs(values, "differences").select(F.col("a").alias("sample_a"), F.col("b").alias("sample_b"), F.sqrt("s").alias("distance"))
 
 
 def sample_pca(values: DataFrame) -> DataFrame:
@@ -59,16 +97,15 @@ def sample_pca(values: DataFrame) -> DataFrame:
     spark = values.sparkSession
     w = Window.partitionBy("feature")
     z = values.withColumn("x", (F.col("x") - F.avg("x").over(w)) / F.stddev_samp("x").over(w))
-    pairs = _by_feature(z).select(F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b"))
-    gram = pairs.groupBy(F.col("a.sample").alias("i"), F.col("b.sample").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("g")).collect()
-    names = sorted({r["i"] for r in gram})
+    gram = _sums_of_pairs(z, "products").collect()
+    names = sorted({r["a"] for r in gram})
     schema = "sample string, pc1 double, pc2 double, pct1 double, pct2 double"
     if len(names) < 2:
         return spark.createDataFrame([], schema)
     place = {n: k for k, n in enumerate(names)}
     g = np.zeros((len(names), len(names)))
     for r in gram:
-        g[place[r["i"]], place[r["j"]]] = r["g"]
+        g[place[r["a"]], place[r["b"]]] = r["s"]
     value, vector = np.linalg.eigh((g + g.T) / 2)
     value, vector = np.maximum(value[::-1], 0), vector[:, ::-1]
     scores = vector[:, :2] * np.sqrt(value[:2])

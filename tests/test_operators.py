@@ -154,6 +154,25 @@ def test_p_values_and_adjustment(spark):
     assert np.allclose([r["padj"] for r in diff.adjusted(df).orderBy("feature").collect()], [0.04, 0.04 * 4 / 3, 0.04 * 4 / 3, 0.2])
 
 
+def test_adjustment_against_brute_force(spark):
+    draw = np.random.default_rng(3)
+    p = {c: np.concatenate([draw.uniform(size=300), draw.uniform(size=100) ** 20, np.full(50, 1.0), [0.0, 0.0, 0.5, 0.5]]) for c in "ab"}
+    rows = [(c, str(i), float(x)) for c, values in p.items() for i, x in enumerate(values)] + [("a", "none", None)]
+    df = spark.createDataFrame(rows, "contrast string, feature string, pvalue double").repartition(5)
+    got = {(r["contrast"], r["feature"]): r["padj"] for r in diff.adjusted(df).collect()}
+    assert len(got) == len(rows) and got["a", "none"] is None
+    for c, values in p.items():
+        m, rank = len(values), lambda x: (values <= x).sum()  # noqa: B023
+        for i, x in enumerate(values):
+            assert math.isclose(got[c, str(i)], min(1.0, *[y * m / rank(y) for y in values if y >= x]), rel_tol=1e-12)
+
+
+def test_distances_with_missing_values(spark):
+    rows = [("f", "a", 1.0), ("f", "b", 4.0), ("g", "a", 2.0), ("g", "b", None), ("g", "c", 2.0), ("h", "b", 0.0), ("h", "a", 4.0)]
+    d = {(r["sample_a"], r["sample_b"]): r["distance"] for r in sampleqc.sample_distances(spark.createDataFrame(rows, "feature string, sample string, x double")).collect()}
+    assert d == {("a", "a"): 0.0, ("b", "b"): 0.0, ("c", "c"): 0.0, ("a", "b"): 5.0, ("b", "a"): 5.0, ("a", "c"): 0.0, ("c", "a"): 0.0}
+
+
 SHEET = "row long, sample string, fastq_1 string, fastq_2 string, strandedness string, condition string"
 
 
