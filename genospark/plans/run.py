@@ -1,7 +1,8 @@
-"""The whole screen as one function: tables in, named DataFrames out. But for the fit of the vst trend, nothing runs until an output is used."""
+"""The whole screen as one function: tables in, named DataFrames out. But for the events, which are written once, and the fit of the vst trend, nothing runs until an output is used."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -30,11 +31,23 @@ class Options:
     strict: bool = False  # violations of the sheet and mixed strandedness raise; else they are outputs
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df from a table in the shared folder that spark.checkpoint.dir names, so that its plan runs once; df itself where none is named."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    path = f"{folder.rstrip('/')}/events-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_all(inputs: dict[str, DataFrame], options: Options | None = None) -> dict[str, DataFrame]:
     """Every output that the given inputs allow.
 
     inputs: gene_records and te_records (annotation), junctions, alignments, counts, sheet, metrics, allocated. What an
-    output needs and isn't there leaves the output out; unused branches are never planned.
+    output needs and isn't there leaves the output out; unused branches are never planned. The table of events stays in the
+    shared folder, for the outputs are read from it.
     """
     o, has, out = options or Options(), inputs.get, {}
     if has("sheet") is not None:
@@ -61,7 +74,7 @@ def run_all(inputs: dict[str, DataFrame], options: Options | None = None) -> dic
             out |= {"uniq": quant.quantify_uniq(hits), "multi": quant.quantify_multi(hits)}
     if has("junctions") is not None and {"genes", "tes"} <= out.keys():
         calls = out.get("strandedness", "no")
-        events = chimera.annotate_junctions(inputs["junctions"], out["exons"], out["genes"], out["tes"], calls, o.tolerance, o.require_canonical, o.cis_only)
+        events = written(chimera.annotate_junctions(inputs["junctions"], out["exons"], out["genes"], out["tes"], calls, o.tolerance, o.require_canonical, o.cis_only))
         out |= {"events": events, "te_chimeras": chimera.te_chimeras(events), "igv_bed": chimera.igv_bed(events), "event_catalog": cohort.event_catalog(events), "te_catalog": cohort.te_catalog(events), "event_counts": cohort.counts_long(events)}
         out |= {"junction_qc": cohort.junction_qc(events), "direction_composition": cohort.direction_composition(events), "te_chimera_composition": cohort.te_chimera_composition(events)}
         out |= _quality("event", out["event_counts"], o, max(o.min_events, 2))

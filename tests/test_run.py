@@ -13,6 +13,8 @@ def test_run_all(spark):
     out = run_all(inputs, Options(transform="log2", te_key="transcript_id", feature_class="all"))
     assert out["events"].count() >= out["event_catalog"].count() > 0
     assert out["feature_distances"].count() == 36 and out["jobs"].count() > 0
+    plan = out["event_catalog"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # from the written table of events, not from the annotation again
     assert {"differential", "strandedness", "multi", "te_catalog", "transcripts"} <= out.keys()
 
 
