@@ -262,23 +262,23 @@ def joined(nodes: DataFrame, some: DataFrame, sets: DataFrame, percent: int) ->
 def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(node, component) over all links among the candidate pairs(a, b) and the members of the long lists hot(sig, rep, n).
 
-    Only links that join two components matter. At first each member of the long lists is compared with one other, thrice:
+    Only links that join two components matter. At first each member of the long lists is compared with one other, twice:
     groups of near copies mostly become one component by that. Then each round takes pivots of each long list (one at first,
-    eight times as many each round), of its components but the largest, and pairs them with the members of other components;
-    it verifies, for every class, some of its candidates (one, then four times as many each round) and joins what is linked.
+    16 times as many each round), of its components but the largest, and pairs them with the members of other components;
+    it verifies, for every class, some of its candidates (one, then eight times as many each round) and joins what is linked.
     Candidates inside a component go, and so do lists with one component, and pivots, which have met all of their list. So
     pairs are what is outside a list's largest component times the list, and the end is reached when no candidate and no
     list is left: then each pair of two components has been compared.
     """
     nodes = pairs.sparkSession.createDataFrame([], "node long, component long")
     if not hot.isEmpty():
-        for turn in range(3):
+        for turn in range(2):
             found = joined(nodes, saved(apart(contracted(hot, turn), nodes).select("a", "b")), sets, percent)
             nodes = nodes if found is None else found
     left, take, drawn, more = saved(apart(pairs, nodes).select("a", "b")), 1, 1, True
     while True:
         if more:
-            named = saved(with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c"))
+            named = with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c")
             by = named.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(F.max(F.struct("k", "c"))["c"].alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("k"))
             blocks = F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")
             named = saved(named.join(by.where("parts > 1").select("sig", "largest", blocks), "sig"))
@@ -293,7 +293,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             return nodes
         rank = F.expr("row_number() over (partition by b order by a)")
         some = saved(left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 4 * take, 8 * drawn
+        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 8 * take, 16 * drawn
         found = joined(nodes, some, sets, percent)
         if found is not None:
             nodes, left = found, apart(left, found).select("a", "b")
