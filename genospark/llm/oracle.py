@@ -35,4 +35,37 @@ select pair_id, cast(n as int) as n_prompt_turns,
 from rendered
 """
 
-SQL: dict[str, str] = {"op2_preferences": OP2_PREFERENCES}
+# Words, lines and windows as lists; see quality_rules.text_features and default_rules.
+OP11_QUALITY_RULES = r"""
+with parts as (
+    select doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from documents
+), numbered as (
+    select row_number() over () as row, * from parts
+), windows as (
+    select row, unnest(range(1, len(words) - 1)) as i, unnest(list_transform(range(1, len(words) - 1), lambda i: [words[i], words[i + 1], words[i + 2]])) as w
+    from numbered
+), places as (
+    select row, i from windows qualify count(*) over (partition by row, w) > 1
+), repeated as (
+    select row, count(distinct p) as n from (select row, unnest([i, i + 1, i + 2]) as p from places) group by row
+), counted as (
+    select doc_id, cast(len(words) as bigint) as n_words, cast(length(array_to_string(words, '')) as bigint) as word_chars,
+           cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(lines) as bigint) as n_lines,
+           cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(r.n, 0) as bigint) as n_repeat_words,
+           len(list_filter(words, lambda x: regexp_matches(x, '\pL'))) as n_letters,
+           len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t]*[-*\x{2022}\x{2023}\x{25AA}\x{25CF}]'))) as n_bullets,
+           len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[ \t\r]*$'))) as n_ellipses
+    from numbered left join repeated r using (row)
+), based as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or word_chars < 3 * n_words or word_chars > 10 * n_words or 10 * n_symbols > n_words or 10 * n_dup_lines > 3 * n_lines
+            or 10 * n_letters < 8 * n_words or 10 * n_bullets > 9 * n_lines or 10 * n_ellipses > 3 * n_lines) as kept
+from based
+"""
+
+SQL: dict[str, str] = {"op2_preferences": OP2_PREFERENCES, "op11_quality_rules": OP11_QUALITY_RULES}

@@ -17,6 +17,7 @@ from .jaccard_join import jaccard_components
 from .language_id import language_profiles, predicted_languages
 from .packing import packed_documents
 from .preferences import formatted_preferences, pairs_of_conversations
+from .quality_rules import quality_verdicts
 from .tables import bucket_of, in_small_batches, shared_dir, table
 from .token_counts import token_counts
 from .toxicity import toxicity_model, toxicity_scores
@@ -81,6 +82,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_verdicts(table(spark, sf_dir, "documents"))
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return out.select("doc_id", *base, base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+
+
 def small(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_quality_rules": op11_quality_rules,
 }
 QUERIES = {name: small(query) for name, query in QUERIES.items()}
 ORACLES: dict[str, str] = oracle.SQL
