@@ -77,21 +77,21 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def seconds(df: DataFrame, times: int = 2) -> float:
-    """The least time of a few runs of df, without keeping its rows."""
+def seconds(df: DataFrame, times: int = 2) -> list[float]:
+    """The times of a few runs of df, without keeping its rows, in order."""
     found = []
     for _ in range(times):
         began = time.perf_counter()
         df.write.format("noop").mode("overwrite").save()
         found.append(time.perf_counter() - began)
-    return min(found)
+    return sorted(found)
 
 
 def ordered_rules(rows: DataFrame, rules: Sequence[Rule], sample_rows: int = 2000, share: float = 0.1) -> list[Rule]:
     """The rules by rejection per cost, as a sample shows them.
 
     The sample: the first `sample_rows` rows of a random `share` of the rows, so that only as many partitions are read as it
-    needs. A rule's cost is the time it takes over the sample beyond reading it. The next rule is always the one that
+    needs. A rule's cost is the time it takes over the sample beyond reading it, and no less than reading varies by. The next rule is always the one that
     rejects most of the sample's rows left over, for its cost. Rules that reject nothing more go to the end, cheap ones
     first; an empty sample leaves the given order. The driver gets a count for each combination of verdicts: no more than
     rows in the sample. The order changes no verdict, only how soon a row is rejected.
@@ -105,8 +105,8 @@ def ordered_rules(rows: DataFrame, rules: Sequence[Rule], sample_rows: int = 200
         found = [(tuple(x[b] for b in bits), x["count"]) for x in sample.select(*verdicts).groupBy(*bits).count().collect()]
         if not found:
             return list(rules)
-        idle = seconds(sample.select(F.lit(1)))
-        cost = [max(seconds(sample.select(v)) - idle, 1e-3) for v in verdicts]
+        idle = seconds(sample.select(F.lit(1)), 4)[1:]
+        cost = [max(seconds(sample.select(v))[0] - idle[0], idle[-1] - idle[0], 0.005) for v in verdicts]
     left, order = set(range(len(rules))), []
     while left:
         rejected = {k: sum(n for v, n in found if v[k]) for k in left}

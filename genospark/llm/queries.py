@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .conversation_repair import conversation_summaries, damaged, repaired_turns
 from .decontamination import contamination
 from .hidden_markov import text_scores
 from .html_text import extracted_pages
@@ -89,6 +90,10 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_summaries(repaired_turns(damaged(table(spark, sf_dir, "conversations"))))
+
+
 def small(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
     "op11_quality_rules": op11_quality_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 QUERIES = {name: small(query) for name, query in QUERIES.items()}
 ORACLES: dict[str, str] = oracle.SQL
