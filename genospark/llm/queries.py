@@ -20,6 +20,7 @@ from .packing import packed_documents
 from .preferences import formatted_preferences, pairs_of_conversations
 from .quality_rules import quality_verdicts
 from .tables import bucket_of, in_small_batches, shared_dir, table
+from .token_alignment import token_alignment
 from .token_counts import token_counts
 from .toxicity import toxicity_model, toxicity_scores
 from .vector_search import nearest
@@ -33,6 +34,12 @@ def bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_scores(table(spark, sf_dir, "documents").select("doc_id", "text", (bucket_of("doc_id", 7) == 2).alias("held_out")))
 
@@ -90,6 +97,10 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(table(spark, sf_dir, "documents"), bpe_path(), piece_path())
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_summaries(repaired_turns(damaged(table(spark, sf_dir, "conversations"))))
 
@@ -115,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
     "op11_quality_rules": op11_quality_rules,
+    "op12_token_alignment": op12_token_alignment,
     "op13_conversation_repair": op13_conversation_repair,
 }
 QUERIES = {name: small(query) for name, query in QUERIES.items()}

@@ -48,14 +48,15 @@ def decodes(piece: bytes) -> bool:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """text -> ids, without begin, end or added special tokens; special strings inside texts as the library's default has them."""
+def encoder(path: str, special: bool = True) -> Callable[[str], np.ndarray]:
+    """text -> ids, without begin, end or added special tokens; special strings inside texts as the library's default has them, or as plain text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
     library.no_truncation()
     library.no_padding()
+    library.encode_special_tokens = not special
 
     def plain(text: str) -> np.ndarray:
         return np.array(library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -66,10 +67,10 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
         return plain
     import tiktoken
 
-    special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+    added = {x["content"]: x["id"] for x in spec["added_tokens"]}
     letters = byte_characters()
-    ranks = {bytes(letters[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    ranks = {bytes(letters[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in added}
+    fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
     # tiktoken takes a piece that is a token as it is; the library must get there by merges
     whole = [(t.decode(), i) for t, i in ranks.items() if decodes(t)]
     if any(e.ids != [i] for e, (t, i) in zip(library.encode_batch_fast([t for t, _ in whole], add_special_tokens=False), whole) if len(fast.encode_ordinary(t)) == 1):
@@ -77,7 +78,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
     def encode(text: str) -> np.ndarray:
         try:
-            return fast.encode_to_numpy(text, allowed_special="all")
+            return fast.encode_to_numpy(text, allowed_special="all" if special else set(), disallowed_special=())
         except ValueError:
             return plain(text)
 
