@@ -77,10 +77,18 @@ def contrast_strandedness(contrasts: DataFrame, calls: DataFrame) -> DataFrame:
     return by.where("n_calls > 1")
 
 
+def _own_strandedness(sheet: DataFrame) -> DataFrame:
+    return sheet.groupBy("sample").agg(F.max(X.normal_strandedness(_blank("strandedness"))).alias("own"))
+
+
+def strandedness_open(sheet: DataFrame) -> DataFrame:
+    """(sample): the samples whose strandedness the sheet leaves to inference."""
+    return _own_strandedness(sheet).where("own is null or own = 'auto'").select("sample")
+
+
 def strandedness_resolve(sheet: DataFrame, inferred: DataFrame) -> DataFrame:
     """(sample, call): the sheet's value, or for auto or none the inferred call, `no` where there isn't one."""
-    own = sheet.groupBy("sample").agg(F.max(X.normal_strandedness(_blank("strandedness"))).alias("own"))
-    joined = own.join(inferred.select("sample", F.col("call").alias("found")), "sample", "left")
+    joined = _own_strandedness(sheet).join(inferred.select("sample", F.col("call").alias("found")), "sample", "left")
     return joined.select("sample", F.coalesce(F.nullif("own", F.lit("auto")), "found", F.lit("no")).alias("call"))
 
 

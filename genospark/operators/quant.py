@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import opposite, strandedness_call
+from ..storage import few
+from . import em
+from .design import strandedness_open, strandedness_resolve
 from .intervals import overlaps
 
 KEY = ["sample", "read_id", "aln"]
@@ -35,23 +38,44 @@ def infer_strandedness(alignments: DataFrame, genes: DataFrame, least: float = 0
     return out.withColumn("undetermined", 1 - F.col("forward") - F.col("reverse")).withColumn("call", strandedness_call(F.col("forward"), F.col("reverse"), least))
 
 
-def candidate_features(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", call: str = "no") -> DataFrame:
-    """(chrom, start0, end0, strand, features) of the places with candidates: the gene, or '__ambiguous' where there are several, else the TEs.
+def sample_calls(sheet: DataFrame, alignments: DataFrame, genes: DataFrame, least: float = 0.6) -> DataFrame:
+    """(sample, call): what the sheet says, and what the alignments show for the samples that it leaves open. Only those are looked at."""
+    asked = alignments.join(few(strandedness_open(sheet)), "sample", "left_semi")
+    return strandedness_resolve(sheet, infer_strandedness(asked, genes, least))
 
-    forward and reverse calls take only features on, or opposite to, the place's strand.
+
+def candidate_features(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id") -> DataFrame:
+    """(chrom, start0, end0, strand, no, forward, reverse) of the places with candidates, one array of features for each library call: the gene, or '__ambiguous' where there are several, else the TEs.
+
+    forward and reverse libraries take only features on, or opposite to, the place's strand. A place's overlaps are looked
+    up once, whatever the calls of the samples that have alignments there. Null: no candidates.
     """
     at = places(alignments)
-    fits = {"forward": F.col("f_strand") == F.col("strand"), "reverse": F.col("f_strand") == opposite(F.col("strand"))}.get(call, F.lit(True))
-    found = lambda t, key, name: overlaps(at, t.select(*PLACE, F.col(key).alias("id"))).where(fits).groupBy(*PLACE).agg(F.array_sort(F.collect_set("f_id")).alias(name))
+    fits = {"no": F.lit(True), "forward": F.col("f_strand") == F.col("strand"), "reverse": F.col("f_strand") == opposite(F.col("strand"))}
+
+    def found(t: DataFrame, key: str, name: str) -> DataFrame:
+        pairs = overlaps(at, t.select(*PLACE, F.col(key).alias("id")))
+        return pairs.groupBy(*PLACE).agg(*[F.array_sort(F.collect_set(F.when(fit, F.col("f_id")))).alias(f"{name}_{call}") for call, fit in fits.items()])
+
     both = found(exons, "gene_id", "g").join(found(tes, te_key, "t"), PLACE, "full")
-    features = F.when(F.size("g") == 1, F.col("g")).when(F.size("g") > 1, F.array(F.lit("__ambiguous"))).otherwise(F.col("t"))
-    return both.select(*PLACE, features.alias("features"))
+    some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    features = lambda call: F.when(F.size(f"g_{call}") > 1, F.array(F.lit("__ambiguous"))).otherwise(F.coalesce(some(f"g_{call}"), some(f"t_{call}")))
+    return both.select(*PLACE, *[features(call).alias(call) for call in fits])
 
 
-def assigned(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", call: str = "no") -> DataFrame:
-    """(sample, read_id, aln, n, features): each alignment with its candidate features; n is the read's number of alignments. Alignments without any are left out."""
+def assigned(alignments: DataFrame, exons: DataFrame, tes: DataFrame, te_key: str = "te_id", calls: str | DataFrame = "no") -> DataFrame:
+    """(sample, read_id, aln, n, features): each alignment with its candidate features; n is the read's number of alignments. Alignments without any are left out.
+
+    calls: one library call for all samples (no, forward, reverse), or (sample, call); `no` for samples that it lacks.
+    """
     aln = numbered(alignments).withColumn("n", F.count("*").over(Window.partitionBy("sample", "read_id")))
-    return aln.join(candidate_features(alignments, exons, tes, te_key, call), PLACE).select(*KEY, "n", "features")
+    if isinstance(calls, str):
+        aln = aln.withColumn("call", F.lit(calls))
+    else:
+        aln = aln.join(few(calls.groupBy("sample").agg(F.min("call").alias("call"))), "sample", "left")
+    met = aln.join(candidate_features(alignments, exons, tes, te_key), PLACE)
+    features = F.when(F.col("call") == "forward", F.col("forward")).when(F.col("call") == "reverse", F.col("reverse")).otherwise(F.col("no"))
+    return met.select(*KEY, "n", features.alias("features")).where("features is not null")
 
 
 def quantify_uniq(hits: DataFrame) -> DataFrame:
@@ -66,21 +90,6 @@ def quantify_multi(hits: DataFrame) -> DataFrame:
     return rows.groupBy("sample", "feature").agg(F.sum("w").alias("weight"))
 
 
-def quantify_em(hits: DataFrame, rounds: int = 10) -> DataFrame:
-    """(sample, feature, theta) by expectation maximisation over each read's candidates.
-
-    Reads with the same candidates act alike, so they are first counted into classes; each round joins the classes with
-    the current masses. Masses are cut off from their lineage by a checkpoint where a checkpoint folder is set.
-    """
-    reads = hits.select("sample", "read_id", F.explode("features").alias("feature")).where("feature <> '__ambiguous'").groupBy("sample", "read_id").agg(F.array_sort(F.collect_set("feature")).alias("c"))
-    classes = reads.groupBy("sample", "c").agg(F.count("*").alias("m"))
-    keep = bool(hits.sparkSession.sparkContext.getCheckpointDir())
-    fixed = (lambda df: df.checkpoint()) if keep else (lambda df: df)
-    classes = fixed(classes.select("sample", F.xxhash64("sample", F.array_join("c", "\x1f")).alias("class"), F.size("c").alias("k"), "m", F.explode("c").alias("feature")))
-    theta = fixed(classes.groupBy("sample", "feature").agg(F.sum(F.col("m") / F.col("k")).alias("theta")))
-    for _ in range(rounds):
-        w = Window.partitionBy("sample", "class")
-        shares = classes.join(theta, ["sample", "feature"]).withColumn("all", F.sum("theta").over(w))
-        share = F.when(F.col("all") > 0, F.col("theta") / F.col("all")).otherwise(1 / F.col("k"))
-        theta = fixed(shares.groupBy("sample", "feature").agg(F.sum(F.col("m") * share).alias("theta")))
-    return theta
+def quantify_em(hits: DataFrame, rounds: int = 10, lengths: DataFrame | None = None, tolerance: float | None = None, accelerate: bool = False) -> DataFrame:
+    """(sample, feature, theta) by expectation maximisation over each read's candidates: see em.fit_masses."""
+    return em.fit_masses(hits, lengths, rounds, tolerance, accelerate).theta.drop("tpm")

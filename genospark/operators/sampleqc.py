@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import log2p1
+from ..storage import Shelf, few
 from .cohort import dense_grid
 
 FEATURES = 1024
+#: Vectors that subspace iteration carries; numbers that a task lays out at a time.
+BLOCK, CELLS = 12, 1 << 20
 
 
 def presence_filter(counts: DataFrame, min_samples: int = 2, min_total: int = 5) -> DataFrame:
@@ -40,8 +43,8 @@ def min_events_gate(values: DataFrame, min_events: int = 10) -> DataFrame:
     return values.join(F.broadcast(size), how="cross").drop("ok")
 
 
-def _sums_of_pairs(values: DataFrame, kind: str) -> DataFrame:
-    """(a, b, s): for all ordered pairs of samples, s over the features that both have: of squared differences, or of products.
+def _squared_differences(values: DataFrame) -> DataFrame:
+    """(a, b, s): for all ordered pairs of samples, s, the sum of squared differences over the features that both have.
 
     One shuffle by feature gives each feature's row. A task adds up its features in blocks, as matrices of FEATURES rows at
     most, and gives one row for each pair of samples, so that rows don't grow with the features. It holds two numbers for
@@ -66,9 +69,6 @@ def _sums_of_pairs(values: DataFrame, kind: str) -> DataFrame:
                 np.add.at(dense, (row, column), x)
                 there[row, column] = 1
                 shared += there.T @ there
-                if kind == "products":
-                    total += dense.T @ dense
-                    continue
                 for k in range(len(place)):
                     # differences before squares: equal samples are at distance 0 exactly
                     both = there[:, k] > 0
@@ -85,35 +85,86 @@ def _sums_of_pairs(values: DataFrame, kind: str) -> DataFrame:
 
 def sample_distances(values: DataFrame) -> DataFrame:
     """(sample_a, sample_b, distance): Euclidean, for all ordered pairs with a feature in common, the diagonal too."""
-    return _sums_of_pairs(values, "differences").select(F.col("a").alias("sample_a"), F.col("b").alias("sample_b"), F.sqrt("s").alias("distance"))
+    return _squared_differences(values).select(F.col("a").alias("sample_a"), F.col("b").alias("sample_b"), F.sqrt("s").alias("distance"))
 
 
-def sample_pca(values: DataFrame) -> DataFrame:
+def _sample_numbers(values: DataFrame) -> list[str]:
+    """The samples' names in order: the driver's only table of the names, thousands at most."""
+    return sorted(r["sample"] for r in values.select("sample").distinct().collect())
+
+
+def _feature_rows(values: DataFrame, names: list[str]) -> DataFrame:
+    """(k, x): a row for each feature, its centred and scaled values x of the samples with numbers k in names. A missing value counts as 0."""
+    place = values.sparkSession.createDataFrame([(n, k) for k, n in enumerate(names)], "sample string, k int")
+    w = Window.partitionBy("feature")
+    z = F.coalesce(F.try_divide(F.col("x") - F.avg("x").over(w), F.stddev_samp("x").over(w)), F.lit(0.0))
+    at = values.withColumn("x", z).join(few(place), "sample")
+    return at.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v")).select(F.col("v.k").alias("k"), F.col("v.x").alias("x"))
+
+
+def _times(rows: DataFrame, block: np.ndarray) -> tuple[np.ndarray, float]:
+    """(G block, trace of G) for G, the samples x samples matrix of inner products of the features' rows, which is nowhere made.
+
+    A task multiplies its rows with the block, some MB of them at a time, and gives one row for each sample.
+    """
+    n, width = block.shape
+    sent = rows.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, squares, chunk = np.zeros((n, width)), 0.0, max(1, CELLS // n)
+        for b in batches:
+            for at in range(0, b.num_rows, chunk):
+                k, x = (b.column(c).slice(at, chunk) for c in ("k", "x"))
+                dense = np.zeros((len(k), n))
+                dense[np.repeat(np.arange(len(k)), k.value_lengths().to_numpy(zero_copy_only=False)), k.flatten().to_numpy()] = x.flatten().to_numpy()
+                y += dense.T @ (dense @ sent.value)
+                squares += float((dense * dense).sum())
+        columns = [pa.array(np.arange(n + 1), pa.int32()), *(pa.array(np.append(y[:, j], squares)) for j in range(width))]
+        yield pa.RecordBatch.from_arrays(columns, ["k", *(f"y{j}" for j in range(width))])
+
+    schema = "k int, " + ", ".join(f"y{j} double" for j in range(width))
+    try:
+        found = rows.mapInArrow(run, schema).groupBy("k").agg(*[F.sum(f"y{j}").alias(f"y{j}") for j in range(width)]).toPandas().sort_values("k").to_numpy()
+    finally:
+        sent.destroy()
+    return (found[:-1, 1:], float(found[-1, 1])) if len(found) else (np.zeros((n, width)), 0.0)
+
+
+def sample_pca(values: DataFrame, exact: float = 1e-10, most: int = 200) -> DataFrame:
     """(sample, pc1, pc2, pct1, pct2): scores of the first two components of the features, centred and scaled to variance 1.
 
-    Spark makes the samples x samples matrix of inner products; only that goes to the driver, whose eigenvectors are the
-    scores. The sign is such that the largest score by size is positive. Fewer than two samples: no rows.
+    Block subspace iteration from random vectors: each round is one pass over the features' rows, stored once, and the
+    driver holds BLOCK numbers for each sample, whatever their number; the samples x samples matrix is never made. It ends
+    when the first two components' residuals are `exact` of the largest value, or what is left of them is 0; after `most`
+    rounds without that it raises. The sign is such that the largest score by size is positive. Fewer than two samples: no
+    rows.
     """
     spark = values.sparkSession
-    w = Window.partitionBy("feature")
-    z = values.withColumn("x", (F.col("x") - F.avg("x").over(w)) / F.stddev_samp("x").over(w))
-    gram = _sums_of_pairs(z, "products").collect()
-    names = sorted({r["a"] for r in gram})
+    names = _sample_numbers(values)
     schema = "sample string, pc1 double, pc2 double, pct1 double, pct2 double"
     if len(names) < 2:
         return spark.createDataFrame([], schema)
-    place = {n: k for k, n in enumerate(names)}
-    g = np.zeros((len(names), len(names)))
-    for r in gram:
-        g[place[r["a"]], place[r["b"]]] = r["s"]
-    value, vector = np.linalg.eigh((g + g.T) / 2)
-    value, vector = np.maximum(value[::-1], 0), vector[:, ::-1]
+    with Shelf(spark) as shelf:
+        rows = shelf.put(_feature_rows(values, names))
+        q = np.linalg.qr(np.random.default_rng(1).standard_normal((len(names), min(BLOCK, len(names)))))[0]
+        for _ in range(most):
+            y, trace = _times(rows, q)
+            small = q.T @ y
+            value, turn = np.linalg.eigh((small + small.T) / 2)
+            value, turn = value[::-1], turn[:, ::-1]
+            residual = np.linalg.norm(y @ turn[:, :2] - (q @ turn[:, :2]) * value[:2], axis=0).max()
+            if residual <= exact * max(value[0], 0.0):
+                break
+            q = np.linalg.qr(y)[0]
+        else:
+            raise ArithmeticError(f"no components after {most} rounds: residual {residual:.3g} of {value[0]:.3g}")
+    vector, value = q @ turn, np.maximum(value, 0)
     scores = vector[:, :2] * np.sqrt(value[:2])
     for k in range(2):
         if scores[np.abs(scores[:, k]).argmax(), k] < 0:
             scores[:, k] *= -1
-    share = 100 * value / value.sum() if value.sum() else value
-    return spark.createDataFrame([(n, float(scores[k, 0]), float(scores[k, 1]), round(float(share[0]), 1), round(float(share[1]), 1)) for k, n in enumerate(names)], schema)
+    share = [round(float(100 * v / trace), 1) if trace else 0.0 for v in value[:2]]
+    return spark.createDataFrame([(n, float(scores[k, 0]), float(scores[k, 1]), *share) for k, n in enumerate(names)], schema)
 
 
 def condition_lookup(samples: DataFrame, sheet: DataFrame) -> DataFrame:
@@ -122,17 +173,37 @@ def condition_lookup(samples: DataFrame, sheet: DataFrame) -> DataFrame:
     return samples.join(first, "sample", "left").withColumn("condition", F.coalesce("c", F.lit("all"))).drop("c")
 
 
+def medians(values: DataFrame, key: str, x: str, accuracy: int = 10_000) -> DataFrame:
+    """(key, median): the exact median of x (no null) by key, the mean of both middle values where their number is even.
+
+    Two passes over values, which should be stored. The first takes, by a sketch of bounded size, two values that have the
+    median between them, no further than a few parts of `accuracy` from it. The second counts what is below them, and each
+    distinct value between them; only those counts are put in order. No buffer holds the values of a key.
+    """
+    near = 2.0 / accuracy
+    sketch = lambda q: F.percentile_approx(x, q, accuracy)
+    bounds = values.groupBy(key).agg(sketch([0.5 - near, 0.5 + near]).alias("between"), F.count("*").alias("size"))
+    met = values.join(few(bounds), key).withColumn("side", F.when(F.col(x) < F.col("between")[0], -1).when(F.col(x) > F.col("between")[1], 1).otherwise(0))
+    # one row for each distinct value between, and one for all below
+    counted = met.where("side <= 0").groupBy(key, "size", F.when(F.col("side") == 0, F.col(x)).alias("value")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(key).orderBy(F.col("value").asc_nulls_first()))
+    rank = lambda up: F.min(F.when(F.col("value").isNotNull() & (F.col("upto") > F.floor((F.col("size") - (0 if up else 1)) / 2)), F.col("value")))
+    return counted.withColumn("upto", upto).groupBy(key).agg(((rank(False) + rank(True)) / 2).alias("median"))
+
+
 def size_factors(counts: DataFrame) -> DataFrame:
     """(sample, size_factor): median of the ratios to the features' geometric means, over features that every sample has."""
     grid = dense_grid(counts)
     w = Window.partitionBy("feature")
-    logs = grid.withColumn("least", F.min("n").over(w)).where("least > 0").withColumn("r", F.ln("n") - F.avg(F.ln("n")).over(w))
-    return logs.groupBy("sample").agg(F.exp(F.expr("percentile(r, 0.5)")).alias("size_factor"))
+    logs = grid.withColumn("least", F.min("n").over(w)).where("least > 0").select("sample", (F.ln("n") - F.avg(F.ln("n")).over(w)).alias("r"))
+    with Shelf(counts.sparkSession) as shelf:
+        found = shelf.put(medians(shelf.put(logs), "sample", "r"), keep=True)
+    return found.select("sample", F.exp("median").alias("size_factor"))
 
 
 def normalised(counts: DataFrame) -> DataFrame:
-    """(feature, sample, n, q, size_factor) over the full grid: counts over size factors, a table of one row per sample."""
-    return dense_grid(counts).join(F.broadcast(size_factors(counts)), "sample").withColumn("q", F.col("n") / F.col("size_factor"))
+    """(feature, sample, n, q, size_factor) over the full grid: counts over size factors."""
+    return dense_grid(counts).join(few(size_factors(counts)), "sample").withColumn("q", F.col("n") / F.col("size_factor"))
 
 
 def dispersions(counts: DataFrame) -> DataFrame:

@@ -98,15 +98,20 @@ ef as (select contrast, feature, base_mean, log2((t + 0.5) / (c + 0.5)) as log2f
   from side join dp using (feature) where total >= 1 and nt > 0 and nc > 0)"""
 
 
-def assigned(key: str = "te_id", te: str = "fx_te", strand: str = "true") -> str:
-    return "with " + ctes("fx_exons", "fx_te", "fx_alignments") + f""", loc as (select *, concat_ws(':', te_id, te_family, te_family, te_class) as locus from fx_te),
-al as (select *, row_number() over (partition by sample, read_id order by chrom, start0, end0, strand) as aln, count(*) over (partition by sample, read_id) as n from fx_alignments),
-hg as (select a.sample, a.read_id, a.aln, list_sort(list(distinct f.gene_id)) as ids from al a join fx_exons f on a.chrom = f.chrom and f.start0 < a.end0 and f.end0 > a.start0 and {strand} group by all),
-ht as (select a.sample, a.read_id, a.aln, list_sort(list(distinct f.{key})) as ids from al a join {te} f on a.chrom = f.chrom and f.start0 < a.end0 and f.end0 > a.start0 and {strand} group by all),
-h as (select al.sample, al.read_id, al.aln, al.n, case when len(g.ids) = 1 then g.ids when len(g.ids) > 1 then ['__ambiguous'] else t.ids end as features from al left join hg g using (sample, read_id, aln) left join ht t using (sample, read_id, aln)),
+def assignment(key: str = "te_id", te: str = "fx_te", strand: str = "true", own: str = "fx_alignments") -> str:
+    """The hits of fx_alignments, or of a table like it; a strand rule may look at the alignment a and the feature f."""
+    return f"""loc as (select *, concat_ws(':', te_id, te_family, te_family, te_class) as locus from fx_te),
+an as (select *, row_number() over (partition by sample, read_id order by chrom, start0, end0, strand) as aln, count(*) over (partition by sample, read_id) as n from {own}),
+hg as (select a.sample, a.read_id, a.aln, list_sort(list(distinct f.gene_id)) as ids from an a join fx_exons f on a.chrom = f.chrom and f.start0 < a.end0 and f.end0 > a.start0 and {strand} group by all),
+ht as (select a.sample, a.read_id, a.aln, list_sort(list(distinct f.{key})) as ids from an a join {te} f on a.chrom = f.chrom and f.start0 < a.end0 and f.end0 > a.start0 and {strand} group by all),
+h as (select an.sample, an.read_id, an.aln, an.n, case when len(g.ids) = 1 then g.ids when len(g.ids) > 1 then ['__ambiguous'] else t.ids end as features from an left join hg g using (sample, read_id, aln) left join ht t using (sample, read_id, aln)),
 hits as (select * from h where features is not null)"""
 
 
+def assigned(key: str = "te_id", te: str = "fx_te", strand: str = "true") -> str:
+    return "with " + ctes("fx_exons", "fx_te", "fx_alignments") + ", " + assignment(key, te, strand)
+
+
 INFER = "with " + ctes("fx_exons", "fx_alignments") + ", " + GENES + """, al as (select *, row_number() over (partition by sample, read_id order by chrom, start0, end0, strand) as aln from fx_alignments),
 hs as (select a.sample, a.read_id, a.aln, a.strand, min(g.strand) as lo, max(g.strand) as hi from al a join genes g on a.chrom = g.chrom and g.start0 < a.end0 and g.end0 > a.start0 group by all),
 inf as (select sample, count(*) as n_reads, (select count(*) from hs where hs.sample = fx_alignments.sample and lo = hi and strand = lo) / count(*)::double as forward,
@@ -129,13 +134,35 @@ QC |= {"canonical_yes": "canonical = 'yes'", "canonical_no": "canonical = 'no'",
 QC |= {f"strand_match_{k}": f"direction in ('gene_to_te', 'te_to_gene') and gene_strand_match = '{k}'" for k in ("yes", "no", "NA")}
 ANNOTATION = [c.strip() for c in ("donor_chrom, donor_breakpoint, donor_strand, acceptor_chrom, acceptor_breakpoint, acceptor_strand, junction_type, canonical, repeat_flag, direction, gene_id, gene_strand, te_id, te_family, te_class, chimera_type, antisense_flag, library_strand, transcript_strand, gene_strand_match").split(",")]
 CATALOG = f"select event_id, min(sample) as first_sample, {', '.join(f'arg_min({c}, sample) as {c}' for c in ANNOTATION)}, count(distinct sample) as n_samples, cast(sum(reads) as bigint) as total_reads from af group by event_id"
-EM0 = assigned() + """, rf as (select sample, read_id, list_sort(list(distinct feature)) as c from (select sample, read_id, unnest(features) as feature from hits) where feature <> '__ambiguous' group by all),
-cl as (select sample, c, count(*) as m from rf group by all), x as (select sample, array_to_string(c, chr(31)) as class, len(c) as k, m, unnest(c) as feature from cl),
+RESOLVED = "select s.sample, coalesce(case when cast(substr(s.sample, 2) as bigint) % 2 = 0 then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call from fx_sheet s left join called c on c.sample = s.sample"
+OWN_STRAND = "case a.call when 'forward' then f.strand = a.strand when 'reverse' then f.strand = case a.strand when '+' then '-' else '+' end else true end"
+CALLED_HITS = INFER + ", " + ctes("fx_sheet", "fx_te") + f", calls as ({RESOLVED}), called_al as (select fx_alignments.*, call from fx_alignments left join calls using (sample)), " + assignment(strand=OWN_STRAND, own="called_al")
+UNIQ = " select sample, features[1] as feature, count(*) as n from hits where n = 1 and len(features) = 1 and features[1] <> '__ambiguous' group by all"
+MULTI = " select sample, feature, round(sum(w), 6) as weight from (select sample, unnest(features) as feature, 1.0::double / (n * len(features)) as w from hits) where feature <> '__ambiguous' group by all"
+
+
+def covered(table: str, key: str) -> str:
+    return f"""select feature, sum(greatest(0, end0 - greatest(start0, coalesce(before, start0)))) as length from (select {key} as feature, start0, end0,
+  max(end0) over (partition by {key}, chrom order by start0, end0 rows between unbounded preceding and 1 preceding) as before from {table}) group by feature"""
+
+
+LENGTHS = f"""cov as ({covered("fx_exons", "gene_id")} union all {covered("fx_te", "te_id")}),
+mean as (select sample, avg(end0 - start0) as m from fx_alignments group by sample),
+eff as (select sample, feature, greatest(cast(length as double) - m + 1, 1.0) as length from cov cross join mean)"""
+
+
+def em_steps(steps: int, lengths: bool = False) -> str:
+    """t0 to t{steps}: masses by sample and feature, each step from the one before."""
+    size = "coalesce(e.length, 1.0)" if lengths else "1.0::double"
+    start = f"""rf as (select sample, read_id, list_sort(list(distinct feature)) as c from (select sample, read_id, unnest(features) as feature from hits) where feature <> '__ambiguous' group by all),
+cl as (select sample, c, count(*) as m from rf group by all), x0 as (select sample, array_to_string(c, chr(31)) as class, len(c) as k, m, unnest(c) as feature from cl),
+x as (select x0.*, {size} as size from x0 {"left join eff e using (sample, feature)" if lengths else ""}),
 t0 as (select sample, feature, sum(m / k::double) as theta from x group by all)"""
-EM = EM0 + "".join(
-    f", t{i} as (select sample, feature, sum(m * case when total > 0 then theta / total else 1.0 / k end) as theta from (select x.*, theta, sum(theta) over (partition by sample, class) as total from x join t{i - 1} using (sample, feature)) group by all)"
-    for i in (1, 2, 3)
-)
+    return (LENGTHS + ", " if lengths else "") + start + "".join(
+        f", t{i} as materialized (select sample, feature, sum(m * case when total > 0 then part / total else 1.0 / k end) as theta from (select x.*, theta / size as part, sum(theta / size) over (partition by sample, class) as total from x join t{i - 1} using (sample, feature)) group by all)"
+        for i in range(1, steps + 1)
+    )
+
 
 SQL: dict[str, str] = {
     "p1_breakpoint_window": "with " + ctes("fx_junctions") + " select line_no, donor_bp - 1 - 2 as start0, donor_bp + 1 + 2 as end0 from fx_junctions",
@@ -165,8 +192,7 @@ SQL: dict[str, str] = {
     "j6_feature_class_filter": "with " + ctes("fx_cnt", "fx_exons") + " select sample, feature, n from fx_cnt where feature in (select gene_id from fx_exons)",
     "j7_condition_lookup": "with " + ctes("fx_junctions", "fx_sheet") + " select s.sample, case when s.sample in ('S4', 'S5') then 'all' else coalesce(f.condition, 'all') end as condition from (select distinct sample from fx_junctions) s left join fx_sheet f using (sample)",
     "j8_contrast_pairs": "with " + ctes("fx_sheet") + ", " + CONTRAST + " select contrast, sample, role from ct",
-    "j9_strandedness_resolve": INFER + ", " + ctes("fx_sheet") + """ select s.sample, coalesce(case when cast(substr(s.sample, 2) as bigint) % 2 = 0 then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call
-  from fx_sheet s left join called c on c.sample = s.sample""",
+    "j9_strandedness_resolve": INFER + ", " + ctes("fx_sheet") + " " + RESOLVED,
     "j10_allocated_join": JOBS + " select rule, cpu_alloc_cores, ram_alloc_gb, cpu_eff, ram_eff from je",
     "j11_dense_grid": GRID + " select feature, sample, n from g",
     "a1_collapse_events": "with " + ctes("fx_junctions") + ", " + EVENTS + f" select sample, {XY}, junction_type, repeat_flag, reads from ev",
@@ -207,11 +233,18 @@ SQL: dict[str, str] = {
     "a31_top_families": AF + ", f as (select sample, te_family, count(*) as n from af where direction in ('gene_to_te', 'te_to_gene') and te_family <> '.' group by all) select * from (select sample, row_number() over (partition by sample order by n desc, te_family) as rank, te_family, n from f) where rank <= 5",
     "a31_top_classes": AF + ", f as (select sample, te_class, count(*) as n from af where direction in ('gene_to_te', 'te_to_gene') and te_class <> '.' group by all) select * from (select sample, row_number() over (partition by sample order by n desc, te_class) as rank, te_class, n from f) where rank <= 3",
     "q1_infer_strandedness": INFER + " select sample, n_reads, round(forward, 6) as forward, round(reverse, 6) as reverse, round(1 - forward - reverse, 6) as undetermined, call from called",
-    "q2_quantify_uniq": assigned() + " select sample, features[1] as feature, count(*) as n from hits where n = 1 and len(features) = 1 and features[1] <> '__ambiguous' group by all",
-    "q2_quantify_uniq_forward": assigned(strand="f.strand = a.strand") + " select sample, features[1] as feature, count(*) as n from hits where n = 1 and len(features) = 1 and features[1] <> '__ambiguous' group by all",
-    "q3_quantify_multi": assigned() + " select sample, feature, round(sum(w), 6) as weight from (select sample, unnest(features) as feature, 1.0::double / (n * len(features)) as w from hits) where feature <> '__ambiguous' group by all",
-    "q4_quantify_em": EM + " select sample, feature, round(theta, 6) as theta from t3",
-    "q5_quantify_locus": assigned("locus", "loc") + " select sample, feature, round(sum(w), 6) as weight from (select sample, unnest(features) as feature, 1.0::double / (n * len(features)) as w from hits) where feature <> '__ambiguous' group by all",
+    "q2_quantify_uniq": assigned() + UNIQ,
+    "q2_quantify_uniq_forward": assigned(strand="f.strand = a.strand") + UNIQ,
+    "q2_quantify_uniq_by_call": CALLED_HITS + UNIQ,
+    "q3_quantify_multi": assigned() + MULTI,
+    "q3_quantify_multi_by_call": CALLED_HITS + MULTI,
+    "q4_quantify_em": assigned() + ", " + em_steps(10) + " select sample, feature, round(theta, 6) as theta from t10",
+    "q4_quantify_em_lengths": assigned() + ", " + em_steps(10, True) + " select sample, feature, round(theta, 6) as theta, round(coalesce(1e6 * (theta / length) / sum(theta / length) over (partition by sample), 0), 6) as tpm from t10 join eff using (sample, feature)",
+    "q4_effective_lengths": "with " + ctes("fx_exons", "fx_te", "fx_alignments") + ", " + LENGTHS + " select sample, feature, round(length, 6) as length from eff",
+    "q4_em_likelihood": assigned() + ", " + em_steps(9, True) + " select sample, round(sum(m * ln(total)), 6) as log_likelihood from (select sample, class, m, sum(theta / size) as total from x join t9 using (sample, feature) group by all) group by sample",
+    "q5_quantify_locus": assigned("locus", "loc") + MULTI,
+    "q5_locus_uniq": assigned("locus", "loc") + UNIQ,
+    "q5_locus_em": assigned("locus", "loc") + ", " + em_steps(10) + " select sample, feature, round(theta, 6) as theta from t10",
     "q6_size_factors": FACTORS + " select sample, round(size_factor, 6) as size_factor from sf",
     "q7_dispersions": FACTORS + " select feature, round(mu, 6) as mu, round(alpha, 6) as alpha from dp",
     "q8_contrast_effects": EFFECTS + " select contrast, feature, round(base_mean, 6) as base_mean, round(log2fc, 6) as log2fc, round(z, 6) as z from ef",
@@ -230,3 +263,29 @@ SQL: dict[str, str] = {
     "e2_annotate_junctions": annotated(tol=2) + "select * from af",
     "e2_annotate_cis_only": annotated(cis=True) + "select sample, chimera_type, count(*) as n from af group by all",
 }
+
+PLACES = "donor_chrom, donor_breakpoint, donor_strand, acceptor_chrom, acceptor_breakpoint, acceptor_strand"
+BED = "with " + ctes("fx_te") + " select chrom, start0, end0, te_id as id, '0' as score, strand, te_family, te_class from fx_te"
+READS = "with " + ctes("fx_reads") + " select sample, lane, read_id, seq, qual from fx_reads"
+JUNCTION = "donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand, junction_type, repeat_flag"
+SQL |= {
+    "s4_read_bed": BED,
+    "s14_gzip_bed": BED,
+    "o1_bed_order": "with " + ctes("fx_te") + " select chrom, row_number() over (partition by chrom order by start0, end0, te_id) as at, te_id from fx_te",
+    "s6_read_junctions": "with " + ctes("fx_junctions") + f" select sample, {JUNCTION}, count(*) as n from fx_junctions group by all",
+    "s7_read_events": AF + "select * from af",
+    "o2_event_order": AF + f"select sample, row_number() over (partition by sample order by {PLACES}, direction) as at, event_id from af",
+    "o3_catalog_order": AF + f"select direction, row_number() over (partition by direction order by first_sample, event_id) as at, event_id from ({CATALOG})",
+    "s8_read_count_tables": "with " + ctes("fx_cnt") + " select sample, feature, n from fx_cnt",
+    "s9_read_sample_sheet": LANES + " select row_number() over (order by row) - 1 as row, sample, f1 as fastq_1, f2 as fastq_2, strandedness, condition from o",
+    "s11_read_fastq": READS,
+    "s11_read_fastq_gz": READS,
+    "s12_read_job_metrics": "with " + ctes("fx_metrics") + " select rule, count(*) as n, round(sum(s), 4) as s, round(sum(max_rss), 4) as max_rss, round(sum(mean_load), 4) as mean_load from fx_metrics group by rule",
+    "s13_read_metrics": f"select sample, metric, cast(value as varchar) as value from ({SQL['a10_junction_qc']})",
+    "s16_track_lines": f"""with rows as ({SQL['s16_igv_bed']}), lines as (select sample, 1 as k, chrom, start0, concat_ws(chr(9), chrom, start0, end0, name, score, strand) as value from rows
+  union all select distinct sample, 0, '', -1, 'track name="chimera_junctions" description="gene-TE chimera junctions (' || sample || ')" itemRgb="On"' from rows)
+  select sample, row_number() over (partition by sample order by k, chrom, start0, value) as at, value from lines""",
+    "s17_write_matrix": "with " + ctes("fx_cnt") + f" select feature, {WIDE('x')} from fx_cnt group by feature",
+    "o4_matrix_order": "with " + ctes("fx_cnt") + " select substr(feature, 1, 1) as by, row_number() over (partition by substr(feature, 1, 1) order by feature) as at, feature from (select distinct feature from fx_cnt)",
+    "o5_rule_order": JOBS + " select row_number() over (order by case when rule = 'click' then 1073741824 else length(rule) end, rule) as at, rule from je",
+}

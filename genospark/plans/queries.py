@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators import chimera, cohort, counts, design, diff, intervals, jobs, quant, reads, sampleqc, tracks
+from ..operators import chimera, cohort, counts, design, diff, em, intervals, jobs, quant, reads, sampleqc, tracks
 from ..sources import readers
 from .fixtures import view
 
@@ -231,8 +231,7 @@ def j8_contrast_pairs(spark, sf):
 @query
 def j9_strandedness_resolve(spark, sf):
     v = Views(spark, sf)
-    sheet = v.rows().withColumn("strandedness", F.when(F.col("row") % 2 == 0, F.col("strandedness")).when(F.col("row") == 1, "auto"))
-    return design.strandedness_resolve(sheet, quant.infer_strandedness(v.alignments, v.genes()).select("sample", "call"))
+    return design.strandedness_resolve(_open_sheet(v), quant.infer_strandedness(v.alignments, v.genes()).select("sample", "call"))
 
 
 @query
@@ -442,7 +441,23 @@ def q2_quantify_uniq(spark, sf):
 @query
 def q2_quantify_uniq_forward(spark, sf):
     v = Views(spark, sf)
-    return quant.quantify_uniq(quant.assigned(v.alignments, v.exons, v.te, call="forward"))
+    return quant.quantify_uniq(quant.assigned(v.alignments, v.exons, v.te, calls="forward"))
+
+
+def _called_hits(v: Views) -> DataFrame:
+    """Hits by the strand of each sample's own call: the sheet's, or what its alignments show."""
+    calls = quant.sample_calls(_open_sheet(v), v.alignments, v.genes())
+    return quant.assigned(v.alignments, v.exons, v.te, calls=calls)
+
+
+@query
+def q2_quantify_uniq_by_call(spark, sf):
+    return quant.quantify_uniq(_called_hits(Views(spark, sf)))
+
+
+@query
+def q3_quantify_multi_by_call(spark, sf):
+    return rounded(quant.quantify_multi(_called_hits(Views(spark, sf))), "weight")
 
 
 @query
@@ -452,14 +467,53 @@ def q3_quantify_multi(spark, sf):
 
 @query
 def q4_quantify_em(spark, sf):
-    return rounded(quant.quantify_em(Views(spark, sf).hits(), 3), "theta")
+    return rounded(quant.quantify_em(Views(spark, sf).hits()), "theta")
+
+
+def _lengths(v: Views) -> DataFrame:
+    both = em.covered_lengths(v.exons, "gene_id").union(em.covered_lengths(v.te, "te_id"))
+    return em.effective_lengths(both, v.alignments)
 
 
 @query
-def q5_quantify_locus(spark, sf):
+def q4_quantify_em_lengths(spark, sf):
+    """Ten steps with effective lengths."""
     v = Views(spark, sf)
-    keyed = v.te.withColumn("locus", F.concat_ws(":", "te_id", "te_family", "te_family", "te_class"))
-    return rounded(quant.quantify_multi(quant.assigned(v.alignments, v.exons, keyed, "locus")), "weight")
+    return rounded(em.fit_masses(v.hits(), _lengths(v)).theta, "theta", "tpm")
+
+
+@query
+def q4_effective_lengths(spark, sf):
+    return rounded(_lengths(Views(spark, sf)), "length")
+
+
+@query
+def q4_em_likelihood(spark, sf):
+    """The log likelihood of the masses that ten steps end with, one step back."""
+    v = Views(spark, sf)
+    return rounded(em.fit_masses(v.hits(), _lengths(v)).likelihood, "log_likelihood")
+
+
+@query
+def q4_em_converged(spark, sf):
+    """Accelerated, until no mass moves by a hundredth of a read."""
+    v = Views(spark, sf)
+    return em.fit_masses(v.hits(), _lengths(v), 300, 0.01, accelerate=True).theta
+
+
+@query
+def q5_quantify_locus(spark, sf):
+    return rounded(quant.quantify_multi(_locus_hits(spark, sf)), "weight")
+
+
+@query
+def q5_locus_uniq(spark, sf):
+    return quant.quantify_uniq(_locus_hits(spark, sf))
+
+
+@query
+def q5_locus_em(spark, sf):
+    return rounded(quant.quantify_em(_locus_hits(spark, sf)), "theta")
 
 
 @query
@@ -558,6 +612,17 @@ def e2_annotate_cis_only(spark, sf):
     return Views(spark, sf).annotated(cis_only=True).groupBy("sample", "chimera_type").agg(F.count("*").alias("n"))
 
 
+def _locus_hits(spark: SparkSession, sf: str) -> DataFrame:
+    v = Views(spark, sf)
+    keyed = v.te.withColumn("locus", F.concat_ws(":", "te_id", "te_family", "te_family", "te_class"))
+    return quant.assigned(v.alignments, v.exons, keyed, "locus")
+
+
+def _open_sheet(v: Views) -> DataFrame:
+    """The sheet with a strandedness for every other sample only."""
+    return v.rows().withColumn("strandedness", F.when(F.col("row") % 2 == 0, F.col("strandedness")).when(F.col("row") == 1, "auto"))
+
+
 def _loci(spark: SparkSession, sf: str) -> DataFrame:
     c = Views(spark, sf).cnt
     return c.withColumn("feature", F.when(F.col("feature").startswith("SF"), F.concat(F.lit("T1:"), "feature")).otherwise(F.col("feature")))
@@ -577,3 +642,6 @@ def _jobs(spark: SparkSession, sf: str) -> DataFrame:
     m = Views(spark, sf).metrics
     allocated = m.select("rule").distinct().where("rule <> 'click'").select("rule", F.length("rule").cast("long").alias("threads"), (F.length("rule") * 1000.0).alias("mem_mb"), F.length("rule").cast("long").alias("pos"))
     return jobs.job_resource_summary(m, allocated)
+
+
+from . import roundtrips as _roundtrips  # noqa: E402, F401  registers the queries over text files

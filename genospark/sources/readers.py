@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -9,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import try_long
+from ..operators.chimera import EVENT_COLUMNS
+from ..storage import few
+from . import fastq
 
 Paths = str | list[str]
 # Patterns of the files' formats.
@@ -22,10 +26,21 @@ def numbered_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     Lines are counted per split; the running sum of these counts, a few numbers per file, gives the first number of each
     split. So a large file is numbered in parallel, without sorting its lines.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").withColumn("id", F.monotonically_increasing_id())
-    splits = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    return numbered(spark.read.text(paths).select("value", *_block()))
+
+
+def _block() -> list[Column]:
+    """Where a row of a file comes from."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows read from files, with file and block, as file, line_no and their own columns: see numbered_lines."""
+    own = [c for c in rows.columns if c not in ("file", "block")]
+    rows = rows.withColumn("id", F.monotonically_increasing_id())
+    splits = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return lines.join(splits.withColumn("before", before), ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line_no"), "value")
+    return rows.join(splits.withColumn("before", before), ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line_no"), *own)
 
 
 def _content(lines: DataFrame) -> DataFrame:
@@ -89,23 +104,41 @@ def read_junctions(spark: SparkSession, paths: Paths, sample: Column | None = No
     ).where("donor_bp is not null and acceptor_bp is not null")
 
 
+def read_events(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Event tables as write_events leaves them, in folders by sample, with whole numbers as such; a number that is none is null, a row of another number of columns is an error."""
+    numbers = ("donor_breakpoint", "acceptor_breakpoint", "reads")
+    schema = ", ".join(f"{c} {'long' if c in numbers else 'string'}" for c in EVENT_COLUMNS if c != "sample")
+    rows = spark.read.schema(f"{schema}, sample string").csv(paths, sep="\t", header=True, enforceSchema=False, quote="")
+    return rows.select(*EVENT_COLUMNS)
+
+
 def read_table(spark: SparkSession, paths: Paths) -> DataFrame:
     """A tab-separated table with a header, all columns text."""
     return spark.read.csv(paths, sep="\t", header=True, inferSchema=False, quote="")
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The path itself, or the files of the folder that it names, without hidden ones."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(p) or not system.getFileStatus(p).isDirectory():
+        return [path]
+    names = [x.getPath().getName() for x in system.listStatus(p)]
+    return [f"{path.rstrip('/')}/{n}" for n in names if not n.startswith(("_", "."))]
+
+
 def read_count_tables(spark: SparkSession, paths: dict[str, str], on_bad: str = "zero") -> DataFrame:
-    """(sample, feature, n) of one count table per sample, given as {sample: path}; the header's own names don't matter.
+    """(sample, feature, n) of one count table per sample, given as {sample: path of a file or folder}; the header's own names don't matter.
 
     Numbers are cut to whole ones. on_bad: what becomes of other text: 'zero'; 'strict', which also zeroes decimals; or
     'raise'. Of a feature that a file holds twice the last line counts.
     """
     bare = r"^[^:/]+:(//[^/]*)?"  # scheme and host
-    named = [(re.sub(bare, "", p) if re.match(bare, p) else os.path.abspath(p), sample) for sample, p in paths.items()]
+    named = [(re.sub(bare, "", p) if re.match(bare, p) else os.path.abspath(p), sample) for sample, path in paths.items() for p in _files(spark, path)]
     lines = numbered_lines(spark, list(paths.values())).withColumn("path", F.regexp_replace("file", bare, ""))
     c = F.split("value", "\t")
     # one scan, however many samples: each file's name gives its own
-    rows = lines.join(F.broadcast(spark.createDataFrame(named, "path string, sample string")), "path")
+    rows = lines.join(few(spark.createDataFrame(named, "path string, sample string")), "path")
     out = rows.where((F.col("line_no") > 0) & (F.size(c) >= 2)).select("sample", c[0].alias("feature"), F.trim(c[1]).alias("text"), "line_no")
     n = F.col("text").try_cast("bigint") if on_bad == "strict" else F.col("text").try_cast("double").cast("bigint")
     n = F.when(F.col("text").rlike(r"^[+-]?\d+$"), n) if on_bad == "strict" else n
@@ -114,10 +147,11 @@ def read_count_tables(spark: SparkSession, paths: dict[str, str], on_bad: str =
 
 
 def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """(row, sample, fastq_1, fastq_2, strandedness, condition), all text, trimmed, blank as null; lines that begin with # are comments."""
+    """(row, sample, fastq_1, fastq_2, strandedness, condition), all text, trimmed, blank as null; lines that begin with # are comments. row: the row's number in its file, however the file is split."""
     sheet = spark.read.csv(path, header=True, comment="#", inferSchema=False)
+    sheet = numbered(sheet.select("*", *_block()))
     blank = lambda c: F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
-    return sheet.select(F.monotonically_increasing_id().alias("row"), *[blank(c) for c in ("sample", "fastq_1", "fastq_2", "strandedness", "condition")])
+    return sheet.select(F.col("line_no").alias("row"), *[blank(c) for c in ("sample", "fastq_1", "fastq_2", "strandedness", "condition")])
 
 
 def infer_report(lines: DataFrame) -> DataFrame:
@@ -131,26 +165,35 @@ def read_infer_report(spark: SparkSession, paths: Paths) -> DataFrame:
     return infer_report(numbered_lines(spark, paths).select(_sample_of(F.col("file")).alias("sample"), "line_no", "value"))
 
 
-def read_fastq(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(file, read_no, read_id, seq, qual): records of four lines, found by line number, so that they may lie across splits."""
+def read_fastq(spark: SparkSession, paths: Paths, split_bytes: int = fastq.SPLIT) -> DataFrame:
+    """(file, pos, read_id, seq, qual): records of four lines; pos orders the records of a file.
+
+    Paths that tasks can open are read by the data source `fastq`, without a shuffle: pos is the record's first byte. What
+    only Spark's own readers reach (globs, file systems of their own) goes by numbered lines: pos is the record's number.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if all(map(fastq.reachable, paths)):
+        spark.dataSource.register(fastq.FastqSource)
+        return spark.read.format("fastq").option("paths", json.dumps(paths)).option("splitbytes", split_bytes).load()
     lines = numbered_lines(spark, paths).withColumn("record", F.floor(F.col("line_no") / 4))
     part = lambda k: F.max(F.when(F.col("line_no") % 4 == k, F.col("value")))
-    by = lines.groupBy("file", F.col("record").alias("read_no")).agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual")).where("qual is not null")
-    return by.select("file", "read_no", F.split(F.regexp_replace("h", "^@", ""), r"\s")[0].alias("read_id"), "seq", "qual")
+    by = lines.groupBy("file", F.col("record").alias("pos")).agg(part(0).alias("h"), part(1).alias("seq"), part(3).alias("qual")).where("qual is not null")
+    return by.select("file", "pos", F.split(F.regexp_replace("h", "^@", ""), r"\s")[0].alias("read_id"), "seq", "qual")
 
 
 def read_job_metrics(spark: SparkSession, paths: Paths) -> DataFrame:
     """(rule, s, max_rss, mean_load): the rule is the folder's name; older files have cpu_percent in place of mean_load."""
     lines = numbered_lines(spark, paths).where(F.trim("value") != "")
     head = lines.groupBy("file").agg(F.min_by(F.split("value", "\t"), "line_no").alias("head"), F.min("line_no").alias("first"))
-    rows = lines.join(F.broadcast(head), "file").where(F.col("line_no") > F.col("first"))
+    rows = lines.join(few(head), "file").where(F.col("line_no") > F.col("first"))
     at = lambda name: F.when(F.array_contains("head", name), F.get(F.split("value", "\t"), (F.array_position("head", name) - 1).cast("int")))
     load = F.when(F.array_contains("head", "mean_load"), at("mean_load")).otherwise(at("cpu_percent"))
     return rows.select(F.element_at(F.split("file", "/"), -2).alias("rule"), at("s").alias("s"), at("max_rss").alias("max_rss"), load.alias("mean_load"))
 
 
-def read_metrics(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(sample, metric, value) of two-column tables with a header."""
+def read_metrics(spark: SparkSession, paths: Paths, sample: Column | None = None) -> DataFrame:
+    """(sample, metric, value) of two-column tables with a header; the sample is the file's name unless an expression over file is given."""
     c = F.split("value", "\t")
     rows = numbered_lines(spark, paths).where((F.col("line_no") > 0) & (F.size(c) >= 2))
-    return rows.select(_sample_of(F.col("file")).alias("sample"), c[0].alias("metric"), c[1].alias("value"))
+    name = sample if sample is not None else _sample_of(F.col("file"))
+    return rows.select(name.alias("sample"), c[0].alias("metric"), c[1].alias("value"))

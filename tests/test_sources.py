@@ -69,7 +69,7 @@ def test_sheet_report_metrics_fastq(spark, tmp_path):
     assert [(r["sample"], r["fastq_1"], r["fastq_2"], r["condition"]) for r in sheet] == [("A", "a.fq", None, None), ("B", "b.fq", None, "x")]
     report = readers.read_infer_report(spark, write(tmp_path / "R1.txt", ["x", 'Fraction of reads explained by "1++,1--,2+-,2-+": 0.91', 'Fraction of reads explained by "1+-,1-+,2++,2--": 0.02']))
     assert [(r["sample"], r["pattern"][:3], r["fraction"]) for r in report.orderBy("line_no").collect()] == [("R1", "1++", 0.91), ("R1", "1+-", 0.02)]
-    fq = readers.read_fastq(spark, write(tmp_path / "r.fastq.gz", ["@r1 x", "ACGT", "+", "@@II", "@r2", "AC", "+", "I#"])).orderBy("read_no").collect()
+    fq = readers.read_fastq(spark, write(tmp_path / "r.fastq.gz", ["@r1 x", "ACGT", "+", "@@II", "@r2", "AC", "+", "I#"])).orderBy("pos").collect()
     assert [(r["read_id"], r["seq"], r["qual"]) for r in fq] == [("r1", "ACGT", "@@II"), ("r2", "AC", "I#")]
     for rule, head in (("new", "s\tmax_rss\tmean_load"), ("old", "s\tmax_rss\tcpu_percent")):
         (tmp_path / rule).mkdir()
