@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -16,41 +16,54 @@ from pyspark.sql import functions as F
 
 from .bytetext import parts
 from .tables import saved
-from .tokenizer import byte_characters, encoder, plain_byte_level
+from .tokenizer import byte_characters, encoder
 
-#: A space behind anything but white space, unless it ends the text: neither vocabulary has a token across the place in front of it.
-CUT = re.compile(r"(?<=\S) (?=[\s\S])")
-CACHED, LONGEST = 200_000, 64
 #: Rows of counted pairs up to which they are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 PAIRS = "array<struct<pair:long,n:int>>"
 
 
 class Aligned(NamedTuple):
-    """One stretch of text: token counts, its groups as text, and its links as int64 pairs (B id << 32 | A id)."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: bytes
-
-
-def groups_of(a: Sequence[int], b: Sequence[int], size_a: Sequence[int], size_b: Sequence[int]) -> list[tuple[Sequence[int], Sequence[int]]]:
-    """The groups of two id lists over the same bytes, size: the bytes of each id. Both end places are looked up in dictionaries (end -> index); the common ones, in order, cut both lists."""
-    index: list[dict[int, int]] = []
-    for ids, size in ((a, size_a), (b, size_b)):
-        at, ends = 0, {}
-        for i, x in enumerate(ids):
-            at += size[x]
-            ends[at] = i + 1
-        index.append(ends)
-    out, i, j = [], 0, 0
-    for end in sorted(index[0].keys() & index[1].keys()):
-        p, q = index[0][end], index[1][end]
-        out.append((a[i:p], b[j:q]))
-        i, j = p, q
-    return out
+    """A text's ids in A and B, and where their groups end: group k is a[at_a[k-1]:at_a[k]] beside b[at_b[k-1]:at_b[k]]."""
+
+    a: np.ndarray
+    b: np.ndarray
+    at_a: np.ndarray
+    at_b: np.ndarray
+
+    def text(self, names: Sequence[str]) -> str:
+        """The groups as a1,a2|b1;a3|b2,b3. names: each id followed by a comma, a bar and a semicolon, id by id."""
+        a, b = self.a * 3, self.b * 3
+        a[self.at_a - 1] += 1
+        b[self.at_b - 1] += 2
+        # in front of an A id stand the B ids of earlier groups, in front of a B id the A ids up to its own group
+        earlier = np.repeat(np.append(0, self.at_b[:-1]), np.diff(self.at_a, prepend=0))
+        own = np.repeat(self.at_a, np.diff(self.at_b, prepend=0))
+        merged = np.empty(len(a) + len(b), np.int64)
+        merged[np.arange(len(a)) + earlier] = a
+        merged[np.arange(len(b)) + own] = b
+        return "".join([names[x] for x in merged.tolist()])[:-1]
+
+    def links(self) -> np.ndarray:
+        """The linked id pairs, B id << 32 | A id. No token is empty, so that of a group's tokens the last ones end together, and no others."""
+        return self.b[self.at_b - 1] << 32 | self.a[self.at_a - 1]
+
+
+def groups_of(a: list[int], b: list[int], size_a: Sequence[int], size_b: Sequence[int]) -> Aligned:
+    """The groups of two id lists over the same bytes, size: the bytes of each id.
+
+    The places where tokens end are the keys of two dictionaries (end -> index behind the token), made in ascending order;
+    the common ones, in that order, cut both lists.
+    """
+    at_a, at_b = (dict(zip(accumulate(map(size.__getitem__, ids)), range(1, len(ids) + 1))) for ids, size in ((a, size_a), (b, size_b)))
+    common = list(filter(at_b.__contains__, at_a))
+    places = (np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
+    return Aligned(np.array(a, np.int64), np.array(b, np.int64), *places)
+
+
+def id_names(n: int) -> list[str]:
+    """What Aligned.text takes, for ids below n."""
+    return [f"{i}{sign}" for i in range(n) for sign in ",|;"]
 
 
 def byte_level_tokens(path: str) -> list[bytes]:
@@ -68,63 +81,24 @@ def piece_tokens(model) -> list[bytes]:
     return [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
 
 
-def cut_apart(path: str, model) -> bool:
-    """Whether both encode the stretches between the places of CUT on their own: a byte-level vocabulary with the usual pattern, and a model that changes no character, puts a space first, and has pieces with spaces at their beginning only."""
-    try:
-        from sentencepiece import sentencepiece_model_pb2
-    except ImportError:
-        return False
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    proto = sentencepiece_model_pb2.ModelProto()
-    proto.ParseFromString(model.serialized_model_proto())
-    n = proto.normalizer_spec
-    plain = n.name == "identity" and not n.precompiled_charsmap and n.add_dummy_prefix and not n.remove_extra_whitespaces and not proto.trainer_spec.treat_whitespace_as_suffix
-    return plain and plain_byte_level(spec) and all("▁" not in model.id_to_piece(i).lstrip("▁") for i in range(model.get_piece_size()))
-
-
 @lru_cache(maxsize=2)
-def aligner(a_path: str, b_path: str) -> Callable[[str], list[Aligned]]:
-    """text -> its stretches, aligned; none where the text has no tokens: it is empty, or the bytes of either's tokens differ from space+text.
-
-    Words come again, so that short stretches are kept, in a dictionary that is emptied when it is full.
-    """
+def aligner(a_path: str, b_path: str) -> tuple[Callable[[str], Aligned | None], list[str]]:
+    """(text -> its tokens, aligned; none where the text has no tokens: it is empty, or the bytes of either's tokens differ from space+text; names of all ids)."""
     import sentencepiece
 
     encode_a, model = encoder(a_path, special=False), sentencepiece.SentencePieceProcessor(model_file=b_path)
     bytes_a, bytes_b = byte_level_tokens(a_path), piece_tokens(model)
     size_a, size_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-    stretches = CUT.split if cut_apart(a_path, model) else lambda text: [text]
-    kept: dict[str, Aligned | None] = {}
 
-    def aligned(text: str) -> Aligned | None:
+    def align(text: str) -> Aligned | None:
+        if not text:
+            return None
         a, b, want = encode_a(f" {text}").tolist(), model.encode(text), f" {text}".encode()
-        if b"".join([bytes_a[x] for x in a]) != want or b"".join([bytes_b[x] for x in b]) != want:
+        if b"".join(map(bytes_a.__getitem__, a)) != want or b"".join(map(bytes_b.__getitem__, b)) != want:
             return None
-        groups = groups_of(a, b, size_a, size_b)
-        # no token is empty, so that of a group's tokens only the last ones end together
-        links = np.array([y[-1] << 32 | x[-1] for x, y in groups], np.int64).tobytes()
-        return Aligned(len(a), len(b), len(groups), ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups), links)
+        return groups_of(a, b, size_a, size_b)
 
-    def align(text: str) -> list[Aligned]:
-        out = []
-        if not text:
-            return out
-        for t in stretches(text):
-            if t in kept:
-                found = kept[t]
-            else:
-                found = aligned(t)
-                if len(t) <= LONGEST:
-                    if len(kept) >= CACHED:
-                        kept.clear()
-                    kept[t] = found
-            if found is None:
-                return []
-            out.append(found)
-        return out
-
-    return align
+    return align, id_names(max(len(size_a), len(size_b)))
 
 
 def aligned_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -136,14 +110,14 @@ def aligned_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = aligner(a_path, b_path)
+        align, names = aligner(a_path, b_path)
         for b in parts(batches):
             counts, digests, pairs, times, bounds = [], [], [], [], [0]
             for text in b.column("text"):
                 found = align(text.as_py() or "")
-                counts.append([sum(x[k] for x in found) for k in range(3)])
-                digests.append(hashlib.sha256(";".join([x.groups for x in found]).encode()).hexdigest() if found else "")
-                pair, n = np.unique(np.frombuffer(b"".join([x.links for x in found]), np.int64), return_counts=True)
+                counts.append((len(found.a), len(found.b), len(found.at_a)) if found else (0, 0, 0))
+                digests.append(hashlib.sha256(found.text(names).encode()).hexdigest() if found else "")
+                pair, n = np.unique(found.links() if found else np.zeros(0, np.int64), return_counts=True)
                 pairs.append(pair)
                 times.append(n)
                 bounds.append(bounds[-1] + len(pair))

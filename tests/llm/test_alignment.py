@@ -83,33 +83,18 @@ def test_by_definition(spark, libraries):
     assert found(spark, texts, broadcast_rows=10) == want
 
 
-def test_stretches_are_encoded_as_in_the_whole_text(libraries):
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=piece_path())
-    assert A.cut_apart(bpe_path(), model)
-    align = A.aligner(bpe_path(), piece_path())
-    for text in odd_texts(2, 6000)[2:]:
+def test_groups_cover_both_lists(libraries):
+    """Each text's groups hold all ids of both, in order, and groups_of needs no more than ids and sizes."""
+    align, _ = A.aligner(bpe_path(), piece_path())
+    for text in odd_texts(2, 2000)[2:]:
         a, b, x, y = tokens(libraries, text)
         got = align(text)
-        assert (sum(g.n_a for g in got), sum(g.n_b for g in got)) == (len(a), len(b)), text
-        ids = [g.split("|") for part in got for g in part.groups.split(";")]
-        assert [i for g in ids for i in g[0].split(",")] == list(map(str, a)) and [i for g in ids for i in g[1].split(",")] == list(map(str, b))
-
-
-def test_without_cuts(libraries, monkeypatch):
-    """Vocabularies that can't be cut apart are encoded whole."""
-    monkeypatch.setattr(A, "cut_apart", lambda *_: False)
-    align = A.aligner.__wrapped__(bpe_path(), piece_path())
-    whole = align("The quick  brown fox.")
-    assert len(whole) == 1 and whole[0].groups == ";".join(x.groups for x in A.aligner(bpe_path(), piece_path())("The quick  brown fox."))
-
-
-def test_full_dictionary(monkeypatch, libraries):
-    monkeypatch.setattr(A, "CACHED", 3)
-    align = A.aligner.__wrapped__(bpe_path(), piece_path())
-    for text in ("one two three four five", "one two six seven", "one"):
-        assert sum(x.n_a for x in align(text)) == len(tokens(libraries, text)[0])
+        if got is None:
+            assert not a
+            continue
+        assert (got.a.tolist(), got.b.tolist()) == (a, b) and [x[i - 1] for i in got.at_a] == [y[i - 1] for i in got.at_b] == sorted({*x} & {*y})
+    assert A.groups_of([1, 2, 3], [7, 8], {1: 1, 2: 2, 3: 3}, {7: 3, 8: 3}).text(A.id_names(9)) == "1,2|7;3|8"
+    assert A.groups_of([], [], {}, {}).links().tolist() == []
 
 
 @pytest.mark.parametrize("rows", [[], [(None, "a b", 1), (None, "a b", 2), (3, None, 3)]])
