@@ -6,7 +6,6 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -20,6 +19,7 @@ from .tokenizer import byte_characters, encoder
 
 #: Rows of counted pairs up to which they are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+WINDOW = 4096
 PAIRS = "array<struct<pair:long,n:int>>"
 
 
@@ -49,16 +49,24 @@ class Aligned(NamedTuple):
         return self.b[self.at_b - 1] << 32 | self.a[self.at_a - 1]
 
 
-def groups_of(a: list[int], b: list[int], size_a: Sequence[int], size_b: Sequence[int]) -> Aligned:
+def groups_of(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> Aligned:
     """The groups of two id lists over the same bytes, size: the bytes of each id.
 
     The places where tokens end are the keys of two dictionaries (end -> index behind the token), made in ascending order;
-    the common ones, in that order, cut both lists.
+    the common ones, in that order, cut both lists. An end meets its equal within one window of WINDOW bytes, so that
+    dictionaries are made window by window and stay small.
     """
-    at_a, at_b = (dict(zip(accumulate(map(size.__getitem__, ids)), range(1, len(ids) + 1))) for ids, size in ((a, size_a), (b, size_b)))
-    common = list(filter(at_b.__contains__, at_a))
-    places = (np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
-    return Aligned(np.array(a, np.int64), np.array(b, np.int64), *places)
+    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    marks = np.arange(WINDOW, (ends_a[-1] if len(a) else 0) + WINDOW, WINDOW)
+    cuts_a, cuts_b = (np.searchsorted(ends, marks, "right").tolist() for ends in (ends_a, ends_b))
+    at_a, at_b, i, j = [], [], 0, 0
+    for p, q in zip(cuts_a, cuts_b):
+        index_a, index_b = dict(zip(ends_a[i:p].tolist(), range(i + 1, p + 1))), dict(zip(ends_b[j:q].tolist(), range(j + 1, q + 1)))
+        common = list(filter(index_b.__contains__, index_a))
+        at_a += map(index_a.__getitem__, common)
+        at_b += map(index_b.__getitem__, common)
+        i, j = p, q
+    return Aligned(a, b, np.array(at_a, np.int64), np.array(at_b, np.int64))
 
 
 def id_names(n: int) -> list[str]:
@@ -88,15 +96,15 @@ def aligner(a_path: str, b_path: str) -> tuple[Callable[[str], Aligned | None],
 
     encode_a, model = encoder(a_path, special=False), sentencepiece.SentencePieceProcessor(model_file=b_path)
     bytes_a, bytes_b = byte_level_tokens(a_path), piece_tokens(model)
-    size_a, size_b = list(map(len, bytes_a)), list(map(len, bytes_b))
+    size_a, size_b = (np.array(list(map(len, x)), np.int64) for x in (bytes_a, bytes_b))
 
     def align(text: str) -> Aligned | None:
         if not text:
             return None
-        a, b, want = encode_a(f" {text}").tolist(), model.encode(text), f" {text}".encode()
-        if b"".join(map(bytes_a.__getitem__, a)) != want or b"".join(map(bytes_b.__getitem__, b)) != want:
+        a, b, want = encode_a(f" {text}").astype(np.int64), model.encode(text), f" {text}".encode()
+        if b"".join(map(bytes_a.__getitem__, a.tolist())) != want or b"".join(map(bytes_b.__getitem__, b)) != want:
             return None
-        return groups_of(a, b, size_a, size_b)
+        return groups_of(a, np.array(b, np.int64), size_a, size_b)
 
     return align, id_names(max(len(size_a), len(size_b)))
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from genospark.llm import token_alignment as A
@@ -93,8 +94,22 @@ def test_groups_cover_both_lists(libraries):
             assert not a
             continue
         assert (got.a.tolist(), got.b.tolist()) == (a, b) and [x[i - 1] for i in got.at_a] == [y[i - 1] for i in got.at_b] == sorted({*x} & {*y})
-    assert A.groups_of([1, 2, 3], [7, 8], {1: 1, 2: 2, 3: 3}, {7: 3, 8: 3}).text(A.id_names(9)) == "1,2|7;3|8"
-    assert A.groups_of([], [], {}, {}).links().tolist() == []
+    ids, size = lambda *x: np.array(x, np.int64), np.arange(9)
+    assert A.groups_of(ids(1, 2, 3), ids(3, 3), size, size).text(A.id_names(9)) == "1,2|3;3|3"
+    assert A.groups_of(ids(), ids(), size, size).links().tolist() == []
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 7, 4096])
+def test_windows_change_nothing(monkeypatch, window):
+    monkeypatch.setattr(A, "WINDOW", window)
+    r = np.random.default_rng(1)
+    size = np.arange(9)
+    for _ in range(200):
+        a = r.integers(1, 9, r.integers(1, 30))
+        b = r.permutation(a) if r.random() < 0.5 else np.array([1] * int(a.sum()))
+        x, y = np.cumsum(size[a]), np.cumsum(size[b])
+        got = A.groups_of(a, b, size, size)
+        assert x[got.at_a - 1].tolist() == y[got.at_b - 1].tolist() == sorted({*x.tolist()} & {*y.tolist()})
 
 
 @pytest.mark.parametrize("rows", [[], [(None, "a b", 1), (None, "a b", 2), (3, None, 3)]])
