@@ -60,7 +60,7 @@ def test_order_is_rejection_for_cost(spark):
     rows = spark.range(20_000).withColumn("text", F.repeat(F.lit("word "), 200))
     slow = F.size(F.filter(F.sequence(F.col("id"), F.col("id") + 20_000), lambda x: (x * x) % 7 == 3)) >= 0
     rules = [Rule("slow", slow & (F.col("id") % 2 == 0)), Rule("none", F.col("id") < 0), Rule("even", F.col("id") % 2 == 0), Rule("odd", F.col("id") % 2 == 1)]
-    names = [r.name for r in ordered_rules(rows, rules, 2000, 1.0)]
+    names = [r.name for r in ordered_rules(rows, rules)]
     assert {*names[:2]} == {"even", "odd"} and {*names[2:]} == {"slow", "none"}
     assert [r.name for r in ordered_rules(rows.limit(0), rules)] == ["slow", "none", "even", "odd"]
 
