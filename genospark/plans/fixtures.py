@@ -70,7 +70,7 @@ select concat('S', cast(l_orderkey % 6 as string)) as sample, l_orderkey as read
 from lineitem
 """,
     "fx_reads": """
-select concat('S', cast(event_id % 6 as string)) as sample, concat('L', cast(event_id % 2 + 1 as string)) as lane, event_id as read_id,
+select concat('S', cast(event_id % 6 as string)) as sample, concat('L', cast(cast(floor(event_id/6) as bigint) % 2 + 1 as string)) as lane, concat('R', cast(cast(floor(event_id/12) as bigint) % 2 + 1 as string)) as mate, event_id as read_id,
        substr(translate(md5(cast(event_id as string)), '0123456789abcdef', 'ACGTACGTACGTACGN'), 1, cast(20 + event_id % 13 as int)) as seq,
        substr(translate(md5(cast(event_id + 1 as string)), '0123456789abcdef', 'IIIIHHHGGFFEDB5#'), 1, cast(20 + event_id % 13 as int)) as qual
 from events

@@ -141,6 +141,10 @@ UNIQ = " select sample, features[1] as feature, count(*) as n from hits where n
 MULTI = " select sample, feature, round(sum(w), 6) as weight from (select sample, unnest(features) as feature, 1.0::double / (n * len(features)) as w from hits) where feature <> '__ambiguous' group by all"
 
 
+#: The place of a read's lane in the sheet of its sample: every other sample has lane 2 before lane 1.
+PLACE = "(cast(substr(lane, 2) as bigint) + cast(substr(sample, 2) as bigint)) % 2"
+
+
 def covered(table: str, key: str) -> str:
     return f"""select feature, sum(greatest(0, end0 - greatest(start0, coalesce(before, start0)))) as length from (select {key} as feature, start0, end0,
   max(end0) over (partition by {key}, chrom order by start0, end0 rows between unbounded preceding and 1 preceding) as before from {table}) group by feature"""
@@ -250,11 +254,13 @@ SQL: dict[str, str] = {
     "q8_contrast_effects": EFFECTS + " select contrast, feature, round(base_mean, 6) as base_mean, round(log2fc, 6) as log2fc, round(z, 6) as z from ef",
     "q8_adjusted_p": EFFECTS + """, p as (select contrast, feature, round(1 / (1 + abs(z)), 4) as pvalue from ef), rk as (select *, count(*) over (partition by contrast) as m, row_number() over (partition by contrast order by pvalue, feature) as i from p)
   select contrast, feature, pvalue, round(least(1.0, min(pvalue * m / i) over (partition by contrast order by pvalue desc, feature desc rows between unbounded preceding and current row)), 6) as padj from rk""",
-    "q9_lane_merge": "with " + ctes("fx_reads") + " select sample, count(*) as n_reads, cast(sum(read_id) as bigint) as ids from fx_reads group by sample",
-    "q10_read_qc": "with " + ctes("fx_reads") + """ select sample, count(*) as n_reads, cast(sum(length(seq)) as bigint) as n_bases, min(length(seq)) as min_length, max(length(seq)) as max_length, round(100.0 * sum(length(regexp_replace(seq, '[^GCgc]', '', 'g'))) / sum(length(seq)), 6) as gc_pct,
-  round(100.0 * sum(length(regexp_replace(seq, '[^Nn]', '', 'g'))) / sum(length(seq)), 6) as n_pct from fx_reads group by sample""",
-    "q10_position_quality": "with " + ctes("fx_reads") + " select sample, pos - 1 as pos, count(*) as n, round(avg(ascii(substr(qual, pos, 1)) - 33), 6) as mean_quality from (select sample, qual, unnest(range(1, length(qual) + 1)) as pos from fx_reads) group by all",
-    "q10_length_distribution": "with " + ctes("fx_reads") + " select sample, length(seq) as length, count(*) as n from fx_reads group by all",
+    "q9_lane_merge": "with " + ctes("fx_reads") + f" select sample, mate, cast({PLACE} as int) as place, read_id as pos, read_id from fx_reads",
+    "q9_merged_files": "with " + ctes("fx_reads") + f" select sample, mate, row_number() over (partition by sample, mate order by {PLACE}, read_id) as at, read_id from fx_reads",
+    "q10_read_qc": "with " + ctes("fx_reads") + """ select sample, mate, count(*) as n_reads, cast(sum(length(seq)) as bigint) as n_bases, min(length(seq)) as min_length, max(length(seq)) as max_length, round(100.0 * sum(length(regexp_replace(seq, '[^GCgc]', '', 'g'))) / sum(length(seq)), 6) as gc_pct,
+  round(100.0 * sum(length(regexp_replace(seq, '[^Nn]', '', 'g'))) / sum(length(seq)), 6) as n_pct from fx_reads group by sample, mate""",
+    "q10_position_quality": "with " + ctes("fx_reads") + """ select sample, mate, pos - 1 as pos, count(*) as n, round(avg(ascii(substr(qual, pos, 1)) - 33), 6) as mean_quality, round(100.0 * count(*) filter (substr(seq, pos, 1) = 'N') / count(*), 6) as n_pct
+  from (select sample, mate, seq, qual, unnest(range(1, length(qual) + 1)) as pos from fx_reads) group by all""",
+    "q10_length_distribution": "with " + ctes("fx_reads") + " select sample, mate, length(seq) as length, count(*) as n from fx_reads group by all",
     "s1_gtf_records": GTF + ' select line_no, chrom, source, feature, start, "end", strand, gene_id, transcript_id from r',
     "s3_gtf_attrs_quoted": GTF + " select line_no, gene_id, transcript_id from r",
     "s10_infer_report": INFER + ", c as (select sample, round(forward, 4) as forward, round(reverse, 4) as reverse from inf) select sample, forward, reverse, case when forward >= 0.6 then 'forward' when reverse >= 0.6 then 'reverse' else 'no' end as call from c",

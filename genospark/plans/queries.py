@@ -552,8 +552,10 @@ def q8_adjusted_p(spark, sf):
 
 @query
 def q9_lane_merge(spark, sf):
-    r = Views(spark, sf).reads
-    return reads.lane_merge([r.where("lane = 'L1'"), r.where("lane = 'L2'")]).groupBy("sample").agg(F.count("*").alias("n_reads"), F.sum("read_id").alias("ids"))
+    """The merged reads with the place of their file and their place in it."""
+    v = Views(spark, sf)
+    r = v.reads.withColumn("file", F.concat_ws("_", "lane", "mate")).withColumn("pos", F.col("read_id"))
+    return reads.lane_merge(r, reads.lane_places(design.lane_group(_read_sheet(v)))).select("sample", "mate", "place", "pos", "read_id")
 
 
 @query
@@ -563,7 +565,7 @@ def q10_read_qc(spark, sf):
 
 @query
 def q10_position_quality(spark, sf):
-    return reads.position_quality(Views(spark, sf).reads)
+    return reads.position_profile(Views(spark, sf).reads)
 
 
 @query
@@ -623,6 +625,15 @@ def _open_sheet(v: Views) -> DataFrame:
     return v.rows().withColumn("strandedness", F.when(F.col("row") % 2 == 0, F.col("strandedness")).when(F.col("row") == 1, "auto"))
 
 
+def _read_sheet(v: Views) -> DataFrame:
+    """A row for each sample and lane of the reads, with its two files; every other sample has lane 2 before lane 1."""
+    number = lambda c: F.substring(c, 2, 9).cast("long")
+    lanes = v.reads.select("sample", "lane").distinct()
+    row = number("sample") * 2 + (number("lane") + number("sample")) % 2
+    text = F.lit(None).cast("string")
+    return lanes.select(row.alias("row"), "sample", F.concat("lane", F.lit("_R1")).alias("fastq_1"), F.concat("lane", F.lit("_R2")).alias("fastq_2"), text.alias("strandedness"), text.alias("condition"))
+
+
 def _loci(spark: SparkSession, sf: str) -> DataFrame:
     c = Views(spark, sf).cnt
     return c.withColumn("feature", F.when(F.col("feature").startswith("SF"), F.concat(F.lit("T1:"), "feature")).otherwise(F.col("feature")))

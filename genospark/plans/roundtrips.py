@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import cohort, jobs
+from ..operators import cohort, design, reads
 from ..sources import readers, writers
 from ..storage import shared_dir
-from .queries import SAMPLES, Views, _jobs, _lanes, query, rounded
+from .queries import SAMPLES, Views, _jobs, _lanes, _read_sheet, query
 
 
 def folder(spark: SparkSession) -> str:
@@ -172,3 +172,15 @@ def o5_rule_order(spark, sf):
     path = folder(spark)
     writers.write_table(_jobs(spark, sf), path, ["pos", "rule"])
     return in_order(readers.numbered_lines(spark, path), F.lit(""), 1).select("at", F.split("value", "\t")[0].alias("rule"))
+
+
+@query
+def q9_merged_files(spark, sf):
+    """Lanes merged in the order of the sheet, written as FASTQ by sample and mate, and read again: at is a read's place."""
+    v, path = Views(spark, sf), folder(spark)
+    r = v.reads.withColumn("file", F.concat_ws("_", "lane", "mate")).withColumn("pos", F.col("read_id"))
+    merged = reads.lane_merge(r, reads.lane_places(design.lane_group(_read_sheet(v))))
+    writers.write_reads(merged, path, ["place", "pos"])
+    back = readers.read_fastq(spark, path, 1 << 16).select(of("sample").alias("sample"), of("mate").alias("mate"), "file", "pos", F.col("read_id").cast("long").alias("read_id"))
+    at = F.row_number().over(Window.partitionBy("sample", "mate").orderBy("file", "pos")).cast("long")
+    return back.select("sample", "mate", at.alias("at"), "read_id")

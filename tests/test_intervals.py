@@ -4,6 +4,7 @@ from compare import DATA
 from pyspark.sql import functions as F
 
 from genospark.operators import chimera
+from genospark.operators import intervals
 from genospark.operators.intervals import candidates, overlaps, point_hits
 from genospark.plans.queries import Views
 
@@ -53,3 +54,18 @@ def test_candidates_follow_hits(spark):
     pairs = candidates(p, v.exons)
     met, hit = pairs.agg(F.count("*"), F.count_if((F.col("f_start0") < F.col("end0")) & (F.col("f_end0") > F.col("start0")))).first()
     assert hit > 10_000 and met <= 20 * hit
+
+
+def test_crowded_bins(spark):
+    """A third of all places, and features as long as a chromosome, in one wide bin: no key holds more than its share, and the pairs are right."""
+    r = random.Random(9)
+    near = [("c", s := 40_000_000 + r.randrange(20_000_000), s + r.randrange(2, 300), f"p{i}") for i in range(6000)]
+    far = [(f"c{i % 40}", s := r.randrange(500_000_000), s + 20, f"q{i}") for i in range(12_000)]
+    wide = [("c", k * 1000, k * 1000 + 400_000_000, f"w{k}") for k in range(6)] + [("c", 41_000_000 + k, 41_900_000 + k, f"m{k}") for k in range(20)] + [(f"c{k}", 0, 3_000, f"s{k}") for k in range(40)]
+    p, f = track(spark, near + far), track(spark, wide)
+    for a, b in ((p, f), (f, p)):
+        got = sorted((x["id"], x["f_id"]) if a is p else (x["f_id"], x["id"]) for x in overlaps(a, b).collect())
+        assert got == sorted((x[3], y[3]) for x in near + far for y in wide if x[0] == y[0] and y[1] < x[2] and y[2] > x[1])
+    own = p.withColumn("own", intervals.level(F.col("start0"), F.col("end0")))
+    keys = intervals._dealt(own, "", F.lit(5), F.lit(5), False).groupBy("chrom", "lv", "bin", "salt").count()
+    assert keys.agg(F.max("count")).first()[0] <= 6000 / 256 * 3

@@ -205,10 +205,41 @@ def test_jobs_and_reads(spark):
     files = spark.createDataFrame([("a", "1", 0), ("a", "2", 3), ("b", "1", 0)], "sample string, file string, n_reads long")
     assert {r["sample"]: r["ok"] for r in reads.nonempty_reads(files).collect()} == {"a": True, "b": False}
     q = spark.createDataFrame([("s", "L", 1, "ACGN", "II#5")], "sample string, lane string, read_id long, seq string, qual string")
-    assert [r["mean_quality"] for r in reads.position_quality(q).orderBy("pos").collect()] == [40.0, 40.0, 2.0, 20.0]
+    assert [(r["mean_quality"], r["n_pct"]) for r in reads.position_profile(q).orderBy("pos").collect()] == [(40.0, 0.0), (40.0, 0.0), (2.0, 0.0), (20.0, 100.0)]
     assert reads.max_read_length(q).first()["overhang"] == 3
 
 
 @pytest.mark.parametrize("path,want", [("x_trimmed.fq.gz", True), ("d_trimmed.fq/x.fastq", False), ("a_val_2.FASTQ", True), ("a.trimmed.fastq", True), ("trimmed.fq", False)])
 def test_trimmed(spark, path, want):
     assert col(spark, [path], X.already_trimmed) == [want]
+
+
+def test_erfc_against_math():
+    x = np.concatenate([np.linspace(0, 6, 4001), np.geomspace(1e-12, 26, 400)])
+    want = np.array([math.erfc(v) for v in x])
+    assert np.max(np.abs(diff.erfc(x) / want - 1)) < 1e-12 and diff.erfc(np.array([40.0]))[0] == 0.0
+
+
+def test_position_profile_by_definition(spark):
+    """Texts of different lengths, empty and null ones, many tasks; with and without mates."""
+    import random
+
+    r = random.Random(1)
+    text = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    rows = []
+    for i in range(300):
+        n = r.randrange(12)
+        rows.append((f"S{i % 2}", r.choice(["R1", "R2"]), i, text("ACGTNn", n), text("".join(map(chr, range(33, 93))), n)))
+    rows += [("S0", "R1", 300, None, None), ("S0", "R1", 301, "AC", None)]
+    q = spark.createDataFrame(rows, "sample string, mate string, read_id long, seq string, qual string").repartition(7)
+    for by in (("sample", "mate"), ("sample",), ()):
+        got = {(*(x[c] for c in by), x["pos"]): (x["n"], x["mean_quality"], x["n_pct"]) for x in reads.position_profile(q, by).collect()}
+        want = {}
+        for row in rows:
+            key = dict(zip(("sample", "mate"), row))
+            for pos in range(max(len(row[3] or ""), len(row[4] or ""))):
+                cell = want.setdefault((*(key[c] for c in by), pos), ([], []))
+                cell[0].extend(ord(c) - 33 for c in (row[4] or "")[pos : pos + 1])
+                cell[1].extend(c in "Nn" for c in (row[3] or "")[pos : pos + 1])
+        assert got == {k: (len(a), round(sum(a) / len(a), 6) if a else None, round(100 * sum(b) / len(b), 6) if b else 0.0) for k, (a, b) in want.items()}
+    assert reads.position_profile(q.limit(0)).count() == 0

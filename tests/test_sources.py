@@ -117,3 +117,85 @@ def test_read_length_override_and_error(spark):
     assert reads.max_read_length(reads_, overhang=99).first()["overhang"] == 99
     with pytest.raises(Exception, match="no read with a length"):
         reads.max_read_length(reads_).collect()
+
+
+def fastq_text(n, seed=1):
+    import random
+
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        size = r.choice([0, 1, 5, 40, 150]) if i % 7 else 30
+        rows.append((f"r{i}", "".join(r.choice("ACGTN") for _ in range(size)), "".join(r.choice("@+I#F5") for _ in range(size))))
+    return rows, "".join(f"@{name} extra {i}\n{seq}\n+{name if i % 3 else ''}\n{qual}\n" for i, (name, seq, qual) in enumerate(rows))
+
+
+@pytest.mark.parametrize("split", [1, 7, 100, 4096, 1 << 30])
+def test_fastq_ranges_hold_each_record_once(split):
+    """However a file is cut, and however small the chunks are: qualities that begin with @ or +, empty sequences, no last newline, \\r\\n."""
+    import io
+
+    from genospark.sources import fastq
+
+    rows, text = fastq_text(120)
+    for data in (text.encode(), text.encode()[:-1], text.replace("\n", "\r\n").encode(), text.encode() + b"@cut\nAC\n+"):
+        got = []
+        for at in range(0, len(data), split):
+            for pos, head, seq, qual in fastq.records(io.BytesIO(data), at, min(at + split, len(data))):
+                got += [(p, h.rstrip(b"\r").split()[0][1:].decode(), s.rstrip(b"\r").decode(), q.rstrip(b"\r").decode()) for p, h, s, q in zip(pos, head, seq, qual)]
+        assert [g[1:] for g in got] == rows and [g[0] for g in got] == sorted({g[0] for g in got})
+        assert all(data[p : p + 1] == b"@" for p, *_ in got)
+
+
+def test_fastq_source(spark, tmp_path):
+    """Folders, several paths, gzip, hidden files; the path through Spark's own reader gives the same reads."""
+    rows, text = fastq_text(500)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/_hidden.fq").write_text("@x\nA\n+\nI\n")
+    (tmp_path / "d/a.fq").write_text(text)
+    with gzip.open(tmp_path / "b.fq.gz", "wt") as f:
+        f.write(text)
+    (tmp_path / "empty.fq").write_text("")
+    want = sorted(rows * 2)
+    paths = [str(tmp_path / "d"), "file://" + str(tmp_path / "b.fq.gz"), str(tmp_path / "empty.fq")]
+    got = readers.read_fastq(spark, paths, 999)
+    assert got.columns == ["file", "pos", "read_id", "seq", "qual"] and got.rdd.getNumPartitions() > 10
+    assert sorted((r["read_id"], r["seq"], r["qual"]) for r in got.collect()) == want
+    slow = readers.read_fastq(spark, [str(tmp_path / "d/*.fq"), str(tmp_path / "*.fq.gz")])
+    assert sorted((r["read_id"], r["seq"], r["qual"]) for r in slow.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    spark.dataSource.register(readers.fastq.FastqSource)
+    assert spark.read.format("fastq").load(str(tmp_path / "d/a.fq")).count() == 500
+
+
+def test_matrix_of_thousands_of_samples(spark, tmp_path):
+    """A column for each of 5,000 samples, without a pivot: gaps, sums of repeated rows, samples that aren't asked for."""
+    samples = [f"s{i:04}" for i in range(5000)]
+    rows = [(f"f{i % 30:02}", samples[i * 37 % 5000], i) for i in range(3000)] + [("f00", samples[0], 5), ("f01", "other", 7), ("g", "other", 1), ("h", samples[-1], None)]
+    writers.write_matrix(spark.createDataFrame(rows, "feature string, sample string, n long"), str(tmp_path / "m"), samples)
+    want = {f: [0] * 5000 for f in sorted({r[0] for r in rows})}
+    for f, s, n in rows:
+        if s != "other":
+            want[f][int(s[1:])] += n or 0
+    lines = [x for p in sorted((tmp_path / "m").glob("part-*")) for x in p.read_text().splitlines()]
+    head = "\t".join(["feature", *samples])
+    assert lines[0] == head and [x for x in lines if x != head] == ["\t".join([f, *map(str, n)]) for f, n in want.items()]
+
+
+def test_track_over_several_parts(spark, tmp_path):
+    """A sample's track in several files: in order, and the track line at the head of the first only."""
+    v = Views(spark, f"{DATA}/sf0.01")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        writers.write_igv_bed(v.annotated(), str(tmp_path / "igv"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    parts = [sorted(d.glob("part-*")) for d in sorted((tmp_path / "igv").glob("sample=*"))]
+    assert len(parts) == 6 and max(map(len, parts)) > 1
+    for files in parts:
+        lines = [x for p in files for x in p.read_text().splitlines()]
+        assert lines[0].startswith("track name=") and not any(x.startswith("track") for x in lines[1:])
+        keys = [(c[0], int(c[1])) for c in (x.split("\t") for x in lines[1:])]
+        assert keys == sorted(keys)
