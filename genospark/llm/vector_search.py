@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: robust-pruned directed graphs, one per shard, searched by beams.
 
-Vectors get one more component that gives all of a shard the same length; inner products with a query then order them as
-distances do, and the graph can be built by distance. A point's neighbours are proposed by a greedy search of the graph so
+A shard's vectors are dealt to graphs by ranges of length. In a graph they get one more component that gives all the same
+length; inner products with a query then order them as distances do, and the graph can be built by distance. A point's neighbours are proposed by a greedy search of the graph so
 far and pruned: a candidate goes if one kept before is nearer to it, by the factor alpha, than the point itself is. Every
 query is searched in every shard, and the shards' best are merged with scores in double precision.
 
@@ -10,6 +10,7 @@ Graphs are built once, a task each, and saved; searches are dealt by shard and b
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 from math import ceil
@@ -23,6 +24,7 @@ from .tables import saved
 
 SHARDS = 8  # as long as SHARD_BYTES allows it
 SHARD_BYTES = 128 << 20  # of vectors in single precision in one graph
+RATIO = 1.2  # of the longest to the shortest vector of a graph; a shard has a graph for each such range
 PIECE_BYTES = 4 << 20  # of a saved graph in one row
 
 
@@ -161,6 +163,20 @@ class Graph:
             self.count[p] = (self.links[p] >= 0).sum(1)
 
 
+def by_length(x: np.ndarray) -> list[tuple[float, np.ndarray]]:
+    """(greatest length, rows) of the rows of x by ranges of length, longest first; lengths in a range differ by less than RATIO.
+
+    So the component that makes lengths equal stays small beside the others, whatever the lengths of all are.
+    """
+    most = np.abs(x).max(1).astype(np.float64)
+    unit = np.sqrt(((x / most[:, None]) ** 2).sum(1, dtype=np.float64))
+    size = np.log(most) + np.log(unit)  # a length may be beyond what a number can hold
+    number = np.floor((size - size.max()) / math.log(RATIO) + 1e-9).astype(np.int64)
+    with np.errstate(over="ignore"):
+        length = most * unit
+    return [(float(length[rows].max()), rows) for rows in (np.flatnonzero(number == k) for k in np.unique(number)[::-1])]
+
+
 def shard_count(vectors: int, numbers: int) -> int:
     """SHARDS graphs, so that searches are as many for each query whatever the input, until they would exceed SHARD_BYTES."""
     return max(min(SHARDS, vectors), ceil(4 * numbers / SHARD_BYTES), 1)
@@ -203,8 +219,11 @@ def graphs(nodes: DataFrame, shards: int) -> DataFrame:
         def built() -> Iterator[pa.RecordBatch]:
             x = np.concatenate(held)
             ids = pa.concat_arrays(members)
-            graph = Graph(x)
-            body = pickle.dumps({"x": x, "links": graph.links, "entries": graph.entries, "points": graph.x, "at": np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]), "ids": ids.flatten().to_numpy()})
+            ranges = []
+            for longest, rows in by_length(x):
+                graph = Graph(x[rows])
+                ranges.append({"longest": longest, "rows": rows.astype(np.int32), "links": graph.links, "entries": graph.entries, "points": graph.x})
+            body = pickle.dumps({"x": x, "ranges": ranges, "at": np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]), "ids": ids.flatten().to_numpy()})
             for seq, at in enumerate(range(0, len(body), PIECE_BYTES)):
                 yield pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([seq], pa.int32()), pa.array([body[at : at + PIECE_BYTES]], pa.binary())], ["dim", "shard", "seq", "piece"])
 
@@ -223,18 +242,35 @@ def graphs(nodes: DataFrame, shards: int) -> DataFrame:
     return dealt.select("dim", "shard", "embedding", "members").mapInArrow(run, "dim int, shard int, seq int, piece binary")
 
 
-def searched(graph: Graph, shard: dict, q: np.ndarray, ids: list[int], k: int, beam: int) -> Iterator[tuple[int, int, float]]:
-    """(query_id, vec_id, score): the k best of a shard for each query, of those its beam has found."""
+def searched(shard: dict, q: np.ndarray, ids: list[int], k: int, beam: int) -> Iterator[tuple[int, int, float]]:
+    """(query_id, vec_id, score): the k best of a shard for each query, of those its beams have found.
+
+    Ranges of length are searched from the longest on; a query leaves out those that can't reach what it has found.
+    """
+    graph = Graph.__new__(Graph)
     for at in range(0, len(q), 256):
         some = q[at : at + 256].astype(np.float64)
-        unit = some / np.abs(some).max(1, keepdims=True)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        found, _ = graph.search(np.hstack([unit, np.zeros((len(some), 1))]).astype(np.float32), beam)
-        exact = np.where(found >= 0, np.einsum("bkd,bd->bk", shard["x"][found].astype(np.float64), some), -np.inf)
-        for i, row in enumerate(np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]):
+        most = np.abs(some).max(1, keepdims=True)
+        unit = some / most
+        length = np.linalg.norm(unit, axis=1, keepdims=True)
+        with np.errstate(over="ignore"):
+            unit, length = np.hstack([unit / length, np.zeros((len(some), 1))]).astype(np.float32), (length * most)[:, 0]
+        best, score = np.full((len(some), k + 1), -1, np.int64), np.full((len(some), k + 1), -np.inf)
+        for r in shard["ranges"]:
+            graph.x, graph.links, graph.entries = r["points"], r["links"], r["entries"]
+            go = np.flatnonzero(~(r["longest"] * length * (1 + 1e-9) < score[:, k]))
+            if not len(go):
+                continue
+            found, _ = graph.search(unit[go], beam)
+            rows = np.where(found >= 0, r["rows"][found], -1)
+            exact = np.where(rows >= 0, np.einsum("bkd,bd->bk", shard["x"][rows].astype(np.float64), some[go]), -np.inf)
+            rows, exact = np.hstack([best[go], rows]), np.hstack([score[go], exact])
+            by = np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]
+            best[go], score[go] = np.take_along_axis(rows, by, 1), np.take_along_axis(exact, by, 1)
+        for i, row in enumerate(best):
             me = ids[at + i]
-            best = sorted((-exact[i, j], m) for j in row if found[i, j] >= 0 for m in shard["ids"][shard["at"][found[i, j]] : shard["at"][found[i, j] + 1]].tolist() if m != me)
-            yield from ((me, m, -s) for s, m in best[:k])
+            all_ = sorted((-score[i, j], m) for j, v in enumerate(row) if v >= 0 for m in shard["ids"][shard["at"][v] : shard["at"][v + 1]].tolist() if m != me)
+            yield from ((me, m, -s) for s, m in all_[:k])
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96, shards: int | None = None) -> DataFrame:
@@ -247,7 +283,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96,
     copies. A vec_id with other vectors is a candidate with each. Fewer than k candidates: all of them. Other columns are
     ignored; an empty table gives no rows.
 
-    A graph and its vectors are what a task holds, bounded by SHARD_BYTES. Each graph goes to one task for every block of
+    A shard's graphs and vectors are what a task holds, bounded by SHARD_BYTES. Each graph goes to one task for every block of
     queries, of which there are as many as a graph has points, so that searching takes a task about as long as building.
     """
     proper = "vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)"
@@ -264,7 +300,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96,
     dealt = kept.union(asked).repartition(2 * p * blocks, "dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", "kind", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, pieces, shard, graph = None, [], None, Graph.__new__(Graph)
+        now, pieces, shard = None, [], None
         for b in batches:
             for (dim, number, at, kind), part in runs_of(b, ["dim", "shard", "block", "kind"]):
                 if (dim, number, at) != now:
@@ -274,10 +310,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = 96,
                     continue
                 if pieces:
                     shard, pieces = pickle.loads(b"".join(pieces)), []
-                    graph.x, graph.links, graph.entries = shard["points"], shard["links"], shard["entries"]
                 if shard is None:
                     continue
-                out = list(searched(graph, shard, matrix(part.column("embedding"), dim), part.column("id").to_pylist(), k, beam))
+                out = list(searched(shard, matrix(part.column("embedding"), dim), part.column("id").to_pylist(), k, beam))
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 
     found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
