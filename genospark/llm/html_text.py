@@ -30,8 +30,10 @@ SCOPES = frozenset("body table ul ol dl div article section main td th blockquot
 ROLES = frozenset("banner navigation contentinfo complementary search menu menubar toolbar dialog alertdialog".split())
 # Class names that tell of a page's layout, not of the element's own part: has-sidebar, content-sidebar-wrap, side-by-side.
 LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|with|without|by)[_-]|(?:^|[_-])content[_-].*(?:wrap|wrapper|container|layout)$", re.I)
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|comments?|respond|disqus|share|social|related|newsletter|subscribe|login|pagination|pager)(?=$|[\s_-]|\d)", re.I)
+NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side(?=$|\s|[_-]?(?:nav|menu|col|column|rail|panel|widgets?|left|right)(?:$|[\s_-]))|footer|header|masthead|comments?|respond|disqus|share|social|related|newsletter|subscribe|login|pagination|pager)(?=$|[\s_-]|\d)", re.I)
 CONTENT = frozenset("article main body html".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I) for tag in RAW}
 LABEL = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -82,14 +84,44 @@ def skip_named(root: Node) -> None:
             node.skip = chars[id(node)] < max(half, 1) or chars[id(node)] <= most
 
 
+class Open:
+    """The open elements, and by tag where they stand, so that each tag takes the same time however many are open."""
+
+    def __init__(self, root: Node):
+        self.stack, self.at, self.scopes = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, i: int) -> None:
+        """Closes element i of the stack and what is open inside it."""
+        while len(self.stack) > i:
+            node = self.stack.pop()
+            self.at[node.tag].pop()
+            if node.tag in SCOPES:
+                self.scopes.pop()
+
+    def last(self, *tags: str) -> int:
+        """Where the innermost of such elements stands, 0 if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close_inside(self, *tags: str) -> None:
+        """Closes the innermost of such elements, unless a scope has opened inside it."""
+        if (i := self.last(*tags)) and i >= self.scopes[-1]:
+            self.close(i)
+
+
 def parse(page: str) -> Node:
-    """The tree of a page; tolerant of elements that aren't closed, or are closed twice."""
+    """The tree of a page; tolerant of elements that aren't closed, or are closed twice. The time is in proportion to the page."""
     root = Node("html")
-    stack, at, n = [root], 0, len(page)
+    opened, at, n = Open(root), 0, len(page)
 
     def text(piece: str) -> None:
         if piece:
-            stack[-1].parts.append(entities.unescape(piece) if "&" in piece else piece)
+            opened.stack[-1].parts.append(entities.unescape(piece) if "&" in piece else piece)
 
     while at < n and (m := TAG.search(page, at)):
         text(page[at : m.start()])
@@ -98,39 +130,29 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if i := opened.last(tag):
+                opened.close(i)
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag in ("html", "body") and (tag == "html" or opened.last(tag)):
             continue
         if tag in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPES:
-                    break
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in CLOSED_BY.get(tag, ()):
-                del stack[i:]
-                break
-            if stack[i].tag in SCOPES:
-                break
+            opened.close_inside("p")
+        if tag in CLOSED_BY:
+            opened.close_inside(*CLOSED_BY[tag])
+        told = bool(opened.last("article", "main"))
         role, named = labels(m[3]) if m[3] else (False, False)
         skip = tag in BOILERPLATE or role and tag not in CONTENT
-        if tag == "header" and any(x.tag in ("article", "main") for x in stack):
+        if tag == "header" and told:
             skip = role
-        node = Node(tag, skip, named or tag == "form")
-        stack[-1].parts.append(node)
+        node = Node(tag, skip, named and not (told and tag in HEADINGS) or tag == "form")
+        opened.stack[-1].parts.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
+            end = END_OF[tag].search(page, at)
             if tag == "xmp":
                 node.parts.append(page[at : end.start()])
             at = end.end()
         elif tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append(node)
+            opened.push(node)
     text(page[at:])
     skip_named(root)
     return root
@@ -172,8 +194,50 @@ def measure(root: Node) -> list[Node]:
 
 
 def content(root: Node) -> list[Node]:
-    """The subtrees that hold the page's main text, in page order."""
-    found = measure(root)
+    """The subtrees that hold the page's main text, in page order: in the page's article, if it tells one, or in the whole page."""
+    measured = measure(root)
+    if told := article(root, measured):
+        inner = nodes(told)
+        titles = [] if any(x.tag == "h1" for x in inner) else _before(root, told)
+        return titles + dense(told, inner)
+    return dense(root, measured)
+
+
+def article(root: Node, found: list[Node]) -> Node | None:
+    """The one outermost article or main that isn't named as boilerplate, if it holds a twelfth of the page's unlinked text.
+
+    Readers' comments, teasers and notes beside it are then no part of the text, whatever their classes are and however
+    dense they are. Several such elements side by side tell nothing: they may be an index or the comments themselves.
+    """
+    outer, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in ("article", "main") and not node.named:
+            outer.append(node)
+        else:
+            todo += [x for x in node.parts if isinstance(x, Node) and not x.skip]
+    own = [x for x in outer if x.chars > x.link_chars]
+    if len(own) != 1:
+        return None
+    return own[0] if 12 * (own[0].chars - own[0].link_chars) >= root.chars - root.link_chars else None
+
+
+def _before(root: Node, end: Node) -> list[Node]:
+    """The h1 in front of a node, in page order."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node is end:
+            break
+        if node.tag == "h1":
+            out += [node] if node.chars > node.link_chars else []
+        else:
+            todo += reversed([x for x in node.parts if isinstance(x, Node) and not x.skip])
+    return out
+
+
+def dense(root: Node, found: list[Node]) -> list[Node]:
+    """The subtrees under root that reach the least density on the way from the node of the largest density sum, in page order."""
     parent = {id(x): node for node in found for x in node.parts if isinstance(x, Node) and not x.skip}
     best = max(found, key=lambda x: x.total)
     if not best.total:

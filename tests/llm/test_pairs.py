@@ -4,6 +4,7 @@ import html
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -19,7 +20,7 @@ from genospark.llm.html_text import extracted_pages, main_text
 from genospark.llm.jaccard_join import jaccard_components
 from genospark.llm.preferences import formatted_preferences, pairs_of_conversations
 from genospark.llm.queries import QUERIES
-from genospark.llm.vector_search import Graph, nearest
+from genospark.llm.vector_search import Graph, by_length, nearest
 
 
 WORDS = ["".join(random.Random(i).choices("abcdefghij", k=3 + i % 5)) for i in range(600)]
@@ -265,6 +266,29 @@ def test_graph_of_greedy_proposals():
     assert g.links.shape == (4000, 40) and all(len(set(r[r >= 0])) == (r >= 0).sum() for r in g.links)
 
 
+@pytest.mark.parametrize("shards", [1, 4])
+@pytest.mark.parametrize("kind", ["unit", "lognormal", "outlier"])
+def test_recall_whatever_the_lengths(spark, kind, shards):
+    """Unit vectors, lengths over orders of magnitude, one vector a hundred times longer than the others: one graph or several."""
+    r = np.random.default_rng(11)
+    x = r.normal(size=(2400, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"unit": np.ones((2400, 1)), "lognormal": np.exp(r.normal(size=(2400, 1))), "outlier": 1 + 0.1 * r.normal(size=(2400, 1))}[kind]
+    x[17] *= 100 if kind == "outlier" else 1
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, got = brute_nearest(rows, 20), {}
+    for row in nearest(df, df.where("vec_id % 20 = 0"), 20, shards=shards).collect():
+        got.setdefault(row["query_id"], set()).add(row["vec_id"])
+    assert all(len(got[q]) == 20 for q in want)
+    assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.95 * sum(map(len, want.values()))
+
+
+def test_ranges_of_length():
+    x = np.array([[3.0, 4.0], [0.0, 1.0], [4.9, 0.0], [1e-300, 0.0], [1e308, 1e308]])
+    assert [sorted(rows.tolist()) for _, rows in by_length(x)] == [[4], [0, 2], [1], [3]]
+
+
 def test_nearest_of_huge_components_and_many_blocks(spark, monkeypatch):
     """Doubles whose squares overflow; several graphs and blocks of queries; a vec_id with two vectors, and one in many rows."""
     from genospark.llm import vector_search as V
@@ -373,6 +397,37 @@ def test_form_beside_the_article():
     assert main_text(page) == TOLD
 
 
+def test_main_text_of_unclosed_tags_is_linear():
+    """Time in proportion to the page: no walk over the open elements for each tag."""
+    began = time.perf_counter()
+    for page in ("<b>" * 100_000 + "x", "<div><p>" * 40_000 + "x", "<table><tr><td>" * 25_000 + "x", "<li>" * 80_000 + "x", "</p>" * 80_000 + "x"):
+        assert main_text(page) == "x"
+    assert time.perf_counter() - began < 60
+
+
+def test_comments_told_by_structure():
+    """Beside the one article, comments, notes and unnamed footers are no text, whatever they are called and however much they say."""
+    comments = "<ol class=commentlist>" + "<li>A reader says something here that is as long as a paragraph of the story.</li>" * 6 + "</ol>"
+    for beside in (comments, comments.replace("commentlist", "x1"), "<div>Copyright 2024 Someone</div>", "<div><p>Read next: another story of some length, with no link at all.</p></div>"):
+        assert main_text(f"<body><article>{STORY}</article>{beside}</body>") == TOLD
+        assert main_text(f"<body>{beside}<main>{STORY}</main></body>") == TOLD
+    head, rest = STORY.split("</h1>")
+    assert main_text(f"<body>{head}</h1><article>{rest}</article><div>{comments}</div></body>") == TOLD
+    assert main_text(f"<body><h1><a href=/>Site</a></h1><article>{STORY}</article></body>") == TOLD
+
+
+def test_article_text_is_not_dropped_by_name():
+    page = STORY.replace("<h1>", '<h1 class="entry-header">').replace("<p>A first", '<section id="side-effects"><p>A first').replace("in it.</p>", "in it.</p></section>")
+    assert main_text(f"<body><article>{page}</article></body>") == TOLD
+
+
+def test_several_articles_tell_nothing():
+    """Comments that are articles themselves, and a placeholder that holds next to nothing."""
+    assert main_text(f"<body><div>{STORY * 3}</div><main><p>Hi</p></main></body>").startswith(TOLD)
+    two = f"<body><article>{STORY}</article><article>{STORY.replace('Title', 'Other')}</article></body>"
+    assert "Title" in main_text(two) and "Other" in main_text(two)
+
+
 def test_density_by_definition():
     """Counts and densities against a recursion over random trees."""
     r = random.Random(12)
