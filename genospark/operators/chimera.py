@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..storage import Shelf, few
 from .intervals import overlaps, probes
 
 COORDS = ["donor_chrom", "donor_bp", "donor_strand", "acceptor_chrom", "acceptor_bp", "acceptor_strand"]
@@ -29,17 +30,19 @@ def breakpoints(rows: DataFrame) -> DataFrame:
 def with_hits(events: DataFrame, exons: DataFrame, tes: DataFrame, tolerance: int = 0, points: DataFrame | None = None) -> DataFrame:
     """events with donor_genes, donor_tes, acceptor_genes and acceptor_tes: sorted distinct ids, empty where nothing is hit.
 
-    points: the breakpoints of the events, where they can be had more cheaply than from the events themselves.
+    points: the breakpoints of the events, where they can be had more cheaply than from the events themselves. The hits of
+    distinct breakpoints are looked up and stored once for both sides; where they are few, no event is shuffled to meet them.
     """
     named = lambda t, key, kind: t.select("chrom", "start0", "end0", F.col(key).alias("id"), F.lit(kind).alias("kind"))
     found = overlaps(probes(points if points is not None else breakpoints(events), tolerance), named(exons, "gene_id", "gene").union(named(tes, "te_id", "te")))
     of = lambda kind: F.array_sort(F.collect_set(F.when(F.col("f_kind") == kind, F.col("f_id"))))
-    hits = found.groupBy("chrom", "bp").agg(of("gene").alias("genes"), of("te").alias("tes"))
+    hits = Shelf(events.sparkSession).put(found.groupBy("chrom", "bp").agg(of("gene").alias("genes"), of("te").alias("tes")), keep=True)
+    sent = few(hits) is not hits
     out = events
     none = F.array().cast("array<string>")
     for side in ("donor", "acceptor"):
         named = hits.select(F.col("chrom").alias(f"{side}_chrom"), F.col("bp").alias(f"{side}_bp"), F.col("genes").alias(f"{side}_genes"), F.col("tes").alias(f"{side}_tes"))
-        out = out.join(named, [f"{side}_chrom", f"{side}_bp"], "left")
+        out = out.join(F.broadcast(named) if sent else named, [f"{side}_chrom", f"{side}_bp"], "left")
     empty = {f"{side}_{kind}": F.coalesce(F.col(f"{side}_{kind}"), none) for side in ("donor", "acceptor") for kind in ("genes", "tes")}
     return out.withColumns(empty).select(*events.columns, *empty)
 
@@ -107,7 +110,7 @@ def annotate_junctions(junctions: DataFrame, exons: DataFrame, genes: DataFrame,
         full = full.withColumn("library_strandedness", F.lit("no" if strandedness == "auto" else strandedness))
     else:
         calls = strandedness.groupBy("sample").agg(F.max("call").alias("library_strandedness"))
-        full = full.join(F.broadcast(calls), "sample", "left").withColumn("library_strandedness", F.coalesce(F.nullif("library_strandedness", F.lit("auto")), F.lit("no")))
+        full = full.join(few(calls), "sample", "left").withColumn("library_strandedness", F.coalesce(F.nullif("library_strandedness", F.lit("auto")), F.lit("no")))
     kind = X.chimera_type(*[F.col(c) for c in ("gene_strand", "gene_start", "gene_end", "te_start", "te_end")])
     if cis_only:
         kind = F.when(F.col("donor_chrom") == F.col("acceptor_chrom"), kind).otherwise(".")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .sampleqc import dispersions, normalised
+from .sampleqc import dispersions, normalised, size_factors
 
 
 def erfc(x: np.ndarray) -> np.ndarray:
@@ -55,11 +55,12 @@ def adjusted(p: DataFrame) -> DataFrame:
 
 def contrast_effects(counts: DataFrame, contrasts: DataFrame, minread: int = 1) -> DataFrame:
     """(contrast, feature, base_mean, log2fc, z): negative-binomial Wald statistics of features with minread counts at least in the contrast."""
-    sides = normalised(counts).join(contrasts, "sample")
+    factors = size_factors(counts)
+    sides = normalised(counts, factors).join(contrasts, "sample")
     mean = lambda role: F.avg(F.when(F.col("role") == role, F.col("q")))
     size = lambda role: F.count_if(F.col("role") == role)
     by = sides.groupBy("contrast", "feature").agg(F.sum("n").alias("total"), F.avg("q").alias("base_mean"), mean("treatment").alias("t"), mean("control").alias("c"), size("treatment").alias("nt"), size("control").alias("nc"))
-    by = by.where((F.col("total") >= minread) & (F.col("nt") > 0) & (F.col("nc") > 0)).join(dispersions(counts).select("feature", "alpha"), "feature")
+    by = by.where((F.col("total") >= minread) & (F.col("nt") > 0) & (F.col("nc") > 0)).join(dispersions(counts, factors).select("feature", "alpha"), "feature")
     part = lambda mu, n: (1 / F.greatest(mu, F.lit(0.5)) + F.col("alpha")) / n
     lfc = F.log2((F.col("t") + 0.5) / (F.col("c") + 0.5))
     se = F.sqrt(part(F.col("t"), F.col("nt")) + part(F.col("c"), F.col("nc"))) / math.log(2)

@@ -42,6 +42,7 @@ def covered_lengths(spans: DataFrame, key: str) -> DataFrame:
 def effective_lengths(lengths: DataFrame, alignments: DataFrame) -> DataFrame:
     """(sample, feature, length): the places where a read of the sample's mean aligned length can begin in the feature, 1 at least."""
     mean = alignments.groupBy("sample").agg(F.avg(F.col("end0") - F.col("start0")).alias("mean"))
+    mean = Shelf(alignments.sparkSession).put(mean, keep=True)  # a row for each sample
     return lengths.join(few(mean), how="cross").select("sample", "feature", F.greatest(F.col("length") - F.col("mean") + 1, F.lit(1.0)).alias("length"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import as_float
+from ..storage import few
 
 
 def job_resource_summary(metrics: DataFrame, allocated: DataFrame | None = None) -> DataFrame:
@@ -19,7 +20,7 @@ def job_resource_summary(metrics: DataFrame, allocated: DataFrame | None = None)
     rows = metrics.select("rule", number("s").alias("s"), (number(load) / 100).alias("load"), (number("max_rss") / 1024).alias("gb"))
     by = rows.groupBy("rule").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{n}") for c in ("s", "load", "gb") for n, f in (("mean", F.avg), ("max", F.max))])
     if allocated is not None:
-        by = by.join(F.broadcast(allocated), "rule", "left")
+        by = by.join(few(allocated), "rule", "left")
     else:
         by = by.withColumns({"threads": F.lit(None).cast("long"), "mem_mb": F.lit(None).cast("double"), "pos": F.lit(None).cast("long")})
     cores, ram = F.coalesce(F.col("threads").cast("long"), F.lit(0)), F.round(F.coalesce(F.col("mem_mb").cast("double"), F.lit(0.0)) / 1024, 3)

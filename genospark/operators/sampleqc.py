@@ -173,16 +173,18 @@ def condition_lookup(samples: DataFrame, sheet: DataFrame) -> DataFrame:
     return samples.join(first, "sample", "left").withColumn("condition", F.coalesce("c", F.lit("all"))).drop("c")
 
 
-def medians(values: DataFrame, key: str, x: str, accuracy: int = 10_000) -> DataFrame:
+def medians(values: DataFrame, key: str, x: str, accuracy: int = 10_000, shelf: Shelf | None = None) -> DataFrame:
     """(key, median): the exact median of x (no null) by key, the mean of both middle values where their number is even.
 
     Two passes over values, which should be stored. The first takes, by a sketch of bounded size, two values that have the
     median between them, no further than a few parts of `accuracy` from it. The second counts what is below them, and each
-    distinct value between them; only those counts are put in order. No buffer holds the values of a key.
+    distinct value between them; only those counts are put in order. No buffer holds the values of a key. With a shelf the
+    bounds are stored there, so that the first pass runs once.
     """
     near = 2.0 / accuracy
     sketch = lambda q: F.percentile_approx(x, q, accuracy)
     bounds = values.groupBy(key).agg(sketch([0.5 - near, 0.5 + near]).alias("between"), F.count("*").alias("size"))
+    bounds = shelf.put(bounds) if shelf else bounds
     met = values.join(few(bounds), key).withColumn("side", F.when(F.col(x) < F.col("between")[0], -1).when(F.col(x) > F.col("between")[1], 1).otherwise(0))
     # one row for each distinct value between, and one for all below
     counted = met.where("side <= 0").groupBy(key, "size", F.when(F.col("side") == 0, F.col(x)).alias("value")).agg(F.count("*").alias("n"))
@@ -197,28 +199,28 @@ def size_factors(counts: DataFrame) -> DataFrame:
     w = Window.partitionBy("feature")
     logs = grid.withColumn("least", F.min("n").over(w)).where("least > 0").select("sample", (F.ln("n") - F.avg(F.ln("n")).over(w)).alias("r"))
     with Shelf(counts.sparkSession) as shelf:
-        found = shelf.put(medians(shelf.put(logs), "sample", "r"), keep=True)
+        found = shelf.put(medians(shelf.put(logs), "sample", "r", shelf=shelf), keep=True)
     return found.select("sample", F.exp("median").alias("size_factor"))
 
 
-def normalised(counts: DataFrame) -> DataFrame:
-    """(feature, sample, n, q, size_factor) over the full grid: counts over size factors."""
-    return dense_grid(counts).join(few(size_factors(counts)), "sample").withColumn("q", F.col("n") / F.col("size_factor"))
+def normalised(counts: DataFrame, factors: DataFrame | None = None) -> DataFrame:
+    """(feature, sample, n, q, size_factor) over the full grid: counts over size factors, which are made here unless they are given."""
+    return dense_grid(counts).join(few(size_factors(counts) if factors is None else factors), "sample").withColumn("q", F.col("n") / F.col("size_factor"))
 
 
-def dispersions(counts: DataFrame) -> DataFrame:
+def dispersions(counts: DataFrame, factors: DataFrame | None = None) -> DataFrame:
     """(feature, mu, alpha): mean of the normalised counts, and the dispersion by moments, not below 0."""
-    s = normalised(counts).groupBy("feature").agg(F.avg("q").alias("mu"), F.var_samp("q").alias("v"), F.avg(1 / F.col("size_factor")).alias("xi"))
+    s = normalised(counts, factors).groupBy("feature").agg(F.avg("q").alias("mu"), F.var_samp("q").alias("v"), F.avg(1 / F.col("size_factor")).alias("xi"))
     alpha = F.when(F.col("mu") > 0, F.greatest(F.lit(0.0), (F.coalesce("v", F.lit(0.0)) - F.col("xi") * F.col("mu")) / (F.col("mu") ** 2))).otherwise(0.0)
     return s.select("feature", "mu", alpha.alias("alpha"))
 
 
-def dispersion_trend(counts: DataFrame) -> tuple[float, float] | None:
+def dispersion_trend(counts: DataFrame, factors: DataFrame | None = None) -> tuple[float, float] | None:
     """(a0, a1) of alpha = a1 / mu + a0, a gamma regression with identity link; None where it can't be fitted."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    points = dispersions(counts).where("alpha > 1e-8 and mu > 0").withColumn("inv", 1 / F.col("mu"))
+    points = dispersions(counts, factors).where("alpha > 1e-8 and mu > 0").withColumn("inv", 1 / F.col("mu"))
     if points.limit(3).count() < 3:
         return None
     try:
@@ -233,12 +235,15 @@ def dispersion_trend(counts: DataFrame) -> tuple[float, float] | None:
 
 def vst_transform(counts: DataFrame) -> DataFrame:
     """(feature, sample, x): the variance-stabilising transform of normalised counts; log2(n + 1) where there are fewer than two samples or no trend."""
-    if counts.select("sample").distinct().limit(2).count() < 2 or (trend := dispersion_trend(counts)) is None:
+    if counts.select("sample").distinct().limit(2).count() < 2:
+        return log2_transform(counts)
+    factors = size_factors(counts)
+    if (trend := dispersion_trend(counts, factors)) is None:
         return log2_transform(counts)
     a0, a1 = trend
     q = F.col("q")
     x = F.log2((1 + a1 + 2 * a0 * q + 2 * F.sqrt(a0 * q * (1 + a1 + a0 * q))) / (4 * a0))
-    return normalised(counts).select("feature", "sample", x.alias("x"))
+    return normalised(counts, factors).select("feature", "sample", x.alias("x"))
 
 
 def qc_transform(counts: DataFrame, method: str = "vst", min_samples: int = 2, min_total: int = 5) -> DataFrame:

@@ -35,11 +35,26 @@ META = """em as (select ec.*, g.start0 as gene_start, g.end0 as gene_end, coales
   from ec left join genes g using (gene_id) left join (select te_id, min(start0) as start0, min(end0) as end0, min(te_family) as te_family, min(te_class) as te_class from fx_te group by te_id) t using (te_id))"""
 
 
-def annotated(tol: int = 0, cis: bool = False, canonical: bool = False) -> str:
+INFERRED = """al as (select *, row_number() over (partition by sample, read_id order by chrom, start0, end0, strand) as aln from fx_alignments),
+hs as (select a.sample, a.read_id, a.aln, a.strand, min(g.strand) as lo, max(g.strand) as hi from al a join genes g on a.chrom = g.chrom and g.start0 < a.end0 and g.end0 > a.start0 group by all),
+inf as (select sample, count(*) as n_reads, (select count(*) from hs where hs.sample = fx_alignments.sample and lo = hi and strand = lo) / count(*)::double as forward,
+  (select count(*) from hs where hs.sample = fx_alignments.sample and lo = hi and strand = case lo when '+' then '-' when '-' then '+' else '.' end) / count(*)::double as reverse from fx_alignments group by sample),
+called as (select *, case when forward >= 0.6 then 'forward' when reverse >= 0.6 then 'reverse' else 'no' end as call from inf)"""
+INFER = "with " + ctes("fx_exons", "fx_alignments") + ", " + GENES + ", " + INFERRED
+RESOLVED = "select s.sample, coalesce(case when cast(substr(s.sample, 2) as bigint) % 2 = 0 then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call from fx_sheet s left join called c on c.sample = s.sample"
+
+
+def annotated(tol: int = 0, cis: bool = False, canonical: bool = False, own_calls: bool = False) -> str:
+    """The annotated events; own_calls: by the library calls of the sheet and the alignments in place of six given ones."""
+    views, library = ["fx_exons", "fx_te", "fx_junctions"], "case sample when 'S0' then 'forward' when 'S4' then 'forward' when 'S1' then 'reverse' when 'S5' then 'reverse' else 'no' end"
+    if own_calls:
+        views, library = [*views, "fx_alignments", "fx_sheet"], "coalesce(found, 'no')"
+    events = "(select em.*, k.call as found from em left join calls k on k.sample = em.sample) em" if own_calls else "em"
+    calls = f"{INFERRED}, calls as ({RESOLVED}),\n" if own_calls else ""
     trans = " and donor_chrom = acceptor_chrom" if cis else ""
     keep = " where try_cast(junction_type as bigint) between 1 and 6" if canonical else ""
     return (
-        "with " + ctes("fx_exons", "fx_te", "fx_junctions") + ",\n" + GENES + ",\n" + EVENTS + ",\n" + hits(tol) + ",\n" + META + f""",
+        "with " + ctes(*views) + ",\n" + GENES + ",\n" + calls + EVENTS + ",\n" + hits(tol) + ",\n" + META + f""",
 an as (select concat_ws(':', donor_chrom, donor_bp, donor_strand, acceptor_chrom, acceptor_bp, acceptor_strand, direction) as event_id, sample, {NAMED}, junction_type,
   case when try_cast(junction_type as bigint) between 1 and 6 then 'yes' else 'no' end as canonical, repeat_flag, reads,
   'gene:' || case when len(dg) > 0 then array_to_string(dg, ',') else '.' end || '|te:' || case when len(dt) > 0 then array_to_string(dt, ',') else '.' end as donor_hits,
@@ -50,8 +65,7 @@ an as (select concat_ws(':', donor_chrom, donor_bp, donor_strand, acceptor_chrom
     when gene_strand = '-' then case when te_start > gene_end then 'te_initiated' when te_end < gene_start then 'te_terminated' else 'te_exonized' end else '.' end as chimera_type,
   case when direction in ('gene_to_te', 'te_to_gene') and exists (select 1 from genes x where x.chrom = case when direction = 'gene_to_te' then acceptor_chrom else donor_chrom end
     and x.start0 < em.te_end and x.end0 > em.te_start and x.gene_id <> em.gene_id and x.strand = case em.gene_strand when '+' then '-' when '-' then '+' else '.' end) then 'yes' else '.' end as antisense_flag,
-  case sample when 'S0' then 'forward' when 'S4' then 'forward' when 'S1' then 'reverse' when 'S5' then 'reverse' else 'no' end as library_strand,
-  case when sample in ('S0', 'S4') then side_strand when sample in ('S1', 'S5') then case side_strand when '+' then '-' when '-' then '+' else '.' end else 'NA' end as transcript_strand from em{keep}),
+  {library} as library_strand, case library_strand when 'forward' then side_strand when 'reverse' then case side_strand when '+' then '-' when '-' then '+' else '.' end else 'NA' end as transcript_strand from {events}{keep}),
 af as (select *, case when transcript_strand = 'NA' or gene_strand = '.' then 'NA' when transcript_strand = gene_strand then 'yes' else 'no' end as gene_strand_match from an)
 """
     )
@@ -91,7 +105,6 @@ dp as (select feature, mu, case when mu > 0 then greatest(0.0, (v - xi * mu) / (
 CONTRAST = """ct as (select c2.condition || '_vs_' || c1.condition as contrast, s.sample, case when s.condition = c2.condition then 'treatment' else 'control' end as role
   from (select distinct condition from fx_sheet) c1 join (select distinct condition from fx_sheet) c2 on c1.condition < c2.condition join fx_sheet s on s.condition in (c1.condition, c2.condition)
   where not exists (select 1 from fx_sheet where condition is null))"""
-CALLS = "calls(sample, call) as (values ('S0', 'forward'), ('S1', 'reverse'), ('S2', 'no'), ('S3', 'auto'), ('S4', 'forward'), ('S5', 'reverse'))"
 EFFECTS = FACTORS + ", " + ctes("fx_sheet") + ", " + CONTRAST + """, side as (select contrast, feature, sum(n) as total, avg(q) as base_mean, avg(q) filter (role = 'treatment') as t, avg(q) filter (role = 'control') as c,
   count(*) filter (role = 'treatment') as nt, count(*) filter (role = 'control') as nc from nq join ct using (sample) group by contrast, feature),
 ef as (select contrast, feature, base_mean, log2((t + 0.5) / (c + 0.5)) as log2fc, log2((t + 0.5) / (c + 0.5)) / (sqrt((1 / greatest(t, 0.5) + alpha) / nt + (1 / greatest(c, 0.5) + alpha) / nc) / ln(2)) as z
@@ -112,11 +125,6 @@ def assigned(key: str = "te_id", te: str = "fx_te", strand: str = "true") -> str
     return "with " + ctes("fx_exons", "fx_te", "fx_alignments") + ", " + assignment(key, te, strand)
 
 
-INFER = "with " + ctes("fx_exons", "fx_alignments") + ", " + GENES + """, al as (select *, row_number() over (partition by sample, read_id order by chrom, start0, end0, strand) as aln from fx_alignments),
-hs as (select a.sample, a.read_id, a.aln, a.strand, min(g.strand) as lo, max(g.strand) as hi from al a join genes g on a.chrom = g.chrom and g.start0 < a.end0 and g.end0 > a.start0 group by all),
-inf as (select sample, count(*) as n_reads, (select count(*) from hs where hs.sample = fx_alignments.sample and lo = hi and strand = lo) / count(*)::double as forward,
-  (select count(*) from hs where hs.sample = fx_alignments.sample and lo = hi and strand = case lo when '+' then '-' when '-' then '+' else '.' end) / count(*)::double as reverse from fx_alignments group by sample),
-called as (select *, case when forward >= 0.6 then 'forward' when reverse >= 0.6 then 'reverse' else 'no' end as call from inf)"""
 WIDE = lambda table: ", ".join(f"cast(coalesce(sum(n) filter (sample = '{s}'), 0) as bigint) as \"{s}\"" for s in SAMPLES)
 GTF = "with " + ctes("fx_gtf_lines") + """, r as (select line_no, c[1] as chrom, c[2] as source, c[3] as feature, cast(c[4] as bigint) as start, cast(c[5] as bigint) as "end", c[7] as strand,
   regexp_extract(c[9], 'gene_id "([^"]*)"', 1) as gene_id, regexp_extract(c[9], 'transcript_id "([^"]*)"', 1) as transcript_id from (select line_no, string_split(value, chr(9)) as c from fx_gtf_lines))"""
@@ -134,13 +142,17 @@ QC |= {"canonical_yes": "canonical = 'yes'", "canonical_no": "canonical = 'no'",
 QC |= {f"strand_match_{k}": f"direction in ('gene_to_te', 'te_to_gene') and gene_strand_match = '{k}'" for k in ("yes", "no", "NA")}
 ANNOTATION = [c.strip() for c in ("donor_chrom, donor_breakpoint, donor_strand, acceptor_chrom, acceptor_breakpoint, acceptor_strand, junction_type, canonical, repeat_flag, direction, gene_id, gene_strand, te_id, te_family, te_class, chimera_type, antisense_flag, library_strand, transcript_strand, gene_strand_match").split(",")]
 CATALOG = f"select event_id, min(sample) as first_sample, {', '.join(f'arg_min({c}, sample) as {c}' for c in ANNOTATION)}, count(distinct sample) as n_samples, cast(sum(reads) as bigint) as total_reads from af group by event_id"
-RESOLVED = "select s.sample, coalesce(case when cast(substr(s.sample, 2) as bigint) % 2 = 0 then case strandedness when 'unstranded' then 'no' else strandedness end end, c.call, 'no') as call from fx_sheet s left join called c on c.sample = s.sample"
 OWN_STRAND = "case a.call when 'forward' then f.strand = a.strand when 'reverse' then f.strand = case a.strand when '+' then '-' else '+' end else true end"
 CALLED_HITS = INFER + ", " + ctes("fx_sheet", "fx_te") + f", calls as ({RESOLVED}), called_al as (select fx_alignments.*, call from fx_alignments left join calls using (sample)), " + assignment(strand=OWN_STRAND, own="called_al")
 UNIQ = " select sample, features[1] as feature, count(*) as n from hits where n = 1 and len(features) = 1 and features[1] <> '__ambiguous' group by all"
 MULTI = " select sample, feature, round(sum(w), 6) as weight from (select sample, unnest(features) as feature, 1.0::double / (n * len(features)) as w from hits) where feature <> '__ambiguous' group by all"
 
 
+#: erfc(x) for x >= 0: the power series up to 2, beyond it the continued fraction from its end.
+ERFC = """case when x <= 2 then 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 60), lambda n: (case when n % 2 = 0 then 1 else -1 end) * pow(x, 2 * n + 1) / (gamma(n + 1) * (2 * n + 1))))
+  else exp(-x * x) / sqrt(pi()) / (x + list_reduce(list_prepend(0.0::double, list_transform(range(120, 0, -1), lambda n: n::double)), lambda tail, n: n / 2 / (x + tail))) end"""
+
+
 #: The place of a read's lane in the sheet of its sample: every other sample has lane 2 before lane 1.
 PLACE = "(cast(substr(lane, 2) as bigint) + cast(substr(sample, 2) as bigint)) % 2"
 
@@ -176,7 +188,7 @@ SQL: dict[str, str] = {
     "p5_canonical_flag": "with " + ctes("fx_junctions") + " select sample, case when try_cast(junction_type as bigint) between 1 and 6 then 'yes' else 'no' end as canonical, count(*) as n from fx_junctions group by all",
     "p6_require_canonical": annotated(canonical=True) + "select sample, direction, count(*) as n, cast(sum(reads) as bigint) as reads from af group by all",
     "p7_chimera_type": AF + "select direction, gene_strand, chimera_type, count(*) as n from af group by all",
-    "p8_strand_evidence": AF + "select sample, library_strand, transcript_strand, gene_strand, gene_strand_match, count(*) as n from af group by all",
+    "p8_strand_evidence": annotated(own_calls=True) + "select sample, library_strand, transcript_strand, gene_strand, gene_strand_match, count(*) as n from af group by all",
     "p9_event_id": AF + "select sample, event_id from af",
     "p10_hits_render": AF + "select sample, event_id, donor_hits, acceptor_hits from af",
     "p11_te_chimera_filter": AF + "select sample, event_id, reads, te_family, te_class from af where direction in ('gene_to_te', 'te_to_gene')",
@@ -228,7 +240,7 @@ SQL: dict[str, str] = {
   union all select sample, 'condition_conflict', co - 1 from b where co > 1 union all select sample, 'mate_count', abs(c1 - c2) from b where c2 > 0 and c1 <> c2""",
     "a24_has_condition": "with " + ctes("fx_sheet") + " select coalesce(bool_and(condition is not null), false) as has_condition from fx_sheet",
     "a25_contrast_replicates": "with " + ctes("fx_sheet") + ", " + CONTRAST + " select contrast, role, count(*) as n, count(*) < 2 as warning from ct group by all",
-    "a26_contrast_strandedness": "with " + ctes("fx_sheet") + ", " + CONTRAST + ", " + CALLS + " select contrast, count(distinct call) as n_calls, string_agg(distinct call, ',' order by call) as calls from ct join calls using (sample) group by contrast having count(distinct call) > 1",
+    "a26_contrast_strandedness": INFER + ", " + ctes("fx_sheet") + ", " + CONTRAST + f", calls as ({RESOLVED}) select contrast, count(distinct call) as n_calls, string_agg(distinct call, ',' order by call) as calls from ct join calls using (sample) group by contrast having count(distinct call) > 1",
     "a27_max_read_length": "with " + ctes("fx_reads") + " select sample, max(length(seq)) as max_length, max(length(seq)) - 1 as overhang from (select *, row_number() over (partition by sample, lane order by read_id) as k from fx_reads) where k <= 20 group by sample",
     "a28_gtf_feature_count": "with " + ctes("fx_gtf_lines") + " select 'f' || line_no % 3 as file, count(*) filter (line_no % 3 <> 2) as n, count(*) filter (line_no % 3 <> 2) = 0 as warning from fx_gtf_lines group by 1",
     "a29_nonempty_reads": "with " + ctes("fx_reads") + " select sample, count(distinct lane) as n_files, count(*) filter (lane = 'L1') as n_reads, count(*) filter (lane = 'L1') > 0 as ok from fx_reads group by sample",
@@ -254,6 +266,9 @@ SQL: dict[str, str] = {
     "q8_contrast_effects": EFFECTS + " select contrast, feature, round(base_mean, 6) as base_mean, round(log2fc, 6) as log2fc, round(z, 6) as z from ef",
     "q8_adjusted_p": EFFECTS + """, p as (select contrast, feature, round(1 / (1 + abs(z)), 4) as pvalue from ef), rk as (select *, count(*) over (partition by contrast) as m, row_number() over (partition by contrast order by pvalue, feature) as i from p)
   select contrast, feature, pvalue, round(least(1.0, min(pvalue * m / i) over (partition by contrast order by pvalue desc, feature desc rows between unbounded preceding and current row)), 6) as padj from rk""",
+    "q8_diff_contrast": EFFECTS + f""", p as (select *, {ERFC} as pvalue from (select *, abs(z) / sqrt(2) as x from ef)), rk as (select *, count(*) over (partition by contrast) as m, row_number() over (partition by contrast order by pvalue, feature) as i from p),
+  ad as (select *, least(1.0, min(pvalue * m / i) over (partition by contrast order by pvalue desc, feature desc rows between unbounded preceding and current row)) as padj from rk)
+  select contrast, feature, round(base_mean, 6) as base_mean, round(log2fc, 6) as log2fc, round(z, 6) as z, round(pvalue, 6) as pvalue, round(padj, 6) as padj, padj < 0.05 as significant from ad""",
     "q9_lane_merge": "with " + ctes("fx_reads") + f" select sample, mate, cast({PLACE} as int) as place, read_id as pos, read_id from fx_reads",
     "q9_merged_files": "with " + ctes("fx_reads") + f" select sample, mate, row_number() over (partition by sample, mate order by {PLACE}, read_id) as at, read_id from fx_reads",
     "q10_read_qc": "with " + ctes("fx_reads") + """ select sample, mate, count(*) as n_reads, cast(sum(length(seq)) as bigint) as n_bases, min(length(seq)) as min_length, max(length(seq)) as max_length, round(100.0 * sum(length(regexp_replace(seq, '[^GCgc]', '', 'g'))) / sum(length(seq)), 6) as gc_pct,

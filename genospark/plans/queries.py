@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..operators import chimera, cohort, counts, design, diff, em, intervals, jobs, quant, reads, sampleqc, tracks
 from ..sources import readers
+from ..storage import Shelf
 from .fixtures import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +49,12 @@ class Views:
     def calls(self) -> DataFrame:
         return self.spark.createDataFrame(CALLS, "sample string, call string")
 
-    def annotated(self, **options) -> DataFrame:
-        return chimera.annotate_junctions(self.junctions, self.exons, self.genes(), self.te, self.calls(), **options)
+    def annotated(self, calls: DataFrame | None = None, **options) -> DataFrame:
+        return chimera.annotate_junctions(self.junctions, self.exons, self.genes(), self.te, self.calls() if calls is None else calls, **options)
+
+    def own_calls(self) -> DataFrame:
+        """(sample, call): what the sheet says, and what the alignments show for the samples that it leaves open."""
+        return Shelf(self.spark).put(quant.sample_calls(_open_sheet(self), self.alignments, self.genes()), keep=True)
 
     def records(self) -> DataFrame:
         return readers.gtf_records(self.gtf_lines)
@@ -115,7 +120,8 @@ def p7_chimera_type(spark, sf):
 
 @query
 def p8_strand_evidence(spark, sf):
-    return Views(spark, sf).annotated().groupBy("sample", "library_strand", "transcript_strand", "gene_strand", "gene_strand_match").agg(F.count("*").alias("n"))
+    v = Views(spark, sf)
+    return v.annotated(v.own_calls()).groupBy("sample", "library_strand", "transcript_strand", "gene_strand", "gene_strand_match").agg(F.count("*").alias("n"))
 
 
 @query
@@ -387,7 +393,7 @@ def a25_contrast_replicates(spark, sf):
 @query
 def a26_contrast_strandedness(spark, sf):
     v = Views(spark, sf)
-    return design.contrast_strandedness(v.contrasts(), v.calls())
+    return design.contrast_strandedness(v.contrasts(), v.own_calls())
 
 
 @query
@@ -446,8 +452,7 @@ def q2_quantify_uniq_forward(spark, sf):
 
 def _called_hits(v: Views) -> DataFrame:
     """Hits by the strand of each sample's own call: the sheet's, or what its alignments show."""
-    calls = quant.sample_calls(_open_sheet(v), v.alignments, v.genes())
-    return quant.assigned(v.alignments, v.exons, v.te, calls=calls)
+    return quant.assigned(v.alignments, v.exons, v.te, calls=v.own_calls())
 
 
 @query
