@@ -68,4 +68,63 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from based
 """
 
-SQL: dict[str, str] = {"op2_preferences": OP2_PREFERENCES, "op11_quality_rules": OP11_QUALITY_RULES}
+# Costs from each turn to the end, then the edits from the first turn on, as two recursions; states 1 to 4 are nothing,
+# system, user and assistant. See conversation_repair.damaged and repaired_turns.
+OP13_CONVERSATION_REPAIR = r"""
+with recursive hashed as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: ascii(c)::bigint)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda d, k: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 20 as kind
+    from conversations
+), damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+           case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+    from hashed where kind <> 0
+), seen as (
+    select *, row_number() over (partition by conv_id, role, text order by turn nulls first) as nth from damaged
+), placed as (
+    select *, left(role, 1) as initial, row_number() over (partition by conv_id order by turn nulls first, role, text, nth) as i from seen
+), judged as (
+    select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when nth > 1 then 'duplicate' when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+           coalesce(lag(initial) over (partition by conv_id order by i) || initial not in ('su', 'ua', 'au'), false) as wrong
+    from placed
+), turns as (
+    select *, fault in ('', 'truncated') as stays, case when fault = 'truncated' then 1 else 0 end as late from judged
+), counted as (
+    select conv_id, max(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+           count(*) filter (fault = 'truncated') as truncated, count(*) filter (wrong) as illegal
+    from turns group by conv_id
+), costs as (
+    select conv_id, n + 1 as i, [0, 4, 2, 0] as g from counted
+    union all
+    select conv_id, i, [least(h[1], 2 + u), least(h[2], 2 + u), u, a] as g
+    from (select conv_id, i, h, least(h[3], 2 + h[4]) as u, least(h[4], 2 + h[3]) as a from (
+        select t.conv_id, t.i, [least(3 + g[1], case when stays then least(2 + late + g[3], case initial when 's' then late + g[2] when 'u' then late + g[3] end) end),
+                                least(3 + g[2], case when stays then least(2 + late + g[3], case initial when 'u' then late + g[3] end) end),
+                                least(3 + g[3], case when stays then least(2 + late + g[4], case initial when 'a' then late + g[4] end) end),
+                                least(3 + g[4], case when stays then least(2 + late + g[3], case initial when 'u' then late + g[3] end) end)] as h
+        from costs c join turns t on t.conv_id is not distinct from c.conv_id and t.i = c.i - 1))
+), steps as (
+    select c.conv_id, c.i, c.g, d.g as after, t.role, t.text, t.initial, t.stays, t.late
+    from costs c left join costs d on d.conv_id is not distinct from c.conv_id and d.i = c.i + 1 left join turns t on t.conv_id is not distinct from c.conv_id and t.i = c.i
+), trace as (
+    select conv_id, n, 1::bigint as i, 1 as q, '' as audit, []::varchar[] as lines, 0 as cost from counted
+    union all
+    select conv_id, n, case when e = 'I' then i else i + 1 end, case e when 'D' then q when 'K' then kept else given end, audit || e,
+           case e when 'D' then lines when 'K' then list_append(lines, role || ':' || text) else list_append(lines, case given when 3 then 'user:' else 'assistant:' end || case when e = 'R' then text else '' end) end,
+           cost + case e when 'D' then 3 when 'I' then 2 when 'K' then late else 2 + late end
+    from (select *, case when 3 + after[q] = g[q] then 'D' when 2 + g[given] = g[q] then 'I' when stays and late + after[kept] = g[q] then 'K' else 'R' end as e
+          from (select x.*, s.g, s.after, s.role, s.text, s.stays, s.late, case when q = 3 then 4 else 3 end as given,
+                       case when initial = 's' and q = 1 then 2 when initial = 'u' and q <> 3 then 3 when initial = 'a' and q = 3 then 4 end as kept
+                from trace x join steps s on s.conv_id is not distinct from x.conv_id and s.i = x.i
+                where not (x.i = x.n + 1 and x.q in (1, 4))))
+), ended as (
+    select conv_id, audit, cost, array_to_string(lines, chr(10)) as repaired from trace where i = n + 1 and q in (1, 4)
+)
+select a.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+       coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join counted c on c.conv_id is not distinct from a.conv_id left join ended e on e.conv_id is not distinct from a.conv_id
+"""
+
+SQL: dict[str, str] = {"op2_preferences": OP2_PREFERENCES, "op11_quality_rules": OP11_QUALITY_RULES, "op13_conversation_repair": OP13_CONVERSATION_REPAIR}
