@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -42,7 +43,7 @@ class Aligned(NamedTuple):
         merged = np.empty(len(a) + len(b), np.int64)
         merged[np.arange(len(a)) + earlier] = a
         merged[np.arange(len(b)) + own] = b
-        return "".join([names[x] for x in merged.tolist()])[:-1]
+        return "".join(picked(names, merged.tolist()))[:-1]
 
     def links(self) -> np.ndarray:
         """The linked id pairs, B id << 32 | A id. No token is empty, so that of a group's tokens the last ones end together, and no others."""
@@ -59,14 +60,26 @@ def groups_of(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarr
     ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
     marks = np.arange(WINDOW, (ends_a[-1] if len(a) else 0) + WINDOW, WINDOW)
     cuts_a, cuts_b = (np.searchsorted(ends, marks, "right").tolist() for ends in (ends_a, ends_b))
-    at_a, at_b, i, j = [], [], 0, 0
+    places, at_a, at_b, i, j = _places(WINDOW), [], [], 0, 0
     for p, q in zip(cuts_a, cuts_b):
-        index_a, index_b = dict(zip(ends_a[i:p].tolist(), range(i + 1, p + 1))), dict(zip(ends_b[j:q].tolist(), range(j + 1, q + 1)))
+        index_a, index_b = dict(zip(ends_a[i:p].tolist(), places)), dict(zip(ends_b[j:q].tolist(), places))
         common = list(filter(index_b.__contains__, index_a))
-        at_a += map(index_a.__getitem__, common)
-        at_b += map(index_b.__getitem__, common)
+        at_a.append(np.fromiter(map(index_a.__getitem__, common), np.int64, len(common)) + i)
+        at_b.append(np.fromiter(map(index_b.__getitem__, common), np.int64, len(common)) + j)
         i, j = p, q
-    return Aligned(a, b, np.array(at_a, np.int64), np.array(at_b, np.int64))
+    none = [np.zeros(0, np.int64)]
+    return Aligned(a, b, np.concatenate(at_a or none), np.concatenate(at_b or none))
+
+
+@lru_cache(maxsize=4)
+def _places(n: int) -> list[int]:
+    """1 to n, made once: a window of n bytes has no more tokens, since none is empty."""
+    return list(range(1, n + 1))
+
+
+def picked(table: Sequence, ids: list[int]) -> Sequence:
+    """table[i] for each of ids."""
+    return itemgetter(*ids)(table) if len(ids) > 1 else [table[i] for i in ids]
 
 
 def id_names(n: int) -> list[str]:
@@ -102,7 +115,7 @@ def aligner(a_path: str, b_path: str) -> tuple[Callable[[str], Aligned | None],
         if not text:
             return None
         a, b, want = encode_a(f" {text}").astype(np.int64), model.encode(text), f" {text}".encode()
-        if b"".join(map(bytes_a.__getitem__, a.tolist())) != want or b"".join(map(bytes_b.__getitem__, b)) != want:
+        if b"".join(picked(bytes_a, a.tolist())) != want or b"".join(picked(bytes_b, b)) != want:
             return None
         return groups_of(a, np.array(b, np.int64), size_a, size_b)
 
