@@ -72,12 +72,13 @@ class Words:
             out.append(h)
         return out
 
-    def bare(self, most: int = 8) -> "Words":
-        """The words without ASCII punctuation at either end (up to `most` characters); words of nothing else stay as they are."""
-        start, end = self.start.copy(), self.end.copy()
-        for _ in range(most):
-            end -= (end - start > 1) & PUNCTUATION[self.data[end - 1]]
-            start += (end - start > 1) & PUNCTUATION[self.data[start]]
+    def bare(self) -> "Words":
+        """The words without ASCII punctuation at either end, however much; of a word of nothing else its middle character stays."""
+        solid = np.flatnonzero(~PUNCTUATION[self.data])
+        at, to = np.searchsorted(solid, self.start), np.searchsorted(solid, self.end)
+        some, middle = at < to, self.start + (self.end - self.start - 1) // 2
+        start, end = middle.copy(), middle + 1
+        start[some], end[some] = solid[at[some]], solid[to[some] - 1] + 1
         return Words(self.data, self.bounds, start, end, self.first)
 
     def texts(self) -> np.ndarray:

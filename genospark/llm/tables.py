@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -11,7 +12,15 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_made: list[str] = []
+
+class _Made(threading.local):
+    """The tables that this thread has saved: operators in other threads have theirs."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +44,7 @@ def saved(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
-    _made.append(path)
+    _made.paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,21 +52,21 @@ def saved(df: DataFrame) -> DataFrame:
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Tables saved inside are deleted at the end, but for those that went through what it gives: keep(df) -> saved table."""
-    first, kept = len(_made), set()
+    first, kept = len(_made.paths), set()
 
     def keep(df: DataFrame) -> DataFrame:
         out = saved(df)
-        kept.add(_made[-1])
+        kept.add(_made.paths[-1])
         return out
 
     try:
         yield keep
     finally:
-        for path in _made[first:]:
+        for path in _made.paths[first:]:
             if path not in kept:
                 p = spark._jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        del _made[first:]
+        del _made.paths[first:]
 
 
 def bucket_of(column, modulus: int):
