@@ -254,13 +254,13 @@ SQL: dict[str, str] = {
     "q2_quantify_uniq_by_call": CALLED_HITS + UNIQ,
     "q3_quantify_multi": assigned() + MULTI,
     "q3_quantify_multi_by_call": CALLED_HITS + MULTI,
-    "q4_quantify_em": assigned() + ", " + em_steps(10) + " select sample, feature, round(theta, 6) as theta from t10",
-    "q4_quantify_em_lengths": assigned() + ", " + em_steps(10, True) + " select sample, feature, round(theta, 6) as theta, round(coalesce(1e6 * (theta / length) / sum(theta / length) over (partition by sample), 0), 6) as tpm from t10 join eff using (sample, feature)",
+    "q4_quantify_em": assigned() + ", " + em_steps(10) + " select sample, feature, round(theta, 3) as theta from t10",
+    "q4_quantify_em_lengths": assigned() + ", " + em_steps(10, True) + " select sample, feature, round(theta, 2) as theta, round(coalesce(1e6 * (theta / length) / sum(theta / length) over (partition by sample), 0), 2) as tpm from t10 join eff using (sample, feature)",
     "q4_effective_lengths": "with " + ctes("fx_exons", "fx_te", "fx_alignments") + ", " + LENGTHS + " select sample, feature, round(length, 6) as length from eff",
-    "q4_em_likelihood": assigned() + ", " + em_steps(9, True) + " select sample, round(sum(m * ln(total)), 6) as log_likelihood from (select sample, class, m, sum(theta / size) as total from x join t9 using (sample, feature) group by all) group by sample",
+    "q4_em_likelihood": assigned() + ", " + em_steps(9, True) + " select sample, round(sum(m * ln(total)), 2) as log_likelihood from (select sample, class, m, sum(theta / size) as total from x join t9 using (sample, feature) group by all) group by sample",
     "q5_quantify_locus": assigned("locus", "loc") + MULTI,
     "q5_locus_uniq": assigned("locus", "loc") + UNIQ,
-    "q5_locus_em": assigned("locus", "loc") + ", " + em_steps(10) + " select sample, feature, round(theta, 6) as theta from t10",
+    "q5_locus_em": assigned("locus", "loc") + ", " + em_steps(10) + " select sample, feature, round(theta, 3) as theta from t10",
     "q6_size_factors": FACTORS + " select sample, round(size_factor, 6) as size_factor from sf",
     "q7_dispersions": FACTORS + " select feature, round(mu, 6) as mu, round(alpha, 6) as alpha from dp",
     "q8_contrast_effects": EFFECTS + " select contrast, feature, round(base_mean, 6) as base_mean, round(log2fc, 6) as log2fc, round(z, 6) as z from ef",

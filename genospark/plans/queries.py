@@ -77,9 +77,9 @@ class Views:
         return quant.assigned(self.alignments, self.exons, self.te)
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Sums of floats depend on their order: six places are compared."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Sums of floats depend on their order: six places are compared, or fewer where many sums follow from each other."""
+    return df.withColumns({c: F.round(c, places) for c in columns})
 
 
 @query
@@ -472,7 +472,7 @@ def q3_quantify_multi(spark, sf):
 
 @query
 def q4_quantify_em(spark, sf):
-    return rounded(quant.quantify_em(Views(spark, sf).hits()), "theta")
+    return rounded(quant.quantify_em(Views(spark, sf).hits()), "theta", places=3)
 
 
 def _lengths(v: Views) -> DataFrame:
@@ -484,7 +484,7 @@ def _lengths(v: Views) -> DataFrame:
 def q4_quantify_em_lengths(spark, sf):
     """Ten steps with effective lengths."""
     v = Views(spark, sf)
-    return rounded(em.fit_masses(v.hits(), _lengths(v)).theta, "theta", "tpm")
+    return rounded(em.fit_masses(v.hits(), _lengths(v)).theta, "theta", "tpm", places=2)
 
 
 @query
@@ -496,7 +496,7 @@ def q4_effective_lengths(spark, sf):
 def q4_em_likelihood(spark, sf):
     """The log likelihood of the masses that ten steps end with, one step back."""
     v = Views(spark, sf)
-    return rounded(em.fit_masses(v.hits(), _lengths(v)).likelihood, "log_likelihood")
+    return rounded(em.fit_masses(v.hits(), _lengths(v)).likelihood, "log_likelihood", places=2)
 
 
 @query
@@ -518,7 +518,7 @@ def q5_locus_uniq(spark, sf):
 
 @query
 def q5_locus_em(spark, sf):
-    return rounded(quant.quantify_em(_locus_hits(spark, sf)), "theta")
+    return rounded(quant.quantify_em(_locus_hits(spark, sf)), "theta", places=3)
 
 
 @query
