@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from ..storage import Shelf
 from .sampleqc import dispersions, normalised, size_factors
 
 
@@ -37,7 +38,10 @@ def adjusted(p: DataFrame) -> DataFrame:
 
     Equal p have equal padj, so that distinct p with their numbers are enough. They are dealt over ranges, 256 for each
     power of 2; ranks and minima are taken inside a range, and carried on from range to range by one row for each.
+    p is stored first: results meet their rows by the value itself, and sums of floats made a second time may differ in
+    their last place.
     """
+    p = Shelf(p.sparkSession).put(p, keep=True)
     place = F.coalesce(F.floor(F.log2("pvalue") * 256), F.lit(-(2**30))).alias("place")
     per = p.where("pvalue is not null").groupBy("contrast", "pvalue").agg(F.count("*").alias("held")).select("*", place)
     every, up = Window.partitionBy("contrast"), (Window.unboundedPreceding, -1)
