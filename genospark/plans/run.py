@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators import chimera, cohort, counts, design, diff, em, jobs, quant, reads, sampleqc, tracks
-from ..storage import Shelf, few
+from ..storage import Shelf, few_met
 
 
 @dataclass
@@ -108,7 +108,7 @@ def _alignments(inputs: dict[str, DataFrame], made: dict[str, DataFrame], o: Opt
     shelf = Shelf(table.sparkSession)
     if "lanes" in made:
         sheet = inputs["sheet"]
-        out["inferred"] = quant.infer_strandedness(table.join(few(design.strandedness_open(sheet)), "sample", "left_semi"), made["genes"], o.min_fraction)
+        out["inferred"] = quant.infer_strandedness(table.join(few_met(design.strandedness_open(sheet), table, "sample"), "sample", "left_semi"), made["genes"], o.min_fraction)
         out["strandedness"] = shelf.put(design.strandedness_resolve(sheet, out["inferred"]), keep=True)
         out["contrast_strandedness"] = design.contrast_strandedness(made["contrasts"], out["strandedness"])
         if o.strict:

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from genospark.operators import diff
+from genospark.operators import diff, quant
+from genospark.storage import few_met
 
 
 def test_adjusted_takes_the_p_values_it_was_given_once(spark):
@@ -12,3 +13,17 @@ def test_adjusted_takes_the_p_values_it_was_given_once(spark):
     noisy = F.udf(lambda i: 0.01 + i / 100 + random.random() * 1e-9, "double").asNondeterministic()
     p = spark.range(40).select(F.lit("c").alias("contrast"), F.col("id").cast("string").alias("feature"), noisy("id").alias("pvalue"))
     assert diff.adjusted(p).where("padj is null").count() == 0
+
+
+def test_tables_of_many_samples_are_cut_to_those_there(spark):
+    calls = spark.range(150_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample"), F.lit("reverse").alias("call"))
+    rows = spark.createDataFrame([("S1",), ("S1",), ("S7",), ("X",)], "sample string")
+    met = few_met(calls, rows, "sample")
+    assert sorted(r["sample"] for r in met.collect()) == ["S1", "S7"]
+    assert "broadcast" in met._jdf.queryExecution().logical().toString().lower()
+    al = spark.createDataFrame([("S1", 1, "c", 5, 20, "+")], "sample string, read_id long, chrom string, start0 long, end0 long, strand string")
+    exons = spark.createDataFrame([("c", 0, 30, "G", "-")], "chrom string, start0 long, end0 long, gene_id string, strand string")
+    tes = spark.createDataFrame([], "chrom string, start0 long, end0 long, te_id string, strand string")
+    hits = quant.assigned(al, exons, tes, calls=calls)
+    assert [r["features"] for r in hits.collect()] == [["G"]]
+    assert "SortMergeJoin [sample" not in hits._jdf.queryExecution().executedPlan().toString()
