@@ -4,9 +4,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from genospark.operators import diff, quant
+from genospark.operators import chimera, diff, quant
 from genospark.storage import few_met
 
+COORDS = "donor_chrom string, donor_bp long, donor_strand string, acceptor_chrom string, acceptor_bp long, acceptor_strand string"
+
 
 def test_adjusted_takes_the_p_values_it_was_given_once(spark):
     """Values that come out otherwise when they are made again still meet their rows."""
@@ -15,6 +17,25 @@ def test_adjusted_takes_the_p_values_it_was_given_once(spark):
     assert diff.adjusted(p).where("padj is null").count() == 0
 
 
+def test_events_without_a_key_are_dealt_over_tasks(spark):
+    rows = [("S0", "c", i, "+", "c", i, "+", f"T{i}" if i % 50 == 0 else None, "c" if i % 100 == 0 else None) for i in range(4000)]
+    events = spark.createDataFrame(rows, f"sample string, {COORDS}, te_id string, te_chrom string")
+    table = spark.createDataFrame([(f"T{i}", c, i) for i in range(0, 4000, 50) for c in "cd"], "te_id string, te_chrom string, v int")
+    given = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(given, ("-1", "false")):
+            spark.conf.set(k, v)
+        out = chimera.left_join(events, table, "te_id", "te_chrom")
+        assert out.columns == [*events.columns, "v"]
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        got = {(r["donor_bp"], r["v"]) for r in out.collect()}
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+    assert got == {(i, i if i % 100 == 0 else None) for i in range(4000)}
+    assert max(sizes) < 1000
+
+
 def test_tables_of_many_samples_are_cut_to_those_there(spark):
     calls = spark.range(150_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample"), F.lit("reverse").alias("call"))
     rows = spark.createDataFrame([("S1",), ("S1",), ("S7",), ("X",)], "sample string")
