@@ -1,10 +1,13 @@
 """Steps whose rows must not meet in one task, or be made twice."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from genospark.operators import chimera, diff, quant
+from genospark.plans.roundtrips import in_order
+from genospark.sources import readers
 from genospark.storage import few_met
 
 COORDS = "donor_chrom string, donor_bp long, donor_strand string, acceptor_chrom string, acceptor_bp long, acceptor_strand string"
@@ -36,6 +39,19 @@ def test_events_without_a_key_are_dealt_over_tasks(spark):
     assert max(sizes) < 1000
 
 
+def test_places_go_on_from_file_to_file(spark):
+    rows = [(f"f{f}", n, f"{'ab'[(f + n) % 2]}{f}-{n}") for f in range(5) for n in range(30)]
+    random.Random(1).shuffle(rows)
+    lines = spark.createDataFrame(rows, "file string, line_no long, value string")
+    out = in_order(lines, F.substring("value", 1, 1), 1)
+    want = {}
+    for k in "ab":
+        want |= {v: i + 1 for i, (_, n, v) in enumerate(sorted(r for r in rows if r[2][0] == k and r[1] >= 1))}
+    assert {r["value"]: r["at"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"row_number\(\).*file#\d+ ASC", plan)
+
+
 def test_tables_of_many_samples_are_cut_to_those_there(spark):
     calls = spark.range(150_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample"), F.lit("reverse").alias("call"))
     rows = spark.createDataFrame([("S1",), ("S1",), ("S7",), ("X",)], "sample string")
@@ -48,3 +64,9 @@ def test_tables_of_many_samples_are_cut_to_those_there(spark):
     hits = quant.assigned(al, exons, tes, calls=calls)
     assert [r["features"] for r in hits.collect()] == [["G"]]
     assert "SortMergeJoin [sample" not in hits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sheet_in_part_files_keeps_its_order(spark, tmp_path):
+    spark.range(1000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample")).repartitionByRange(6, F.length("sample"), "sample").sortWithinPartitions(F.length("sample"), "sample").write.csv(str(tmp_path / "s"), header=True)
+    sheet = readers.read_sample_sheet(spark, str(tmp_path / "s"))
+    assert {r["sample"]: r["row"] for r in sheet.collect()} == {f"S{i}": i for i in range(1000)}
