@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import Shelf, few
 
-#: Links (class, feature) in a block of classes: what one task holds at a time.
-LINKS = 1 << 18
+#: Links (class, feature) in a block of classes, and masses in a part of them: what one task holds at a time.
+LINKS, MASSES = 1 << 18, 1 << 16
 
 
 @dataclass
@@ -46,61 +48,119 @@ def effective_lengths(lengths: DataFrame, alignments: DataFrame) -> DataFrame:
     return lengths.join(few(mean), how="cross").select("sample", "feature", F.greatest(F.col("length") - F.col("mean") + 1, F.lit(1.0)).alias("length"))
 
 
-def _expected(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One block's part of a step: its classes' reads dealt over their features, and the log likelihood by sample (a null feature).
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, sizes) of a column of lists, none of them null."""
+    lists = column.combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
 
-    left (block, m, slots): classes; right (block, slot, sample, feature, length, theta): the features of the block.
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(values))
+
+
+def _sent(left: pa.Table, right: pa.Table) -> pa.Table:
+    """(block, part, x): theta / length of one part's masses, a list for each block of classes that holds some of them.
+
+    left (part, block, at, length): the places `at` of the masses that a block holds; block -1 has all lengths. right
+    (part, t): all masses.
     """
-    right = right.take(pa.array(np.argsort(right.column("slot").to_numpy())))
-    sample, feature = (right.column(c).combine_chunks() for c in ("sample", "feature"))
-    names, lists = sample.dictionary_encode(), left.column("slots").combine_chunks()
-    x = right.column("theta").to_numpy() / right.column("length").to_numpy()
-    slots, size, m = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), left.column("m").to_numpy()
-    first, of = np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
-    total = np.add.reduceat(x[slots], first)
-    known, all_ = total > 0, np.where(total > 0, total, 1)
-    share = np.where(known[of], x[slots] / all_[of], (1 / size)[of])
-    mass = np.bincount(slots, m[of] * share, minlength=len(x))
-    fit = np.bincount(names.indices.to_numpy()[slots[first]], m * np.log(all_), minlength=len(names.dictionary))
-    return pa.table({
-        "sample": pa.concat_arrays([sample, names.dictionary]),
-        "feature": pa.concat_arrays([feature, pa.nulls(len(names.dictionary), pa.string())]),
-        "x": np.concatenate([mass, fit]),
-    })
+    own = left.filter(pc.equal(left.column("block"), -1))
+    x = _flat(right.column("t"))[0] / _flat(own.column("length"))[0]
+    left = left.filter(pc.greater_equal(left.column("block"), 0))
+    at, size = _flat(left.column("at"))
+    return pa.table({"block": left.column("block"), "part": left.column("part"), "x": _lists(x[at], size)})
+
+
+def _expected(samples: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """(part, block, x): one block's part of a step: its classes' reads dealt over their features, and as part -1 the log likelihoods by sample.
+
+        left (block, code, m, slots): classes; right (block, part, x): what their features have, slots counted through the parts.
+        """
+        right = right.take(pa.array(np.argsort(right.column("part").to_numpy())))
+        x, width = _flat(right.column("x"))
+        slots, size = _flat(left.column("slots"))
+        m, code = left.column("m").to_numpy(), left.column("code").to_numpy()
+        first, of = np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
+        total = np.add.reduceat(x[slots], first)
+        known, all_ = total > 0, np.where(total > 0, total, 1)
+        share = np.where(known[of], x[slots] / all_[of], (1 / size)[of])
+        mass = np.bincount(slots, m[of] * share, minlength=len(x))
+        fit = np.bincount(code, m * np.log(all_), minlength=samples)
+        part = np.append(right.column("part").to_numpy(), -1).astype(np.int32)
+        block = np.full(len(part), left.column("block")[0].as_py(), np.int32)
+        return pa.table({"part": part, "block": block, "x": _lists(np.concatenate([mass, fit]), np.append(width, samples))})
+
+    return run
+
+
+def _gathered(left: pa.Table, right: pa.Table) -> pa.Table:
+    """(part, t): the masses of one part summed over the blocks that hold them; those of part -1 by place."""
+    in_order = lambda t: t.take(pa.array(np.argsort(t.column("block").to_numpy())))
+    part = right.column("part")[0].as_py() if right.num_rows else None
+    if part is None:
+        return pa.table({"part": pa.array([], pa.int32()), "t": pa.array([], pa.list_(pa.float64()))})
+    right = in_order(right)
+    x, size = _flat(right.column("x"))
+    if part < 0:
+        at = np.concatenate([np.arange(k) for k in size])
+    else:
+        at = _flat(in_order(left.filter(pc.greater_equal(left.column("block"), 0))).column("at"))[0]
+    return pa.table({"part": pa.array([part], pa.int32()), "t": _lists(np.bincount(at, x), np.array([at.max() + 1]))})
 
 
 class _Blocks:
-    """Classes dealt to blocks once and for all; a step moves the masses only: each to the blocks that hold its feature, and their sums back.
+    """Classes dealt to blocks, and masses to parts, once and for all; a step moves masses only, as one list for each block and part that meet, and their sums back.
 
-    packed (block, m, slots) stays partitioned by block, routes (block, slot, sample, feature, length) by feature, so that
-    of a step's joins only the smaller side is shuffled.
+    packed (block, code, m, slots) stays partitioned by block, routes (part, block, at, length) by part; samples go by
+    their codes, places in names. theta (part, t) has a row for each part; a step gives one more, part -1: the log
+    likelihoods before it, by code.
     """
 
     def __init__(self, shelf: Shelf, hits: DataFrame, lengths: DataFrame | None):
         spark = hits.sparkSession
         classes = shelf.put(read_classes(hits).withColumn("class", F.monotonically_increasing_id()))
         n = classes.agg(F.sum(F.size("c"))).first()[0] or 0
+        self.names = sorted(r[0] for r in classes.select("sample").distinct().where("sample is not null").collect())
+        codes = few(spark.createDataFrame([(s, i) for i, s in enumerate(self.names)], "sample string, code int"))
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        blocks = max(1, math.ceil(n / LINKS), min(parts, n // 4096))
-        links = classes.select(F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int").alias("block"), "class", "sample", "m", F.explode("c").alias("feature"))
-        routes = links.select("block", "sample", "feature").distinct()
-        routes = routes.withColumn("slot", F.row_number().over(Window.partitionBy("block").orderBy("sample", "feature")) - 1)
+        blocks = max(1, math.ceil(n / LINKS), min(8, n // 4096))
+        masses = classes.select("sample", (F.col("m") / F.size("c")).alias("x"), F.explode("c").alias("feature")).groupBy("sample", "feature").agg(F.sum("x").alias("theta")).join(codes, "sample")
         if lengths is None:
-            routes = routes.withColumn("length", F.lit(1.0))
+            masses = masses.withColumn("length", F.lit(1.0))
         else:
-            routes = routes.join(lengths.select("sample", "feature", F.col("length").cast("double").alias("length")), ["sample", "feature"], "left").withColumn("length", F.coalesce("length", F.lit(1.0)))
-        routes = shelf.put(routes)
-        packed = shelf.put(links.join(routes, ["block", "sample", "feature"]).groupBy("block", "class", "m").agg(F.array_sort(F.collect_list("slot")).alias("slots")).drop("class"))
-        self.routed = routes
-        self.start = classes.select("sample", (F.col("m") / F.size("c")).alias("x"), F.explode("c").alias("feature")).groupBy("sample", "feature").agg(F.sum("x").alias("theta"))
+            masses = masses.join(lengths.select("sample", "feature", F.col("length").cast("double").alias("length")), ["sample", "feature"], "left").withColumn("length", F.coalesce("length", F.lit(1.0)))
+        masses = shelf.put(masses)
+        many = max(1, math.ceil(masses.count() / MASSES), min(8, blocks))
+        masses = masses.withColumn("part", F.pmod(F.xxhash64("sample", "feature"), F.lit(many)).cast("int"))
+        self.masses = masses = shelf.put(masses.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("sample", "feature")) - 1))
+        links = classes.select(F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int").alias("block"), "class", "sample", "m", F.explode("c").alias("feature"))
+        links = shelf.put(links.join(masses.select("sample", "feature", "code", "part", "at"), ["sample", "feature"]).select("block", "class", "code", "m", "part", "at"))
+        routes = shelf.put(links.groupBy("part", "block").agg(F.array_sort(F.collect_set("at")).alias("at")))
+        before = F.coalesce(F.sum(F.size("at")).over(Window.partitionBy("block").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        slots = routes.withColumn("before", before).select("part", "block", "before", F.posexplode("at").alias("pos", "at"))
+        slots = slots.select("part", "block", "at", (F.col("before") + F.col("pos")).cast("int").alias("slot"))
+        packed = shelf.put(links.join(slots, ["block", "part", "at"]).groupBy("block", "class", "code", "m").agg(F.array_sort(F.collect_list("slot")).alias("slots")).drop("class"))
+        listed = masses.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("at", "code", "length", "theta"))).alias("x"))
+        listed = shelf.put(listed.select("part", F.col("x.code").alias("code"), F.col("x.length").alias("length"), F.col("x.theta").alias("t")))
+        self.codes, self.start = listed.select("part", "code"), listed.select("part", "t")
+        none = F.lit(None).cast("array<double>")
+        routes = routes.select("part", "block", "at", none.alias("length")).union(listed.select("part", F.lit(-1), F.col("code"), "length"))
         self.packed = packed.repartition(parts, "block").persist()
-        self.routes = routes.repartition(parts, "sample", "feature").persist()
+        self.routes = routes.repartition(parts, "part").persist()
 
     def step(self, theta: DataFrame) -> DataFrame:
-        """(sample, feature, theta) after one step, with a row of a null feature for each sample: the log likelihood before it."""
-        sent = self.routes.join(theta, ["sample", "feature"]).select("block", "slot", "sample", "feature", "length", "theta")
-        parts = self.packed.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_expected, "sample string, feature string, x double")
-        return parts.groupBy("sample", "feature").agg(F.sum("x").alias("theta"))
+        """(part, t) after one step."""
+        sent = self.routes.groupBy("part").cogroup(theta.groupBy("part")).applyInArrow(_sent, "block int, part int, x array<double>")
+        back = self.packed.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_expected(len(self.names)), "part int, block int, x array<double>")
+        return self.routes.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(_gathered, "part int, t array<double>")
+
+    def together(self, **thetas: DataFrame) -> DataFrame:
+        """(part, code, ...): the lists of several thetas beside each other, and their samples' codes."""
+        out = self.codes
+        for name, theta in thetas.items():
+            out = out.join(_masses(theta).withColumnRenamed("t", name), "part")
+        return out
 
     def close(self) -> None:
         self.packed.unpersist()
@@ -108,29 +168,59 @@ class _Blocks:
 
 
 def _masses(stepped: DataFrame) -> DataFrame:
-    return stepped.where("feature is not null")
+    return stepped.where("part >= 0")
+
+
+def _fits(stepped: DataFrame, samples: int) -> np.ndarray:
+    """The log likelihoods by sample that a step found."""
+    found = stepped.where("part = -1").first()
+    return np.array(found["t"]) if found else np.zeros(samples)
+
+
+def _change(both: DataFrame) -> float:
+    return float(both.agg(F.max(F.array_max(F.zip_with("new", "old", lambda a, b: F.abs(a - b))))).first()[0] or 0.0)
+
+
+def _each(rows: DataFrame, f: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    """f of each row's part, codes and lists of masses, as arrays."""
+    names = rows.columns[2:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                lists = (b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("code", *names))
+                yield f(b.column("part")[i].as_py(), *lists)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _part(part: int, t: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), _lists(t, np.array([len(t)]))], ["part", "t"])
+
 
+def _leap(rows: DataFrame, samples: int) -> DataFrame:
+    """(part, t): masses extrapolated by squares from three in a row, rows (part, code, t0, t1, t2), by sample; those after the second step where a mass would not stay positive. The driver holds two numbers for each sample."""
 
-def _fits(stepped: DataFrame) -> DataFrame:
-    return stepped.where("feature is null").select("sample", F.col("theta").alias("fit"))
+    def norms(part, code, t0, t1, t2):
+        r, v = t1 - t0, t2 - 2 * t1 + t0
+        sums = [np.bincount(code, x * x, samples) for x in (r, v)]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(samples), pa.int32()), *map(pa.array, sums)], ["code", "rr", "vv"])
 
+    found = _each(rows, norms, "code int, rr double, vv double").groupBy("code").agg(F.sqrt(F.sum("rr")).alias("rr"), F.sqrt(F.sum("vv")).alias("vv")).collect()
+    far = np.ones(samples)
+    for r in found:
+        far[r["code"]] = max(r["rr"] / r["vv"], 1.0) if r["vv"] > 0 else 1.0
 
-def _change(new: DataFrame, old: DataFrame) -> float:
-    by = new.join(old.withColumnRenamed("theta", "old"), ["sample", "feature"])
-    return float(by.agg(F.max(F.abs(F.col("theta") - F.col("old")))).first()[0] or 0.0)
+    def place(code, t0, t1, t2):
+        return t0 + 2 * far[code] * (t1 - t0) + far[code] ** 2 * (t2 - 2 * t1 + t0)
 
+    def below(part, code, t0, t1, t2):
+        x = place(code, t0, t1, t2)
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(code[(x < 0) | ((x == 0) & (t2 > 0))]), pa.int32())], ["code"])
 
-def _leap(t0: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
-    """(sample, feature, theta): masses extrapolated by squares from three in a row, by sample; those after the second step where a mass would not stay positive."""
-    keys = ["sample", "feature"]
-    t = t0.join(_masses(one).withColumnRenamed("theta", "t1"), keys).join(_masses(two).withColumnRenamed("theta", "t2"), keys)
-    t = t.withColumn("r", F.col("t1") - F.col("theta")).withColumn("v", F.col("t2") - F.col("t1") - F.col("r"))
-    norms = t.groupBy("sample").agg(F.sqrt(F.sum(F.col("r") ** 2)).alias("rr"), F.sqrt(F.sum(F.col("v") ** 2)).alias("vv"))
-    far = norms.select("sample", F.when(F.col("vv") > 0, F.greatest(F.col("rr") / F.col("vv"), F.lit(1.0))).otherwise(1.0).alias("a"))
-    x = F.col("theta") + 2 * F.col("a") * F.col("r") + F.col("a") ** 2 * F.col("v")
-    out = t.join(few(far), "sample").withColumn("x", x)
-    bad = out.groupBy("sample").agg(F.bool_or((F.col("x") < 0) | ((F.col("x") == 0) & (F.col("t2") > 0))).alias("bad"))
-    return out.join(few(bad), "sample").select(*keys, F.when(F.col("bad"), F.col("t2")).otherwise(F.col("x")).alias("theta"))
+    bad = np.zeros(samples, bool)
+    bad[[r["code"] for r in _each(rows, below, "code int").distinct().collect()]] = True
+    return _each(rows, lambda part, code, t0, t1, t2: _part(part, np.where(bad[code], t2, place(code, t0, t1, t2))), "part int, t array<double>")
 
 
 def fit_masses(hits: DataFrame, lengths: DataFrame | None = None, steps: int = 10, tolerance: float | None = None, accelerate: bool = False) -> Fit:
@@ -143,34 +233,34 @@ def fit_masses(hits: DataFrame, lengths: DataFrame | None = None, steps: int = 1
     extrapolation, a length for each sample), and a step from there, taken back for samples whose likelihood it lowers, so
     that the likelihood never falls. tpm: theta / length in parts of a million of the sample.
     """
-    with Shelf(hits.sparkSession) as shelf:
+    spark = hits.sparkSession
+    with Shelf(spark) as shelf:
         blocks = _Blocks(shelf, hits, lengths)
+        samples = len(blocks.names)
         try:
-            theta, taken, change, stepped = shelf.put(blocks.start), 0, None, None
-            while taken < steps:
+            theta, taken, change, fit = blocks.start, 0, None, None
+            while taken < steps and samples:
                 before = theta
-                one = stepped = shelf.put(blocks.step(theta))
-                theta, taken = _masses(one), taken + 1
+                one = shelf.put(blocks.step(theta))
+                theta, fit, taken = _masses(one), _fits(one, samples), taken + 1
                 if accelerate and taken + 2 <= steps:
                     two = shelf.put(blocks.step(theta))
-                    leap = shelf.put(_leap(before, one, two))
-                    three = shelf.put(blocks.step(leap))
+                    three = shelf.put(blocks.step(shelf.put(_leap(shelf.put(blocks.together(t0=before, t1=one, t2=two)), samples))))
                     # the likelihood of the leap against that of the first step: the second step is at least as good as that
-                    better = _fits(three).withColumnRenamed("fit", "leapt").join(_fits(two), "sample").select("sample", (F.col("leapt") >= F.col("fit")).alias("better"))
-                    stepped = three.withColumnRenamed("theta", "t3").join(two.withColumnRenamed("theta", "t2"), (three["sample"] == two["sample"]) & three["feature"].eqNullSafe(two["feature"])).select(three["sample"], three["feature"], "t2", "t3")
-                    stepped = shelf.put(stepped.join(few(better), "sample").select("sample", "feature", F.when(F.col("better"), F.col("t3")).otherwise(F.col("t2")).alias("theta")))
-                    theta, taken = _masses(stepped), taken + 2
+                    fit, leapt = _fits(two, samples), _fits(three, samples)
+                    better = leapt >= fit
+                    fit, taken = np.where(better, leapt, fit), taken + 2
+                    theta = shelf.put(_each(blocks.together(t2=two, t3=three), lambda part, code, t2, t3, better=better: _part(part, np.where(better[code], t3, t2)), "part int, t array<double>"))
                 if tolerance is not None:
-                    change = _change(theta, before)
+                    change = _change(blocks.together(new=theta, old=before))
                     if change <= tolerance:
                         break
-            own = blocks.routed.select("sample", "feature", "length").distinct()
-            rate = theta.join(own, ["sample", "feature"]).withColumn("rate", F.col("theta") / F.col("length"))
+            rate = theta.select("part", F.posexplode("t").alias("at", "theta")).join(blocks.masses.drop("theta"), ["part", "at"])
+            rate = shelf.put(rate.select("sample", "feature", "theta", (F.col("theta") / F.col("length")).alias("rate")))
             whole = few(shelf.put(rate.groupBy("sample").agg(F.sum("rate").alias("all"))))
             tpm = F.when(F.col("all") > 0, 1e6 * F.col("rate") / F.col("all")).otherwise(0.0)
             out = shelf.put(rate.join(whole, "sample").select("sample", "feature", "theta", tpm.alias("tpm")), keep=True)
-            none = "sample string, fit double"
-            fits = shelf.put(_fits(stepped) if stepped is not None else hits.sparkSession.createDataFrame([], none), keep=True)
+            fits = spark.createDataFrame([] if fit is None else list(zip(blocks.names, fit.tolist())), "sample string, fit double")
         finally:
             blocks.close()
     return Fit(out, fits.withColumnRenamed("fit", "log_likelihood"), taken, change)

@@ -5,10 +5,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from genospark.operators import chimera, diff, quant
+from genospark.operators import chimera, diff, em, quant
 from genospark.plans.roundtrips import in_order
 from genospark.sources import readers
-from genospark.storage import few_met
+from genospark.storage import Shelf, few_met
 
 COORDS = "donor_chrom string, donor_bp long, donor_strand string, acceptor_chrom string, acceptor_bp long, acceptor_strand string"
 
@@ -70,3 +70,25 @@ def test_sheet_in_part_files_keeps_its_order(spark, tmp_path):
     spark.range(1000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample")).repartitionByRange(6, F.length("sample"), "sample").sortWithinPartitions(F.length("sample"), "sample").write.csv(str(tmp_path / "s"), header=True)
     sheet = readers.read_sample_sheet(spark, str(tmp_path / "s"))
     assert {r["sample"]: r["row"] for r in sheet.collect()} == {f"S{i}": i for i in range(1000)}
+
+
+def test_em_moves_lists_not_rows(spark, monkeypatch):
+    """Over many blocks and parts: a row for each part a step, and the masses of plain EM."""
+    monkeypatch.setattr(em, "LINKS", 8)
+    monkeypatch.setattr(em, "MASSES", 3, raising=False)
+    r = random.Random(2)
+    reads = [(f"S{i % 2}", i, 1, 1, sorted(r.sample("abcdefgh", r.randrange(1, 4)))) for i in range(60)]
+    hits = spark.createDataFrame(reads, "sample string, read_id long, aln long, n long, features array<string>")
+    want = {}
+    for s in ("S0", "S1"):
+        own = [x[4] for x in reads if x[0] == s]
+        t = {f: sum((f in c) / len(c) for c in own) for f in {f for c in own for f in c}}
+        for _ in range(5):
+            t = {f: sum(t[f] / sum(t[g] for g in c) for c in own if f in c) for f in t}
+        want |= {(s, f): v for f, v in t.items()}
+    got = {(x["sample"], x["feature"]): x["theta"] for x in em.fit_masses(hits, steps=5).theta.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    with Shelf(spark) as shelf:
+        blocks = em._Blocks(shelf, hits, None)
+        assert blocks.step(blocks.start).count() < len(want)
+        blocks.close()
