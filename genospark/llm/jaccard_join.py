@@ -33,8 +33,12 @@ from .components import connected_components
 from .tables import saved, scratch
 
 SMALL = 200_000  # rows of up to four numbers that are broadcast: 10 to 20 MB; more are joined by a shuffle
+LISTED = 2_000_000  # numbers that are sent to every task as one sorted array: 16 MB; more are joined by a shuffle
 SKETCH = 256
 BLOCK = 1024
+DEALS = 16
+MET = 32
+STAR = 8
 
 
 def sized(df: DataFrame, most: int = SMALL) -> DataFrame:
@@ -42,6 +46,33 @@ def sized(df: DataFrame, most: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def listed(ids: DataFrame) -> np.ndarray | None:
+    """The numbers of a saved table of one column, sorted; None where they are too many to be sent to every task."""
+    if ids.limit(LISTED + 1).count() > LISTED:
+        return None
+    return np.sort(ids.toArrow().column(0).to_numpy())
+
+
+def among(x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which of x are in the sorted ids."""
+    if not len(ids):
+        return np.zeros(len(x), bool)
+    return ids[np.minimum(np.searchsorted(ids, x), len(ids) - 1)] == x
+
+
+def without(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows of df whose number isn't in the saved table ids(column); wide rows stay where they are."""
+    gone = listed(ids)
+    if gone is None:
+        return df.join(ids, column, "left_anti")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(~among(b.column(column).to_numpy(), gone)))
+
+    return df.mapInArrow(run, df.schema) if len(gone) else df
+
+
 def token_sets(text: pa.Array, shingle: int) -> Iterator[np.ndarray]:
     """The sorted distinct token hashes of each text."""
     for a, z, data, bounds in slices(text):
@@ -139,58 +170,90 @@ def allowance(n: Column, percent: int) -> Column:
     return F.floor(n * (100 - percent) / 100).cast("int")
 
 
-def index_entries(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, frequent: int) -> DataFrame:
-    """(sig, rep, n, p, last): the keys of each class of reps(rep, doc_id, d1, n, window): single rare tokens and combinations.
+def prefixes(reps: DataFrame, often: DataFrame, percent: int) -> DataFrame:
+    """(rep, doc_id, d1, n, prefix, easy) of reps(rep, doc_id, d1, n, window): the first rare tokens of the window, as many as a prefix has, and whether there are so many."""
+    known = listed(often)
+    if known is None:
+        hits = reps.select("rep", F.explode("window").alias("sig")).join(often, "sig").groupBy("rep").agg(F.collect_set("sig").alias("hits"))
+        need = allowance(F.col("n"), percent) + 1
+        rare = F.array_except("window", F.coalesce("hits", F.array().cast("array<long>")))
+        return reps.join(hits, "rep", "left").select("rep", "doc_id", "d1", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy"))
 
-    p: how many tokens the prefix has, and last: the last of them; p is 0 where the prefix is the whole of the rare tokens.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            window = b.column("window")
+            size = window.value_lengths().to_numpy(zero_copy_only=False)
+            tokens = window.flatten().to_numpy()
+            need = b.column("n").to_numpy().astype(np.int64) * (100 - percent) // 100 + 1
+            rare = ~among(tokens, known)
+            ends = np.cumsum(size)
+            seen = np.concatenate([[0], np.cumsum(rare)])
+            before, total = seen[ends - size], seen[ends] - seen[ends - size]
+            first = rare & (seen[1:] - np.repeat(before, size) <= np.repeat(need, size))
+            at = np.concatenate([[0], np.cumsum(np.minimum(total, need))]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(at), pa.array(tokens[first]))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rep", "doc_id", "d1", "n")), prefix, pa.array(total >= need)], ["rep", "doc_id", "d1", "n", "prefix", "easy"])
+
+    return reps.mapInArrow(run, "rep long, doc_id long, d1 long, n int, prefix array<long>, easy boolean")
+
+
+def index_entries(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, frequent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the classes reps(rep, doc_id, d1, n, window): (rep, doc_id, d1), and twice (rep, n, p, last, prefix), the easy ones and the others.
+
+    prefix has the keys: single rare tokens and combinations. p: how many tokens it has, and last: the last of them; p is 0
+    where it is the whole of the rare tokens. A key is in the prefixes of `frequent` easy classes at most.
     """
-    seen = reps.select("rep", F.explode("window").alias("sig"))
-    often = sized(saved(seen.groupBy("sig").count().where(F.col("count") > frequent).select("sig")))
-    hits = seen.join(often, "sig").groupBy("rep").agg(F.collect_set("sig").alias("hits"))
-    none = F.array().cast("array<long>")
-    need = allowance(F.col("n"), percent) + 1
-    rare = F.array_except("window", F.coalesce("hits", none))
-    marked = saved(reps.join(hits, "rep", "left").select("rep", "doc_id", "d1", "n", F.slice(rare, F.lit(1), need).alias("prefix"), (F.size(rare) >= need).alias("easy")))
+    often = saved(reps.select(F.explode("window").alias("sig")).groupBy("sig").count().where(F.col("count") > frequent).select("sig"))
+    marked = saved(prefixes(reps, often, percent))
     hard = saved(whole_sets(docs, saved(marked.where("not easy").select("rep", "doc_id", "d1")), shingle, percent))
-    kept = hard.select("rep", F.explode("tokens").alias("sig")).join(often, "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
-    hard = hard.select("rep", "n", "cells").join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", none)).withColumn("very", F.size("rare") < need)
+    kept = hard.select("rep", F.explode("tokens").alias("sig")).join(sized(often), "sig", "left_anti").groupBy("rep").agg(F.sort_array(F.collect_set("sig")).alias("rare"))
+    need = allowance(F.col("n"), percent) + 1
+    hard = hard.select("rep", "n", "cells").join(kept, "rep", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<long>"))).withColumn("very", F.size("rare") < need)
     cut = F.when(F.col("very"), F.concat("rare", "cells")).otherwise(F.slice("rare", F.lit(1), need))
-    hard = hard.select("rep", "n", "very", cut.alias("prefix"))
-    easy = marked.where("easy").select("rep", "n", F.lit(False).alias("very"), "prefix")
     p, last = F.when(F.col("very"), 0).otherwise(F.size("prefix")), F.when(F.col("very"), F.lit(2**63 - 1)).otherwise(F.element_at("prefix", -1))
-    return easy.union(hard).select("rep", "n", p.alias("p"), last.alias("last"), F.explode("prefix").alias("sig"))
+    keys = lambda df: df.select("rep", "n", p.alias("p"), last.alias("last"), "prefix")
+    easy = keys(marked.where("easy").withColumn("very", F.lit(False)))
+    return marked.select("rep", "doc_id", "d1"), easy, saved(keys(hard.select("rep", "n", "very", cut.alias("prefix"))))
+
 
+def pairs_of_short_lists(cool: DataFrame, numbers: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: pairs with a common key in the short lists cool(sig, rep, n) that share as many keys there as the threshold asks, less those that long lists may hold.
 
-def pairs_of_short_lists(cool: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: pairs with a common key in the short lists that share as many keys there as the threshold asks, less those that long lists may hold."""
+    numbers(rep, n, p, last, hot): of each class, hot being its keys with long lists. They meet pairs, not keys.
+    """
     x, y = cool.alias("x"), cool.alias("y")
     near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.rep") < F.col("y.rep")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent)).cast("int")
+    shared = saved(x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).groupBy("a", "b").count())
+    for c in ("a", "b"):
+        shared = shared.join(sized(numbers).select(F.col("rep").alias(c), F.struct("n", "p", "last", "hot").alias(f"of_{c}")), c)
+    overlap = F.ceil((F.col("of_a.n") + F.col("of_b.n")) * percent / (100 + percent)).cast("int")
     # of the set whose prefix ends first, tokens of the prefix that aren't shared are missing in the other
-    least = F.when(F.col("x.last") <= F.col("y.last"), F.col("x.p") - F.col("x.n")).otherwise(F.col("y.p") - F.col("y.n")) + overlap
-    least = F.when((F.col("x.p") == 0) & (F.col("y.p") == 0), F.lit(0)).otherwise(least)
-    shared = x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), least.alias("least")).groupBy("a", "b", "least").count()
-    n_hot = saved(hot.groupBy("rep").count())
-    of = lambda c: n_hot.select(F.col("rep").alias(c), F.col("count").alias(f"h{c}"))
-    shared = shared.join(sized(of("a")), "a", "left").join(sized(of("b")), "b", "left")
-    return shared.where(F.col("count") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= F.col("least")).select("a", "b")
+    least = F.when(F.col("of_a.last") <= F.col("of_b.last"), F.col("of_a.p") - F.col("of_a.n")).otherwise(F.col("of_b.p") - F.col("of_b.n")) + overlap
+    least = F.when((F.col("of_a.p") == 0) & (F.col("of_b.p") == 0), F.lit(0)).otherwise(least)
+    return shared.where(F.col("count") + F.least("of_a.hot", "of_b.hot") >= least).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have a Jaccard similarity of the threshold at least. Only sets that are asked for are moved."""
+    """The pairs whose whole sets have a Jaccard similarity of the threshold at least. Only sets that are asked for are moved, and a pair's first once for about STAR others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in parts(batches, 64):
-            ok = []
-            for a, b, both in zip(x.column("a").to_pylist(), x.column("b").to_pylist(), x.column("both")):
-                reps, tokens = both.values.field("rep").to_pylist(), both.values.field("tokens")
-                s, t = (tokens[reps.index(r)].values.to_numpy() for r in (a, b))
-                shared = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(s) + len(t) - shared))
-            yield x.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    wanted = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("rep"))
-    full = sets.select("rep", "tokens").join(sized(wanted), "rep").groupBy("a", "b").agg(F.collect_list(F.struct("rep", "tokens")).alias("both"))
+        for x in parts(batches, 16):
+            one, two = [], []
+            for a, star in zip(x.column("a").to_pylist(), x.column("star")):
+                reps, tokens = star.values.field("rep").to_pylist(), star.values.field("tokens")
+                s = tokens[reps.index(a)].values.to_numpy()
+                for r, other in zip(reps, tokens):
+                    t = other.values.to_numpy()
+                    shared = len(np.intersect1d(s, t, assume_unique=True))
+                    if r != a and 100 * shared >= percent * (len(s) + len(t) - shared):
+                        one.append(a)
+                        two.append(r)
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["a", "b"])
+
+    k = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("k"))
+    dealt = pairs.join(k, "a").select("a", "b", F.pmod(F.xxhash64("b"), "k").alias("part"))
+    wanted = dealt.select("a", "part", F.col("b").alias("rep")).union(dealt.select("a", "part", F.col("a").alias("rep")).distinct())
+    full = sets.select("rep", "tokens").join(sized(wanted), "rep").groupBy("a", "part").agg(F.collect_list(F.struct("rep", "tokens")).alias("star"))
     return full.mapInArrow(run, "a long, b long")
 
 
@@ -216,27 +279,48 @@ def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, pe
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
+def deal(sig: str) -> Column:
+    """One of DEALS parts of the long lists. In each, pivots are drawn by class, so that lists with the same members have the same ones."""
+    return F.pmod(F.xxhash64(sig), F.lit(DEALS))
+
+
+def met_before(sig: int, x: pd.Series, y: pd.Series) -> np.ndarray:
+    """Whether each of x and each of y, arrays of lists, have one in common that comes before sig."""
+    out = np.zeros((len(x), len(y)), bool)
+    flat = np.concatenate(x.to_numpy())
+    row = np.repeat(np.arange(len(x)), x.map(len))
+    row, flat = row[flat < sig], flat[flat < sig]
+    for j, lists in enumerate(y):
+        out[row[np.isin(flat, lists)], j] = True
+    return out
+
+
 def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, b), a < b: members of long lists hot(sig, rep, n, c, blocks) with the pivots of their lists, of other components c, but for pairs that sketches rule out.
 
     A list's members are dealt over blocks of about BLOCK, and its pivots repeated for each, so that a list that a third of
-    all rows are in is worked on by many tasks.
+    all rows are in is worked on by many tasks. Near copies meet in most of their lists: of the lists of one deal, a pair is made
+    in the first only, told by the MET first lists of both there. A pair that these don't show together is made in each.
     """
-    with_sketch = lambda df: df.join(sketches, "rep")
-    x = with_sketch(hot).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    y = with_sketch(pivots).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+
+    def known(df: DataFrame) -> DataFrame:
+        lists = df.groupBy("rep", deal("sig").alias("deal")).agg(F.slice(F.array_sort(F.collect_set("sig")), 1, MET).alias("lists"))
+        return df.withColumn("deal", deal("sig")).join(lists, ["rep", "deal"]).join(sketches, "rep")
+
+    x = known(hot).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    y = known(pivots).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
 
     def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []})
         s, t = (np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(-1, SKETCH) for d in (x, y))
         i, j = close_pairs(s, t, x["n"].to_numpy(np.int64), y["n"].to_numpy(np.int64), percent)
-        other = x["c"].to_numpy()[i] != y["c"].to_numpy()[j]
-        a, b = x["rep"].to_numpy()[i[other]], y["rep"].to_numpy()[j[other]]
+        new = (x["c"].to_numpy()[i] != y["c"].to_numpy()[j]) & ~met_before(key[0], x["lists"], y["lists"])[i, j]
+        a, b = x["rep"].to_numpy()[i[new]], y["rep"].to_numpy()[j[new]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     # columns of their own on either side, for both come from the same tables
-    x, y = (df.select(*[F.col(c).alias(c) for c in ("sig", "block", "rep", "n", "c", "sketch")]).groupBy("sig", "block") for df in (x, y))
+    x, y = (df.select(*[F.col(c).alias(c) for c in ("sig", "block", "rep", "n", "c", "sketch", "lists")]).groupBy("sig", "block") for df in (x, y))
     return x.cogroup(y).applyInPandas(run, "a long, b long")
 
 
@@ -265,7 +349,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
     Only links that join two components matter. At first each member of the long lists is compared with one other, twice:
     groups of near copies mostly become one component by that. Then each round takes pivots of each long list (one at first,
     16 times as many each round), of its components but the largest, and pairs them with the members of other components;
-    it verifies, for every class, some of its candidates (one, then eight times as many each round) and joins what is linked.
+    it verifies, for every class, some of its candidates (one, then four times as many each round) and joins what is linked.
     Candidates inside a component go, and so do lists with one component, and pivots, which have met all of their list. So
     pairs are what is outside a list's largest component times the list, and the end is reached when no candidate and no
     list is left: then each pair of two components has been compared.
@@ -284,8 +368,8 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             named = saved(named.join(by.where("parts > 1").select("sig", "largest", blocks), "sig"))
             more = not named.isEmpty()
         if more:
-            draw = F.struct(F.xxhash64("rep", "sig").alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
-            slot = F.pmod(F.xxhash64("sig", "rep", F.lit(drawn)), F.lit(drawn)).alias("slot")
+            draw = F.struct(F.xxhash64("rep", deal("sig")).alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
+            slot = F.pmod(F.xxhash64("rep", deal("sig"), F.lit(drawn)), F.lit(drawn)).alias("slot")
             pivots = saved(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
             left = saved(left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct())
             hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
@@ -293,7 +377,7 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             return nodes
         rank = F.expr("row_number() over (partition by b order by a)")
         some = saved(left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 8 * take, 16 * drawn
+        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 4 * take, 16 * drawn
         found = joined(nodes, some, sets, percent)
         if found is not None:
             nodes, left = found, apart(left, found).select("a", "b")
@@ -303,16 +387,25 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
 def linked_classes(docs: DataFrame, every: DataFrame, classes: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:
     """(node, component) of the classes(rep, n, d1, d2, first_id) that are linked with others; node and component are reps."""
     # of each class, one row of its first doc_id stands for it; sets too small for links with others stay out
-    wanted = classes.where((F.col("n") >= least_size(percent)) & F.col("first_id").isNotNull()).select("rep")
-    rows = every.withColumnRenamed("row", "rep").select("rep", "doc_id", "d1", "n", "window", "sketch")
-    reps = saved(rows.join(sized(wanted), "rep", "left_semi"))
-    entries = saved(index_entries(docs, reps, shingle, percent, frequent))
-    long_sigs = sized(saved(entries.groupBy("sig").count().where(F.col("count") > long).select("sig")))
+    least = F.col("n") >= least_size(percent)
+    rows = every.withColumnRenamed("row", "rep").where(least & F.col("doc_id").isNotNull())
+    copies = saved(rows.select("rep").join(sized(classes.where(least).select("rep")), "rep", "left_anti"))
+    reps = without(rows.select("rep", "doc_id", "d1", "n", "window"), "rep", copies)
+    named, easy, hard = index_entries(docs, reps, shingle, percent, frequent)
+    keys = lambda df: df.select(F.explode("prefix").alias("sig"), "rep", "n")
+    entries = keys(easy.union(hard))
+    # a list is long by its hard classes, for it has `frequent` easy ones at most
+    counted = keys(hard).groupBy("sig").count().where(F.col("count") > long - frequent) if long >= frequent else entries
+    long_sigs = entries.join(sized(saved(counted.select("sig").distinct())), "sig", "left_semi").groupBy("sig").count().where(F.col("count") > long)
+    long_sigs = sized(saved(long_sigs.select("sig")))
     hot = saved(entries.join(long_sigs, "sig", "left_semi").select("sig", "rep", "n").distinct())
-    pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), hot, percent))
+    numbers = easy.union(hard).select("rep", "n", "p", "last").join(sized(saved(hot.groupBy("rep").agg(F.count("*").alias("hot")))), "rep", "left")
+    numbers = saved(numbers.withColumn("hot", F.coalesce("hot", F.lit(0))))
+    pairs = saved(pairs_of_short_lists(entries.join(long_sigs, "sig", "left_anti"), numbers, percent))
     met = saved(pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(hot.select("rep")).distinct())
-    sets = saved(whole_sets(docs, saved(reps.select("rep", "doc_id", "d1").join(met, "rep", "left_semi")), shingle))
-    return linked(pairs, hot, sets, reps.select("rep", "sketch"), percent)
+    sets = saved(whole_sets(docs, saved(named.join(sized(met), "rep", "left_semi")), shingle))
+    sketches = saved(rows.select("rep", "sketch").join(sized(saved(hot.select("rep").distinct())), "rep", "left_semi"))
+    return linked(pairs, hot, sets, sketches, percent)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, frequent: int = 24, long: int = 64) -> DataFrame:

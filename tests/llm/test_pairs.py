@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from compare import rows_of, sql_rows
 from compare import DATA
+from pyspark.sql import functions as F
 
 from genospark.llm import bytetext as B
 from genospark.llm import decontamination as D
@@ -101,6 +102,51 @@ def test_jaccard_cloud_of_near_copies(spark):
     assert components(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, 2, 4)) == brute_components(rows, 3, 80)
 
 
+def test_jaccard_pivots_meet_once(spark):
+    """Near copies that share many long lists: a pair is made in one of them, not in each; none is lost, whatever lists it has in common."""
+    from genospark.llm import jaccard_join as J
+
+    r = random.Random(5)
+    lists = {i: set(range(400)) - set(r.sample(range(400), 4 * i)) for i in range(60)}
+    lists |= {60: {398, 399, 900}, 61: {5, 901}, 62: {900, 901}}
+    hot = spark.createDataFrame([(s, i, 100, i, 2) for i, own in lists.items() for s in own], "sig long, rep long, n int, c long, blocks int")
+    sketches = spark.createDataFrame([(i, bytes([1] * J.SKETCH)) for i in lists], "rep long, sketch binary")
+    drawn = [0, 7, 60, 61]
+    got = [tuple(x) for x in J.pairs_with_pivots(hot, hot.where(F.col("rep").isin(drawn)), sketches, 80).collect()]
+    want = {(min(x, y), max(x, y)) for x in lists for y in drawn if x != y and lists[x] & lists[y]}
+    assert set(got) == want and len(got) <= 2 * J.DEALS * len(want) < sum(len(lists[x] & lists[y]) for x in lists for y in drawn)
+
+
+def test_jaccard_keeps_windows_in_place(spark, monkeypatch):
+    """First tokens are the wide part of a row: neither leaving copies out nor leaving frequent tokens out moves them, and both do the same where they must be joined."""
+    from genospark.llm import jaccard_join as J
+    from genospark.llm.tables import saved
+
+    r = random.Random(6)
+    rows = [(i, i, i, n, sorted(r.sample(range(300), n // 3 + 1))) for i, n in enumerate([5, 30, 60, 90] * 30)]
+    reps = saved(spark.createDataFrame(rows, "rep long, doc_id long, d1 long, n int, window array<long>"))
+    often, copies = saved(spark.range(0, 300, 4).toDF("sig")), saved(spark.range(10, 40).toDF("rep"))
+    made = J.prefixes(J.without(reps, "rep", copies), often, 80)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    found = sorted(map(tuple, made.collect()))
+    assert len(found) == 90 and all(p == [t for t in rows[i][4] if t % 4][: n // 5 + 1] and easy == (len(p) == n // 5 + 1) for i, _, _, n, p, easy in found)
+    monkeypatch.setattr(J, "LISTED", 3)
+    assert sorted(map(tuple, J.prefixes(J.without(reps, "rep", copies), often, 80).collect())) == found
+
+
+@pytest.mark.parametrize("frequent,long", [(2, 4), (4, 2)])
+def test_jaccard_joined_lists(spark, monkeypatch, frequent, long):
+    """Without any list sent to tasks, and with long lists below and above what easy sets share."""
+    from genospark.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "LISTED", 0)
+    monkeypatch.setattr(J, "SMALL", 0)
+    r, base = random.Random(9), prose(61, 70).split()
+    rows = [(i, " ".join(w if r.random() > 0.01 * (i % 5) else f"e{r.randrange(10**6)}" for w in base)) for i in range(60)]
+    rows += [(100 + i, prose(70 + i % 8, 50) + f" {i}") for i in range(40)]
+    assert components(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, frequent, long)) == brute_components(rows, 3, 80)
+
+
 def test_jaccard_empty(spark, docs):
     assert jaccard_components(docs.limit(0)).count() == 0
     assert jaccard_components(spark.createDataFrame([(None, "a b c"), (7, "a b c"), (None, None)], "doc_id long, text string")).where("component_id = 7").count() == 2
