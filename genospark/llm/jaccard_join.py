@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytetext import mix, parts, shingle_hashes, slices, words
@@ -37,7 +37,7 @@ LISTED = 2_000_000  # numbers that are sent to every task as one sorted array: 1
 SKETCH = 256
 BLOCK = 1024
 DEALS = 16
-MET = 32
+MET = 64
 STAR = 8
 
 
@@ -279,9 +279,12 @@ def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, pe
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
-def deal(sig: str) -> Column:
-    """One of DEALS parts of the long lists. In each, pivots are drawn by class, so that lists with the same members have the same ones."""
-    return F.pmod(F.xxhash64(sig), F.lit(DEALS))
+def deal(sig: str, lists: Column) -> Column:
+    """A part of a class's `lists` long lists: all of them where MET hold them with room to spare, else as many parts as that takes, DEALS at most."""
+    parts, most = F.lit(DEALS), DEALS // 2
+    while most:
+        parts, most = F.when(lists <= most * MET * 3 // 4, most).otherwise(parts), most // 2
+    return F.pmod(F.xxhash64(sig), parts)
 
 
 def met_before(sig: int, x: pd.Series, y: pd.Series) -> np.ndarray:
@@ -299,13 +302,15 @@ def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, pe
     """(a, b), a < b: members of long lists hot(sig, rep, n, c, blocks) with the pivots of their lists, of other components c, but for pairs that sketches rule out.
 
     A list's members are dealt over blocks of about BLOCK, and its pivots repeated for each, so that a list that a third of
-    all rows are in is worked on by many tasks. Near copies meet in most of their lists: of the lists of one deal, a pair is made
-    in the first only, told by the MET first lists of both there. A pair that these don't show together is made in each.
+    all rows are in is worked on by many tasks. Near copies meet in most of their lists: a pair is made in the first list that
+    the one is in and the other a pivot of. Rows tell each other by the MET first of these; what has more is dealt, and makes a
+    pair in the first list of each of its deals. A pair that these don't show together is made in each list.
     """
 
     def known(df: DataFrame) -> DataFrame:
-        lists = df.groupBy("rep", deal("sig").alias("deal")).agg(F.slice(F.array_sort(F.collect_set("sig")), 1, MET).alias("lists"))
-        return df.withColumn("deal", deal("sig")).join(lists, ["rep", "deal"]).join(sketches, "rep")
+        dealt = df.withColumn("deal", deal("sig", F.count("*").over(Window.partitionBy("rep"))))
+        lists = dealt.groupBy("rep", "deal").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, MET).alias("lists"))
+        return dealt.join(lists, ["rep", "deal"]).join(sketches, "rep")
 
     x = known(hot).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     y = known(pivots).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
@@ -368,8 +373,9 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
             named = saved(named.join(by.where("parts > 1").select("sig", "largest", blocks), "sig"))
             more = not named.isEmpty()
         if more:
-            draw = F.struct(F.xxhash64("rep", deal("sig")).alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
-            slot = F.pmod(F.xxhash64("rep", deal("sig"), F.lit(drawn)), F.lit(drawn)).alias("slot")
+            # by class, so that lists with the same members have the same pivots
+            draw = F.struct(F.xxhash64("rep").alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
+            slot = F.pmod(F.xxhash64("rep", F.lit(drawn)), F.lit(drawn)).alias("slot")
             pivots = saved(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
             left = saved(left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct())
             hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")

@@ -117,6 +117,20 @@ def test_jaccard_pivots_meet_once(spark):
     assert set(got) == want and len(got) <= 2 * J.DEALS * len(want) < sum(len(lists[x] & lists[y]) for x in lists for y in drawn)
 
 
+def test_jaccard_pivots_meet_once_in_all_lists(spark):
+    """With some dozens of long lists, a member and a pivot make one pair whatever they have in common, also where the pivot was drawn in a part of its lists only."""
+    from genospark.llm import jaccard_join as J
+
+    r = random.Random(7)
+    lists = {i: set(r.sample(range(48), 48 - i % 30)) for i in range(60)} | {60: {3, 900}, 61: {901}}
+    hot = spark.createDataFrame([(s, i, 100, i, 2) for i, own in lists.items() for s in own], "sig long, rep long, n int, c long, blocks int")
+    sketches = spark.createDataFrame([(i, bytes([1] * J.SKETCH)) for i in lists], "rep long, sketch binary")
+    drawn = {y: {s for s in lists[y] if s % 3 == y % 3 or s > 48} for y in (0, 7, 29, 60, 61)}
+    pivots = hot.where(F.col("rep").isin(*drawn) & ((F.col("sig") % 3 == F.col("rep") % 3) | (F.col("sig") > 48)))
+    got = [tuple(x) for x in J.pairs_with_pivots(hot, pivots, sketches, 80).collect()]
+    assert sorted(got) == sorted((min(x, y), max(x, y)) for x in lists for y in drawn if x != y and lists[x] & drawn[y])
+
+
 def test_jaccard_keeps_windows_in_place(spark, monkeypatch):
     """First tokens are the wide part of a row: neither leaving copies out nor leaving frequent tokens out moves them, and both do the same where they must be joined."""
     from genospark.llm import jaccard_join as J
