@@ -41,6 +41,32 @@ def test_each_sample_by_its_own_call(spark):
     assert quant.assigned(al.limit(0), table(exons, "gene_id"), table(tes, "te_id")).count() == 0
 
 
+@pytest.mark.parametrize("calls", ["no", "forward", {"S0": "forward", "S1": "reverse"}])
+def test_unique_reads_are_counted_before_the_lookup(spark, monkeypatch, calls):
+    """The counts of hits, looked up for the places of reads with one alignment only; null samples and reads too, repeated alignments are two."""
+    r = random.Random(3)
+    span = lambda i, p: ("c", s := r.randrange(300), s + r.randrange(5, 40), f"{p}{i % 6}", r.choice("+-"))
+    table = lambda p, key: spark.createDataFrame([span(i, p) for i in range(10)], f"chrom string, start0 long, end0 long, {key} string, strand string")
+    exons, tes = table("G", "gene_id"), table("T", "te_id")
+    rows = [(r.choice(["S0", "S1", "S2", None]), r.choice([None, *range(300)]), "c", s := r.randrange(300), s + 20, r.choice("+-")) for _ in range(400)]
+    al = spark.createDataFrame(rows + rows[:20] + [("S0", 900, None, 5, 25, "+"), ("S0", 901, "c", 100, 120, None)], ALIGNMENTS)
+    if isinstance(calls, dict):
+        calls = spark.createDataFrame(list(calls.items()), "sample string, call string")
+    want = sorted(map(tuple, quant.quantify_uniq(quant.assigned(al, exons, tes, calls=calls)).collect()), key=str)
+    asked, found = [], quant.candidate_features
+    monkeypatch.setattr(quant, "candidate_features", lambda rows, *a: (asked.append(quant.places(rows).count()), found(rows, *a))[1])
+    got = quant.counted_uniq(al, exons, tes, calls=calls)
+    assert sorted(map(tuple, got.collect()), key=str) == want and want
+    alone = al.groupBy("sample", "read_id").agg(F.count("*").alias("n"), F.first("start0"), F.first("strand")).where("n = 1").count()
+    assert asked[0] <= alone < quant.places(al).count()
+    from genospark.plans import queries as Q
+
+    monkeypatch.setattr(Q.Views, "__getattr__", lambda self, name: {"alignments": al, "exons": exons, "te": tes}[name])
+    asked.clear()
+    Q.q2_quantify_uniq_forward(spark, "")
+    assert asked[0] <= alone
+
+
 def test_only_open_samples_are_inferred(spark):
     sheet = spark.createDataFrame([(0, "A", "reverse"), (1, "B", "auto"), (2, "C", None), (3, "D", "auto")], "row long, sample string, strandedness string")
     genes = spark.createDataFrame([("c", 0, 100, "G", "+")], "chrom string, start0 long, end0 long, gene_id string, strand string")
