@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import mix, parts, shingle_hashes, slices, words
@@ -46,6 +46,11 @@ def sized(df: DataFrame, most: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def gathered(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """df, made of some `rows` rows, in as many tasks as these take and there are cores, not in one for each partition of a shuffle."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, rows // each))
+
+
 def listed(ids: DataFrame) -> np.ndarray | None:
     """The numbers of a saved table of one column, sorted; None where they are too many to be sent to every task."""
     if ids.limit(LISTED + 1).count() > LISTED:
@@ -250,11 +255,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         two.append(r)
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["a", "b"])
 
-    k = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("k"))
-    dealt = pairs.join(k, "a").select("a", "b", F.pmod(F.xxhash64("b"), "k").alias("part"))
-    wanted = dealt.select("a", "part", F.col("b").alias("rep")).union(dealt.select("a", "part", F.col("a").alias("rep")).distinct())
+    rows = pairs.count()
+    k = saved(gathered(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("k")).where("k > 1"), rows))
+    part = F.pmod(F.xxhash64("b"), F.coalesce("k", F.lit(1))).alias("part")
+    stars = pairs.join(sized(k), "a", "left").select("a", "b", part).groupBy("a", "part").agg(F.collect_set("b").alias("b"))
+    wanted = saved(gathered(stars.select("a", "part", F.explode(F.array_union("b", F.array("a"))).alias("rep")), rows))
     full = sets.select("rep", "tokens").join(sized(wanted), "rep").groupBy("a", "part").agg(F.collect_list(F.struct("rep", "tokens")).alias("star"))
-    return full.mapInArrow(run, "a long, b long")
+    return gathered(full, rows, 1000).mapInArrow(run, "a long, b long")
 
 
 def with_components(df: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
@@ -279,7 +286,7 @@ def close_pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, pe
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
-def deal(sig: str, lists: Column) -> Column:
+def deal(sig: Column, lists: Column) -> Column:
     """A part of a class's `lists` long lists: all of them where MET hold them with room to spare, else as many parts as that takes, DEALS at most."""
     parts, most = F.lit(DEALS), DEALS // 2
     while most:
@@ -307,10 +314,14 @@ def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, pe
     pair in the first list of each of its deals. A pair that these don't show together is made in each list.
     """
 
+    rows = hot.count()
+
     def known(df: DataFrame) -> DataFrame:
-        dealt = df.withColumn("deal", deal("sig", F.count("*").over(Window.partitionBy("rep"))))
-        lists = dealt.groupBy("rep", "deal").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, MET).alias("lists"))
-        return dealt.join(lists, ["rep", "deal"]).join(sketches, "rep")
+        own = df.groupBy("rep").agg(F.first("n").alias("n"), F.first("c").alias("c"), F.array_sort(F.collect_set(F.struct("sig", "blocks"))).alias("at"))
+        of = lambda x: deal(x["sig"], F.size("at"))
+        deals = F.transform(F.sequence(F.lit(0), F.lit(DEALS - 1)), lambda d: F.slice(F.filter("at", lambda x: of(x) == d), 1, MET)["sig"])
+        own = gathered(own, rows).join(sketches, "rep").withColumn("deals", deals).withColumn("x", F.explode("at"))
+        return own.select("rep", "n", "c", "sketch", "x.sig", "x.blocks", F.get("deals", of(F.col("x")).cast("int")).alias("lists"))
 
     x = known(hot).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     y = known(pivots).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
@@ -326,26 +337,29 @@ def pairs_with_pivots(hot: DataFrame, pivots: DataFrame, sketches: DataFrame, pe
 
     # columns of their own on either side, for both come from the same tables
     x, y = (df.select(*[F.col(c).alias(c) for c in ("sig", "block", "rep", "n", "c", "sketch", "lists")]).groupBy("sig", "block") for df in (x, y))
-    return x.cogroup(y).applyInPandas(run, "a long, b long")
+    return gathered(x.cogroup(y).applyInPandas(run, "a long, b long"), rows)
 
 
 def contracted(hot: DataFrame, turn: int) -> DataFrame:
     """(a, b), a < b: each member of long lists with one member of one of its lists, another list and member each turn."""
+    rows = hot.count()
     own = hot.groupBy("rep").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("h"), "sig"))["sig"].alias("sig"))
-    middle = hot.groupBy("sig").agg(F.min(F.struct(F.xxhash64("rep", "sig", F.lit(turn)).alias("h"), "rep"))["rep"].alias("other"))
-    met = own.join(middle, "sig").where("rep <> other")
-    return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    middle = saved(gathered(hot.groupBy("sig").agg(F.min(F.struct(F.xxhash64("rep", "sig", F.lit(turn)).alias("h"), "rep"))["rep"].alias("other")), rows))
+    met = gathered(own, rows).join(sized(middle), "sig").where("rep <> other")
+    return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
 
 
 def joined(nodes: DataFrame, some: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """nodes with the links among some pairs taken in; None where they join no components."""
-    links = saved(apart(verified(some, sets, percent), nodes).select(F.col("c_a").alias("u"), F.col("c_b").alias("v")))
+    rows = some.count()
+    links = saved(gathered(apart(verified(some, sets, percent), nodes).select(F.col("c_a").alias("u"), F.col("c_b").alias("v")), rows, 1000)) if rows else some
     if links.isEmpty():
         return None
     # components of components: few edges, whatever the number of classes
-    above = connected_components(links)
+    above = connected_components(links, SMALL)
     changed = with_components(nodes, above, "component").select("node", F.col("c_component").alias("component"))
-    return saved(changed.union(above.join(nodes, above["node"] == nodes["node"], "left_anti")).distinct())
+    new = above.join(nodes, above["node"] == nodes["node"], "left_anti")
+    return sized(saved(gathered(changed.union(new), rows + nodes.count())))
 
 
 def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -362,32 +376,40 @@ def linked(pairs: DataFrame, hot: DataFrame, sets: DataFrame, sketches: DataFram
     nodes = pairs.sparkSession.createDataFrame([], "node long, component long")
     if not hot.isEmpty():
         for turn in range(2):
-            found = joined(nodes, saved(apart(contracted(hot, turn), nodes).select("a", "b")), sets, percent)
+            found = joined(nodes, saved(gathered(apart(contracted(hot, turn), nodes).select("a", "b"), hot.count())), sets, percent)
             nodes = nodes if found is None else found
     left, take, drawn, more = saved(apart(pairs, nodes).select("a", "b")), 1, 1, True
+    sketches = sized(sketches, SMALL // 16)
     while True:
         if more:
             named = with_components(hot, nodes, "rep").withColumnRenamed("c_rep", "c")
-            by = named.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(F.max(F.struct("k", "c"))["c"].alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("k"))
-            blocks = F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")
-            named = saved(named.join(by.where("parts > 1").select("sig", "largest", blocks), "sig"))
-            more = not named.isEmpty()
+            rows = named.count()
+            by = gathered(named.groupBy("sig", "c").agg(F.count("*").alias("k")), rows)
+            by = by.groupBy("sig").agg(F.max(F.struct("k", "c"))["c"].alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("k"))
+            by = saved(gathered(by.where("parts > 1").select("sig", "largest", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")), rows))
+            named = saved(gathered(named.join(sized(by), "sig"), rows))
+            rows = named.count()
+            more = rows > 0
         if more:
             # by class, so that lists with the same members have the same pivots
             draw = F.struct(F.xxhash64("rep").alias("h"), *[F.col(c) for c in ("rep", "n", "c", "blocks")])
             slot = F.pmod(F.xxhash64("rep", F.lit(drawn)), F.lit(drawn)).alias("slot")
-            pivots = saved(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")).select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
-            left = saved(left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct())
-            hot = named.join(pivots, ["sig", "rep"], "left_anti").select("sig", "rep", "n")
-        if left.isEmpty() and not more:
+            pivots = gathered(named.where("c <> largest").groupBy("sig", slot).agg(F.min(draw).alias("x")), rows)
+            pivots = saved(pivots.select("sig", "x.rep", "x.n", "x.c", "x.blocks"))
+            left = left.unionByName(pairs_with_pivots(named, pivots, sketches, percent)).distinct()
+            left = saved(gathered(left, rows))
+            hot = named.join(sized(pivots.select("sig", "rep")), ["sig", "rep"], "left_anti").select("sig", "rep", "n")
+        rows = left.count()
+        if not rows and not more:
             return nodes
         rank = F.expr("row_number() over (partition by b order by a)")
-        some = saved(left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        left, take, drawn = left.join(some, ["a", "b"], "left_anti"), 4 * take, 16 * drawn
+        some = left.withColumn("k", rank).where(F.col("k") <= take).select("a", "b") if take > 1 else left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        some = saved(gathered(some, rows))
+        left, take, drawn = left.join(sized(some), ["a", "b"], "left_anti"), 4 * take, 16 * drawn
         found = joined(nodes, some, sets, percent)
         if found is not None:
             nodes, left = found, apart(left, found).select("a", "b")
-        left = saved(left)
+        left = saved(gathered(left, rows))
 
 
 def linked_classes(docs: DataFrame, every: DataFrame, classes: DataFrame, shingle: int, percent: int, frequent: int, long: int) -> DataFrame:

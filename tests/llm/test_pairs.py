@@ -131,6 +131,40 @@ def test_jaccard_pivots_meet_once_in_all_lists(spark):
     assert sorted(got) == sorted((min(x, y), max(x, y)) for x in lists for y in drawn if x != y and lists[x] & drawn[y])
 
 
+def test_jaccard_rounds_take_few_tasks(spark, monkeypatch):
+    """Rounds on a few numbers don't run a task, nor write a file, for each of many shuffle partitions."""
+    import uuid
+
+    from genospark.llm import jaccard_join as J
+
+    r, base, conf = random.Random(10), prose(62, 80).split(), {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rows = [(i, " ".join(w if r.random() > 0.02 * (i % 6) else f"e{r.randrange(10**6)}" for w in base)) for i in range(150)]
+    docs, before, sc, group = spark.createDataFrame(rows, "doc_id long, text string"), {k: spark.conf.get(k) for k in conf}, spark.sparkContext, uuid.uuid4().hex
+    linked = J.linked
+
+    def counted(*a):
+        sc.setJobGroup(group, "")
+        try:
+            return linked(*a)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(J, "linked", counted)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = components(jaccard_components(docs, 3, 80, 1, 2))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    told = sc.statusTracker()
+    stages = {s: told.getStageInfo(s) for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
+    assert got == brute_components(rows, 3, 80) and max(c for _, _, c in got) > 0
+    tasks = sum(x.numCompletedTasks for x in stages.values() if x)
+    print("tasks", tasks, "stages", len(stages))
+    assert 0 < tasks < 2500
+
+
 def test_jaccard_keeps_windows_in_place(spark, monkeypatch):
     """First tokens are the wide part of a row: neither leaving copies out nor leaving frequent tokens out moves them, and both do the same where they must be joined."""
     from genospark.llm import jaccard_join as J
@@ -180,6 +214,20 @@ def test_components(spark):
     assert got == {i: 1 for i in range(1, 31)} | {50: 50, 60: 50, 61: 50}
 
 
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_by_rounds_or_at_once(spark, few):
+    """Up to `few` edges are named at once, more in rounds: the same components, whatever the order of the names along a chain."""
+    r = random.Random(11)
+    names = r.sample(range(-1000, 1000), 200)
+    edges = [(names[i], names[i + 1]) for i in range(60)] + [(names[61], names[j]) for j in range(62, 100)] + [tuple(r.sample(names[100:], 2)) for _ in range(60)] + [(names[0], names[0])]
+    of = {x: x for e in edges for x in e}
+    for _ in of:
+        for a, b in edges:
+            of[a] = of[b] = min(of[a], of[b])
+    got = connected_components(spark.createDataFrame(edges, "u long, v long"), few).collect()
+    assert len(got) == len(of) and {x["node"]: x["component"] for x in got} == of
+
+
 ITEMS = ["the quick brown fox jumps over the lazy dog near the old river bank today", "water boils at one hundred degrees at the level of the sea they say", "", None, "two words"]
 
 
