@@ -161,7 +161,6 @@ def test_jaccard_rounds_take_few_tasks(spark, monkeypatch):
     stages = {s: told.getStageInfo(s) for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
     assert got == brute_components(rows, 3, 80) and max(c for _, _, c in got) > 0
     tasks = sum(x.numCompletedTasks for x in stages.values() if x)
-    print("tasks", tasks, "stages", len(stages))
     assert 0 < tasks < 2500
 
 
