@@ -92,3 +92,36 @@ def test_em_moves_lists_not_rows(spark, monkeypatch):
         blocks = em._Blocks(shelf, hits, None)
         assert blocks.step(blocks.start).count() < len(want)
         blocks.close()
+
+
+def without_broadcast(spark, plan):
+    """plan()'s executed plan where no table is small enough to be broadcast by itself."""
+    given = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(given, ("-1", "false")):
+            spark.conf.set(k, v)
+        return plan()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+
+
+def test_alignments_are_shuffled_once_for_their_hits(spark):
+    """By read to be numbered, by bin to meet the features: no third time, and no row for a level without features; long features too give the hits of all pairs."""
+    r = random.Random(4)
+    al = [(f"S{i % 2}", i // 3, r.choice("cd"), s := r.randrange(3000), s + r.choice([0, 1, 50]), r.choice("+-")) for i in range(300)]
+    rows = spark.createDataFrame(al + al[:9], "sample string, read_id long, chrom string, start0 long, end0 long, strand string")
+    for longest in (500, 2000):
+        spans = {p: [(r.choice("cd"), s := r.randrange(3000), s + r.choice([0, 40, longest]), f"{p}{i % 9}", r.choice("+-")) for i in range(14)] for p in "GT"}
+        exons, tes = (spark.createDataFrame(spans[p], f"chrom string, start0 long, end0 long, {key} string, strand string") for p, key in (("G", "gene_id"), ("T", "te_id")))
+        want = []
+        for s, i, c, a, b, strand in al + al[:9]:
+            g, t = (sorted({x[3] for x in spans[p] if x[0] == c and x[1] < b and x[2] > a and x[4] == strand}) for p in "GT")
+            if g or t:
+                want.append((s, i, g if len(g) == 1 else ["__ambiguous"] if g else t))
+        hits = quant.assigned(rows, exons, tes, calls="forward")
+        assert sorted((x["sample"], x["read_id"], x["features"]) for x in hits.collect()) == sorted(want)
+        once = {(x["sample"], x["read_id"], tuple(x["features"])) for x in quant.fitted(rows, exons, tes, calls="forward").collect()}
+        assert once == {(s, i, tuple(f)) for s, i, f in want}
+        if longest == 500:
+            assert len(re.findall(r"Exchange hashpartitioning", without_broadcast(spark, lambda: quant.assigned(rows, exons, tes)))) <= 3
