@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from genospark.operators import chimera, diff, em, quant
+from genospark.operators import chimera, cohort, diff, em, quant
 from genospark.plans.roundtrips import in_order
 from genospark.sources import readers
 from genospark.storage import Shelf, few_met
@@ -125,3 +125,20 @@ def test_alignments_are_shuffled_once_for_their_hits(spark):
         assert once == {(s, i, tuple(f)) for s, i, f in want}
         if longest == 500:
             assert len(re.findall(r"Exchange hashpartitioning", without_broadcast(spark, lambda: quant.assigned(rows, exons, tes)))) <= 3
+
+
+def test_events_are_not_shuffled_to_meet_genes_and_tes(spark, tmp_path):
+    """Breakpoints take what is known of genes and TEs; catalogs shuffle events once more, by event_id; lines of files aren't shuffled to be numbered."""
+    j = spark.createDataFrame([("S", i, "c", i, "+", "c", i + 9, "+", "1", "0") for i in range(40)], f"sample string, line_no long, {COORDS}, junction_type string, repeat_flag string")
+    exons = spark.createDataFrame([("c", 3, 20, "G", "+"), ("c", 15, 30, "H", "-")], "chrom string, start0 long, end0 long, gene_id string, strand string")
+    tes = spark.createDataFrame([("c", 12, 40, "T", "+", "f", "LINE")], "chrom string, start0 long, end0 long, te_id string, strand string, te_family string, te_class string")
+    events = lambda: chimera.annotate_junctions(j, exons, exons, tes)
+    shuffles = lambda f: len(re.findall("Exchange hashpartitioning", without_broadcast(spark, f)))
+    assert shuffles(events) == 1
+    assert shuffles(lambda: cohort.event_catalog(events())) == 2 == shuffles(lambda: cohort.te_catalog(events()))
+    found = {r["event_id"] for r in cohort.event_catalog(events()).collect() if r["direction"] in ("gene_to_te", "te_to_gene")}
+    assert {r["event_id"] for r in cohort.te_catalog(events()).collect()} == found and found
+    spark.range(50).select(F.col("id").cast("string")).write.text(str(tmp_path / "t"))
+    lines = lambda: readers.numbered_lines(spark, str(tmp_path / "t"))
+    assert shuffles(lines) == 0 and shuffles(lambda: in_order(lines(), F.col("file"), whole=True)) == 0
+    assert sorted(in_order(lines(), F.lit("a")).select("at", "value").collect()) == sorted(in_order(lines(), F.lit("a"), whole=True).select("at", "value").collect())
