@@ -16,6 +16,8 @@ from ..storage import Shelf, few
 
 #: Links (class, feature) in a block of classes, and masses in a part of them: what one task holds at a time.
 LINKS, MASSES = 1 << 18, 1 << 16
+#: Blocks' worth of links up to which each sample is fitted by one task (about 10 million links), and classes it works on at a time.
+ALONE, CLASSES = 40, 1 << 18
 
 
 @dataclass
@@ -34,6 +36,11 @@ def read_classes(hits: DataFrame) -> DataFrame:
     return reads.groupBy("sample", "c").agg(F.count("*").alias("m"))
 
 
+def stored_classes(shelf: Shelf, hits: DataFrame) -> DataFrame:
+    """read_classes with class, a number."""
+    return shelf.put(read_classes(hits).withColumn("class", F.monotonically_increasing_id()))
+
+
 def covered_lengths(spans: DataFrame, key: str) -> DataFrame:
     """(feature, length): the bases that the spans (key, chrom, start0, end0) of a feature cover, overlapping ones once."""
     w = Window.partitionBy(key, "chrom").orderBy("start0", "end0").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,6 +78,22 @@ def _sent(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"block": left.column("block"), "part": left.column("part"), "x": _lists(x[at], size)})
 
 
+def _stepped(x: np.ndarray, slots: np.ndarray, size: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Masses after a step, of x, what each feature has (theta / length), and the log likelihood of each class. slots: the classes' features, `size` of them for each."""
+    mass, fits, begin = np.zeros(len(x)), [np.zeros(0)], 0
+    for k in range(0, len(size), CLASSES):  # what a step needs besides is held for these only
+        own, n = size[k : k + CLASSES], m[k : k + CLASSES]
+        links = slots[begin : begin + own.sum()]
+        begin += len(links)
+        first, of = np.cumsum(own) - own, np.repeat(np.arange(len(own)), own)
+        total = np.add.reduceat(x[links], first)
+        known, all_ = total > 0, np.where(total > 0, total, 1)
+        share = np.where(known[of], x[links] / all_[of], (1 / own)[of])
+        mass += np.bincount(links, n[of] * share, minlength=len(x))
+        fits.append(n * np.log(all_))
+    return mass, np.concatenate(fits)
+
+
 def _expected(samples: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """(part, block, x): one block's part of a step: its classes' reads dealt over their features, and as part -1 the log likelihoods by sample.
@@ -81,12 +104,8 @@ def _expected(samples: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         x, width = _flat(right.column("x"))
         slots, size = _flat(left.column("slots"))
         m, code = left.column("m").to_numpy(), left.column("code").to_numpy()
-        first, of = np.cumsum(size) - size, np.repeat(np.arange(len(size)), size)
-        total = np.add.reduceat(x[slots], first)
-        known, all_ = total > 0, np.where(total > 0, total, 1)
-        share = np.where(known[of], x[slots] / all_[of], (1 / size)[of])
-        mass = np.bincount(slots, m[of] * share, minlength=len(x))
-        fit = np.bincount(code, m * np.log(all_), minlength=samples)
+        mass, fits = _stepped(x, slots, size, m)
+        fit = np.bincount(code, fits, minlength=samples)
         part = np.append(right.column("part").to_numpy(), -1).astype(np.int32)
         block = np.full(len(part), left.column("block")[0].as_py(), np.int32)
         return pa.table({"part": part, "block": block, "x": _lists(np.concatenate([mass, fit]), np.append(width, samples))})
@@ -117,9 +136,10 @@ class _Blocks:
     likelihoods before it, by code.
     """
 
-    def __init__(self, shelf: Shelf, hits: DataFrame, lengths: DataFrame | None):
+    def __init__(self, shelf: Shelf, hits: DataFrame, lengths: DataFrame | None, classes: DataFrame | None = None):
+        """classes: the stored classes of hits, where they are there already."""
         spark = hits.sparkSession
-        classes = shelf.put(read_classes(hits).withColumn("class", F.monotonically_increasing_id()))
+        classes = classes if classes is not None else stored_classes(shelf, hits)
         n = classes.agg(F.sum(F.size("c"))).first()[0] or 0
         self.names = sorted(r[0] for r in classes.select("sample").distinct().where("sample is not null").collect())
         codes = few(spark.createDataFrame([(s, i) for i, s in enumerate(self.names)], "sample string, code int"))
@@ -223,6 +243,81 @@ def _leap(rows: DataFrame, samples: int) -> DataFrame:
     return _each(rows, lambda part, code, t0, t1, t2: _part(part, np.where(bad[code], t2, place(code, t0, t1, t2))), "part int, t array<double>")
 
 
+def _fit_one(steps: int, tolerance: float | None, accelerate: bool, least: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """One sample's fit: (sample, feature, theta, tpm, fit, taken, change), a row for each feature, and one without a feature that has the last three.
+
+    As fit_masses does it for all samples; with a tolerance it goes on for `least` steps, whatever the change.
+    """
+
+    def run(classes: pa.Table, lengths: pa.Table) -> pa.Table:
+        if not classes.num_rows:
+            return pa.table({"sample": [], "feature": [], "theta": [], "tpm": [], "fit": [], "taken": [], "change": []}, schema=_FITTED)
+        lists = classes.column("c").combine_chunks()
+        names, size, m = lists.flatten().dictionary_encode(), lists.value_lengths().to_numpy(zero_copy_only=False), classes.column("m").to_numpy()
+        slots, names = names.indices.to_numpy(zero_copy_only=False), names.dictionary
+        at = pc.index_in(names, lengths.column("feature").combine_chunks()).to_numpy(zero_copy_only=False) if lengths.num_rows else np.full(len(names), np.nan)
+        length, found = np.ones(len(names)), ~np.isnan(at)
+        if found.any():
+            known = lengths.column("length").to_numpy(zero_copy_only=False)[at[found].astype(int)]
+            length[found] = np.where(np.isnan(known), 1.0, known)
+        step = lambda t: (lambda mass, fits: (mass, fits.sum()))(*_stepped(t / length, slots, size, m))
+        theta = np.bincount(slots, np.repeat(m / size, size), minlength=len(names))
+        taken, change, fit = 0, None, None
+        while taken < steps:
+            before = theta
+            theta, fit = step(before)
+            taken += 1
+            if accelerate and taken + 2 <= steps:
+                one = theta
+                two, fit = step(one)
+                r, v = one - before, two - 2 * one + before
+                rr, vv = math.sqrt((r * r).sum()), math.sqrt((v * v).sum())
+                far = max(rr / vv, 1.0) if vv > 0 else 1.0
+                leap = before + 2 * far * r + far**2 * v
+                three, leapt = step(two if ((leap < 0) | ((leap == 0) & (two > 0))).any() else leap)
+                theta, fit, taken = (three, leapt, taken + 2) if leapt >= fit else (two, fit, taken + 2)
+            if tolerance is not None:
+                change = float(np.abs(theta - before).max())
+                if change <= tolerance and taken >= least:
+                    break
+        rate = theta / length
+        tpm = 1e6 * rate / rate.sum() if rate.sum() > 0 else np.zeros(len(rate))
+        n, sample = len(names), classes.column("sample")[0].as_py()
+        none = lambda value: pa.array([None] * n + [value])
+        columns = {"sample": pa.array([sample] * (n + 1)), "feature": pa.array([*names.to_pylist(), None]), "theta": pa.array(np.append(theta, 0.0)), "tpm": pa.array(np.append(tpm, 0.0))}
+        return pa.table(columns | {"fit": none(fit), "taken": none(taken), "change": none(change)}).cast(_FITTED)
+
+    return run
+
+
+_FITTED = pa.schema([("sample", pa.string()), ("feature", pa.string()), ("theta", pa.float64()), ("tpm", pa.float64()), ("fit", pa.float64()), ("taken", pa.int32()), ("change", pa.float64())])
+
+
+def _fit_alone(shelf: Shelf, classes: DataFrame, lengths: DataFrame | None, steps: int, tolerance: float | None, accelerate: bool) -> Fit:
+    """fit_masses where each sample's classes are few enough for one task: samples have nothing in common but when they end.
+
+    With a tolerance, samples are fitted until each one's own masses rest, and then anew for as many steps at least as the
+    longest took, until all end together: the first step at which no mass of any sample moves, as by steps of all samples.
+    """
+    spark = classes.sparkSession
+    if lengths is None:
+        lengths = spark.createDataFrame([], "sample string, feature string, length double")
+    left = classes.where("sample is not null").select("sample", "c", "m")
+    right = shelf.put(lengths.groupBy("sample", "feature").agg(F.min(F.col("length").cast("double")).alias("length")))
+    schema, least = "sample string, feature string, theta double, tpm double, fit double, taken int, change double", 0
+    while True:
+        rows = left.groupBy("sample").cogroup(right.groupBy("sample")).applyInArrow(_fit_one(steps, tolerance, accelerate, least), schema)
+        rows = shelf.put(rows, keep=True)
+        ends = rows.where("taken is not null").select("sample", "fit", "taken", "change").collect()
+        longest = max((r["taken"] for r in ends), default=0)
+        if tolerance is None or all(r["taken"] == longest for r in ends):
+            break
+        least = longest
+    fits = spark.createDataFrame([(r["sample"], r["fit"]) for r in sorted(ends, key=lambda r: r["sample"]) if r["fit"] is not None], "sample string, log_likelihood double")
+    change = max((r["change"] for r in ends if r["change"] is not None), default=None)
+    return Fit(rows.where("taken is null").select("sample", "feature", "theta", "tpm"), fits, longest, change)
+
+
 def fit_masses(hits: DataFrame, lengths: DataFrame | None = None, steps: int = 10, tolerance: float | None = None, accelerate: bool = False) -> Fit:
     """Masses of the features by expectation maximisation, at most `steps` steps.
 
@@ -232,10 +327,16 @@ def fit_masses(hits: DataFrame, lengths: DataFrame | None = None, steps: int = 1
     at after each step, or each cycle of three when accelerated. Accelerated: two steps, a leap along them (squared
     extrapolation, a length for each sample), and a step from there, taken back for samples whose likelihood it lowers, so
     that the likelihood never falls. tpm: theta / length in parts of a million of the sample.
+
+    Where no sample has more than ALONE * LINKS links, a task fits a sample with all its steps, and nothing is moved between
+    steps; beyond that classes and masses are dealt to blocks and parts, and a step is a job.
     """
     spark = hits.sparkSession
     with Shelf(spark) as shelf:
-        blocks = _Blocks(shelf, hits, lengths)
+        classes = stored_classes(shelf, hits)
+        if (classes.groupBy("sample").agg(F.sum(F.size("c")).alias("n")).agg(F.max("n")).first()[0] or 0) <= ALONE * LINKS:
+            return _fit_alone(shelf, classes, lengths, steps, tolerance, accelerate)
+        blocks = _Blocks(shelf, hits, lengths, classes)
         samples = len(blocks.names)
         try:
             theta, taken, change, fit = blocks.start, 0, None, None

@@ -142,3 +142,25 @@ def test_events_are_not_shuffled_to_meet_genes_and_tes(spark, tmp_path):
     lines = lambda: readers.numbered_lines(spark, str(tmp_path / "t"))
     assert shuffles(lines) == 0 and shuffles(lambda: in_order(lines(), F.col("file"), whole=True)) == 0
     assert sorted(in_order(lines(), F.lit("a")).select("at", "value").collect()) == sorted(in_order(lines(), F.lit("a"), whole=True).select("at", "value").collect())
+
+
+def test_em_of_small_samples_moves_nothing_between_steps(spark, monkeypatch):
+    """Samples that fit a task are fitted there, classes a few at a time, with the masses, steps and likelihoods of steps over blocks; and they end together."""
+    monkeypatch.setattr(em, "CLASSES", 7, raising=False)
+    r = random.Random(5)
+    reads = [(f"S{min(i % 4, 2)}", i, sorted(r.sample("abcdefgh"[: 3 + 2 * min(i % 4, 2)], r.randrange(1, 4)))) for i in range(400)]
+    hits = spark.createDataFrame([*reads, (None, 1, ["a"]), ("S0", 900, ["__ambiguous"])], "sample string, read_id long, features array<string>")
+    lengths = spark.createDataFrame([("S0", "a", 3.0), ("S1", "b", 2.0), ("S2", "a", None), ("S9", "a", 5.0), ("S0", "z", 1.0)], "sample string, feature string, length double")
+    asked, step = [], em._Blocks.step
+    monkeypatch.setattr(em._Blocks, "step", lambda self, theta: (asked.append(1), step(self, theta))[1])
+    for given in ({"steps": 3}, {"steps": 60, "tolerance": 0.05}, {"steps": 30, "tolerance": 0.05, "accelerate": True}):
+        alone = em.fit_masses(hits, lengths, **given)
+        assert not asked
+        with monkeypatch.context() as m:
+            m.setattr(em, "ALONE", 0, raising=False)
+            blocks = em.fit_masses(hits, lengths, **given)
+        assert asked and alone.steps == blocks.steps and (alone.change is None) == (blocks.change is None)
+        for table in ("theta", "likelihood"):
+            got, want = ({tuple(v for v in x if isinstance(v, str)): [v for v in x if isinstance(v, float)] for x in getattr(fit, table).collect()} for fit in (alone, blocks))
+            assert got.keys() == want.keys() and all(abs(a - b) <= 1e-6 * max(1, abs(b)) for k in want for a, b in zip(got[k], want[k]))
+        asked.clear()
